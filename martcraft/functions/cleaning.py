@@ -57,8 +57,8 @@ def clean_float_id(c: Column) -> Column:
 def clean_date(c: Column) -> Column:
     """``y-M-d`` or ``d-M-y`` (day first when the first part has one or two digits)."""
     s = py_strip(c)
-    return F.when(s.rlike(_YMD), F.try_to_date(s, F.lit("y-M-d"))).when(
-        s.rlike(_DMY), F.try_to_date(s, F.lit("d-M-y"))
+    return F.when(s.rlike(_YMD), F.try_to_date(s, "y-M-d")).when(
+        s.rlike(_DMY), F.try_to_date(s, "d-M-y")
     )
 
 

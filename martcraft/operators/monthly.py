@@ -33,7 +33,8 @@ def monthly_sales(fact: DataFrame, audit: bool = True) -> DataFrame:
         F.max("customer_tier").alias("customer_tier"),
         F.max("customer_value_segment").alias("customer_value_segment"),
     )
-    w = Window.partitionBy("customer_fk").orderBy("transaction_month")
+    # NULL months sort last, as in the modelled database.
+    w = Window.partitionBy("customer_fk").orderBy(F.col("transaction_month").asc_nulls_last())
     prev_rev = F.lag("monthly_net_revenue").over(w)
     prev_n = F.lag("transaction_count").over(w)
     g = m.select(

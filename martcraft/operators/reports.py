@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 def top_customers(customers: DataFrame, n: int = 10) -> DataFrame:
     """Top ``n`` by lifetime value; ``customer_id`` breaks ties so the cut is deterministic.
 
+    NULL values sort first under DESC, as in the modelled database.
+
     Planned as TakeOrderedAndProject: each task keeps its own top ``n``.
     """
     return (
         customers.select("customer_id", "customer_tier", "total_lifetime_value",
                          "total_transactions", "avg_transaction_value")
-        .orderBy(F.col("total_lifetime_value").desc_nulls_last(), F.col("customer_id").asc())
+        .orderBy(F.col("total_lifetime_value").desc_nulls_first(), F.col("customer_id").asc_nulls_last())
         .limit(n)
     )
 
@@ -38,7 +40,7 @@ def product_by_tier(fact: DataFrame) -> DataFrame:
             F.sum("net_amount").alias("revenue"),
             F.avg("net_amount").alias("avg_revenue"),
         )
-        .orderBy(F.col("revenue").desc_nulls_last(), "product_name", "customer_tier")
+        .orderBy(F.col("revenue").desc_nulls_first(), "product_name", "customer_tier")
     )
 
 

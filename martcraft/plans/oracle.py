@@ -127,27 +127,39 @@ def _amount(c: str, word: str, value: float) -> str:
             f"WHEN regexp_matches({s}, '{_NUM}') THEN TRY_CAST({s} AS DOUBLE) END) AS DECIMAL(10,2))")
 
 
-def clean_sql(src: str = "raw") -> str:
+def clean_exprs() -> dict[str, str]:
+    """SQL for each cleaned column, written over the raw STRING columns."""
     date = _strip(_na("transaction_date"))
     cust = _num(_strip(_na("customer_id")))
     qty = _num(_strip(_na("quantity")))
-    cols = [
-        _id("transaction_id", "T") + " AS transaction_id",
-        f"TRY_CAST(trunc({cust}) AS BIGINT) AS customer_id",
-        f"(CASE WHEN regexp_matches({date}, '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}$') "
-        f"THEN CAST(try_strptime({date}, '%Y-%m-%d') AS DATE) "
-        f"WHEN regexp_matches({date}, '^[0-9]{{1,2}}-[0-9]{{1,2}}-[0-9]{{4}}$') "
-        f"THEN CAST(try_strptime({date}, '%d-%m-%Y') AS DATE) END) AS transaction_date",
-        _id("product_id", "P") + " AS product_id",
-        _strip(_na("product_name")) + " AS product_name",
-        f"(CASE WHEN {qty} = floor({qty}) THEN TRY_CAST({qty} AS INTEGER) END) AS quantity",
-        _amount("price", "two hundred", 200.0) + " AS price",
-        _amount("tax", "fifteen", 15.0) + " AS tax",
-        "loaded_at",
-    ]
+    return {
+        "transaction_id": _id("transaction_id", "T"),
+        "customer_id": f"TRY_CAST(trunc({cust}) AS BIGINT)",
+        "transaction_date": (
+            f"(CASE WHEN regexp_matches({date}, '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}$') "
+            f"THEN CAST(try_strptime({date}, '%Y-%m-%d') AS DATE) "
+            f"WHEN regexp_matches({date}, '^[0-9]{{1,2}}-[0-9]{{1,2}}-[0-9]{{4}}$') "
+            f"THEN CAST(try_strptime({date}, '%d-%m-%Y') AS DATE) END)"),
+        "product_id": _id("product_id", "P"),
+        "product_name": _strip(_na("product_name")),
+        "quantity": f"(CASE WHEN {qty} = floor({qty}) THEN TRY_CAST({qty} AS INTEGER) END)",
+        "price": _amount("price", "two hundred", 200.0),
+        "tax": _amount("tax", "fifteen", 15.0),
+    }
+
+
+def clean_sql(src: str = "raw") -> str:
+    cols = [f"{e} AS {c}" for c, e in clean_exprs().items()] + ["loaded_at"]
     return f"cln AS (SELECT {', '.join(cols)} FROM {src})"
 
 
+def rejects_select(src: str = "raw") -> str:
+    cols = ["COUNT(*) AS total_rows"] + [
+        f"COUNT(*) FILTER (WHERE {_na(c)} IS NOT NULL AND ({e}) IS NULL) AS rejected_{c}"
+        for c, e in clean_exprs().items()]
+    return f"SELECT {', '.join(cols)} FROM {src}"
+
+
 # ---------------------------------------------------------------- models
 def stg_sql(src: str = "tx") -> str:
     d = "transaction_date"
@@ -287,8 +299,8 @@ mt AS (
 ),
 mg AS (
   SELECT *,
-         LAG(monthly_net_revenue) OVER (PARTITION BY customer_fk ORDER BY transaction_month) AS previous_month_revenue,
-         LAG(transaction_count) OVER (PARTITION BY customer_fk ORDER BY transaction_month) AS previous_month_transactions
+         LAG(monthly_net_revenue) OVER (PARTITION BY customer_fk ORDER BY transaction_month NULLS LAST) AS previous_month_revenue,
+         LAG(transaction_count) OVER (PARTITION BY customer_fk ORDER BY transaction_month NULLS LAST) AS previous_month_transactions
   FROM mt
 ),
 monthly AS (
@@ -314,11 +326,13 @@ monthly AS (
 )"""
 
 
-def star_sql(as_of: str, bands: Bands, src: str = "tx", upto: str = "monthly", prefix: str = "") -> str:
+def star_sql(as_of: str, bands: Bands, src: str = "tx", upto: str = "monthly") -> str:
     """The WITH clause up to a model: tx -> stg -> dims -> fact -> monthly."""
     parts = [TX_SQL]
-    if prefix:
-        parts.append(prefix)
+    if src == "cln":
+        parts += [raw_sql("tx"), clean_sql("raw")]
+    if upto == "cln":
+        return "WITH " + ",\n".join(p.strip() for p in parts)
     parts.append(stg_sql(src))
     if upto in ("dimc", "fact", "monthly"):
         parts.append(dim_customers_sql(as_of, bands))

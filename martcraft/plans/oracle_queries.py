@@ -15,7 +15,7 @@ ORACLE: dict[str, str] = {
     "dim_products": _star("dimp") + "\nSELECT * FROM dimp",
     "top_customers": _star("dimc") + """
 SELECT customer_id, customer_tier, total_lifetime_value, total_transactions, avg_transaction_value
-FROM dimc ORDER BY total_lifetime_value DESC, customer_id LIMIT 10""",
+FROM dimc ORDER BY total_lifetime_value DESC NULLS FIRST, customer_id NULLS LAST LIMIT 10""",
     "fact_transactions": _star("fact") + "\nSELECT * FROM fact",
     "monthly_sales": _star("monthly") + "\nSELECT * FROM monthly",
     "monthly_trend": _star("fact") + f"""
@@ -32,3 +32,112 @@ SELECT product_name, customer_tier, COUNT(*) AS transactions,
 FROM fact GROUP BY product_name, customer_tier
 ORDER BY revenue DESC, product_name, customer_tier""",
 }
+
+
+# ------------------------------------------------------------ cleaning path
+from martcraft.config import QualityParams  # noqa: E402
+from martcraft.operators.catalog import (  # noqa: E402
+    DIM_CUSTOMERS, DIM_PRODUCTS, FACT, MONTHLY, SOURCE, STAGING, declared_checks,
+)
+from martcraft.operators.quality import ROW_KINDS, Check  # noqa: E402
+from martcraft.plans.oracle import TX_SQL, raw_sql, rejects_select  # noqa: E402
+from martcraft.plans.registry import FIRST_LOAD_UNTIL, FRESHNESS_AS_OF  # noqa: E402
+
+
+def _dirty(upto: str) -> str:
+    return star_sql(AS_OF, DRIVER_BANDS, src="cln", upto=upto)
+
+
+RAW_WITH = "WITH " + TX_SQL.strip() + ",\n" + raw_sql("tx")
+
+_AUDITED = """,
+stg_a AS (SELECT *, CURRENT_TIMESTAMP AS transformed_at FROM stg),
+dimc_a AS (SELECT *, CURRENT_TIMESTAMP AS created_at, CURRENT_TIMESTAMP AS updated_at FROM dimc),
+dimp_a AS (SELECT *, CURRENT_TIMESTAMP AS created_at, CURRENT_TIMESTAMP AS updated_at FROM dimp),
+fact_a AS (SELECT *, CURRENT_TIMESTAMP AS created_at FROM fact),
+monthly_a AS (SELECT *, CURRENT_TIMESTAMP AS refreshed_at FROM monthly)"""
+_CTE = {SOURCE: "cln", STAGING: "stg_a", DIM_CUSTOMERS: "dimc_a", DIM_PRODUCTS: "dimp_a", FACT: "fact_a",
+        MONTHLY: "monthly_a"}
+
+
+def _cond(expr: str, cond: str) -> str:
+    return f"{expr} {cond.strip()[:2] if cond.strip()[:2] in ('>=', '<=', '!=') else cond.strip()[0]} " \
+           f"{cond.strip()[2:] if cond.strip()[:2] in ('>=', '<=', '!=') else cond.strip()[1:]}"
+
+
+def _failures_sql(c: Check) -> str:
+    t = _CTE[c.model]
+    if c.kind in ROW_KINDS:
+        return f"(SELECT COUNT(*) FILTER (WHERE {c.predicate}) FROM {t})"
+    if c.kind == "unique":
+        k = c.keys[0]
+        return f"(SELECT COUNT(*) FROM (SELECT {k} FROM {t} WHERE {k} IS NOT NULL GROUP BY {k} HAVING COUNT(*) > 1))"
+    if c.kind == "unique_combination_of_columns":
+        ks = ", ".join(c.keys)
+        return f"(SELECT COUNT(*) FROM (SELECT {ks} FROM {t} GROUP BY {ks} HAVING COUNT(*) > 1))"
+    k, p = c.keys[0], _CTE[c.parent]
+    return (f"(SELECT COUNT(*) FROM {t} x WHERE x.{k} IS NOT NULL AND NOT EXISTS "
+            f"(SELECT 1 FROM {p} y WHERE y.{c.parent_key} = x.{k}))")
+
+
+def _check_row(c: Check) -> str:
+    col = f"'{c.column}'" if c.column else "CAST(NULL AS VARCHAR)"
+    f = _failures_sql(c)
+    if c.severity == "error":
+        status = f"CASE WHEN {_cond(f, c.error_if)} THEN 'fail' WHEN {_cond(f, c.warn_if)} THEN 'warn' ELSE 'pass' END"
+    else:
+        status = f"CASE WHEN {_cond(f, c.warn_if)} THEN 'warn' ELSE 'pass' END"
+    return (f"SELECT '{c.model}' AS model, '{c.name}' AS check_name, {col} AS column_name, "
+            f"'{c.severity}' AS severity, {f} AS failures, {status} AS status")
+
+
+def dq_results_sql() -> str:
+    checks = declared_checks(DRIVER_BANDS, QualityParams(), audit=True)
+    return _dirty("monthly") + _AUDITED + "\n" + "\nUNION ALL\n".join(_check_row(c) for c in checks)
+
+
+_REL = [("relationships_fact_transactions_customer_fk", "fact", "customer_fk", "dimc", "customer_key"),
+        ("relationships_fact_transactions_product_fk", "fact", "product_fk", "dimp", "product_key"),
+        ("relationships_agg_monthly_sales_customer_fk", "monthly", "customer_fk", "dimc", "customer_key")]
+
+ORACLE.update({
+    "raw_with_audit": RAW_WITH + "\nSELECT transaction_id, customer_id, transaction_date, product_id, product_name, "
+                                 "quantity, price, tax, 'lineitem.parquet' AS source_file FROM raw",
+    "raw_file_counts": "SELECT 'lineitem.parquet' AS source_file, COUNT(*) AS row_count FROM lineitem",
+    "clean_transactions": _dirty("cln") + "\nSELECT * FROM cln",
+    "clean_rejects": RAW_WITH + "\n" + rejects_select("raw"),
+    "null_profile": _dirty("cln") + "\nSELECT COUNT(*) AS total_rows, " + ", ".join(
+        f"COUNT(*) FILTER (WHERE {c} IS NULL) AS null_{c}" for c in (
+            "transaction_id", "customer_id", "transaction_date", "product_id", "product_name", "quantity",
+            "price", "tax")) + " FROM cln",
+    "load_profile": _dirty("cln") + """
+SELECT COUNT(*) AS total_rows,
+       COUNT(*) FILTER (WHERE transaction_id IS NULL) AS null_transaction_ids,
+       COUNT(*) FILTER (WHERE customer_id IS NULL) AS null_customer_ids,
+       COUNT(*) FILTER (WHERE transaction_date IS NULL) AS null_dates,
+       COUNT(*) FILTER (WHERE quantity IS NULL) AS null_quantities,
+       COUNT(*) FILTER (WHERE price IS NULL OR price = 0) AS zero_prices
+FROM cln""",
+    "freshness": _dirty("cln") + f"""
+SELECT '{SOURCE}' AS source, MAX(loaded_at) AS max_loaded_at,
+       (epoch_us(TIMESTAMP '{FRESHNESS_AS_OF}') - epoch_us(MAX(loaded_at))) / 3600e6 AS age_hours,
+       CASE WHEN (epoch_us(TIMESTAMP '{FRESHNESS_AS_OF}') - epoch_us(MAX(loaded_at))) / 3600e6 > 24 THEN 'error'
+            WHEN (epoch_us(TIMESTAMP '{FRESHNESS_AS_OF}') - epoch_us(MAX(loaded_at))) / 3600e6 > 12 THEN 'warn'
+            ELSE 'pass' END AS status
+FROM cln""",
+    "dim_customers_raw": _dirty("dimc") + "\nSELECT * FROM dimc",
+    "dim_products_raw": _dirty("dimp") + "\nSELECT * FROM dimp",
+    "monthly_sales_raw": _dirty("monthly") + "\nSELECT * FROM monthly",
+    "dq_results": dq_results_sql(),
+    "dq_unique_failures": _dirty("stg") + """
+SELECT transaction_id AS unique_field, COUNT(*) AS n_records FROM stg
+WHERE transaction_id IS NOT NULL GROUP BY transaction_id HAVING COUNT(*) > 1""",
+    "dq_relationship_failures": _dirty("monthly") + "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{n}' AS check_name, x.{k} AS from_field FROM {t} x WHERE x.{k} IS NOT NULL AND NOT EXISTS "
+        f"(SELECT 1 FROM {p} y WHERE y.{pk} = x.{k})" for n, t, k, p, pk in _REL),
+    "incremental_fact": _star("fact") + f"""
+SELECT * FROM fact WHERE transaction_date <= DATE '{FIRST_LOAD_UNTIL}'
+UNION ALL
+SELECT * FROM fact WHERE transaction_date > (SELECT MAX(transaction_date) FROM fact
+                                             WHERE transaction_date <= DATE '{FIRST_LOAD_UNTIL}')""",
+})

@@ -90,3 +90,124 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "monthly_trend": q_monthly_trend,
     "product_by_tier": q_product_by_tier,
 }
+
+
+# ------------------------------------------------------------ cleaning path
+from martcraft.config import QualityParams  # noqa: E402
+from martcraft.operators.catalog import (  # noqa: E402
+    DIM_CUSTOMERS, DIM_PRODUCTS, FACT, MONTHLY, SOURCE, STAGING, declared_checks,
+)
+from martcraft.operators.cleaning import clean_transactions, null_profile, reject_counts  # noqa: E402
+from martcraft.operators.quality import (  # noqa: E402
+    failing_rows, freshness, load_profile, relationships, run_checks, unique,
+)
+from martcraft.operators.reports import rows_per_source  # noqa: E402
+from martcraft.plans.refresh import rows_after_high_water  # noqa: E402
+from martcraft.sources.driver import driver_raw_transactions  # noqa: E402
+
+# Freshness clock for the driver tables (newest l_shipdate is 2001-11-04),
+# and the cut of the first load in the incremental example.
+FRESHNESS_AS_OF = "2001-11-04 18:00:00"
+FIRST_LOAD_UNTIL = "1999-12-31"
+
+
+class DirtyStar(Star):
+    """The same star built from the dirty raw strings through the cleaning step."""
+
+    def __init__(self, spark, sf_dir, as_of=AS_OF, bands=DRIVER_BANDS, audit=False):
+        self.raw = driver_raw_transactions(spark, sf_dir)
+        self.cleaned = clean_transactions(self.raw)
+        self.stg = stage_transactions(self.cleaned)
+        self.customers = dim_customers(self.stg, as_of, bands, audit=audit)
+        self.products = dim_products(self.stg, as_of, bands, audit=audit)
+        self.fact = fact_transactions(self.stg, self.customers, self.products, audit=audit)
+        self.monthly = monthly_sales(self.fact, audit=audit)
+
+    def tables(self):
+        return {SOURCE: self.cleaned, STAGING: self.stg, DIM_CUSTOMERS: self.customers,
+                DIM_PRODUCTS: self.products, FACT: self.fact, MONTHLY: self.monthly}
+
+
+def q_raw_with_audit(spark, sf_dir):
+    return driver_raw_transactions(spark, sf_dir, with_source=True).drop("loaded_at")
+
+
+def q_raw_file_counts(spark, sf_dir):
+    return rows_per_source(driver_raw_transactions(spark, sf_dir, with_source=True))
+
+
+def q_clean_transactions(spark, sf_dir):
+    return clean_transactions(driver_raw_transactions(spark, sf_dir))
+
+
+def q_clean_rejects(spark, sf_dir):
+    return reject_counts(driver_raw_transactions(spark, sf_dir))
+
+
+def q_null_profile(spark, sf_dir):
+    return null_profile(clean_transactions(driver_raw_transactions(spark, sf_dir)))
+
+
+def q_load_profile(spark, sf_dir):
+    return load_profile(clean_transactions(driver_raw_transactions(spark, sf_dir)))
+
+
+def q_freshness(spark, sf_dir):
+    return freshness(clean_transactions(driver_raw_transactions(spark, sf_dir)), FRESHNESS_AS_OF,
+                     source=SOURCE)
+
+
+def q_dim_customers_raw(spark, sf_dir):
+    return DirtyStar(spark, sf_dir).customers
+
+
+def q_dim_products_raw(spark, sf_dir):
+    return DirtyStar(spark, sf_dir).products.withColumn("stddev_unit_price", F.round("stddev_unit_price", 6))
+
+
+def q_monthly_sales_raw(spark, sf_dir):
+    return DirtyStar(spark, sf_dir).monthly
+
+
+def q_dq_results(spark, sf_dir):
+    star = DirtyStar(spark, sf_dir, audit=True)
+    return run_checks(star.tables(), declared_checks(DRIVER_BANDS, QualityParams(), audit=True))
+
+
+def q_dq_unique_failures(spark, sf_dir):
+    return failing_rows(unique(STAGING, "transaction_id"), DirtyStar(spark, sf_dir).tables())
+
+
+def q_dq_relationship_failures(spark, sf_dir):
+    star = DirtyStar(spark, sf_dir)
+    out = None
+    for c in (relationships(FACT, "customer_fk", DIM_CUSTOMERS, "customer_key"),
+              relationships(FACT, "product_fk", DIM_PRODUCTS, "product_key"),
+              relationships(MONTHLY, "customer_fk", DIM_CUSTOMERS, "customer_key")):
+        rows = failing_rows(c, star.tables()).select(F.lit(c.name).alias("check_name"), "from_field")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def q_incremental_fact(spark, sf_dir):
+    fact = Star(spark, sf_dir).fact
+    first_load = fact.filter(F.col("transaction_date") <= F.lit(FIRST_LOAD_UNTIL).cast("date"))
+    return first_load.unionByName(rows_after_high_water(fact, first_load, "transaction_date"))
+
+
+QUERIES.update({
+    "raw_with_audit": q_raw_with_audit,
+    "raw_file_counts": q_raw_file_counts,
+    "clean_transactions": q_clean_transactions,
+    "clean_rejects": q_clean_rejects,
+    "null_profile": q_null_profile,
+    "load_profile": q_load_profile,
+    "freshness": q_freshness,
+    "dim_customers_raw": q_dim_customers_raw,
+    "dim_products_raw": q_dim_products_raw,
+    "monthly_sales_raw": q_monthly_sales_raw,
+    "dq_results": q_dq_results,
+    "dq_unique_failures": q_dq_unique_failures,
+    "dq_relationship_failures": q_dq_relationship_failures,
+    "incremental_fact": q_incremental_fact,
+})

@@ -12,21 +12,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _tables(spark: SparkSession, sf_dir: str):
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_tax", "l_shipdate"
-    )
+def _tables(spark: SparkSession, sf_dir: str, with_source: bool = False):
+    cols = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_tax", "l_shipdate"]
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    li = li.select(*cols, *([F.col("_metadata.file_name").alias("source_file")] if with_source else []))
     o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
     p = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_retailprice")
     return li, o, p
 
 
-def driver_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def driver_transactions(spark: SparkSession, sf_dir: str, with_source: bool = False) -> DataFrame:
     """Typed, cleaned transactions (the cleaned-table schema, ids widened to BIGINT).
 
     tax = quantity * round(l_tax * 100) cents: integer arithmetic, so exact.
     """
-    li, o, p = _tables(spark, sf_dir)
+    li, o, p = _tables(spark, sf_dir, with_source)
     q = F.col("l_quantity").cast("int")
     tax_cents = q * F.round(F.col("l_tax") * 100).cast("int")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "left").join(p, li.l_partkey == p.p_partkey, "left")
@@ -40,6 +40,7 @@ def driver_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
         (tax_cents.cast("decimal(12,0)") * F.lit(Decimal("0.01"))).cast("decimal(10,2)").alias("tax"),
         F.col("l_shipdate").cast("timestamp").alias("loaded_at"),
+        *([F.col("source_file")] if with_source else []),
     )
 
 
@@ -51,13 +52,13 @@ def _first(k: Column, rules: list[tuple[int, int, Column]], otherwise: Column) -
     return otherwise if out is None else out.otherwise(otherwise)
 
 
-def driver_raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def driver_raw_transactions(spark: SparkSession, sf_dir: str, with_source: bool = False) -> DataFrame:
     """All-STRING raw transactions with the dirt of the sample file, made by fixed rules.
 
     Every line is kept; the rules only change how a value is written, keyed
     on the transaction id (first matching rule wins).
     """
-    t = driver_transactions(spark, sf_dir)
+    t = driver_transactions(spark, sf_dir, with_source)
     k = F.col("transaction_id")
     s = lambda c: F.col(c).cast("string")
     null = F.lit(None).cast("string")
@@ -77,4 +78,5 @@ def driver_raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                s("price")).alias("price"),
         _first(k, [(9, 4, F.lit("Fifteen")), (29, 0, F.lit("n/a"))], s("tax")).alias("tax"),
         F.col("loaded_at"),
+        *([F.col("source_file")] if with_source else []),
     )
