@@ -19,8 +19,14 @@ NA_TOKENS = (
 PRICE_WORDS = {"two hundred": 200.0}
 TAX_WORDS = {"fifteen": 15.0}
 
+# The characters Python's str.strip() removes (str.isspace() is true for exactly these).
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Guards.
-_STRIP = r"(?U)^\s+|\s+$"
 _INTEGER = r"^[+-]?[0-9]+$"
 _NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 _YMD = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
@@ -33,8 +39,8 @@ def na_to_null(c: Column) -> Column:
 
 
 def py_strip(c: Column) -> Column:
-    """Strip leading/trailing Unicode whitespace (tabs and no-break spaces too)."""
-    return F.regexp_replace(c, _STRIP, "")
+    """Strip leading/trailing whitespace as Python does (tabs, no-break spaces too); no regex."""
+    return F.trim(c, F.lit(WHITESPACE))
 
 
 def _number(s: Column) -> Column:

@@ -22,6 +22,18 @@ def as_of_date(as_of: str | dt.date | Column | None) -> Column:
     return F.lit(str(as_of)).cast("date")
 
 
+def _distinct_count(rows: DataFrame, key: str, value: str, alias: str) -> DataFrame:
+    """Exact COUNT(DISTINCT value) per key as two aggregations: distinct (key, value)
+    pairs (shuffled on both, so a hot key spreads by value), then a count per key."""
+    return rows.select(key, value).distinct().groupBy(key).agg(F.count(value).alias(alias))
+
+
+def _calendar_distinct(c: str) -> Column:
+    """COUNT(DISTINCT) of a date part. The set per key is bounded by the calendar
+    span (at most one entry per day), not by the row count."""
+    return F.size(F.collect_set(c))
+
+
 def dim_customers(
     stg: DataFrame,
     as_of: str | dt.date | Column | None = None,
@@ -30,17 +42,19 @@ def dim_customers(
 ) -> DataFrame:
     """One row per customer of the valid transactions.
 
-    One shuffle keyed by ``customer_id``; the four exact distinct counts are
-    planned by Catalyst as Expand + two-level aggregation, so a customer that
-    owns a third of the rows is still spread over tasks by its distinct values
-    before the final per-customer merge.
+    Distinct days, months and years are calendar-bounded sets inside the main
+    hash aggregate; distinct products (unbounded) are counted exactly by a
+    second aggregate and joined back on ``customer_id`` (both sides are
+    already partitioned on it). A customer owning a third of the rows is
+    pre-reduced per task in every aggregate.
     """
     today = as_of_date(as_of)
-    m = valid_transactions(stg).groupBy("customer_id").agg(
+    v = valid_transactions(stg)
+    agg = v.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("total_transactions"),
-        F.count_distinct("transaction_date").alias("unique_transaction_days"),
-        F.count_distinct("transaction_year").alias("years_active"),
-        F.count_distinct("transaction_month").alias("months_active"),
+        _calendar_distinct("transaction_date").alias("unique_transaction_days"),
+        _calendar_distinct("transaction_year").alias("years_active"),
+        _calendar_distinct("transaction_month").alias("months_active"),
         F.min("transaction_date").alias("first_transaction_date"),
         F.max("transaction_date").alias("last_transaction_date"),
         F.sum("quantity").alias("total_units_purchased"),
@@ -48,8 +62,8 @@ def dim_customers(
         F.avg("total_amount").alias("avg_transaction_value"),
         F.min("total_amount").alias("min_transaction_value"),
         F.max("total_amount").alias("max_transaction_value"),
-        F.count_distinct("product_id").alias("unique_products_purchased"),
     )
+    m = agg.join(_distinct_count(v, "customer_id", "product_id", "unique_products_purchased"), "customer_id", "left")
     since_last = days_between(today, F.col("last_transaction_date"))
     cols = [
         F.col("customer_id").alias("customer_key"),
@@ -98,10 +112,11 @@ def dim_products(
         name = F.max_by("product_name", F.struct("transaction_date", "product_name"))
     else:
         raise ValueError(f"name_rule must be 'max' or 'latest', not {name_rule!r}")
-    m = valid_transactions(stg).groupBy("product_id").agg(
+    v = valid_transactions(stg)
+    agg = v.groupBy("product_id").agg(
         name.alias("product_name"),
         F.count(F.lit(1)).alias("total_transactions"),
-        F.count_distinct("transaction_date").alias("unique_transaction_days"),
+        _calendar_distinct("transaction_date").alias("unique_transaction_days"),
         F.min("transaction_date").alias("first_sale_date"),
         F.max("transaction_date").alias("last_sale_date"),
         F.sum("quantity").alias("total_units_sold"),
@@ -113,8 +128,10 @@ def dim_products(
         F.avg("quantity").alias("avg_quantity_per_transaction"),
         F.min("quantity").alias("min_quantity_per_transaction"),
         F.max("quantity").alias("max_quantity_per_transaction"),
-        F.count_distinct("customer_id").alias("unique_customers"),
     )
+    # A NULL product id is a group of its own, so the join back is NULL-safe.
+    uc = _distinct_count(v, "product_id", "customer_id", "unique_customers").withColumnRenamed("product_id", "_pid")
+    m = agg.join(uc, agg.product_id.eqNullSafe(uc._pid), "left").drop("_pid")
     cols = [
         F.col("product_id").alias("product_key"),
         "product_id",

@@ -17,7 +17,12 @@ from martcraft.operators.fact import fact_transactions
 from martcraft.operators.monthly import monthly_sales
 from martcraft.operators.reports import monthly_trend, product_by_tier, top_customers
 from martcraft.operators.staging import stage_transactions
-from martcraft.sources.driver import driver_transactions
+from martcraft.operators.catalog import (
+    DIM_CUSTOMERS, DIM_PRODUCTS, FACT, MONTHLY, SOURCE, STAGING, declared_checks,
+)
+from martcraft.operators.cleaning import clean_transactions, null_profile, reject_counts
+from martcraft.plans.materialize import materialize
+from martcraft.sources.driver import driver_raw_transactions, driver_transactions
 
 # Fixed values for the driver tables: reporting date after the last order
 # (2001-08-01), and bounds rescaled to the amounts of those tables (their
@@ -38,14 +43,37 @@ DRIVER_BANDS = Bands(
 
 
 class Star:
-    """The star schema of one sf folder, built lazily (one logical plan per query)."""
+    """The star schema of one sf folder.
+
+    Layers listed in ``keep`` are materialized once (Parquet under the shared
+    checkpoint folder) because several consumers read them; the others stay
+    lazy so a single-consumer query remains one plan.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = AS_OF, bands: Bands = DRIVER_BANDS,
+                 dirty: bool = False, audit: bool = False, keep: tuple[str, ...] = ()):
+        if dirty:
+            self.raw = driver_raw_transactions(spark, sf_dir)
+            cleaned = clean_transactions(self.raw)
+        else:
+            cleaned = driver_transactions(spark, sf_dir)
+        self.cleaned = materialize(cleaned, "cleaned") if "cleaned" in keep else cleaned
+        self.stg = stage_transactions(self.cleaned)
+        self.customers = dim_customers(self.stg, as_of, bands, audit=audit)
+        self.products = dim_products(self.stg, as_of, bands, audit=audit)
+        if "dims" in keep:
+            self.customers = materialize(self.customers, "dim_customers")
+            self.products = materialize(self.products, "dim_products")
+        self.fact = fact_transactions(self.stg, self.customers, self.products, audit=audit)
+        if "fact" in keep:
+            self.fact = materialize(self.fact, "fact_transactions", ("transaction_month",))
+        self.monthly = monthly_sales(self.fact, audit=audit)
+        if "monthly" in keep:
+            self.monthly = materialize(self.monthly, "agg_monthly_sales")
 
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = AS_OF, bands: Bands = DRIVER_BANDS):
-        self.stg = stage_transactions(driver_transactions(spark, sf_dir))
-        self.customers = dim_customers(self.stg, as_of, bands, audit=False)
-        self.products = dim_products(self.stg, as_of, bands, audit=False)
-        self.fact = fact_transactions(self.stg, self.customers, self.products, audit=False)
-        self.monthly = monthly_sales(self.fact, audit=False)
+    def tables(self):
+        return {SOURCE: self.cleaned, STAGING: self.stg, DIM_CUSTOMERS: self.customers,
+                DIM_PRODUCTS: self.products, FACT: self.fact, MONTHLY: self.monthly}
 
 
 def q_stg_transactions(spark, sf_dir):
@@ -65,19 +93,19 @@ def q_top_customers(spark, sf_dir):
 
 
 def q_fact_transactions(spark, sf_dir):
-    return Star(spark, sf_dir).fact
+    return Star(spark, sf_dir, keep=("cleaned",)).fact
 
 
 def q_monthly_sales(spark, sf_dir):
-    return Star(spark, sf_dir).monthly
+    return Star(spark, sf_dir, keep=("cleaned",)).monthly
 
 
 def q_monthly_trend(spark, sf_dir):
-    return monthly_trend(Star(spark, sf_dir).fact)
+    return monthly_trend(Star(spark, sf_dir, keep=("cleaned",)).fact)
 
 
 def q_product_by_tier(spark, sf_dir):
-    return product_by_tier(Star(spark, sf_dir).fact)
+    return product_by_tier(Star(spark, sf_dir, keep=("cleaned",)).fact)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -94,16 +122,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # ------------------------------------------------------------ cleaning path
 from martcraft.config import QualityParams  # noqa: E402
-from martcraft.operators.catalog import (  # noqa: E402
-    DIM_CUSTOMERS, DIM_PRODUCTS, FACT, MONTHLY, SOURCE, STAGING, declared_checks,
-)
-from martcraft.operators.cleaning import clean_transactions, null_profile, reject_counts  # noqa: E402
 from martcraft.operators.quality import (  # noqa: E402
     failing_rows, freshness, load_profile, relationships, run_checks, unique,
 )
 from martcraft.operators.reports import rows_per_source  # noqa: E402
 from martcraft.plans.refresh import rows_after_high_water  # noqa: E402
-from martcraft.sources.driver import driver_raw_transactions  # noqa: E402
 
 # Freshness clock for the driver tables (newest l_shipdate is 2001-11-04),
 # and the cut of the first load in the incremental example.
@@ -111,23 +134,6 @@ FRESHNESS_AS_OF = "2001-11-04 18:00:00"
 FIRST_LOAD_UNTIL = "1999-12-31"
 
 
-class DirtyStar(Star):
-    """The same star built from the dirty raw strings through the cleaning step."""
-
-    def __init__(self, spark, sf_dir, as_of=AS_OF, bands=DRIVER_BANDS, audit=False):
-        self.raw = driver_raw_transactions(spark, sf_dir)
-        self.cleaned = clean_transactions(self.raw)
-        self.stg = stage_transactions(self.cleaned)
-        self.customers = dim_customers(self.stg, as_of, bands, audit=audit)
-        self.products = dim_products(self.stg, as_of, bands, audit=audit)
-        self.fact = fact_transactions(self.stg, self.customers, self.products, audit=audit)
-        self.monthly = monthly_sales(self.fact, audit=audit)
-
-    def tables(self):
-        return {SOURCE: self.cleaned, STAGING: self.stg, DIM_CUSTOMERS: self.customers,
-                DIM_PRODUCTS: self.products, FACT: self.fact, MONTHLY: self.monthly}
-
-
 def q_raw_with_audit(spark, sf_dir):
     return driver_raw_transactions(spark, sf_dir, with_source=True).drop("loaded_at")
 
@@ -158,28 +164,28 @@ def q_freshness(spark, sf_dir):
 
 
 def q_dim_customers_raw(spark, sf_dir):
-    return DirtyStar(spark, sf_dir).customers
+    return Star(spark, sf_dir, dirty=True).customers
 
 
 def q_dim_products_raw(spark, sf_dir):
-    return DirtyStar(spark, sf_dir).products.withColumn("stddev_unit_price", F.round("stddev_unit_price", 6))
+    return Star(spark, sf_dir, dirty=True).products.withColumn("stddev_unit_price", F.round("stddev_unit_price", 6))
 
 
 def q_monthly_sales_raw(spark, sf_dir):
-    return DirtyStar(spark, sf_dir).monthly
+    return Star(spark, sf_dir, dirty=True, keep=("cleaned",)).monthly
 
 
 def q_dq_results(spark, sf_dir):
-    star = DirtyStar(spark, sf_dir, audit=True)
+    star = Star(spark, sf_dir, dirty=True, audit=True, keep=("cleaned", "dims", "fact", "monthly"))
     return run_checks(star.tables(), declared_checks(DRIVER_BANDS, QualityParams(), audit=True))
 
 
 def q_dq_unique_failures(spark, sf_dir):
-    return failing_rows(unique(STAGING, "transaction_id"), DirtyStar(spark, sf_dir).tables())
+    return failing_rows(unique(STAGING, "transaction_id"), Star(spark, sf_dir, dirty=True).tables())
 
 
 def q_dq_relationship_failures(spark, sf_dir):
-    star = DirtyStar(spark, sf_dir)
+    star = Star(spark, sf_dir, dirty=True, keep=("cleaned", "dims", "fact"))
     out = None
     for c in (relationships(FACT, "customer_fk", DIM_CUSTOMERS, "customer_key"),
               relationships(FACT, "product_fk", DIM_PRODUCTS, "product_key"),
@@ -190,7 +196,7 @@ def q_dq_relationship_failures(spark, sf_dir):
 
 
 def q_incremental_fact(spark, sf_dir):
-    fact = Star(spark, sf_dir).fact
+    fact = Star(spark, sf_dir, keep=("cleaned", "fact")).fact
     first_load = fact.filter(F.col("transaction_date") <= F.lit(FIRST_LOAD_UNTIL).cast("date"))
     return first_load.unionByName(rows_after_high_water(fact, first_load, "transaction_date"))
 
