@@ -77,8 +77,9 @@ def create_view(spark: SparkSession, name: str, sql: str) -> None:
 
 
 def set_properties(spark: SparkSession, table: str, props: dict[str, str]) -> None:
-    """Governance metadata (owner, classification, retention, ...) as table properties."""
-    kv = ", ".join(f"'{k}' = '{v}'" for k, v in props.items())
+    """Governance metadata (owner, classification, retention, ...) as ``meta.<key>`` table
+    properties (``owner`` itself is reserved by Spark)."""
+    kv = ", ".join(f"'meta.{k}' = '{v}'" for k, v in props.items())
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({kv})")
 
 

@@ -1,0 +1,83 @@
+from decimal import Decimal
+
+from martcraft.operators.quality import (
+    accepted_range, accepted_values, expression_is_true, failing_rows, freshness, load_profile, not_null,
+    null_shares, relationships, run_checks, unique, unique_combination,
+)
+
+
+def test_checks_counts_and_status(spark):
+    child = spark.createDataFrame(
+        [(1, "a", 2021, 5), (1, "b", 2019, None), (2, None, 2030, 1), (3, "z", None, 7), (None, "a", 2025, 0)],
+        "k bigint, label string, yr int, n int")
+    parent = spark.createDataFrame([(1,), (2,)], "pk bigint")
+    checks = [
+        not_null("child", "label"),
+        unique("child", "k"),
+        accepted_values("child", "label", ["a", "b"]),
+        accepted_range("child", "yr", 2020, 2030),
+        expression_is_true("child", "n >= 1", column="n"),
+        expression_is_true("child", "n >= 1", column="n", severity="warn", tag="w"),
+        unique_combination("child", ("k", "label")),
+        relationships("child", "k", "parent", "pk"),
+        not_null("child", "k", error_if=">=2", warn_if=">=1"),
+    ]
+    res = {r.check_name: (r.failures, r.status) for r in run_checks({"child": child, "parent": parent}, checks).collect()}
+    assert res["not_null_child_label"] == (1, "fail")
+    assert res["unique_child_k"] == (1, "fail")                 # NULL keys are not duplicates
+    assert res["accepted_values_child_label"] == (1, "fail")    # 'z'; NULL passes
+    assert res["accepted_range_child_yr"] == (1, "fail")        # 2019; NULL passes; bounds inclusive
+    assert res["expression_is_true_child_n"] == (1, "fail")     # 0; NULL passes
+    assert res["expression_is_true_child_n_w"] == (1, "warn")
+    assert res["unique_combination_of_columns_child_k_label"] == (0, "pass")
+    assert res["relationships_child_k"] == (1, "fail")          # k=3; NULL child key passes
+    assert res["not_null_child_k"] == (1, "warn")
+    dup = failing_rows(unique("child", "k"), {"child": child}).collect()
+    assert [(r.unique_field, r.n_records) for r in dup] == [(1, 2)]
+    orphans = failing_rows(relationships("child", "k", "parent", "pk"), {"child": child, "parent": parent}).collect()
+    assert [r.from_field for r in orphans] == [3]
+
+
+def test_declared_catalog_runs_on_sample_star(spark):
+    from martcraft.config import DEFAULT_BANDS, QualityParams
+    from martcraft.operators.catalog import declared_checks
+    from martcraft.plans.rebuild import StarTables
+    from martcraft.operators.dimensions import dim_customers, dim_products
+    from martcraft.operators.fact import fact_transactions
+    from martcraft.operators.monthly import monthly_sales
+    from martcraft.operators.staging import stage_transactions
+    import datetime as dt
+    cleaned = spark.createDataFrame(
+        [(1, 7, dt.date(2024, 1, 2), 3, "P", 2, Decimal("9.50"), Decimal("1.00")),
+         (2, 7, dt.date(2024, 2, 2), 3, "P", 1, Decimal("9.50"), Decimal("1.00"))],
+        "transaction_id bigint, customer_id bigint, transaction_date date, product_id bigint, product_name string, "
+        "quantity int, price decimal(10,2), tax decimal(10,2)")
+    stg = stage_transactions(cleaned)
+    c, p = dim_customers(stg, "2024-03-01"), dim_products(stg, "2024-03-01")
+    f = fact_transactions(stg, c, p)
+    star = StarTables(cleaned, stg, c, p, f, monthly_sales(f))
+    res = run_checks(star.by_model(), declared_checks(DEFAULT_BANDS, QualityParams())).collect()
+    assert len(res) == 147
+    failing = {r.check_name for r in res if r.failures}
+    assert failing == set()
+
+
+def test_freshness_and_profiles(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 0, 0)), (None, dt.datetime(2024, 1, 1, 6, 0))],
+                               "transaction_id bigint, loaded_at timestamp")
+    r = freshness(df, "2024-01-01 20:00:00").first()
+    assert r.age_hours == 14.0 and r.status == "warn"
+    assert freshness(df, "2024-01-02 07:00:00").first().status == "error"
+    assert freshness(df, "2024-01-01 07:00:00").first().status == "pass"
+    shares = {r.column_name: (r.nulls, r.status) for r in null_shares(df, ["transaction_id"], 0.05).collect()}
+    assert shares == {"transaction_id": (1, "warn")}
+
+
+def test_load_profile(spark):
+    df = spark.createDataFrame(
+        [(1, 2, None, 3, Decimal("0.00")), (None, None, None, None, None), (3, 4, None, 5, Decimal("1.00"))],
+        "transaction_id bigint, customer_id bigint, transaction_date date, quantity int, price decimal(10,2)")
+    r = load_profile(df).first().asDict()
+    assert r == {"total_rows": 3, "null_transaction_ids": 1, "null_customer_ids": 1, "null_dates": 3,
+                 "null_quantities": 1, "zero_prices": 2}
