@@ -83,33 +83,29 @@ def relationships(model: str, column: str, parent: str, parent_key: str, **kw) -
 _COND = re.compile(r"^\s*(>=|<=|!=|=|>|<)\s*(-?\d+)\s*$")
 
 
-def _threshold(failures: Column, cond: str) -> Column:
+def _parse_threshold(cond: str) -> tuple[str, int]:
     m = _COND.match(cond)
     if not m:
         raise ValueError(f"threshold must look like '>0' or '>=10', not {cond!r}")
-    op, n = m.group(1), int(m.group(2))
-    return {">=": failures >= n, "<=": failures <= n, "!=": failures != n, "=": failures == n,
-            ">": failures > n, "<": failures < n}[op]
-
-
-def _status(check: Check, failures: Column) -> Column:
-    warn = _threshold(failures, check.warn_if)
-    if check.severity == "error":
-        return F.when(_threshold(failures, check.error_if), "fail").when(warn, "warn").otherwise("pass")
-    if check.severity == "warn":
-        return F.when(warn, "warn").otherwise("pass")
-    raise ValueError(f"severity must be 'error' or 'warn', not {check.severity!r}")
-
-
-def _result(check: Check, failures: Column) -> Column:
-    return F.struct(
-        F.lit(check.model).alias("model"),
-        F.lit(check.name).alias("check_name"),
-        F.lit(check.column).cast("string").alias("column_name"),
-        F.lit(check.severity).alias("severity"),
-        failures.cast("bigint").alias("failures"),
-        _status(check, failures).alias("status"),
-    )
+    return m.group(1), int(m.group(2))
+
+
+def _meets(failures: Column, op: Column, n: Column) -> Column:
+    return (F.when(op == ">", failures > n).when(op == ">=", failures >= n).when(op == "<", failures < n)
+            .when(op == "<=", failures <= n).when(op == "=", failures == n).when(op == "!=", failures != n))
+
+
+def _metadata(spark, checks: list[Check]) -> DataFrame:
+    """One small row per check (bounded by the number of declared checks)."""
+    rows = []
+    for i, c in enumerate(checks):
+        if c.severity not in ("error", "warn"):
+            raise ValueError(f"severity must be 'error' or 'warn', not {c.severity!r}")
+        (eop, en), (wop, wn) = _parse_threshold(c.error_if), _parse_threshold(c.warn_if)
+        rows.append((i, c.model, c.name, c.column, c.severity, eop, en, wop, wn))
+    return spark.createDataFrame(rows, "check_idx int, model string, check_name string, column_name string, "
+                                       "severity string, error_op string, error_n bigint, warn_op string, "
+                                       "warn_n bigint")
 
 
 def failing_rows(check: Check, tables: dict[str, DataFrame]) -> DataFrame:
@@ -132,23 +128,35 @@ def failing_rows(check: Check, tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """One result row per check: model, check_name, column_name, severity, failures, status."""
+    """One result row per check: model, check_name, column_name, severity, failures, status.
+
+    Every part yields only (check_idx, failures); the status is one generic
+    expression over the joined check metadata, so generated code stays small.
+    """
     parts: list[DataFrame] = []
-    by_model: dict[str, list[Check]] = {}
-    for c in checks:
+    by_model: dict[str, list[int]] = {}
+    for i, c in enumerate(checks):
         if c.kind in ROW_KINDS:
-            by_model.setdefault(c.model, []).append(c)
-    for model, cs in by_model.items():
-        counts = tables[model].agg(*[F.count_if(F.expr(c.predicate)).alias(f"c{i}") for i, c in enumerate(cs)])
-        parts.append(counts.select(F.inline(F.array(*[_result(c, F.col(f"c{i}")) for i, c in enumerate(cs)]))))
-    for c in checks:
+            by_model.setdefault(c.model, []).append(i)
+    for model, idx in by_model.items():
+        counts = tables[model].agg(*[F.count_if(F.expr(checks[i].predicate)).alias(f"c{i}") for i in idx])
+        pairs = F.array(*[F.struct(F.lit(i).alias("check_idx"), F.col(f"c{i}").alias("failures")) for i in idx])
+        parts.append(counts.select(F.inline(pairs)))
+    for i, c in enumerate(checks):
         if c.kind not in ROW_KINDS:
-            n = failing_rows(c, tables).agg(F.count(F.lit(1)).alias("n"))
-            parts.append(n.select(F.inline(F.array(_result(c, F.col("n"))))))
+            n = failing_rows(c, tables).agg(F.count(F.lit(1)).alias("failures"))
+            parts.append(n.select(F.lit(i).alias("check_idx"), "failures"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    meta = _metadata(next(iter(tables.values())).sparkSession, checks)
+    f = F.col("failures")
+    err = (F.col("severity") == "error") & _meets(f, F.col("error_op"), F.col("error_n"))
+    warn = _meets(f, F.col("warn_op"), F.col("warn_n"))
+    return out.join(F.broadcast(meta), "check_idx").select(
+        "model", "check_name", "column_name", "severity", f.cast("bigint").alias("failures"),
+        F.when(err, "fail").when(warn, "warn").otherwise("pass").alias("status"),
+    )
 
 
 def freshness(df: DataFrame, as_of_ts, column: str = "loaded_at", warn_after_hours: float = 12,

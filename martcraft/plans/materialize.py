@@ -19,6 +19,8 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     w = df.write.mode("overwrite")
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        # REBALANCE lets AQE size the files of each partition value: small
+        # months are coalesced, a hot month is split over several tasks.
+        w = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
     w.parquet(path)
     return spark.read.parquet(path)

@@ -32,13 +32,14 @@ def append_incremental(spark: SparkSession, new: DataFrame, path: str, column: s
     all-or-nothing.
     """
     if not _exists(spark, path):
-        new.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        new.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return -1
     target = spark.read.parquet(path)
     check_schema_drift(target.schema, new.schema, on_schema_change)
     mark = target.agg(F.max(column)).first()[0]
     rows = new if mark is None else new.filter(F.col(column) > F.lit(mark))
-    rows.write.mode("append").option("mergeSchema", "true").partitionBy(*partition_by).parquet(path)
+    (rows.hint("rebalance", *partition_by).write.mode("append").option("mergeSchema", "true")
+     .partitionBy(*partition_by).parquet(path))
     return 0
 
 

@@ -81,15 +81,16 @@ def q_stg_transactions(spark, sf_dir):
 
 
 def q_dim_customers(spark, sf_dir):
-    return Star(spark, sf_dir).customers
+    return Star(spark, sf_dir, keep=("cleaned",)).customers
 
 
 def q_dim_products(spark, sf_dir):
-    return Star(spark, sf_dir).products.withColumn("stddev_unit_price", F.round("stddev_unit_price", 6))
+    return Star(spark, sf_dir, keep=("cleaned",)).products.withColumn(
+        "stddev_unit_price", F.round("stddev_unit_price", 6))
 
 
 def q_top_customers(spark, sf_dir):
-    return top_customers(Star(spark, sf_dir).customers, 10)
+    return top_customers(Star(spark, sf_dir, keep=("cleaned",)).customers, 10)
 
 
 def q_fact_transactions(spark, sf_dir):
@@ -164,11 +165,11 @@ def q_freshness(spark, sf_dir):
 
 
 def q_dim_customers_raw(spark, sf_dir):
-    return Star(spark, sf_dir, dirty=True).customers
+    return Star(spark, sf_dir, dirty=True, keep=("cleaned",)).customers
 
 
 def q_dim_products_raw(spark, sf_dir):
-    return Star(spark, sf_dir, dirty=True).products.withColumn("stddev_unit_price", F.round("stddev_unit_price", 6))
+    return Star(spark, sf_dir, dirty=True, keep=("cleaned",)).products.withColumn("stddev_unit_price", F.round("stddev_unit_price", 6))
 
 
 def q_monthly_sales_raw(spark, sf_dir):
