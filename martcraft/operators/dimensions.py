@@ -22,10 +22,10 @@ def as_of_date(as_of: str | dt.date | Column | None) -> Column:
     return F.lit(str(as_of)).cast("date")
 
 
-def _distinct_count(rows: DataFrame, key: str, value: str, alias: str) -> DataFrame:
+def _distinct_count(rows: DataFrame, keys: list[str], value: str, alias: str) -> DataFrame:
     """Exact COUNT(DISTINCT value) per key as two aggregations: distinct (key, value)
     pairs (shuffled on both, so a hot key spreads by value), then a count per key."""
-    return rows.select(key, value).distinct().groupBy(key).agg(F.count(value).alias(alias))
+    return rows.select(*keys, value).distinct().groupBy(*keys).agg(F.count(value).alias(alias))
 
 
 def _calendar_distinct(c: str) -> Column:
@@ -63,7 +63,7 @@ def dim_customers(
         F.min("total_amount").alias("min_transaction_value"),
         F.max("total_amount").alias("max_transaction_value"),
     )
-    m = agg.join(_distinct_count(v, "customer_id", "product_id", "unique_products_purchased"), "customer_id", "left")
+    m = agg.join(_distinct_count(v, ["customer_id"], "product_id", "unique_products_purchased"), "customer_id", "left")
     since_last = days_between(today, F.col("last_transaction_date"))
     cols = [
         F.col("customer_id").alias("customer_key"),
@@ -112,8 +112,14 @@ def dim_products(
         name = F.max_by("product_name", F.struct("transaction_date", "product_name"))
     else:
         raise ValueError(f"name_rule must be 'max' or 'latest', not {name_rule!r}")
-    v = valid_transactions(stg)
-    agg = v.groupBy("product_id").agg(
+    # A NULL product id is a group of its own. Both aggregates group on
+    # (coalesce(id, 0), id IS NULL), which is the same grouping, so the join
+    # back is a plain equi-join and Catalyst can drop it when the distinct
+    # count is not used downstream.
+    keys = ["_pk", "_pnull"]
+    v = valid_transactions(stg).withColumns(
+        {"_pk": F.coalesce(F.col("product_id"), F.lit(0).cast("bigint")), "_pnull": F.col("product_id").isNull()})
+    agg = v.groupBy(*keys).agg(
         name.alias("product_name"),
         F.count(F.lit(1)).alias("total_transactions"),
         _calendar_distinct("transaction_date").alias("unique_transaction_days"),
@@ -129,9 +135,8 @@ def dim_products(
         F.min("quantity").alias("min_quantity_per_transaction"),
         F.max("quantity").alias("max_quantity_per_transaction"),
     )
-    # A NULL product id is a group of its own, so the join back is NULL-safe.
-    uc = _distinct_count(v, "product_id", "customer_id", "unique_customers").withColumnRenamed("product_id", "_pid")
-    m = agg.join(uc, agg.product_id.eqNullSafe(uc._pid), "left").drop("_pid")
+    m = agg.join(_distinct_count(v, keys, "customer_id", "unique_customers"), keys, "left").withColumn(
+        "product_id", F.when(~F.col("_pnull"), F.col("_pk")))
     cols = [
         F.col("product_id").alias("product_key"),
         "product_id",

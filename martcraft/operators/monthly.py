@@ -3,24 +3,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from martcraft.functions.arith import safe_ratio
 
 MONTHLY_KEYS = ("customer_fk", "transaction_month", "transaction_year", "transaction_quarter")
 
 
+def _normalized(df: DataFrame, keys: tuple[str, ...]) -> tuple[DataFrame, list[str]]:
+    """Replace each key by (coalesce(key, default), key IS NULL): the same grouping as the
+    key itself, NULL included, but joinable with a plain equi-join."""
+    cols, names = {}, []
+    for k in keys:
+        t = df.schema[k].dataType
+        default = F.lit("1970-01-01").cast("date") if isinstance(t, DateType) else F.lit(0).cast(t)
+        cols[f"_{k}"] = F.coalesce(F.col(k), default)
+        cols[f"_{k}_null"] = F.col(k).isNull()
+        names += [f"_{k}", f"_{k}_null"]
+    return df.withColumns(cols), names
+
+
 def monthly_sales(fact: DataFrame, audit: bool = True) -> DataFrame:
     """Aggregate, then LAG over each customer's months.
 
-    Two exchanges on purpose: the aggregate shuffles on the full key with a
-    map-side partial aggregate (a hot customer is pre-reduced per task), and
-    the window then shuffles only the aggregated rows on ``customer_fk``
-    (one row per active month, so each window partition is bounded by the
-    calendar, not by the data volume). Both LAGs share one window and one sort.
+    The measures are one hash aggregate with map-side partial aggregation (a
+    hot customer is pre-reduced per task). The distinct product count is an
+    exact two-level aggregate (distinct (key, product), then count per key)
+    joined back on the same normalized key, so both sides are already
+    co-partitioned. The window then shuffles only the aggregated rows on
+    ``customer_fk`` (one row per active month: each window partition is
+    bounded by the calendar, not by the data). Both LAGs share one window.
     """
-    m = fact.groupBy(*MONTHLY_KEYS).agg(
+    f, keys = _normalized(fact, MONTHLY_KEYS)
+    measures = f.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("transaction_count"),
-        F.count_distinct("product_fk").alias("unique_products_purchased"),
         F.sum("units_sold").alias("total_units"),
         F.avg("units_sold").alias("avg_units_per_transaction"),
         F.sum("gross_amount").alias("monthly_gross_revenue"),
@@ -33,6 +49,10 @@ def monthly_sales(fact: DataFrame, audit: bool = True) -> DataFrame:
         F.max("customer_tier").alias("customer_tier"),
         F.max("customer_value_segment").alias("customer_value_segment"),
     )
+    products = (f.select(*keys, "product_fk").distinct().groupBy(*keys)
+                .agg(F.count("product_fk").alias("unique_products_purchased")))
+    m = (measures.join(products, keys, "left")
+         .withColumns({k: F.when(~F.col(f"_{k}_null"), F.col(f"_{k}")) for k in MONTHLY_KEYS}).drop(*keys))
     # NULL months sort last, as in the modelled database.
     w = Window.partitionBy("customer_fk").orderBy(F.col("transaction_month").asc_nulls_last())
     prev_rev = F.lag("monthly_net_revenue").over(w)
