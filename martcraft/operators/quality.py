@@ -162,9 +162,10 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
 def freshness(df: DataFrame, as_of_ts, column: str = "loaded_at", warn_after_hours: float = 12,
               error_after_hours: float = 24, source: str = "source") -> DataFrame:
     """Hours since the newest ``loaded_at`` and the pass/warn/error status."""
-    now = F.lit(str(as_of_ts)).cast("timestamp") if as_of_ts is not None else F.current_timestamp()
+    ts_type = df.schema[column].dataType.simpleString()  # timestamp or timestamp_ntz
+    now = F.lit(str(as_of_ts)).cast(ts_type) if as_of_ts is not None else F.current_timestamp().cast(ts_type)
     latest = F.max(column)
-    age = (F.unix_micros(now) - F.unix_micros(latest)) / F.lit(3600e6)
+    age = F.timestamp_diff("MICROSECOND", latest, now) / F.lit(3600e6)
     return df.agg(latest.alias("max_loaded_at"), age.alias("age_hours")).select(
         F.lit(source).alias("source"), "max_loaded_at", "age_hours",
         F.when(F.col("age_hours") > error_after_hours, "error")

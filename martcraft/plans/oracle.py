@@ -63,7 +63,7 @@ tx AS (
          CAST(CAST(p.p_retailprice AS VARCHAR) AS DECIMAL(10,2)) AS price,
          CAST(CAST(CAST(trunc(l.l_quantity) AS INTEGER) * CAST(round(l.l_tax * 100) AS INTEGER) AS DECIMAL(12,0))
               * 0.01 AS DECIMAL(10,2)) AS tax,
-         CAST(l.l_shipdate AS TIMESTAMP) AS loaded_at
+         l.l_shipdate AS loaded_at
   FROM lineitem l
   LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN part p ON l.l_partkey = p.p_partkey

@@ -43,7 +43,7 @@ def driver_transactions(spark: SparkSession, sf_dir: str, with_source: bool = Fa
         q.alias("quantity"),
         F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
         (tax_cents.cast("decimal(12,0)") * F.lit(Decimal("0.01"))).cast("decimal(10,2)").alias("tax"),
-        F.col("l_shipdate").cast("timestamp").alias("loaded_at"),
+        F.col("l_shipdate").alias("loaded_at"),  # zone-less (TIMESTAMP_NTZ), as stored
         *([F.col("source_file")] if with_source else []),
     )
 
