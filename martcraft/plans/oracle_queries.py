@@ -1,8 +1,13 @@
 """DuckDB SQL for each registered query (same names, same column names)."""
 from __future__ import annotations
 
-from martcraft.plans.oracle import avg_decimal, star_sql
-from martcraft.plans.registry import AS_OF, DRIVER_BANDS
+from martcraft.config import QualityParams
+from martcraft.operators.catalog import (
+    DIM_CUSTOMERS, DIM_PRODUCTS, FACT, MONTHLY, SOURCE, STAGING, declared_checks,
+)
+from martcraft.operators.quality import ROW_KINDS, Check, _parse_threshold
+from martcraft.plans.oracle import TX_SQL, avg_decimal, raw_sql, rejects_select, star_sql
+from martcraft.plans.registry import AS_OF, DRIVER_BANDS, FIRST_LOAD_UNTIL, FRESHNESS_AS_OF
 
 
 def _star(upto: str) -> str:
@@ -35,15 +40,6 @@ ORDER BY revenue DESC, product_name, customer_tier""",
 
 
 # ------------------------------------------------------------ cleaning path
-from martcraft.config import QualityParams  # noqa: E402
-from martcraft.operators.catalog import (  # noqa: E402
-    DIM_CUSTOMERS, DIM_PRODUCTS, FACT, MONTHLY, SOURCE, STAGING, declared_checks,
-)
-from martcraft.operators.quality import ROW_KINDS, Check  # noqa: E402
-from martcraft.plans.oracle import TX_SQL, raw_sql, rejects_select  # noqa: E402
-from martcraft.plans.registry import FIRST_LOAD_UNTIL, FRESHNESS_AS_OF  # noqa: E402
-
-
 def _dirty(upto: str) -> str:
     return star_sql(AS_OF, DRIVER_BANDS, src="cln", upto=upto)
 
@@ -61,8 +57,8 @@ _CTE = {SOURCE: "cln", STAGING: "stg_a", DIM_CUSTOMERS: "dimc_a", DIM_PRODUCTS:
 
 
 def _cond(expr: str, cond: str) -> str:
-    return f"{expr} {cond.strip()[:2] if cond.strip()[:2] in ('>=', '<=', '!=') else cond.strip()[0]} " \
-           f"{cond.strip()[2:] if cond.strip()[:2] in ('>=', '<=', '!=') else cond.strip()[1:]}"
+    op, n = _parse_threshold(cond)
+    return f"{expr} {'<>' if op == '!=' else op} {n}"
 
 
 def _failures_sql(c: Check) -> str:

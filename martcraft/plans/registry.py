@@ -11,17 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martcraft.config import Bands, Ladder, TierLadder
-from martcraft.operators.dimensions import dim_customers, dim_products
-from martcraft.operators.fact import fact_transactions
-from martcraft.operators.monthly import monthly_sales
-from martcraft.operators.reports import monthly_trend, product_by_tier, top_customers
-from martcraft.operators.staging import stage_transactions
+from martcraft.config import Bands, Ladder, QualityParams, TierLadder
 from martcraft.operators.catalog import (
     DIM_CUSTOMERS, DIM_PRODUCTS, FACT, MONTHLY, SOURCE, STAGING, declared_checks,
 )
 from martcraft.operators.cleaning import clean_transactions, null_profile, reject_counts
+from martcraft.operators.dimensions import dim_customers, dim_products
+from martcraft.operators.fact import fact_transactions
+from martcraft.operators.monthly import monthly_sales
+from martcraft.operators.quality import (
+    failing_rows, freshness, load_profile, relationships, run_checks, unique,
+)
+from martcraft.operators.reports import monthly_trend, product_by_tier, rows_per_source, top_customers
+from martcraft.operators.staging import stage_transactions
 from martcraft.plans.materialize import materialize
+from martcraft.plans.refresh import rows_after_high_water
 from martcraft.sources.driver import driver_raw_transactions, driver_transactions
 
 # Fixed values for the driver tables: reporting date after the last order
@@ -122,13 +126,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 # ------------------------------------------------------------ cleaning path
-from martcraft.config import QualityParams  # noqa: E402
-from martcraft.operators.quality import (  # noqa: E402
-    failing_rows, freshness, load_profile, relationships, run_checks, unique,
-)
-from martcraft.operators.reports import rows_per_source  # noqa: E402
-from martcraft.plans.refresh import rows_after_high_water  # noqa: E402
-
 # Freshness clock for the driver tables (newest l_shipdate is 2001-11-04),
 # and the cut of the first load in the incremental example.
 FRESHNESS_AS_OF = "2001-11-04 18:00:00"
