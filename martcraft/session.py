@@ -41,3 +41,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def scale_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Sizing for a given input volume (a starting point; AQE refines it at run time).
+
+    - scan splits of 128 MiB, 512 MiB above 10 TiB (fewer map tasks, so fewer
+      shuffle blocks: blocks grow with map tasks x reduce partitions);
+    - an initial shuffle partition count of about one per 2 GiB of input (at
+      least 3 per core, at most 100,000); partial aggregation shrinks most
+      shuffles well below the input, and AQE coalesces partitions towards
+      256 MiB after each stage;
+    - a partition over 1 GiB and 5x the median counts as skewed and is split
+      in joins (a key owning a third of the rows lands in one partition).
+    """
+    tib = 1 << 40
+    split = (512 if input_bytes > 10 * tib else 128) << 20
+    partitions = min(100_000, max(3 * total_cores, input_bytes // (2 << 30)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    }

@@ -104,3 +104,12 @@ def test_file_stream_loads_each_file_once(spark, scratch):
     q.awaitTermination(120)
     got = spark.read.parquet(out)
     assert got.count() == 3 and got.filter("transaction_id = 3").count() == 1
+
+
+def test_scale_conf():
+    from martcraft.session import scale_conf
+    big = scale_conf(100 << 40, 8000)
+    assert big["spark.sql.files.maxPartitionBytes"] == str(512 << 20)
+    assert int(big["spark.sql.shuffle.partitions"]) == 51200
+    small = scale_conf(10 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "24"
