@@ -121,6 +121,14 @@ SELECT '{SOURCE}' AS source, MAX(loaded_at) AS max_loaded_at,
             WHEN (epoch_us(TIMESTAMP '{FRESHNESS_AS_OF}') - epoch_us(MAX(loaded_at))) / 3600e6 > 12 THEN 'warn'
             ELSE 'pass' END AS status
 FROM cln""",
+    "null_shares": _dirty("cln") + ",\nn AS (SELECT COUNT(*) AS total_rows FROM cln)\n" + "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS column_name, nulls, total_rows,
+       CASE WHEN total_rows > 0 THEN nulls / total_rows END AS null_share,
+       CASE WHEN total_rows < {QualityParams().min_row_count} THEN 'fail'
+            WHEN nulls / total_rows > {QualityParams().max_null_fraction} THEN 'warn' ELSE 'pass' END AS status
+FROM (SELECT COUNT(*) FILTER (WHERE {c} IS NULL) AS nulls FROM cln), n"""
+        for c in ("transaction_id", "customer_id", "transaction_date", "product_id", "product_name", "quantity",
+                  "price", "tax")),
     "dim_customers_raw": _dirty("dimc") + "\nSELECT * FROM dimc",
     "dim_products_raw": _dirty("dimp") + "\nSELECT * FROM dimp",
     "monthly_sales_raw": _dirty("monthly") + "\nSELECT * FROM monthly",

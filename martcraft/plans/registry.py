@@ -19,8 +19,9 @@ from martcraft.operators.cleaning import clean_transactions, null_profile, rejec
 from martcraft.operators.dimensions import dim_customers, dim_products
 from martcraft.operators.fact import fact_transactions
 from martcraft.operators.monthly import monthly_sales
+from martcraft.operators.cleaning import RAW_COLUMNS
 from martcraft.operators.quality import (
-    failing_rows, freshness, load_profile, relationships, run_checks, unique,
+    failing_rows, freshness, load_profile, null_shares, relationships, run_checks, unique,
 )
 from martcraft.operators.reports import monthly_trend, product_by_tier, rows_per_source, top_customers
 from martcraft.operators.staging import stage_transactions
@@ -161,6 +162,12 @@ def q_freshness(spark, sf_dir):
                      source=SOURCE)
 
 
+def q_null_shares(spark, sf_dir):
+    p = QualityParams()
+    return null_shares(clean_transactions(driver_raw_transactions(spark, sf_dir)), list(RAW_COLUMNS),
+                       p.max_null_fraction, p.min_row_count)
+
+
 def q_dim_customers_raw(spark, sf_dir):
     return Star(spark, sf_dir, dirty=True, keep=("cleaned",)).customers
 
@@ -210,6 +217,7 @@ QUERIES.update({
     "null_profile": q_null_profile,
     "load_profile": q_load_profile,
     "freshness": q_freshness,
+    "null_shares": q_null_shares,
     "dim_customers_raw": q_dim_customers_raw,
     "dim_products_raw": q_dim_products_raw,
     "monthly_sales_raw": q_monthly_sales_raw,
