@@ -1,7 +1,7 @@
 """Customer x month aggregate with growth against the previous active month."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
@@ -24,35 +24,62 @@ def _normalized(df: DataFrame, keys: tuple[str, ...]) -> tuple[DataFrame, list[s
 
 
 def monthly_sales(fact: DataFrame, audit: bool = True) -> DataFrame:
-    """Aggregate, then LAG over each customer's months.
+    """Aggregate, then LAG over each customer's months; one read of the fact.
 
-    The measures are one hash aggregate with map-side partial aggregation (a
-    hot customer is pre-reduced per task). The distinct product count is an
-    exact two-level aggregate (distinct (key, product), then count per key)
-    joined back on the same normalized key, so both sides are already
-    co-partitioned. The window then shuffles only the aggregated rows on
+    First an aggregate at (month key, product) grain: map-side partial
+    aggregation, and the shuffle spreads a hot customer by product. Then a
+    roll-up to the month key, where ``count(product_fk)`` is the exact
+    distinct product count; sums are re-summed and cast back to the types of
+    a single-level aggregate, averages are recomputed from exact sums and
+    counts. The window then shuffles only the aggregated rows on
     ``customer_fk`` (one row per active month: each window partition is
     bounded by the calendar, not by the data). Both LAGs share one window.
+    Keys are normalized so NULL months group together, as in GROUP BY.
     """
     f, keys = _normalized(fact, MONTHLY_KEYS)
-    measures = f.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("transaction_count"),
-        F.sum("units_sold").alias("total_units"),
-        F.avg("units_sold").alias("avg_units_per_transaction"),
-        F.sum("gross_amount").alias("monthly_gross_revenue"),
-        F.sum("tax_amount").alias("monthly_tax"),
-        F.sum("net_amount").alias("monthly_net_revenue"),
-        F.sum("revenue_excluding_tax").alias("monthly_revenue_excluding_tax"),
-        F.avg("unit_price").alias("avg_unit_price"),
-        F.min("unit_price").alias("min_unit_price"),
-        F.max("unit_price").alias("max_unit_price"),
-        F.max("customer_tier").alias("customer_tier"),
-        F.max("customer_value_segment").alias("customer_value_segment"),
+    t = {c: fact.schema[c].dataType for c in ("gross_amount", "tax_amount", "net_amount", "revenue_excluding_tax",
+                                              "unit_price")}
+    per_product = f.groupBy(*keys, "product_fk").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum("units_sold").alias("_units"),
+        F.count("units_sold").alias("_units_n"),
+        F.sum("gross_amount").alias("_gross"),
+        F.sum("tax_amount").alias("_tax"),
+        F.sum("net_amount").alias("_net"),
+        F.sum("revenue_excluding_tax").alias("_extax"),
+        F.sum("unit_price").alias("_price_sum"),
+        F.count("unit_price").alias("_price_n"),
+        F.min("unit_price").alias("_price_min"),
+        F.max("unit_price").alias("_price_max"),
+        F.max("customer_tier").alias("_tier"),
+        F.max("customer_value_segment").alias("_segment"),
     )
-    products = (f.select(*keys, "product_fk").distinct().groupBy(*keys)
-                .agg(F.count("product_fk").alias("unique_products_purchased")))
-    m = (measures.join(products, keys, "left")
-         .withColumns({k: F.when(~F.col(f"_{k}_null"), F.col(f"_{k}")) for k in MONTHLY_KEYS}).drop(*keys))
+
+    def resum(c: str, typ) -> Column:
+        # SUM over DECIMAL(p,s) is DECIMAL(p+10,s); re-summing partial sums keeps the value.
+        return F.sum(c).cast(f"decimal({min(38, typ.precision + 10)},{typ.scale})")
+
+    def exact_avg(total: Column, n: Column, typ) -> Column:
+        # AVG over DECIMAL(p,s) is DECIMAL(p+4,s+4), rounded half-up once from sum/count.
+        q = total.cast("decimal(38,18)") / n
+        return F.when(n > 0, q.cast(f"decimal({min(38, typ.precision + 4)},{typ.scale + 4})"))
+
+    units_n, price_n = F.sum("_units_n"), F.sum("_price_n")
+    m = per_product.groupBy(*keys).agg(
+        F.coalesce(F.sum("_n"), F.lit(0).cast("bigint")).alias("transaction_count"),
+        F.count("product_fk").alias("unique_products_purchased"),
+        F.sum("_units").alias("total_units"),
+        F.when(units_n > 0, F.sum("_units").cast("double") / units_n).alias("avg_units_per_transaction"),
+        resum("_gross", t["gross_amount"]).alias("monthly_gross_revenue"),
+        resum("_tax", t["tax_amount"]).alias("monthly_tax"),
+        resum("_net", t["net_amount"]).alias("monthly_net_revenue"),
+        resum("_extax", t["revenue_excluding_tax"]).alias("monthly_revenue_excluding_tax"),
+        exact_avg(F.sum("_price_sum"), price_n, t["unit_price"]).alias("avg_unit_price"),
+        F.min("_price_min").alias("min_unit_price"),
+        F.max("_price_max").alias("max_unit_price"),
+        F.max("_tier").alias("customer_tier"),
+        F.max("_segment").alias("customer_value_segment"),
+    ).withColumns({k: F.when(~F.col(f"_{k}_null"), F.col(f"_{k}")) for k in MONTHLY_KEYS}).drop(*keys)
     # NULL months sort last, as in the modelled database.
     w = Window.partitionBy("customer_fk").orderBy(F.col("transaction_month").asc_nulls_last())
     prev_rev = F.lag("monthly_net_revenue").over(w)
