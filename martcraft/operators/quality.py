@@ -83,7 +83,7 @@ def relationships(model: str, column: str, parent: str, parent_key: str, **kw) -
 _COND = re.compile(r"^\s*(>=|<=|!=|=|>|<)\s*(-?\d+)\s*$")
 
 
-def _parse_threshold(cond: str) -> tuple[str, int]:
+def parse_threshold(cond: str) -> tuple[str, int]:
     m = _COND.match(cond)
     if not m:
         raise ValueError(f"threshold must look like '>0' or '>=10', not {cond!r}")
@@ -101,7 +101,7 @@ def _metadata(spark, checks: list[Check]) -> DataFrame:
     for i, c in enumerate(checks):
         if c.severity not in ("error", "warn"):
             raise ValueError(f"severity must be 'error' or 'warn', not {c.severity!r}")
-        (eop, en), (wop, wn) = _parse_threshold(c.error_if), _parse_threshold(c.warn_if)
+        (eop, en), (wop, wn) = parse_threshold(c.error_if), parse_threshold(c.warn_if)
         rows.append((i, c.model, c.name, c.column, c.severity, eop, en, wop, wn))
     return spark.createDataFrame(rows, "check_idx int, model string, check_name string, column_name string, "
                                        "severity string, error_op string, error_n bigint, warn_op string, "

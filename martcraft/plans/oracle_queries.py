@@ -5,7 +5,7 @@ from martcraft.config import QualityParams
 from martcraft.operators.catalog import (
     DIM_CUSTOMERS, DIM_PRODUCTS, FACT, MONTHLY, SOURCE, STAGING, declared_checks,
 )
-from martcraft.operators.quality import ROW_KINDS, Check, _parse_threshold
+from martcraft.operators.quality import ROW_KINDS, Check, parse_threshold
 from martcraft.plans.oracle import TX_SQL, avg_decimal, raw_sql, rejects_select, star_sql
 from martcraft.plans.registry import AS_OF, DRIVER_BANDS, FIRST_LOAD_UNTIL, FRESHNESS_AS_OF
 
@@ -57,7 +57,7 @@ _CTE = {SOURCE: "cln", STAGING: "stg_a", DIM_CUSTOMERS: "dimc_a", DIM_PRODUCTS:
 
 
 def _cond(expr: str, cond: str) -> str:
-    op, n = _parse_threshold(cond)
+    op, n = parse_threshold(cond)
     return f"{expr} {'<>' if op == '!=' else op} {n}"
 
 
