@@ -15,7 +15,8 @@ from martcraft.operators.staging import stage_transactions, valid_transactions
 from martcraft.sources.raw import read_raw_csv
 from tests.conftest import SAMPLE_CLEANED, SAMPLE_RAW
 
-pytestmark = pytest.mark.skipif(not os.path.exists(SAMPLE_RAW), reason="sample CSV not present")
+pytestmark = pytest.mark.skipif(not (SAMPLE_RAW and os.path.exists(SAMPLE_RAW)),
+                                reason="set MARTCRAFT_SAMPLE_DIR to the folder with the sample CSV pair")
 
 CLEANED_SCHEMA = ("transaction_id bigint, customer_id bigint, transaction_date date, product_id bigint, "
                   "product_name string, quantity int, price decimal(10,2), tax decimal(10,2)")

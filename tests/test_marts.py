@@ -135,3 +135,11 @@ def test_all_ladders_hit_every_label(spark):
         vals = [b for b, _ in lad.rungs] + [lad.rungs[-1][0] - 1]
         df = spark.createDataFrame([(float(v),) for v in vals], "v double")
         assert [r[0] for r in df.select(band(F.col("v"), lad)).collect()] == list(lad.labels), name
+
+
+def test_latest_name_rule(spark):
+    two_names = [(1, 1, D(2024, 1, 1), 50, "Zeta", 1, Decimal("1.00"), Decimal("0.10")),
+                 (2, 1, D(2024, 3, 1), 50, "Alpha", 1, Decimal("1.00"), Decimal("0.10"))]
+    stg = stage_transactions(spark.createDataFrame(two_names, SCHEMA))
+    assert dim_products(stg, "2024-05-10").first().product_name == "Zeta"  # alphabetical max, as modelled
+    assert dim_products(stg, "2024-05-10", name_rule="latest").first().product_name == "Alpha"
