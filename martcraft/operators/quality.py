@@ -127,6 +127,17 @@ def failing_rows(check: Check, tables: dict[str, DataFrame]) -> DataFrame:
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 
+def _orphan_count(check: Check, tables: dict[str, DataFrame]) -> DataFrame:
+    """Child rows without a parent, counted per key first: the anti join then moves one
+    row per distinct child key instead of every child row (a hot key is pre-counted)."""
+    k = check.keys[0]
+    per_key = (tables[check.model].filter(F.col(k).isNotNull()).groupBy(k)
+               .agg(F.count(F.lit(1)).alias("n")))
+    parent = tables[check.parent].select(F.col(check.parent_key).alias("_parent_key")).distinct()
+    orphans = per_key.join(parent, per_key[k] == parent._parent_key, "left_anti")
+    return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
+
+
 def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     """One result row per check: model, check_name, column_name, severity, failures, status.
 
@@ -143,9 +154,13 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
         pairs = F.array(*[F.struct(F.lit(i).alias("check_idx"), F.col(f"c{i}").alias("failures")) for i in idx])
         parts.append(counts.select(F.inline(pairs)))
     for i, c in enumerate(checks):
-        if c.kind not in ROW_KINDS:
+        if c.kind == "relationships":
+            n = _orphan_count(c, tables)
+        elif c.kind not in ROW_KINDS:
             n = failing_rows(c, tables).agg(F.count(F.lit(1)).alias("failures"))
-            parts.append(n.select(F.lit(i).alias("check_idx"), "failures"))
+        else:
+            continue
+        parts.append(n.select(F.lit(i).alias("check_idx"), "failures"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
