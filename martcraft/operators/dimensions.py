@@ -31,7 +31,7 @@ def _distinct_count(rows: DataFrame, keys: list[str], value: str, alias: str) ->
 def _calendar_distinct(c: str) -> Column:
     """COUNT(DISTINCT) of a date part. The set per key is bounded by the calendar
     span (at most one entry per day), not by the row count."""
-    return F.size(F.collect_set(c))
+    return F.size(F.collect_set(c)).cast("bigint")  # COUNT(DISTINCT) is BIGINT
 
 
 def dim_customers(

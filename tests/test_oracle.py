@@ -23,9 +23,18 @@ def test_every_query_has_sql():
     assert set(E.oracle_sql()) == set(E.queries())
 
 
+# Spark type name -> DuckDB type name, for the schema half of the comparison.
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE", "double": "DOUBLE",
+         "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
+    spark_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    spark_types = {k: v.upper() if v.startswith("decimal") else TYPES.get(v, v) for k, v in spark_types.items()}
+    rel0 = con.sql(E.oracle_sql()[name])
+    assert spark_types == dict(zip(rel0.columns, [str(t) for t in rel0.types]))
     sc, sr = rows_of(df.columns, [tuple(r) for r in df.collect()])
     rel = con.sql(E.oracle_sql()[name])
     dc, dr = rows_of(rel.columns, rel.fetchall())
