@@ -40,3 +40,18 @@ def test_views_and_truncate(spark):
     assert sorted(r.k10 for r in spark.table("vt.v").collect()) == [10, 20]
     truncate_table(spark, "vt.base")
     assert spark.table("vt.v").count() == 0
+
+
+def test_rebuild_from_raw_csv(spark, scratch):
+    from martcraft.sources.raw import read_raw_csv
+    os.makedirs(f"{scratch}/landing")
+    with open(f"{scratch}/landing/a.csv", "w") as f:
+        f.write("transaction_id,customer_id,transaction_date,product_id,product_name,quantity,price,tax\n"
+                "T1,5.0,2024-01-01,P2,x,1,Two Hundred,0.1\n"
+                "2,5.0,02-02-2024,2,x,2.0,3,Fifteen\n"
+                "3,,2024-02-03,2,x,1,3,0.2\n")
+    star = rebuild(spark, read_raw_csv(spark, f"{scratch}/landing"), f"{scratch}/wh", as_of="2024-03-01")
+    assert star.cleaned.count() == 3 and star.fact.count() == 2  # the row without a customer is invalid
+    m = {str(r.transaction_month): r for r in star.monthly.collect()}
+    assert m["2024-02-01"].previous_month_revenue == Decimal("200.10")
+    assert m["2024-02-01"].monthly_net_revenue == Decimal("21.00")
