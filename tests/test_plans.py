@@ -57,3 +57,20 @@ def test_session_enables_skew_handling(spark):
     assert DEFAULT_CONF["spark.sql.adaptive.enabled"] == "true"
     assert DEFAULT_CONF["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_distinct_count_join_reuses_partitioning(spark):
+    """At scale (no broadcast) the customer dimension needs three exchanges: the main
+    aggregate, the distinct pairs, the per-customer count; the join back adds none."""
+    from martcraft.plans.registry import Star
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = formatted(Star(spark, SF_SMALL, keep=("cleaned",)).customers)
+        tree = p[:p.index("\n\n(1)")]
+        assert "SortMergeJoin LeftOuter" in tree
+        assert tree.count("Exchange") == 3
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
