@@ -6,6 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martcraft.llm.jaccard_join import jaccard_components
 from martcraft.llm.substring_dedup import dedup_substrings
 
 
@@ -14,7 +15,12 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), n=3, percent=90)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
+    "op6_jaccard_join": op6_jaccard_join,
 }
 ORACLE: dict[str, str] = {}
