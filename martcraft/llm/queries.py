@@ -6,8 +6,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martcraft.llm import quality
+from martcraft.llm.bpe import encode_decode
 from martcraft.llm.jaccard_join import jaccard_components
 from martcraft.llm.substring_dedup import dedup_substrings
+from martcraft.llm.token_count import count_tokens
+
+
+def tokenizer_file(name: str) -> str:
+    """The place of a public vocabulary file on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,12 +25,32 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), tokenizer_file("byte_bpe_50k.json"), limit=512)
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), n=3, percent=90)
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.judge(docs, model).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.round("quality_score", 6).alias("quality_score"))
+
+
+def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = encode_decode(spark.read.parquet(f"{sf_dir}/documents.parquet"), tokenizer_file("word_bpe_49k.json"))
+    return got.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_token_count": op4_token_count,
     "op6_jaccard_join": op6_jaccard_join,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_bpe_codec": op10_bpe_codec,
 }
 ORACLE: dict[str, str] = {}
