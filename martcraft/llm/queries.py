@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from martcraft.llm import quality
 from martcraft.llm.bpe import encode_decode
 from martcraft.llm.jaccard_join import jaccard_components
+from martcraft.llm.mixing import mix_sources
 from martcraft.llm.substring_dedup import dedup_substrings
 from martcraft.llm.token_count import count_tokens
+from martcraft.llm.topk import top_k
 
 
 def tokenizer_file(name: str) -> str:
@@ -20,6 +22,15 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One corpus worth of tokens, flattened to 95 % of the entropy of equal weights."""
+    return mix_sources(spark.read.parquet(f"{sf_dir}/documents.parquet"), budget_epochs=1.0, target_entropy=0.95)
+
+
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=10, scale=1024, every=100)
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = dedup_substrings(spark.read.parquet(f"{sf_dir}/documents.parquet"), window=13)
     return got.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -47,10 +58,58 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_source_mixing": op1_source_mixing,
+    "op2_topk_search": op2_topk_search,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_token_count": op4_token_count,
     "op6_jaccard_join": op6_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe_codec": op10_bpe_codec,
 }
-ORACLE: dict[str, str] = {}
+_MIXING_SQL = r"""
+with recursive t as (
+  select doc_id, source, coalesce('=' || source, '-') as skey, coalesce(md5(text), '') as digest,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as n
+  from documents),
+u as (select doc_id, source, skey, digest, count(*) as n_rows, sum(n) as n_tokens from t group by all),
+s as (select skey, sum(n_tokens) as n from u group by skey having sum(n_tokens) > 0),
+tot as (select sum(n) as total, count(*) as k from s),
+l as (select list(n::double / total::double) as ps, 0.95 * ln(any_value(k)) - 1e-12 as goal from s, tot),
+b(i, lo, hi) as (
+  select 0, 0::double, 1::double
+  union all
+  select i + 1, case when up then mid else lo end, case when up then hi else mid end
+  from (select i, lo, hi, (lo + hi) / 2 as mid,
+               ln(list_sum(list_transform(ps, lambda p: pow(p, (lo + hi) / 2))))
+               - (lo + hi) / 2 * list_sum(list_transform(ps, lambda p: pow(p, (lo + hi) / 2) * ln(p)))
+                 / list_sum(list_transform(ps, lambda p: pow(p, (lo + hi) / 2))) >= goal as up
+        from b, l where i < 32)),
+a as (select case when -list_sum(list_transform(ps, lambda p: p * ln(p))) >= goal then 1 else (select round(lo, 6) from b where i = 32) end as a from l),
+w as (select skey, n, pow(n::double / total, a) / (select list_sum(list_transform(ps, lambda p: pow(p, a))) from l) as weight from s, tot, a),
+q as (select skey, n, cast(floor(weight * total) as bigint) as quota from w, tot),
+nb as (select greatest(1, ceil(sum(quota) / 262144.0)) as blocks from q),
+c as (
+  select u.*, q.n, q.quota, e.epoch,
+         ('0x' || substr(md5(concat_ws(':', '0', e.epoch, coalesce(doc_id::varchar, ''), digest)), 1, 15))::bigint as place,
+         ('0x' || substr(md5(concat_ws(':', '0', 'in', e.epoch, coalesce(doc_id::varchar, ''), digest)), 1, 15))::bigint as within
+  from u join q using (skey), lateral (select unnest(range(cast(ceil(quota / n) as bigint))) as epoch) e),
+p as (
+  select *, epoch * n + sum(n_tokens) over (partition by skey, epoch order by place, doc_id nulls first, digest rows unbounded preceding) - n_tokens as begins from c),
+d as (select *, cast(floor(begins::double / quota::double * blocks) as bigint) as block from p, nb where begins < quota)
+select doc_id, source, digest, n_rows, cast(n_tokens as bigint) as n_tokens, cast(epoch as integer) as epoch, block,
+       cast(row_number() over (partition by block order by within, doc_id nulls first, skey, epoch) - 1 as bigint) as position
+from d
+"""
+
+_TOPK_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as v from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select q.vec_id as query_id, c.vec_id as vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
+  from v q join v c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id and len(c.v) = len(q.v))
+select query_id, cast(rank as integer) as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 10
+"""
+
+ORACLE: dict[str, str] = {"op1_source_mixing": _MIXING_SQL, "op2_topk_search": _TOPK_SQL}
