@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from martcraft.llm import quality
 from martcraft.llm.bpe import encode_decode
+from martcraft.llm.html_extract import extract_main_text
 from martcraft.llm.jaccard_join import jaccard_components
 from martcraft.llm.mixing import mix_sources
 from martcraft.llm.substring_dedup import dedup_substrings
@@ -40,6 +41,10 @@ def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), tokenizer_file("byte_bpe_50k.json"), limit=512)
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), n=3, percent=90)
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_topk_search": op2_topk_search,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_token_count": op4_token_count,
+    "op5_html_extraction": op5_html_extraction,
     "op6_jaccard_join": op6_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe_codec": op10_bpe_codec,
