@@ -10,6 +10,7 @@ from martcraft.llm import quality
 from martcraft.llm.bpe import encode_decode
 from martcraft.llm.html_extract import extract_main_text
 from martcraft.llm.jaccard_join import jaccard_components
+from martcraft.llm.line_dedup import dedup_lines
 from martcraft.llm.mixing import mix_sources
 from martcraft.llm.substring_dedup import dedup_substrings
 from martcraft.llm.token_count import count_tokens
@@ -49,6 +50,11 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), n=3, percent=90)
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return got.select("doc_id", "n_lines", "n_removed_lines", "n_removed_words", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -69,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_count": op4_token_count,
     "op5_html_extraction": op5_html_extraction,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_line_dedup": op7_line_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe_codec": op10_bpe_codec,
 }

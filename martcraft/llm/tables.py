@@ -118,3 +118,11 @@ def unpack(payload: bytes) -> pa.RecordBatch:
     got = t.to_batches()
     return got[0] if got else pa.RecordBatch.from_pydict({"id": pa.array([], pa.int64()), "text": pa.array([], pa.large_string())})
 
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, lengthened until no column has it."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
