@@ -4,13 +4,14 @@ Two sets with a Jaccard similarity of at least ``percent`` / 100 differ in few
 elements: if the smaller one has ``a``, in at most ``T = a (100 - percent) / percent``.
 Sizes fall into bands, each wider than that ratio, so linked documents are in
 the same band or in neighbouring ones. In the space of a band every set is
-hashed into ``T + 1 + SPARE`` chunks, and each chunk keeps the XOR of its
-elements' hashes and a word of parity bits (each element flips one bit, so the
-Hamming distance of two sketches is at most the size of the sets' difference).
-By the pigeonhole principle ``1 + SPARE`` chunks at least are equal in linked
-sets; one of them isn't empty unless a set has more than ``SPARE`` empty chunks,
-and such a set files its empty chunks too. So joining on (space, chunk, XOR)
-finds every link.
+hashed into ``T + 1 + s`` chunks, and each chunk keeps the XOR of its elements'
+hashes and a word of parity bits (each element flips one bit, so the Hamming
+distance of two sketches is at most the size of the sets' difference). By the
+pigeonhole principle ``1 + s`` chunks at least are equal in linked sets; one of
+them isn't empty unless a set has more than ``s`` empty chunks, and such a set
+files its empty chunks too. So joining on (space, chunk, XOR) finds every link.
+``s`` is one more than twice the empty chunks to be expected, so that few sets
+file those.
 
 Sets with equal content are one class from the start, so copies cost one entry
 per task. Classes that share a key form clusters. Clusters are cut into tiles
@@ -40,7 +41,6 @@ from martcraft.llm import text as T
 from martcraft.llm.components import connected_components
 from martcraft.llm.tables import dropped, saved, ship, text_bytes
 
-SPARE = 1
 TILE = 256
 SHARD_BYTES = 12 << 20
 
@@ -103,6 +103,11 @@ def differences(size: np.ndarray, percent: int) -> np.ndarray:
     return size * (100 - percent) // percent
 
 
+def spares(most: np.ndarray, percent: int) -> np.ndarray:
+    """Chunks beyond those that the pigeonhole principle needs."""
+    return 1 + (2 * (most + 1) * np.exp(-percent / (100 - percent))).astype(np.int64)
+
+
 def keys_of(g: np.ndarray, off: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Join keys and the set that each belongs to."""
     size = np.diff(off)
@@ -117,13 +122,14 @@ def keys_of(g: np.ndarray, off: np.ndarray, percent: int) -> tuple[np.ndarray, n
             continue
         sub = np.concatenate([g[off[i]:off[i + 1]] for i in use])
         sub_off = np.append(0, np.cumsum(size[use]))
-        chunks = most[use] + 1 + SPARE
+        spare = spares(most[use], percent)
+        chunks = most[use] + 1 + spare
         xor, _, base = sketch(sub, sub_off, chunks)
         chunk = np.arange(base[-1]) - np.repeat(base[:-1], chunks)
         row = np.repeat(np.arange(len(use)), chunks)
         empty = xor == 0
         n_empty = np.bincount(row[empty], minlength=len(use))
-        filed = ~empty | (n_empty > SPARE)[row]
+        filed = ~empty | (n_empty > spare)[row]
         key = T.mix(T.mix(xor + chunk.astype(T.U)) ^ (space[use][row].astype(T.U) + T.U(1)) * T.U(0x9E3779B97F4A7C15))
         out_key.append(key[filed])
         out_row.append(use[row[filed]])

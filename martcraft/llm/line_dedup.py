@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from martcraft.llm import text as T
 from martcraft.llm.tables import fresh, saved, ship
@@ -132,7 +133,11 @@ def _split(b: bytes) -> list[bytes]:
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 10, rare_words: int = 5) -> DataFrame:
     """The rows of ``docs`` with ``text_col`` replaced by what is kept, and the columns
-    ``n_lines long, n_removed_lines long, n_removed_words long`` (lines with a word)."""
+    ``n_lines long, n_removed_lines long, n_removed_words long`` (lines with a word).
+
+    A new column whose name ``docs`` has already is called by that name with ``_``
+    behind it.
+    """
     spark = docs.sparkSession
     ship(spark)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
@@ -183,17 +188,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    new = {"n_lines": "bigint", "n_removed_lines": "bigint", "n_removed_words": "bigint"}
     names = docs.columns
-    clash = sorted(set(new) & {c.lower() for c in names})
-    if clash:
-        raise ValueError(f"columns that the result has itself: {clash}")
+    new = [fresh(c, names) for c in ("n_lines", "n_removed_lines", "n_removed_words")]
     # Several rows may share an id; each row's lines are hashed again to find its own entry.
-    sigs, places = fresh("sigs", names), fresh("places", names)
+    sigs, places = fresh("sigs", [*names, *new]), fresh("places", [*names, *new])
     joined = docs.join(gone, docs[id_col].cast("long") == gone["id"], "left")
     own = [docs[c].cast("string").alias(c) if c == text_col else docs[c] for c in names]
     joined = joined.select(*own, F.transform(gone["gone"], lambda g: g["sig"]).alias(sigs), F.transform(gone["gone"], lambda g: g["gone"]).alias(places))
-    types = {f.name: "string" if f.name == text_col else f.dataType.simpleString() for f in docs.schema.fields} | new
+    schema = StructType([StructField(f.name, StringType() if f.name == text_col else f.dataType) for f in docs.schema.fields]
+                        + [StructField(c, LongType()) for c in new])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,4 +219,4 @@ def _without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> Da
                 cols = [pa.array(texts, pa.string()) if c == text_col else s.column(c) for c in names]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(np.diff(at)), pa.array(n_gone, pa.int64()), pa.array(n_words, pa.int64())], names=[*names, *new])
 
-    return joined.mapInArrow(cut, ", ".join(f"`{c}` {t}" for c, t in types.items()))
+    return joined.mapInArrow(cut, schema)

@@ -29,6 +29,7 @@ from martcraft.llm import text as T
 from martcraft.llm.tables import ship
 
 TRAIN_ROWS = 20_000
+THRESHOLD = 0.35
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_digits", "n_lines", "n_bytes"]
 FEATURES = ["log_words", "mean_word", "symbols", "dup_lines", "repeats", "upper", "digits", "words_per_line", "symbols_per_char"]
 #: More symbols, repeated lines, repeated words or capitals never raise the score.
@@ -215,9 +216,18 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     return fit_boosted_trees(features(counts), t["y"].to_numpy(dtype=float), MONOTONE)
 
 
-def judge(docs: DataFrame, model: Trees | None, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.35,
-          keep_columns: tuple[str, ...] = ()) -> DataFrame:
-    """Counts, ``base_failed``, ``quality_score`` and ``kept`` of every row, after ``keep_columns`` of the input.
+def verdicts(column: pa.Array, model: Trees | None, threshold: float) -> dict[str, np.ndarray]:
+    """Counts, ``base_failed``, ``quality_score`` and ``kept`` of the texts of a column."""
+    got = statistics(*T.utf8(column))
+    n = got["n_words"]
+    got["base_failed"] = (n < 10) | (100 * got["n_repeat_words"] > 20 * n)
+    got["quality_score"] = np.ones(len(n)) if model is None else model.score(features(got))
+    got["kept"] = ~got["base_failed"] & (got["quality_score"] >= threshold)
+    return got
+
+
+def judge(docs: DataFrame, model: Trees | None, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``doc_id``, the counts, ``base_failed``, ``quality_score`` and ``kept`` of every row.
 
     A row fails the base rules with fewer than 10 words, or if over a fifth of its
     words lie in repeated 5-word windows. Others are kept if the model gives
@@ -226,24 +236,27 @@ def judge(docs: DataFrame, model: Trees | None, id_col: str = "doc_id", text_col
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
-    extra = [f for f in docs.schema.fields if f.name in keep_columns]
-    src = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"), *(f.name for f in extra))
-    names = ["doc_id", *(f.name for f in extra if f.name != "doc_id"), *COUNTS, "base_failed", "quality_score", "kept"]
-    types = {f.name: f.dataType.simpleString() for f in extra} | {c: "bigint" for c in ["doc_id", *COUNTS]} | {
-        "base_failed": "boolean", "quality_score": "double", "kept": "boolean"}
-    clash = sorted({f.name for f in extra} & {*COUNTS, "base_failed", "quality_score", "kept", "_id", "_text"})
-    if clash:
-        raise ValueError(f"columns that the result has itself: {clash}")
+    names = [*COUNTS, "base_failed", "quality_score", "kept"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s in T.slices(batch, "_text"):
-                got = statistics(*T.utf8(s.column("_text")))
-                n = got["n_words"]
-                failed = (n < 10) | (100 * got["n_repeat_words"] > 20 * n)
-                p = np.ones(len(n)) if shared.value is None else shared.value.score(features(got))
-                cols = [s.column("_id"), *(s.column(f.name) for f in extra if f.name != "doc_id"), *(pa.array(got[c], pa.int64()) for c in COUNTS),
-                        pa.array(failed), pa.array(p), pa.array(~failed & (p >= threshold))]
-                yield pa.RecordBatch.from_arrays(cols, names=names)
-
-    return src.mapInArrow(score, ", ".join(f"`{c}` {types[c]}" for c in names))
+            for s in T.slices(batch, "text"):
+                got = verdicts(s.column("text"), shared.value, threshold)
+                yield pa.RecordBatch.from_arrays([s.column("doc_id"), *(pa.array(got[c]) for c in names)], names=["doc_id", *names])
+
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+        score, "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, quality_score double, kept boolean")
+
+
+def kept_rows(docs: DataFrame, model: Trees | None, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with their own columns, whatever these are called."""
+    spark = docs.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s in T.slices(batch, text_col):
+                yield s.filter(pa.array(verdicts(s.column(text_col), shared.value, threshold)["kept"]))
+
+    return docs.mapInArrow(keep, docs.schema)

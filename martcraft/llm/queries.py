@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martcraft.llm import quality
+from martcraft.llm import quality, toxicity
 from martcraft.llm.bpe import encode_decode
 from martcraft.llm.html_extract import extract_main_text
 from martcraft.llm.jaccard_join import jaccard_components
@@ -55,6 +55,16 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_lines", "n_removed_lines", "n_removed_words", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categories: toxic, toxic in good prose, toxic in junk (from the two label columns)."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    toxic, good = F.col("toxic"), F.col("quality")
+    chain = toxicity.train_chain(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"),
+                                 {"toxic": toxic, "toxic_prose": toxic * good, "toxic_junk": toxic * (1 - good)})
+    got = toxicity.score_toxicity(docs, chain)
+    return got.select("doc_id", F.col("is_toxic").alias("toxic"), *(F.round(f"p_{c}", 6).alias(f"p_{c}") for c in chain.categories))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -76,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_html_extraction": op5_html_extraction,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_line_dedup": op7_line_dedup,
+    "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe_codec": op10_bpe_codec,
 }
