@@ -78,7 +78,7 @@ def class_of(g: np.ndarray, off: np.ndarray) -> np.ndarray:
 def bands(percent: int, top: int) -> np.ndarray:
     """The least size of each band: a set in one band can link to the next one, but not beyond."""
     edges = [1]
-    while edges[-1] <= top:
+    while edges[-1] <= max(top, 1):
         edges.append(edges[-1] * 100 // percent + 1)
     return np.array(edges, dtype=np.int64)
 

@@ -136,8 +136,7 @@ def _packed(limit: int):
     def pack(t: pa.Table) -> pa.Table:
         part, dim = t.column("part")[0].as_py(), t.column("dim")[0].as_py()
         ids = t.column("id").to_numpy()
-        vals = t.column("v").combine_chunks()
-        vals = (vals.chunk(0) if isinstance(vals, pa.ChunkedArray) else vals).flatten().to_numpy().reshape(-1, dim)
+        vals = t.column("v").combine_chunks().flatten().to_numpy().reshape(len(ids), dim)
         order = np.lexsort((*vals.T[::-1], ids)) if dim else np.argsort(ids)
         rows = [order[i:i + limit] for i in range(0, len(order), limit)]
         return pa.table({"part": [part] * len(rows), "dim": [dim] * len(rows), "ids": [ids[r].tobytes() for r in rows],

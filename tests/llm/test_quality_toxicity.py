@@ -1,0 +1,119 @@
+"""Document statistics, boosted trees and classifier chains."""
+import brute
+import numpy as np
+from martcraft.llm import quality, toxicity
+from pyspark.sql import functions as F
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_statistics(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    odd = [(9001, None), (9002, ""), (9003, "a\n\na\n a\nb"), (9004, "x " * 4000), (9005, "é\té\n#*$%&|<> é"), (9006, "\n"), (None, "a b c d e a b c d e"),
+           (9007, "a\x0bb\x0cc\rd\x00e \xa0 f"), (9008, "A" * 50000)]
+    df = docs.unionByName(spark.createDataFrame(odd, "doc_id long, text string"))
+    rows = df.collect()
+    got = {r.doc_id: r for r in quality.judge(df, None).collect()}
+    assert len(got) == len(rows)
+    for r in rows:
+        g = got[r.doc_id]
+        assert (g.n_words, g.word_chars, g.n_symbols, g.n_dup_lines, g.n_repeat_words, g.base_failed) == brute.statistics(r.text)
+        assert g.kept == (not g.base_failed)  # without a model
+
+
+def test_monotone_trees():
+    r = np.random.default_rng(3)
+    x = r.random((3000, 3))
+    y = ((x[:, 0] + 0.3 * np.sin(9 * x[:, 0]) - x[:, 1] + 0.2 * r.standard_normal(3000)) > 0).astype(float)
+    model = quality.fit_boosted_trees(x, y, np.array([1, -1, 0]))
+    grid = np.linspace(-0.5, 1.5, 200)
+    for at in r.random((20, 3)):
+        up = np.repeat(at[None], 200, axis=0)
+        up[:, 0] = grid
+        assert (np.diff(model.score(up)) >= -1e-12).all()
+        up = np.repeat(at[None], 200, axis=0)
+        up[:, 1] = grid
+        assert (np.diff(model.score(up)) <= 1e-12).all()
+    held = r.random((1000, 3))
+    truth = held[:, 0] + 0.3 * np.sin(9 * held[:, 0]) - held[:, 1] > 0
+    assert ((model.score(held) >= 0.5) == truth).mean() > 0.9
+
+
+def test_trees_match_a_walk():
+    r = np.random.default_rng(5)
+    x = r.random((400, 2))
+    m = quality.fit_boosted_trees(x, (x[:, 0] > x[:, 1]).astype(float), np.zeros(2, dtype=int), rounds=5)
+
+    def walk(row):
+        total = m.base
+        for at in m.roots:
+            while m.left[at] != at:
+                at = m.left[at] if row[m.feature[at]] <= m.bound[at] else m.right[at]
+            total += m.value[at]
+        return 1 / (1 + np.exp(-total))
+
+    assert np.allclose(m.score(x[:50]), [walk(v) for v in x[:50]])
+
+
+def test_quality_held_out(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.train(docs, labels.where("doc_id % 4 <> 0"))
+    got = quality.judge(docs, model).join(labels.where("doc_id % 4 = 0"), "doc_id").where("not base_failed").collect()
+    good = [r.kept for r in got if r.quality == 1]
+    bad = [r.kept for r in got if r.quality == 0]
+    assert sum(good) >= 0.98 * len(good)
+    assert sum(bad) <= 0.2 * len(bad)
+
+
+def test_kept_rows_keep_their_columns(spark):
+    long = " ".join(f"word{i}" for i in range(30))
+    df = spark.createDataFrame([(1, long, True, [1]), (2, "few words", False, None), (None, long, None, []), (4, None, True, [2])],
+                               "doc_id long, text string, kept boolean, n_words array<int>")
+    got = quality.kept_rows(df, None)
+    assert got.schema == df.schema
+    assert sorted((r.doc_id is None, r.kept) for r in got.collect()) == [(False, True), (True, None)]
+    assert quality.kept_rows(df.where("doc_id > 7"), None).count() == 0
+
+
+def test_no_usable_labels(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, None, 1), (None, 1, 1), (2, 1, 5)], "doc_id long, quality int, toxic int")
+    assert quality.train(docs, labels) is None
+    chain = toxicity.train_chain(docs, labels, {"toxic": F.col("toxic")})
+    assert toxicity.score_toxicity(docs, chain).count() == 2
+
+
+def test_toxicity_held_out(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    cats = {"toxic": F.col("toxic"), "toxic_prose": F.col("toxic") * F.col("quality")}
+    chain = toxicity.train_chain(docs, labels.where("doc_id % 4 <> 0"), cats)
+    got = toxicity.score_toxicity(docs, chain).join(labels.where("doc_id % 4 = 0"), "doc_id").collect()
+    caught = [r.is_toxic for r in got if r.toxic == 1]
+    clean = [r.is_toxic for r in got if r.toxic == 0]
+    assert sum(caught) >= 0.93 * len(caught)
+    assert sum(clean) <= 0.01 * len(clean)
+    assert len(chain.models[1].earlier) == 1 and chain.models[1].earlier[0] != 0
+
+
+def test_chain_uses_out_of_fold_predictions():
+    """A feature that fits the training rows only by chance can't make later models trust the earlier category."""
+    r = np.random.default_rng(1)
+    n = 400
+    h = [np.sort(r.choice(2000, 12, replace=False)).astype(np.uint64) for _ in range(n)]
+    off = np.append(0, np.cumsum([len(x) for x in h]))
+    y = r.integers(0, 2, n)
+    labels = np.column_stack([y, y])
+    chain = toxicity.fit_chain(np.concatenate(h), off, labels, r.integers(0, 4, n), ["a", "b"])
+    inside = toxicity.fit_linear(np.concatenate(h), off, np.arange(n), y, chain.models[0].logits(np.concatenate(h), off, np.zeros((n, 0)))[:, None])
+    assert abs(chain.models[1].earlier[0]) < abs(inside.earlier[0])
+
+
+def test_scores_of_odd_rows(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    chain = toxicity.train_chain(docs, labels, {"toxic": F.col("toxic")})
+    odd = spark.createDataFrame([(1, None, 1.0), (2, "", 1.0), (None, "idiot moron " * 30, 1.0), (2, "", 1.0)], "doc_id long, text string, p_toxic double")
+    got = toxicity.score_toxicity(odd, chain)
+    rows = got.collect()
+    assert got.columns == ["doc_id", "p_toxic", "is_toxic"] and len(rows) == 4
+    assert len({r.p_toxic for r in rows if r.doc_id is not None}) == 1
+    assert toxicity.score_toxicity(odd.where("doc_id = 9"), chain).count() == 0
