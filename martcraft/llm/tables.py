@@ -15,9 +15,18 @@ from martcraft.llm.text import slices, utf8
 from martcraft.session import checkpoint_dir
 
 
+BATCH_ROWS = 1000
+
+
 def ship(spark: SparkSession) -> None:
-    """Give this package's sources to the Python workers of the session (once), as ``--py-files`` would."""
+    """Give this package's sources to the Python workers of the session (once), as ``--py-files`` would.
+
+    Rows here hold whole texts, so Arrow batches get ``BATCH_ROWS`` rows, unless
+    the session sets a number itself.
+    """
     sc = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     if getattr(sc, "_martcraft_shipped", False):
         return
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
