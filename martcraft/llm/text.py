@@ -77,6 +77,20 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, off - off[0]
 
 
+def binary_bytes(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The offsets and the bytes of a binary column without nulls."""
+    parts = [c.cast(pa.large_binary()) for c in column.chunks if len(c)]
+    offsets, data, at = [np.zeros(1, dtype=np.int64)], [np.zeros(0, dtype=np.uint8)], 0
+    for c in parts:
+        _, o, d = c.buffers()
+        off = np.frombuffer(o, dtype=np.int64)[c.offset:c.offset + len(c) + 1]
+        if off[-1] > off[0]:
+            data.append(np.frombuffer(d, dtype=np.uint8)[off[0]:off[-1]])
+        offsets.append(off[1:] - off[0] + at)
+        at = int(offsets[-1][-1])
+    return np.concatenate(offsets), np.concatenate(data)
+
+
 @dataclass
 class Words:
     """Words of several rows: byte spans, the row of each word, and the first word of each row."""

@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from martcraft.llm import text as T
 from martcraft.llm.tables import ship
 
-TRAIN_ROWS = 16_000
+TRAIN_ROWS = 10_000
+LEAST = 4
 MAX_FEATURES = 1500
 FOLDS = 4
 
@@ -105,7 +106,7 @@ def fit_linear(h: np.ndarray, off: np.ndarray, rows: np.ndarray, y: np.ndarray,
     in_all = np.bincount(code, minlength=len(terms))
     mean = in_all / len(yy)
     z = (in_pos / pos - (in_all - in_pos) / neg) / np.sqrt(mean * (1 - mean) * (1 / pos + 1 / neg) + 1e-12)
-    z[in_all < 4] = 0
+    z[in_all < LEAST] = 0
     best = np.sort(np.argsort(-np.abs(z), kind="stable")[:MAX_FEATURES])
     best = best[z[best] != 0]
     slot = np.full(len(terms), -1)
@@ -187,14 +188,30 @@ def train_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column
 
     got = rows.mapInArrow(terms, "doc_id long, terms binary, " + ", ".join(f"y{i} int" for i in range(len(names)))).dropDuplicates(["doc_id"])
     t = got.toArrow().sort_by("doc_id")
-    sets = [np.frombuffer(x, dtype=T.U) for x in t.column("terms").to_pylist()]
-    off = np.append(0, np.cumsum([len(s) for s in sets])).astype(np.int64)
-    h = np.concatenate([np.zeros(0, dtype=T.U), *sets])
-    y = np.column_stack([t.column(f"y{i}").to_numpy() for i in range(len(names))]) if len(sets) else np.zeros((0, len(names)))
-    folds = np.array([int(T.mix(np.array([s.sum(dtype=T.U)]))[0] % T.U(FOLDS)) for s in sets])
+    cut, data = T.binary_bytes(t.column("terms"))
+    h, off = data.view(T.U), cut // 8
+    y = np.column_stack([t.column(f"y{i}").to_numpy() for i in range(len(names))])
+    sums = np.append(T.U(0), np.cumsum(h, dtype=T.U))
+    folds = (T.mix(sums[off[1:]] - sums[off[:-1]]) % T.U(FOLDS)).astype(np.int64)
+    h, off = _frequent(h, off)
     return fit_chain(h, off, y, folds, names)
 
 
+def _frequent(h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Without the features of fewer than ``LEAST`` rows, most of them, which no fit would choose."""
+    s = np.sort(h)
+    begin = np.flatnonzero(np.append(True, s[1:] != s[:-1])) if len(s) else np.zeros(0, dtype=np.int64)
+    known = s[begin][np.diff(np.append(begin, len(s))) >= LEAST]
+    del s
+    if not len(known):
+        return np.zeros(0, dtype=T.U), np.zeros_like(off)
+    keep = np.zeros(len(h), dtype=bool)
+    for i in range(0, len(h), 1 << 20):
+        part = h[i:i + (1 << 20)]
+        keep[i:i + (1 << 20)] = known[np.minimum(np.searchsorted(known, part), len(known) - 1)] == part
+    return h[keep], np.append(0, np.cumsum(keep))[off]
+
+
 def score_toxicity(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``p_<category> double`` and ``is_<category> boolean`` for every row."""
     spark = docs.sparkSession
