@@ -5,6 +5,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from martcraft.config import DEFAULT_BANDS, Bands
 from martcraft.functions.arith import safe_ratio
@@ -28,10 +29,15 @@ def _distinct_count(rows: DataFrame, keys: list[str], value: str, alias: str) ->
     return rows.select(*keys, value).distinct().groupBy(*keys).agg(F.count(value).alias(alias))
 
 
-def _calendar_distinct(c: str) -> Column:
-    """COUNT(DISTINCT) of a date part. The set per key is bounded by the calendar
-    span (at most one entry per day), not by the row count."""
-    return F.size(F.collect_set(c)).cast("bigint")  # COUNT(DISTINCT) is BIGINT
+def _resummed(c: str, of: DecimalType) -> Column:
+    """Partial sums of a DECIMAL(p,s), added up with the type of a single SUM."""
+    return F.sum(c).cast(f"decimal({min(38, of.precision + 10)},{of.scale})")
+
+
+def _mean(total: Column, n: Column, of: DecimalType) -> Column:
+    """AVG of a DECIMAL(p,s) from its exact sum and count, rounded half-up once."""
+    q = total.cast("decimal(38,18)") / n
+    return F.when(n > 0, q.cast(f"decimal({min(38, of.precision + 4)},{of.scale + 4})"))
 
 
 def dim_customers(
@@ -42,26 +48,46 @@ def dim_customers(
 ) -> DataFrame:
     """One row per customer of the valid transactions.
 
-    Distinct days, months and years are calendar-bounded sets inside the main
-    hash aggregate; distinct products (unbounded) are counted exactly by a
-    second aggregate and joined back on ``customer_id`` (both sides are
-    already partitioned on it). A customer owning a third of the rows is
-    pre-reduced per task in every aggregate.
+    Rows are reduced to (customer, day) by a hash aggregate, which also pre-reduces
+    a customer with a third of the rows in every task, then to (customer, year)
+    and to the customer: days and years are row counts, months the bits of a
+    year. Distinct products (unbounded) are counted exactly by a second aggregate
+    and joined back on ``customer_id`` (both sides are already partitioned on it).
     """
     today = as_of_date(as_of)
     v = valid_transactions(stg)
-    agg = v.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("total_transactions"),
-        _calendar_distinct("transaction_date").alias("unique_transaction_days"),
-        _calendar_distinct("transaction_year").alias("years_active"),
-        _calendar_distinct("transaction_month").alias("months_active"),
-        F.min("transaction_date").alias("first_transaction_date"),
-        F.max("transaction_date").alias("last_transaction_date"),
-        F.sum("quantity").alias("total_units_purchased"),
-        F.sum("total_amount").alias("total_lifetime_value"),
-        F.avg("total_amount").alias("avg_transaction_value"),
-        F.min("total_amount").alias("min_transaction_value"),
-        F.max("total_amount").alias("max_transaction_value"),
+    amount = v.schema["total_amount"].dataType
+    sums = {"_units": "quantity", "_value": "total_amount"}
+    days = v.groupBy("customer_id", "transaction_date").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count("total_amount").alias("_value_n"),
+        *[F.sum(c).alias(a) for a, c in sums.items()],
+        F.min("total_amount").alias("_min"),
+        F.max("total_amount").alias("_max"),
+    )
+    years = days.groupBy("customer_id", F.year("transaction_date").alias("_year")).agg(
+        F.count("transaction_date").alias("_days"),
+        F.coalesce(F.bit_count(F.bit_or(F.expr("shiftleft(1, month(transaction_date))"))), F.lit(0)).alias("_months"),
+        F.min("transaction_date").alias("_first"),
+        F.max("transaction_date").alias("_last"),
+        *[F.sum(c).alias(c) for c in ("_n", "_value_n", "_units")],
+        _resummed("_value", amount).alias("_value"),
+        F.min("_min").alias("_min"),
+        F.max("_max").alias("_max"),
+    )
+    value, value_n = _resummed("_value", amount), F.sum("_value_n")
+    agg = years.groupBy("customer_id").agg(
+        F.sum("_n").alias("total_transactions"),
+        F.sum("_days").alias("unique_transaction_days"),
+        F.count("_year").alias("years_active"),
+        F.sum("_months").cast("bigint").alias("months_active"),
+        F.min("_first").alias("first_transaction_date"),
+        F.max("_last").alias("last_transaction_date"),
+        F.sum("_units").alias("total_units_purchased"),
+        value.alias("total_lifetime_value"),
+        _mean(value, value_n, amount).alias("avg_transaction_value"),
+        F.min("_min").alias("min_transaction_value"),
+        F.max("_max").alias("max_transaction_value"),
     )
     m = agg.join(_distinct_count(v, ["customer_id"], "product_id", "unique_products_purchased"), "customer_id", "left")
     since_last = days_between(today, F.col("last_transaction_date"))
@@ -109,7 +135,7 @@ def dim_products(
     if name_rule == "max":
         name = F.max("product_name")
     elif name_rule == "latest":
-        name = F.max_by("product_name", F.struct("transaction_date", "product_name"))
+        name = F.max_by("product_name", F.struct("_named", "product_name"))
     else:
         raise ValueError(f"name_rule must be 'max' or 'latest', not {name_rule!r}")
     # A NULL product id is a group of its own. Both aggregates group on
@@ -120,9 +146,7 @@ def dim_products(
     v = valid_transactions(stg).withColumns(
         {"_pk": F.coalesce(F.col("product_id"), F.lit(0).cast("bigint")), "_pnull": F.col("product_id").isNull()})
     agg = v.groupBy(*keys).agg(
-        name.alias("product_name"),
         F.count(F.lit(1)).alias("total_transactions"),
-        _calendar_distinct("transaction_date").alias("unique_transaction_days"),
         F.min("transaction_date").alias("first_sale_date"),
         F.max("transaction_date").alias("last_sale_date"),
         F.sum("quantity").alias("total_units_sold"),
@@ -135,7 +159,12 @@ def dim_products(
         F.min("quantity").alias("min_quantity_per_transaction"),
         F.max("quantity").alias("max_quantity_per_transaction"),
     )
-    m = agg.join(_distinct_count(v, keys, "customer_id", "unique_customers"), keys, "left").withColumn(
+    # The name comes from one row per (product, name): a maximum of strings in the main aggregate
+    # would sort all rows. Days and customers are exact two-level counts. Each of the three reads
+    # two or three columns of its own, and is pruned where nothing downstream reads its result.
+    names = v.groupBy(*keys, "product_name").agg(F.max("transaction_date").alias("_named")).groupBy(*keys).agg(name.alias("product_name"))
+    m = agg.join(names, keys, "left").join(_distinct_count(v, keys, "customer_id", "unique_customers"), keys, "left").join(
+        _distinct_count(v, keys, "transaction_date", "unique_transaction_days"), keys, "left").withColumn(
         "product_id", F.when(~F.col("_pnull"), F.col("_pk")))
     cols = [
         F.col("product_id").alias("product_key"),

@@ -3,24 +3,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType
 
 from martcraft.functions.arith import safe_ratio
 
 MONTHLY_KEYS = ("customer_fk", "transaction_month", "transaction_year", "transaction_quarter")
 
 
-def _normalized(df: DataFrame, keys: tuple[str, ...]) -> tuple[DataFrame, list[str]]:
-    """Replace each key by (coalesce(key, default), key IS NULL): the same grouping as the
-    key itself, NULL included, but joinable with a plain equi-join."""
-    cols, names = {}, []
-    for k in keys:
-        t = df.schema[k].dataType
-        default = F.lit("1970-01-01").cast("date") if isinstance(t, DateType) else F.lit(0).cast(t)
-        cols[f"_{k}"] = F.coalesce(F.col(k), default)
-        cols[f"_{k}_null"] = F.col(k).isNull()
-        names += [f"_{k}", f"_{k}_null"]
-    return df.withColumns(cols), names
+# Constant per customer: the fact takes them from the one row of the customer in its dimension.
+CUSTOMER_ATTRIBUTES = ("customer_tier", "customer_value_segment")
 
 
 def monthly_sales(fact: DataFrame, audit: bool = True) -> DataFrame:
@@ -31,15 +21,17 @@ def monthly_sales(fact: DataFrame, audit: bool = True) -> DataFrame:
     roll-up to the month key, where ``count(product_fk)`` is the exact
     distinct product count; sums are re-summed and cast back to the types of
     a single-level aggregate, averages are recomputed from exact sums and
-    counts. The window then shuffles only the aggregated rows on
-    ``customer_fk`` (one row per active month: each window partition is
-    bounded by the calendar, not by the data). Both LAGs share one window.
-    Keys are normalized so NULL months group together, as in GROUP BY.
+    counts. The customer's attributes are grouping columns: they follow from
+    the customer, so the groups stay the same, and both aggregates are hash
+    aggregates (a maximum of strings would sort the fact). The window then
+    shuffles only the aggregated rows on ``customer_fk`` (one row per active
+    month: each window partition is bounded by the calendar, not by the data).
+    Both LAGs share one window.
     """
-    f, keys = _normalized(fact, MONTHLY_KEYS)
+    keys = (*MONTHLY_KEYS, *CUSTOMER_ATTRIBUTES)
     t = {c: fact.schema[c].dataType for c in ("gross_amount", "tax_amount", "net_amount", "revenue_excluding_tax",
                                               "unit_price")}
-    per_product = f.groupBy(*keys, "product_fk").agg(
+    per_product = fact.groupBy(*keys, "product_fk").agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum("units_sold").alias("_units"),
         F.count("units_sold").alias("_units_n"),
@@ -51,8 +43,6 @@ def monthly_sales(fact: DataFrame, audit: bool = True) -> DataFrame:
         F.count("unit_price").alias("_price_n"),
         F.min("unit_price").alias("_price_min"),
         F.max("unit_price").alias("_price_max"),
-        F.max("customer_tier").alias("_tier"),
-        F.max("customer_value_segment").alias("_segment"),
     )
 
     def resum(c: str, typ) -> Column:
@@ -77,9 +67,7 @@ def monthly_sales(fact: DataFrame, audit: bool = True) -> DataFrame:
         exact_avg(F.sum("_price_sum"), price_n, t["unit_price"]).alias("avg_unit_price"),
         F.min("_price_min").alias("min_unit_price"),
         F.max("_price_max").alias("max_unit_price"),
-        F.max("_tier").alias("customer_tier"),
-        F.max("_segment").alias("customer_value_segment"),
-    ).withColumns({k: F.when(~F.col(f"_{k}_null"), F.col(f"_{k}")) for k in MONTHLY_KEYS}).drop(*keys)
+    )
     # NULL months sort last, as in the modelled database.
     w = Window.partitionBy("customer_fk").orderBy(F.col("transaction_month").asc_nulls_last())
     prev_rev = F.lag("monthly_net_revenue").over(w)
@@ -108,7 +96,8 @@ def monthly_sales(fact: DataFrame, audit: bool = True) -> DataFrame:
         "max_unit_price",
         "previous_month_revenue",
         "previous_month_transactions",
-        F.when(pr.isNotNull() & (pr > 0), (rev - pr) / pr * 100).alias("revenue_growth_pct"),
+        # As DOUBLE: a decimal quotient of these widths would keep six places only.
+        F.when(pr.isNotNull() & (pr > 0), (rev - pr).cast("double") / pr.cast("double") * 100).alias("revenue_growth_pct"),
         F.when(pn.isNotNull() & (pn > 0), (n - pn) / pn.cast("double") * 100).alias("transaction_growth_pct"),
         "customer_tier",
         "customer_value_segment",

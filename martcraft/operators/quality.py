@@ -34,6 +34,7 @@ class Check:
     error_if: str = ">0"
     warn_if: str = ">0"
     tag: str = ""
+    args: tuple = ()  # what the predicate was made of: values, (lo, hi, inclusive) or (expression,)
 
     @property
     def name(self) -> str:
@@ -55,17 +56,17 @@ def not_null(model: str, column: str, **kw) -> Check:
 
 def accepted_values(model: str, column: str, values, **kw) -> Check:
     vals = ", ".join(_lit_sql(v) for v in values)
-    return Check(model, "accepted_values", column, f"{column} NOT IN ({vals})", **kw)
+    return Check(model, "accepted_values", column, f"{column} NOT IN ({vals})", args=tuple(values), **kw)
 
 
 def accepted_range(model: str, column: str, lo=None, hi=None, inclusive: bool = True, **kw) -> Check:
     ge, le = (">=", "<=") if inclusive else (">", "<")
     parts = ([f"{column} {ge} {lo}"] if lo is not None else []) + ([f"{column} {le} {hi}"] if hi is not None else [])
-    return Check(model, "accepted_range", column, f"NOT ({' AND '.join(parts)})", **kw)
+    return Check(model, "accepted_range", column, f"NOT ({' AND '.join(parts)})", args=(lo, hi, inclusive), **kw)
 
 
 def expression_is_true(model: str, expression: str, column: str | None = None, tag: str = "", **kw) -> Check:
-    return Check(model, "expression_is_true", column, f"NOT ({expression})", tag=tag, **kw)
+    return Check(model, "expression_is_true", column, f"NOT ({expression})", tag=tag, args=(expression,), **kw)
 
 
 def unique(model: str, column: str, **kw) -> Check:
@@ -121,21 +122,23 @@ def failing_rows(check: Check, tables: dict[str, DataFrame]) -> DataFrame:
         return t.groupBy(*check.keys).agg(F.count(F.lit(1)).alias("n_records")).filter("n_records > 1")
     if check.kind == "relationships":
         k = check.keys[0]
-        parent = tables[check.parent].select(F.col(check.parent_key).alias("_parent_key")).distinct()
-        child = t.select(F.col(k).alias("from_field")).filter(F.col("from_field").isNotNull())
-        return child.join(parent, child.from_field == parent._parent_key, "left_anti")
+        # One row per child key takes part in the anti join; its rows come back after it.
+        return _orphans(check, tables).select(F.col(k).alias("from_field"), F.explode(F.sequence(F.lit(1), F.col("n")))).select("from_field")
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 
-def _orphan_count(check: Check, tables: dict[str, DataFrame]) -> DataFrame:
-    """Child rows without a parent, counted per key first: the anti join then moves one
-    row per distinct child key instead of every child row (a hot key is pre-counted)."""
+def _orphans(check: Check, tables: dict[str, DataFrame]) -> DataFrame:
+    """Child keys without a parent with their rows ``n``, counted per key first: the anti join then
+    moves one row per distinct child key instead of every child row (a hot key is pre-counted)."""
     k = check.keys[0]
     per_key = (tables[check.model].filter(F.col(k).isNotNull()).groupBy(k)
                .agg(F.count(F.lit(1)).alias("n")))
     parent = tables[check.parent].select(F.col(check.parent_key).alias("_parent_key")).distinct()
-    orphans = per_key.join(parent, per_key[k] == parent._parent_key, "left_anti")
-    return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
+    return per_key.join(parent, per_key[k] == parent._parent_key, "left_anti")
+
+
+def _orphan_count(check: Check, tables: dict[str, DataFrame]) -> DataFrame:
+    return _orphans(check, tables).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
 
 
 def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
@@ -176,14 +179,17 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
 
 def freshness(df: DataFrame, as_of_ts, column: str = "loaded_at", warn_after_hours: float = 12,
               error_after_hours: float = 24, source: str = "source") -> DataFrame:
-    """Hours since the newest ``loaded_at`` and the pass/warn/error status."""
+    """Hours since the newest ``loaded_at`` and the pass/warn/error status.
+
+    A source without rows, or without any load time, is the stalest case: an error.
+    """
     ts_type = df.schema[column].dataType.simpleString()  # timestamp or timestamp_ntz
     now = F.lit(str(as_of_ts)).cast(ts_type) if as_of_ts is not None else F.current_timestamp().cast(ts_type)
     latest = F.max(column)
     age = F.timestamp_diff("MICROSECOND", latest, now) / F.lit(3600e6)
     return df.agg(latest.alias("max_loaded_at"), age.alias("age_hours")).select(
         F.lit(source).alias("source"), "max_loaded_at", "age_hours",
-        F.when(F.col("age_hours") > error_after_hours, "error")
+        F.when(F.col("age_hours").isNull() | (F.col("age_hours") > error_after_hours), "error")
         .when(F.col("age_hours") > warn_after_hours, "warn")
         .otherwise("pass").alias("status"),
     )

@@ -11,9 +11,11 @@ from martcraft.session import checkpoint_dir
 def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as Parquet under the shared ``spark.checkpoint.dir`` and read it back.
 
-    This cuts the lineage (a lost executor re-reads files instead of
+    This cuts the lineage (a lost executor reads files again instead of
     recomputing joins), and later scans get column pruning, filter pushdown
-    and, with ``partition_by``, partition pruning.
+    and, with ``partition_by``, partition pruning. The folder goes when the
+    driver's file system closes, at the end of the application: results are
+    lazy, so it can't go earlier.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
@@ -23,4 +25,6 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
         # months are coalesced, a hot month is split over several tasks.
         w = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
     w.parquet(path)
-    return spark.read.parquet(path)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return spark.read.schema(df.schema).parquet(path)

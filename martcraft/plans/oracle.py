@@ -313,9 +313,8 @@ monthly AS (
          avg_unit_price, min_unit_price, max_unit_price,
          previous_month_revenue, previous_month_transactions,
          CASE WHEN previous_month_revenue IS NOT NULL AND previous_month_revenue > 0
-              THEN {_units_to_decimal(_half_up_div(
-                  f"({cents('monthly_net_revenue')} - {cents('previous_month_revenue')}) * 1000000",
-                  cents('previous_month_revenue')) + ' * 100', 6, 38)}
+              THEN CAST(monthly_net_revenue - previous_month_revenue AS DOUBLE)
+                   / CAST(previous_month_revenue AS DOUBLE) * 100
          END AS revenue_growth_pct,
          CASE WHEN previous_month_transactions IS NOT NULL AND previous_month_transactions > 0
               THEN (transaction_count - previous_month_transactions)

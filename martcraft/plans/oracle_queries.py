@@ -7,7 +7,7 @@ from martcraft.operators.catalog import (
 )
 from martcraft.operators.quality import ROW_KINDS, Check, parse_threshold
 from martcraft.plans.oracle import TX_SQL, avg_decimal, raw_sql, rejects_select, star_sql
-from martcraft.plans.registry import AS_OF, DRIVER_BANDS, FIRST_LOAD_UNTIL, FRESHNESS_AS_OF
+from martcraft.plans.registry import AS_OF, DRIVER_BANDS, FIRST_LOAD_UNTIL, FRESHNESS_AS_OF, STALE_DIMS_UNTIL
 
 
 def _star(upto: str) -> str:
@@ -61,40 +61,79 @@ def _cond(expr: str, cond: str) -> str:
     return f"{expr} {'<>' if op == '!=' else op} {n}"
 
 
-def _failures_sql(c: Check) -> str:
+def _literal(v) -> str:
+    return str(v).upper() if isinstance(v, bool) else str(v) if isinstance(v, (int, float)) else "'" + v.replace("'", "''") + "'"
+
+
+def _row_failure(c: Check) -> str:
+    """When a row fails, written from the check's parameters and not from Spark's predicate."""
+    if c.kind == "not_null":
+        return f"COUNT(*) - COUNT({c.column})"
+    if c.kind == "accepted_values":
+        inside = " OR ".join(f"{c.column} = {_literal(v)}" for v in c.args)
+        return f"COUNT({c.column}) - COUNT_IF({inside})"
+    if c.kind == "accepted_range":
+        lo, hi, inclusive = c.args
+        out = ([f"{c.column} {'<' if inclusive else '<='} {lo}"] if lo is not None else []) + (
+            [f"{c.column} {'>' if inclusive else '>='} {hi}"] if hi is not None else [])
+        return f"COUNT_IF({' OR '.join(out)})"
+    # An expression holds, fails or is unknown: the rows less those where it holds or is unknown.
+    e = c.args[0]
+    return f"COUNT(*) - COUNT_IF({e}) - COUNT_IF(({e}) IS NULL)"
+
+
+def _set_failure(c: Check) -> str:
     t = _CTE[c.model]
-    if c.kind in ROW_KINDS:
-        return f"(SELECT COUNT(*) FILTER (WHERE {c.predicate}) FROM {t})"
     if c.kind == "unique":
         k = c.keys[0]
-        return f"(SELECT COUNT(*) FROM (SELECT {k} FROM {t} WHERE {k} IS NOT NULL GROUP BY {k} HAVING COUNT(*) > 1))"
+        return f"SELECT COUNT(*) AS n FROM (SELECT {k} FROM {t} GROUP BY {k} HAVING COUNT({k}) > 1)"
     if c.kind == "unique_combination_of_columns":
         ks = ", ".join(c.keys)
-        return f"(SELECT COUNT(*) FROM (SELECT {ks} FROM {t} GROUP BY {ks} HAVING COUNT(*) > 1))"
+        return f"SELECT COUNT(*) AS n FROM (SELECT {ks} FROM {t} GROUP BY {ks} HAVING COUNT(*) > 1)"
     k, p = c.keys[0], _CTE[c.parent]
-    return (f"(SELECT COUNT(*) FROM {t} x WHERE x.{k} IS NOT NULL AND NOT EXISTS "
-            f"(SELECT 1 FROM {p} y WHERE y.{c.parent_key} = x.{k}))")
+    return (f"SELECT COUNT(*) AS n FROM {t} x LEFT JOIN (SELECT DISTINCT {c.parent_key} AS pk FROM {p}) y ON x.{k} = y.pk "
+            f"WHERE x.{k} IS NOT NULL AND y.pk IS NULL")
 
 
-def _check_row(c: Check) -> str:
+def _check_row(c: Check, failures: str, source: str) -> str:
     col = f"'{c.column}'" if c.column else "CAST(NULL AS VARCHAR)"
-    f = _failures_sql(c)
     if c.severity == "error":
-        status = f"CASE WHEN {_cond(f, c.error_if)} THEN 'fail' WHEN {_cond(f, c.warn_if)} THEN 'warn' ELSE 'pass' END"
+        status = f"CASE WHEN {_cond(failures, c.error_if)} THEN 'fail' WHEN {_cond(failures, c.warn_if)} THEN 'warn' ELSE 'pass' END"
     else:
-        status = f"CASE WHEN {_cond(f, c.warn_if)} THEN 'warn' ELSE 'pass' END"
+        status = f"CASE WHEN {_cond(failures, c.warn_if)} THEN 'warn' ELSE 'pass' END"
     return (f"SELECT '{c.model}' AS model, '{c.name}' AS check_name, {col} AS column_name, "
-            f"'{c.severity}' AS severity, {f} AS failures, {status} AS status")
+            f"'{c.severity}' AS severity, CAST({failures} AS BIGINT) AS failures, {status} AS status FROM {source}")
 
 
 def dq_results_sql() -> str:
+    """One pass per table for all its row checks, and one small query per check over sets."""
     checks = declared_checks(DRIVER_BANDS, QualityParams(), audit=True)
-    return _dirty("monthly") + _AUDITED + "\n" + "\nUNION ALL\n".join(_check_row(c) for c in checks)
+    ctes, rows = [], []
+    for model in dict.fromkeys(c.model for c in checks):
+        own = [(i, c) for i, c in enumerate(checks) if c.model == model and c.kind in ROW_KINDS]
+        if own:
+            ctes.append(f"f_{_CTE[model]} AS MATERIALIZED (SELECT " + ", ".join(f"{_row_failure(c)} AS c{i}" for i, c in own) + f" FROM {_CTE[model]})")
+            rows += [_check_row(c, f"c{i}", f"f_{_CTE[model]}") for i, c in own]
+    for i, c in enumerate(checks):
+        if c.kind not in ROW_KINDS:
+            ctes.append(f"s{i} AS MATERIALIZED ({_set_failure(c)})")
+            rows.append(_check_row(c, "n", f"s{i}"))
+    # Each table is computed once.
+    sql = _dirty("monthly") + _AUDITED
+    for name in ("cln", "stg", "dimc", "dimp", "fact", "monthly"):
+        sql = sql.replace(f"\n{name} AS (", f"\n{name} AS MATERIALIZED (", 1)
+    return sql + ",\n" + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(rows)
 
 
 _REL = [("relationships_fact_transactions_customer_fk", "fact", "customer_fk", "dimc", "customer_key"),
         ("relationships_fact_transactions_product_fk", "fact", "product_fk", "dimp", "product_key"),
-        ("relationships_agg_monthly_sales_customer_fk", "monthly", "customer_fk", "dimc", "customer_key")]
+        ("relationships_agg_monthly_sales_customer_fk", "monthly", "customer_fk", "dimc", "customer_key"),
+        ("relationships_stg_customer_transactions_customer_id", "stg", "customer_id", "stale", "customer_id"),
+        ("relationships_stg_customer_transactions_product_id", "stg", "product_id", "stale", "product_id")]
+# Valid rows up to the day of the last build, whose customers and products the stale dimensions have.
+_STALE = f"""stale AS (
+  SELECT customer_id, product_id FROM stg
+  WHERE customer_id IS NOT NULL AND quantity > 0 AND unit_price > 0 AND transaction_date <= DATE '{STALE_DIMS_UNTIL}')"""
 
 ORACLE.update({
     "raw_with_audit": RAW_WITH + "\nSELECT transaction_id, customer_id, transaction_date, product_id, product_name, "
@@ -136,9 +175,43 @@ FROM (SELECT COUNT(*) FILTER (WHERE {c} IS NULL) AS nulls FROM cln), n"""
     "dq_unique_failures": _dirty("stg") + """
 SELECT transaction_id AS unique_field, COUNT(*) AS n_records FROM stg
 WHERE transaction_id IS NOT NULL GROUP BY transaction_id HAVING COUNT(*) > 1""",
-    "dq_relationship_failures": _dirty("monthly") + "\n" + "\nUNION ALL\n".join(
+    "dq_relationship_failures": _dirty("monthly") + ",\n" + _STALE + "\n" + "\nUNION ALL\n".join(
         f"SELECT '{n}' AS check_name, x.{k} AS from_field FROM {t} x WHERE x.{k} IS NOT NULL AND NOT EXISTS "
         f"(SELECT 1 FROM {p} y WHERE y.{pk} = x.{k})" for n, t, k, p, pk in _REL),
+    "dq_combination_failures": _dirty("stg") + """
+SELECT customer_id, product_id, COUNT(*) AS n_records FROM stg GROUP BY customer_id, product_id HAVING COUNT(*) > 1""",
+    "dq_severities": _dirty("stg") + """,
+n AS (
+  SELECT COUNT(*) - COUNT(tax_amount) AS tax, COUNT(*) - COUNT(customer_id) AS customer, COUNT(*) - COUNT(quantity) AS quantity,
+         COUNT_IF(quantity < 0 OR quantity > 1000) AS quantity_range, COUNT_IF(unit_price < 0 OR unit_price > 500) AS price_range,
+         COUNT_IF(transaction_quarter = 3 OR transaction_quarter = 4) AS quarter FROM stg),
+pairs AS (SELECT COUNT(*) AS n FROM (SELECT 1 FROM stg GROUP BY customer_id, product_id HAVING COUNT(*) > 1)),
+ids AS (SELECT COUNT(*) AS n FROM (SELECT product_id FROM stg GROUP BY product_id HAVING COUNT(product_id) > 1)),
+r AS (
+  SELECT 'not_null' AS kind, 'tax_amount' AS target, 'tax_amount' AS column_name, 'warn' AS severity, tax AS failures,
+         CASE WHEN tax > 0 THEN 'warn' ELSE 'pass' END AS status FROM n
+  UNION ALL SELECT 'not_null', 'customer_id', 'customer_id', 'error', customer,
+         CASE WHEN customer > 1000000000 THEN 'fail' WHEN customer >= 1 THEN 'warn' ELSE 'pass' END FROM n
+  UNION ALL SELECT 'not_null', 'quantity', 'quantity', 'error', quantity, CASE WHEN quantity > 0 THEN 'fail' ELSE 'pass' END FROM n
+  UNION ALL SELECT 'accepted_range', 'quantity', 'quantity', 'error', quantity_range,
+         CASE WHEN quantity_range > 0 THEN 'fail' ELSE 'pass' END FROM n
+  UNION ALL SELECT 'accepted_range', 'unit_price', 'unit_price', 'warn', price_range,
+         CASE WHEN price_range > 1000000000 THEN 'warn' ELSE 'pass' END FROM n
+  UNION ALL SELECT 'accepted_values', 'transaction_quarter', 'transaction_quarter', 'error', quarter,
+         CASE WHEN quarter <> 0 THEN 'fail' ELSE 'pass' END FROM n
+  UNION ALL SELECT 'unique_combination_of_columns', 'customer_id_product_id', NULL, 'warn', pairs.n,
+         CASE WHEN pairs.n > 0 THEN 'warn' ELSE 'pass' END FROM pairs
+  UNION ALL SELECT 'unique', 'product_id', 'product_id', 'error', ids.n,
+         CASE WHEN ids.n < 1 THEN 'fail' WHEN ids.n <= 0 THEN 'warn' ELSE 'pass' END FROM ids)
+SELECT 'stg_customer_transactions' AS model, concat(kind, '_stg_customer_transactions_', target) AS check_name, column_name, severity,
+       CAST(failures AS BIGINT) AS failures, status FROM r""",
+    "freshness_raw": f"""
+SELECT 'raw_customer_transactions' AS source, MAX(l_shipdate) AS max_loaded_at,
+       (epoch_us(TIMESTAMP '{FRESHNESS_AS_OF}') - epoch_us(MAX(l_shipdate))) / 3600e6 AS age_hours,
+       CASE WHEN MAX(l_shipdate) IS NULL OR MAX(l_shipdate) < TIMESTAMP '{FRESHNESS_AS_OF}' - INTERVAL 24 HOUR THEN 'error'
+            WHEN MAX(l_shipdate) < TIMESTAMP '{FRESHNESS_AS_OF}' - INTERVAL 12 HOUR THEN 'warn' ELSE 'pass' END AS status
+FROM lineitem""",
+    "incremental_fact_raw": _dirty("fact") + "\nSELECT * FROM fact",
     "incremental_fact": _star("fact") + f"""
 SELECT * FROM fact WHERE transaction_date <= DATE '{FIRST_LOAD_UNTIL}'
 UNION ALL

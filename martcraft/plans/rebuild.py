@@ -2,12 +2,17 @@
 
 raw CSV -> cleaned table -> staging (view) -> dim_customers, dim_products
 (tables) -> fact_transactions (table, partitioned by month) -> agg_monthly_sales
-(view). Tables are written under ``base_path`` and re-read, so each layer
-is computed once and later layers read files (lineage is cut at every table).
+(view). Each run writes all its tables into a folder of its own,
+``<base>/runs/<run>/``, and is published by one empty file,
+``<base>/published/<run>``, created after the last write. Readers take the
+newest published run, so a run that dies, in whatever layer, changes nothing
+for them, and a rebuild may read the tables it replaces.
 """
 from __future__ import annotations
 
 import datetime as dt
+import logging
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,13 +21,21 @@ from martcraft.config import DEFAULT_BANDS, Bands, QualityParams
 from martcraft.operators.catalog import (
     DIM_CUSTOMERS, DIM_PRODUCTS, FACT, MONTHLY, SOURCE, STAGING, declared_checks,
 )
-from martcraft.operators.cleaning import clean_transactions
+from martcraft.operators.cleaning import clean_transactions, null_profile, reject_counts
 from martcraft.operators.dimensions import dim_customers, dim_products
 from martcraft.operators.fact import fact_transactions
 from martcraft.operators.monthly import monthly_sales
-from martcraft.operators.quality import Check, failing_rows, run_checks
+from martcraft.operators.quality import Check, assert_loaded, failing_rows, load_profile, run_checks
+from martcraft.operators.reports import sample_rows
 from martcraft.operators.staging import stage_transactions
 
+log = logging.getLogger(__name__)
+
+# The folder of each table inside a run.
+CLEANED, CUSTOMERS, PRODUCTS, FACTS = (
+    "cleaned_data/customer_transactions", "analytics/dim_customers", "analytics/dim_products", "analytics/fact_transactions")
+LOAD_CHECKS = "load_checks"
+
 
 @dataclass
 class StarTables:
@@ -32,52 +45,128 @@ class StarTables:
     products: DataFrame
     fact: DataFrame
     monthly: DataFrame
+    path: str | None = None
 
     def by_model(self) -> dict[str, DataFrame]:
         return {SOURCE: self.cleaned, STAGING: self.stg, DIM_CUSTOMERS: self.customers,
                 DIM_PRODUCTS: self.products, FACT: self.fact, MONTHLY: self.monthly}
 
 
+class _Store:
+    """Runs below a base path, through the file system that Spark uses for it."""
+
+    def __init__(self, spark: SparkSession, base: str):
+        self.spark, self.base = spark, base.rstrip("/")
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self.fs = self._path(self.base).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def published(self) -> list[str]:
+        """Names of the published runs, oldest first (names begin with the time)."""
+        folder = self._path(f"{self.base}/published")
+        if not self.fs.exists(folder):
+            return []
+        return sorted(s.getPath().getName() for s in self.fs.listStatus(folder))
+
+    def folder(self, run: str) -> str:
+        return f"{self.base}/runs/{run}"
+
+    def publish(self, run: str) -> None:
+        self.fs.create(self._path(f"{self.base}/published/{run}"), False).close()
+
+    def delete(self, run: str) -> None:
+        self.fs.delete(self._path(f"{self.base}/published/{run}"), False)
+        self.fs.delete(self._path(self.folder(run)), True)
+
+
 def _write(spark: SparkSession, df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    w = df.write.mode("overwrite")
+    w = df.write
     if partition_by:
         # REBALANCE lets AQE size the files of each partition value: small
         # months are coalesced, a hot month is split over several tasks.
-        w = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
+        w = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
     w.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
 
+def read_star(spark: SparkSession, base_path: str) -> StarTables:
+    """The tables of the newest published run."""
+    store = _Store(spark, base_path)
+    runs = store.published()
+    if not runs:
+        raise FileNotFoundError(f"no published run below {base_path}")
+    path = store.folder(runs[-1])
+    c, cust, prod, fact = (spark.read.parquet(f"{path}/{t}") for t in (CLEANED, CUSTOMERS, PRODUCTS, FACTS))
+    return StarTables(c, stage_transactions(c), cust, prod, fact, monthly_sales(fact), path)
 
-def rebuild(spark: SparkSession, raw: DataFrame, base_path: str, as_of: str | dt.date | None = None,
-            bands: Bands = DEFAULT_BANDS, on_reject: str = "null", cleaned: DataFrame | None = None) -> StarTables:
-    """Rebuild all layers from ``raw`` (all-STRING) or an already typed ``cleaned`` frame.
 
-    Writes go to fresh folders per layer and overwrite in full (SCD type 1).
-    A run that dies midway leaves earlier layers complete; rerunning is safe.
+def rebuild(spark: SparkSession, raw: DataFrame | None, base_path: str, as_of: str | dt.date | None = None,
+            bands: Bands = DEFAULT_BANDS, on_reject: str = "null", cleaned: DataFrame | None = None,
+            min_rows: int = 1, keep_runs: int = 2) -> StarTables:
+    """Rebuild all layers from ``raw`` (all-STRING) or an already typed ``cleaned`` frame (SCD type 1).
+
+    After the cleaned table is written, ``load_checks/`` gets the counts of
+    unreadable values per column (from ``raw``), the NULL profile and the load
+    profile; a load of fewer than ``min_rows`` rows fails there. A failing run
+    deletes its own folder and leaves the published one as it is. After
+    success, all but the newest ``keep_runs`` published runs are deleted: the
+    one before stays for readers that are under way.
     """
-    base = base_path.rstrip("/")
-    typed = cleaned if cleaned is not None else clean_transactions(raw, on_reject=on_reject)
-    c = _write(spark, typed, f"{base}/cleaned_data/customer_transactions")
-    stg = stage_transactions(c)
-    cust = _write(spark, dim_customers(stg, as_of, bands), f"{base}/analytics/dim_customers")
-    prod = _write(spark, dim_products(stg, as_of, bands), f"{base}/analytics/dim_products")
-    fact = _write(spark, fact_transactions(stg, cust, prod), f"{base}/analytics/fact_transactions",
-                  ("transaction_month",))
-    return StarTables(c, stg, cust, prod, fact, monthly_sales(fact))
+    store = _Store(spark, base_path)
+    run = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S.%f}-{uuid.uuid4().hex[:8]}"
+    path = store.folder(run)
+    try:
+        typed = cleaned if cleaned is not None else clean_transactions(raw, on_reject=on_reject)
+        c = _write(spark, typed, f"{path}/{CLEANED}")
+        _check_load(spark, raw if cleaned is None else None, c, f"{path}/{LOAD_CHECKS}", min_rows)
+        stg = stage_transactions(c)
+        cust = _write(spark, dim_customers(stg, as_of, bands), f"{path}/{CUSTOMERS}")
+        prod = _write(spark, dim_products(stg, as_of, bands), f"{path}/{PRODUCTS}")
+        fact = _write(spark, fact_transactions(stg, cust, prod), f"{path}/{FACTS}", ("transaction_month",))
+        store.publish(run)
+    except BaseException:
+        store.delete(run)
+        raise
+    for old in store.published()[:-keep_runs]:
+        store.delete(old)
+    return StarTables(c, stg, cust, prod, fact, monthly_sales(fact), path)
+
+
+def _check_load(spark: SparkSession, raw: DataFrame | None, cleaned: DataFrame, path: str, min_rows: int) -> None:
+    if raw is not None:
+        rejects = _write(spark, reject_counts(raw), f"{path}/reject_counts").first().asDict()
+        lost = {c: n for c, n in rejects.items() if c != "total_rows" and n}
+        if lost:
+            log.warning("values that could not be read and became NULL: %s", lost)
+    log.info("NULLs: %s", _write(spark, null_profile(cleaned), f"{path}/null_profile").first().asDict())
+    profile = _write(spark, load_profile(cleaned), f"{path}/load_profile")
+    log.info("load: %s", profile.first().asDict())
+    assert_loaded(profile, min_rows)
+    log.info("sample: %s", sample_rows(cleaned).collect())
 
 
 def check_all(spark: SparkSession, star: StarTables, base_path: str | None = None, bands: Bands = DEFAULT_BANDS,
               params: QualityParams = QualityParams(), checks: list[Check] | None = None) -> DataFrame:
-    """Run the declared checks; with ``base_path`` also store each failing check's rows."""
+    """Run the declared checks; with ``base_path`` also store each failing check's rows.
+
+    Rows stored by earlier calls for checks that pass now are deleted.
+    """
     checks = checks if checks is not None else declared_checks(bands, params)
+    names = [c.name for c in checks]
+    twice = sorted({n for n in names if names.count(n) > 1})
+    if twice:
+        raise ValueError(f"check names must differ: {twice}")
     tables = star.by_model()
     results = run_checks(tables, checks)
     if base_path is None:
         return results
-    base = base_path.rstrip("/")
-    res = _write(spark, results, f"{base}/dbt_test_failures/_results")
-    failed = {r.check_name for r in res.filter("failures > 0").select("check_name").collect()}
+    base = f"{base_path.rstrip('/')}/dbt_test_failures"
+    results.write.mode("overwrite").parquet(f"{base}/_results")
+    res = spark.read.parquet(f"{base}/_results")
+    failed = {r.check_name for r in res.filter("failures > 0").select("check_name").collect()}  # at most one row a check
+    store = _Store(spark, base)
     for c in checks:
         if c.name in failed:
-            failing_rows(c, tables).write.mode("overwrite").parquet(f"{base}/dbt_test_failures/{c.name}")
+            failing_rows(c, tables).write.mode("overwrite").parquet(f"{base}/{c.name}")
+        else:
+            store.fs.delete(store._path(f"{base}/{c.name}"), True)
     return res

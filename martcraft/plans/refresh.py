@@ -1,17 +1,25 @@
-"""Refresh: incremental append above a high-water mark, partition overwrite, schema drift."""
+"""Refresh: merge of an increment by whole partitions, high-water append, schema drift."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import logging
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from martcraft.plans.materialize import materialize
+
+log = logging.getLogger(__name__)
+
 
 def rows_after_high_water(new: DataFrame, target: DataFrame, column: str = "transaction_date") -> DataFrame:
     """Rows of ``new`` strictly after ``max(column)`` of ``target`` (all rows when the target is empty).
 
     The mark is a lazy scalar subquery: computed once, then applied as a
-    literal filter, so no join and no shuffle of ``new``. Rows with a NULL
-    ``column`` never pass, as in the modelled incremental rule.
+    literal filter, so no join and no shuffle of ``new``. Late rows and rows
+    with a NULL ``column`` never pass, as in the modelled incremental rule;
+    ``append_incremental`` keeps them unless told otherwise.
     """
     mark = target.agg(F.max(column)).scalar()
     return new.filter(mark.isNull() | (F.col(column) > mark))
@@ -23,29 +31,104 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def append_incremental(spark: SparkSession, new: DataFrame, path: str, column: str = "transaction_date",
-                       partition_by: tuple[str, ...] = ("transaction_month",), on_schema_change: str = "fail") -> int:
-    """Append the rows after the target's high-water mark; a first run writes everything.
+def read_target(spark: SparkSession, path: str) -> DataFrame:
+    """A refreshed table with the columns of all its files; files written before a column read NULL in it."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
 
-    Re-running after success appends nothing (the mark has moved), so a retry
-    of the whole step is safe; the file commit protocol makes each append
-    all-or-nothing.
+@dataclass(frozen=True)
+class Refresh:
+    """What a refresh did: rows of the increment written, and rows of it left out."""
+
+    written: int
+    skipped: int
+
+
+def append_incremental(spark: SparkSession, new: DataFrame, path: str, column: str = "transaction_date",
+                       partition_by: tuple[str, ...] = ("transaction_month",), on_schema_change: str = "fail",
+                       key: str = "transaction_key", mode: str = "merge") -> Refresh:
+    """Bring the rows of ``new`` into the table at ``path``; a first run writes everything.
+
+    ``mode="merge"`` loses nothing: every row of ``new`` is written, whatever its
+    date, NULL included. Rows of the table with a key of ``new`` are replaced
+    (rows without a key are told apart by all their columns), and only the
+    partitions that hold such rows or get new ones are rewritten. Running it
+    again changes nothing.
+
+    ``mode="high_water"`` appends only rows after ``max(column)`` of the table,
+    the modelled rule. Late rows, rows of the mark's own day and rows without a
+    date are left out; their number is returned and logged.
+
+    With ``on_schema_change="append_new_columns"`` new columns are written, and
+    ``read_target`` gives NULL for them in older rows.
     """
+    if mode not in ("merge", "high_water"):
+        raise ValueError(f"unknown mode {mode!r}")
+    seen = Observation()
     if not _exists(spark, path):
-        new.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-        return -1
-    target = spark.read.parquet(path)
+        counted = new.observe(seen, F.count(F.lit(1)).alias("n"))
+        counted.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
+        return Refresh(seen.get["n"], 0)
+    target = read_target(spark, path)
     check_schema_drift(target.schema, new.schema, on_schema_change)
+    if mode == "merge":
+        return _merge(spark, new, target, path, partition_by, key)
     mark = target.agg(F.max(column)).first()[0]
-    rows = new if mark is None else new.filter(F.col(column) > F.lit(mark))
-    (rows.hint("rebalance", *partition_by).write.mode("append").option("mergeSchema", "true")
-     .partitionBy(*partition_by).parquet(path))
-    return 0
+    late = F.lit(False) if mark is None else ~F.coalesce(F.col(column) > F.lit(mark), F.lit(False))
+    rows = new.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(late).alias("late")).filter(~late)
+    rows.hint("rebalance", *partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+    got = Refresh(seen.get["n"] - seen.get["late"], seen.get["late"])
+    if got.skipped:
+        log.warning("%d rows at or before the mark %s, or without %s, were left out", got.skipped, mark, column)
+    return got
+
+
+def _identified(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """``_id``: the key, or a hash of all ``columns`` for rows without one."""
+    whole = F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+    return df.withColumn("_id", F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.concat(F.lit("r"), whole)))
+
+
+def _merge(spark: SparkSession, new: DataFrame, target: DataFrame, path: str, partition_by: tuple[str, ...], key: str) -> Refresh:
+    parts, shared = list(partition_by), [c for c in target.columns if c in new.columns]
+    batch = materialize(_identified(new, key, shared), "increment")  # read several times
+    if batch.isEmpty():
+        return Refresh(0, 0)
+    ids = batch.select("_id").distinct()
+    old = _identified(target, key, shared)
+    # The partitions to rewrite: those of the batch, and those that rows with its keys are in now.
+    touched = batch.select(*parts).unionByName(old.select("_id", *parts).join(ids, "_id", "left_semi").select(*parts)).distinct()
+    values = [tuple(r) for r in touched.collect()]  # bounded by the calendar
+
+    def holds(rows: list[tuple]) -> Column:
+        """A row's partition is among ``rows``, as a filter that prunes folders."""
+        out = F.lit(False)
+        for i, c in enumerate(parts):
+            own = [r[i] for r in rows]
+            cond = F.col(c).isin([v for v in own if v is not None])
+            cond = F.coalesce(cond, F.lit(False)) | F.col(c).isNull() if None in own else cond
+            out = cond if i == 0 else out & cond
+        return out
+
+    kept = old.where(holds(values)).join(ids, "_id", "left_anti")
+    staged = materialize(kept.unionByName(batch, allowMissingColumns=True).drop("_id"), "merged")
+    left = {tuple(r) for r in staged.select(*parts).distinct().collect()}
+    overwrite_partitions(staged, path, partition_by)
+    for row in values:  # partitions whose rows all moved elsewhere
+        if row not in left:
+            _drop_partition(spark, path, parts, row)
+    return Refresh(batch.count(), 0)
+
+
+def _drop_partition(spark: SparkSession, path: str, parts: list[str], row: tuple) -> None:
+    folder = "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(parts, row, strict=True))
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{folder}")
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("transaction_month",)) -> None:
     """Replace only the partitions present in ``df`` (idempotent for replays and late rows)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
 
 
@@ -61,7 +144,7 @@ def schema_changes(existing: StructType, incoming: StructType) -> dict[str, list
 
 def check_schema_drift(existing: StructType, incoming: StructType, policy: str = "fail") -> dict[str, list[str]]:
     """``fail``: any difference raises. ``append_new_columns``: new columns are allowed
-    (written with ``mergeSchema``); removed or retyped columns still raise. ``ignore``: no check."""
+    (``read_target`` reads them); removed or retyped columns still raise. ``ignore``: no check."""
     ch = schema_changes(existing, incoming)
     if policy == "ignore":
         return ch

@@ -6,6 +6,7 @@ timestamps (``current_timestamp()``) are left out so results are comparable.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,13 +22,16 @@ from martcraft.operators.fact import fact_transactions
 from martcraft.operators.monthly import monthly_sales
 from martcraft.operators.cleaning import RAW_COLUMNS
 from martcraft.operators.quality import (
-    failing_rows, freshness, load_profile, null_shares, relationships, run_checks, unique,
+    accepted_range, accepted_values, failing_rows, freshness, load_profile, not_null, null_shares, relationships,
+    run_checks, unique, unique_combination,
 )
 from martcraft.operators.reports import monthly_trend, product_by_tier, rows_per_source, top_customers
-from martcraft.operators.staging import stage_transactions
+from martcraft.functions.cleaning import clean_prefixed_id, na_to_null
+from martcraft.operators.staging import stage_transactions, valid_transactions
 from martcraft.plans.materialize import materialize
-from martcraft.plans.refresh import rows_after_high_water
-from martcraft.sources.driver import driver_raw_transactions, driver_transactions
+from martcraft.plans.refresh import append_incremental, read_target, rows_after_high_water
+from martcraft.session import checkpoint_dir
+from martcraft.sources.driver import driver_lines, driver_raw_transactions, driver_transactions, written_id
 
 # Fixed values for the driver tables: reporting date after the last order
 # (2001-08-01), and bounds rescaled to the amounts of those tables (their
@@ -52,17 +56,24 @@ class Star:
 
     Layers listed in ``keep`` are materialized once (Parquet under the shared
     checkpoint folder) because several consumers read them; the others stay
-    lazy so a single-consumer query remains one plan.
+    lazy so a single-consumer query remains one plan. ``columns`` names the
+    cleaned columns that the query needs; only those are written.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = AS_OF, bands: Bands = DRIVER_BANDS,
-                 dirty: bool = False, audit: bool = False, keep: tuple[str, ...] = ()):
+                 dirty: bool = False, audit: bool = False, keep: tuple[str, ...] = (), columns: tuple[str, ...] = ()):
         if dirty:
             self.raw = driver_raw_transactions(spark, sf_dir)
             cleaned = clean_transactions(self.raw)
         else:
             cleaned = driver_transactions(spark, sf_dir)
-        self.cleaned = materialize(cleaned, "cleaned") if "cleaned" in keep else cleaned
+        if columns:
+            other = {f.name: f.dataType for f in cleaned.schema.fields if f.name not in columns}
+            cleaned = materialize(cleaned.select(*columns), "cleaned") if "cleaned" in keep else cleaned.select(*columns)
+            cleaned = cleaned.withColumns({c: F.lit(None).cast(t) for c, t in other.items()})  # read by nothing
+        elif "cleaned" in keep:
+            cleaned = materialize(cleaned, "cleaned")
+        self.cleaned = cleaned
         self.stg = stage_transactions(self.cleaned)
         self.customers = dim_customers(self.stg, as_of, bands, audit=audit)
         self.products = dim_products(self.stg, as_of, bands, audit=audit)
@@ -81,16 +92,21 @@ class Star:
                 DIM_PRODUCTS: self.products, FACT: self.fact, MONTHLY: self.monthly}
 
 
+CUSTOMER_COLUMNS = ("customer_id", "transaction_date", "product_id", "quantity", "price", "tax")
+PRODUCT_COLUMNS = (*CUSTOMER_COLUMNS, "product_name")
+FACT_COLUMNS = ("transaction_id", *PRODUCT_COLUMNS)
+
+
 def q_stg_transactions(spark, sf_dir):
     return Star(spark, sf_dir).stg.drop("transformed_at")
 
 
 def q_dim_customers(spark, sf_dir):
-    return Star(spark, sf_dir, keep=("cleaned",)).customers
+    return Star(spark, sf_dir, keep=("cleaned",), columns=CUSTOMER_COLUMNS).customers
 
 
 def q_dim_products(spark, sf_dir):
-    return Star(spark, sf_dir, keep=("cleaned",)).products.withColumn(
+    return Star(spark, sf_dir, keep=("cleaned",), columns=PRODUCT_COLUMNS).products.withColumn(
         "stddev_unit_price", F.round("stddev_unit_price", 6))
 
 
@@ -100,19 +116,19 @@ def q_top_customers(spark, sf_dir):
 
 
 def q_fact_transactions(spark, sf_dir):
-    return Star(spark, sf_dir, keep=("cleaned",)).fact
+    return Star(spark, sf_dir, keep=("cleaned",), columns=FACT_COLUMNS).fact
 
 
 def q_monthly_sales(spark, sf_dir):
-    return Star(spark, sf_dir, keep=("cleaned",)).monthly
+    return Star(spark, sf_dir, keep=("cleaned",), columns=FACT_COLUMNS).monthly
 
 
 def q_monthly_trend(spark, sf_dir):
-    return monthly_trend(Star(spark, sf_dir, keep=("cleaned",)).fact)
+    return monthly_trend(Star(spark, sf_dir, keep=("cleaned",), columns=FACT_COLUMNS).fact)
 
 
 def q_product_by_tier(spark, sf_dir):
-    return product_by_tier(Star(spark, sf_dir, keep=("cleaned",)).fact)
+    return product_by_tier(Star(spark, sf_dir, keep=("cleaned",), columns=FACT_COLUMNS).fact)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -139,7 +155,7 @@ def q_raw_with_audit(spark, sf_dir):
 
 
 def q_raw_file_counts(spark, sf_dir):
-    return rows_per_source(driver_raw_transactions(spark, sf_dir, with_source=True))
+    return rows_per_source(driver_lines(spark, sf_dir, with_source=True))  # counts lines: no join
 
 
 def q_clean_transactions(spark, sf_dir):
@@ -170,15 +186,15 @@ def q_null_shares(spark, sf_dir):
 
 
 def q_dim_customers_raw(spark, sf_dir):
-    return Star(spark, sf_dir, dirty=True, keep=("cleaned",)).customers
+    return Star(spark, sf_dir, dirty=True, keep=("cleaned",), columns=CUSTOMER_COLUMNS).customers
 
 
 def q_dim_products_raw(spark, sf_dir):
-    return Star(spark, sf_dir, dirty=True, keep=("cleaned",)).products.withColumn("stddev_unit_price", F.round("stddev_unit_price", 6))
+    return Star(spark, sf_dir, dirty=True, keep=("cleaned",), columns=PRODUCT_COLUMNS).products.withColumn("stddev_unit_price", F.round("stddev_unit_price", 6))
 
 
 def q_monthly_sales_raw(spark, sf_dir):
-    return Star(spark, sf_dir, dirty=True, keep=("cleaned",)).monthly
+    return Star(spark, sf_dir, dirty=True, keep=("cleaned",), columns=FACT_COLUMNS).monthly
 
 
 def q_dq_results(spark, sf_dir):
@@ -187,29 +203,86 @@ def q_dq_results(spark, sf_dir):
 
 
 def q_dq_unique_failures(spark, sf_dir):
-    return failing_rows(unique(STAGING, "transaction_id"), Star(spark, sf_dir, dirty=True).tables())
+    ids = driver_lines(spark, sf_dir).select(clean_prefixed_id(na_to_null(written_id()), "T").alias("transaction_id"))
+    return failing_rows(unique(STAGING, "transaction_id"), {STAGING: ids})  # reads ids only: no join
+
+
+# A time at which the dimensions were built last, for checks that find orphans.
+STALE_DIMS_UNTIL = "1996-03-31"
+KEY_COLUMNS = ("transaction_id", "customer_id", "product_id", "transaction_date", "quantity", "price")
 
 
 def q_dq_relationship_failures(spark, sf_dir):
-    # Only key columns are read per consumer, so pruned recomputation from the
-    # written cleaned layer is cheaper than writing the whole fact.
-    star = Star(spark, sf_dir, dirty=True, keep=("cleaned",))
+    """Child rows without a parent: the declared relationships, and all staged rows, invalid ones
+    too, against dimensions that were built from the rows up to ``STALE_DIMS_UNTIL``."""
+    star = Star(spark, sf_dir, dirty=True, keep=("cleaned",), columns=KEY_COLUMNS)
+    valid = valid_transactions(star.stg)
+    old = valid.where(F.col("transaction_date") <= F.lit(STALE_DIMS_UNTIL).cast("date"))
+
+    def keys(rows, child, parent):
+        return rows.groupBy(F.col(child).alias(parent)).agg(F.count(F.lit(1)).alias("n")).drop("n")
+
+    # The fact's keys are those of valid rows with a product; one write of the key columns serves all checks.
+    fact = valid.where("product_id is not null").select(F.col("customer_id").alias("customer_fk"), F.col("product_id").alias("product_fk"))
+    tables = {FACT: fact, STAGING: star.stg, MONTHLY: star.monthly.select("customer_fk"),
+              DIM_CUSTOMERS: keys(valid, "customer_id", "customer_key"), DIM_PRODUCTS: keys(valid, "product_id", "product_key"),
+              "stale_customers": keys(old, "customer_id", "customer_key"), "stale_products": keys(old, "product_id", "product_key")}
     out = None
     for c in (relationships(FACT, "customer_fk", DIM_CUSTOMERS, "customer_key"),
               relationships(FACT, "product_fk", DIM_PRODUCTS, "product_key"),
-              relationships(MONTHLY, "customer_fk", DIM_CUSTOMERS, "customer_key")):
-        rows = failing_rows(c, star.tables()).select(F.lit(c.name).alias("check_name"), "from_field")
+              relationships(MONTHLY, "customer_fk", DIM_CUSTOMERS, "customer_key"),
+              relationships(STAGING, "customer_id", "stale_customers", "customer_key"),
+              relationships(STAGING, "product_id", "stale_products", "product_key")):
+        rows = failing_rows(c, tables).select(F.lit(c.name).alias("check_name"), "from_field")
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
+def q_dq_combination_failures(spark, sf_dir):
+    star = Star(spark, sf_dir, dirty=True)
+    return failing_rows(unique_combination(STAGING, ("customer_id", "product_id")), star.tables())
+
+
+def q_dq_severities(spark, sf_dir):
+    """Checks with thresholds and severities of their own, so that every status occurs."""
+    star = Star(spark, sf_dir, dirty=True, keep=("cleaned",), columns=FACT_COLUMNS)
+    return run_checks(star.tables(), [
+        not_null(STAGING, "tax_amount", severity="warn"),
+        not_null(STAGING, "customer_id", error_if=">1000000000", warn_if=">=1"),
+        not_null(STAGING, "quantity", error_if=">=1"),
+        accepted_range(STAGING, "quantity", 0, 1000),
+        accepted_range(STAGING, "unit_price", 0, 500, severity="warn", warn_if=">1000000000"),
+        accepted_values(STAGING, "transaction_quarter", [1, 2], error_if="!=0"),
+        unique_combination(STAGING, ("customer_id", "product_id"), severity="warn"),
+        unique(STAGING, "product_id", error_if="<1", warn_if="<=0"),
+    ])
+
+
+def q_freshness_raw(spark, sf_dir):
+    """The raw source, before cleaning; only load times are read."""
+    return freshness(driver_lines(spark, sf_dir), FRESHNESS_AS_OF, source="raw_customer_transactions")
+
+
 def q_incremental_fact(spark, sf_dir):
-    # The two reads of the fact cover disjoint date ranges (pushed to the scan).
-    fact = Star(spark, sf_dir, keep=("cleaned",)).fact
+    # The fact is written once; both reads of it prune by date.
+    fact = Star(spark, sf_dir, keep=("cleaned", "fact"), columns=FACT_COLUMNS).fact
     first_load = fact.filter(F.col("transaction_date") <= F.lit(FIRST_LOAD_UNTIL).cast("date"))
     return first_load.unionByName(rows_after_high_water(fact, first_load, "transaction_date"))
 
 
+def q_incremental_fact_raw(spark, sf_dir):
+    """The fact of the dirty copy in two loads by the default refresh: first the dated rows up to
+    a day, except every fifth one, then all others: late ones, undated ones, and the first load's last months again."""
+    fact = Star(spark, sf_dir, dirty=True, keep=("cleaned", "fact"), columns=FACT_COLUMNS).fact
+    cut = F.lit(FIRST_LOAD_UNTIL).cast("date")
+    first = F.coalesce((F.col("transaction_date") <= cut) & (F.col("transaction_key") % 5 != 0), F.lit(False))
+    again = F.coalesce(F.col("transaction_date") > F.add_months(cut, -2), F.lit(False))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/incremental-{uuid.uuid4().hex}"
+    append_incremental(spark, fact.where(first), path)
+    append_incremental(spark, fact.where(~first | again), path)
+    return read_target(spark, path).select(*fact.columns)
+
+
 QUERIES.update({
     "raw_with_audit": q_raw_with_audit,
     "raw_file_counts": q_raw_file_counts,
@@ -225,5 +298,9 @@ QUERIES.update({
     "dq_results": q_dq_results,
     "dq_unique_failures": q_dq_unique_failures,
     "dq_relationship_failures": q_dq_relationship_failures,
+    "dq_combination_failures": q_dq_combination_failures,
+    "dq_severities": q_dq_severities,
+    "freshness_raw": q_freshness_raw,
     "incremental_fact": q_incremental_fact,
+    "incremental_fact_raw": q_incremental_fact_raw,
 })

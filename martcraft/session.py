@@ -1,6 +1,7 @@
-"""Session defaults and the shared checkpoint folder."""
+"""Session defaults, sizing, and the shared checkpoint folder."""
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -15,54 +16,64 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+TARGET_BYTES = 256 << 20
 
-def get_session(master: str | None = None, app: str = "martcraft", conf: dict[str, str] | None = None) -> SparkSession:
-    """Build (or reuse) a session with UTC time, ANSI on and AQE with skew-join splitting."""
+
+def get_session(master: str | None = None, app: str = "martcraft", conf: dict[str, str] | None = None,
+                input_bytes: int | None = None, total_cores: int = 1) -> SparkSession:
+    """Build (or reuse) a session with UTC time, ANSI on and AQE with skew-join splitting.
+
+    With ``input_bytes`` it is sized by ``scale_conf``; ``conf`` has the last word.
+    """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    for k, v in {**DEFAULT_CONF, **(conf or {})}.items():
+    sized = scale_conf(input_bytes, total_cores) if input_bytes is not None else {}
+    for k, v in {**DEFAULT_CONF, **sized, **(conf or {})}.items():
         b = b.config(k, v)
     return b.getOrCreate()
 
 
+_own_folders: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
     Only a local-mode session (tests) gets a fresh folder of its own when the
-    setting is absent; on a cluster a missing setting is an error, because a
-    machine-local folder would not survive the loss of an executor.
+    setting is absent; on a cluster, local-cluster included, a missing setting
+    is an error, because a machine-local folder would not survive the loss of
+    an executor.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        path = tempfile.mkdtemp(prefix="martcraft-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        if sc.applicationId not in _own_folders:
+            _own_folders[sc.applicationId] = tempfile.mkdtemp(prefix="martcraft-ckpt-")
+        path = _own_folders[sc.applicationId]
+    sc.setCheckpointDir(path)
     return path
 
 
 def scale_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
-    """Sizing for a given input volume (a starting point; AQE refines it at run time).
+    """Sizing for a given input volume, by one rule at every size (AQE refines it at run time).
 
-    - scan splits of 128 MiB, 512 MiB above 10 TiB (fewer map tasks, so fewer
-      shuffle blocks: blocks grow with map tasks x reduce partitions);
-    - an initial shuffle partition count of about one per 2 GiB of input (at
-      least 3 per core, at most 100,000); partial aggregation shrinks most
-      shuffles well below the input, and AQE coalesces partitions towards
-      256 MiB after each stage;
-    - a partition over 1 GiB and 5x the median counts as skewed and is split
-      in joins (a key owning a third of the rows lands in one partition).
+    - scan splits and shuffle partitions aim at ``TARGET_BYTES`` each: AQE merges
+      partitions that turn out smaller, but it does not split larger ones
+      outside skewed joins and REBALANCE, so the count follows the whole input
+      (at least 3 per core);
+    - a partition over four times the target and 5x the median counts as skewed
+      and is split in joins (a key owning a third of the rows lands in one
+      partition).
     """
-    tib = 1 << 40
-    split = (512 if input_bytes > 10 * tib else 128) << 20
-    partitions = min(100_000, max(3 * total_cores, input_bytes // (2 << 30)))
+    partitions = max(3 * total_cores, -(-input_bytes // TARGET_BYTES))
     return {
-        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.files.maxPartitionBytes": str(TARGET_BYTES),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_BYTES),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * TARGET_BYTES),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     }

@@ -21,6 +21,13 @@ def _tables(spark: SparkSession, sf_dir: str, with_source: bool = False):
     return li, o, p
 
 
+def driver_lines(spark: SparkSession, sf_dir: str, with_source: bool = False) -> DataFrame:
+    """Only what ``lineitem`` holds itself, for readers of ids or files: no join."""
+    li = _tables(spark, sf_dir, with_source)[0]
+    return li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"),
+                     F.col("l_shipdate").alias("loaded_at"), *([F.col("source_file")] if with_source else []))
+
+
 def driver_transactions(spark: SparkSession, sf_dir: str, with_source: bool = False) -> DataFrame:
     """Typed, cleaned transactions (the cleaned-table schema, ids widened to BIGINT).
 
@@ -56,6 +63,12 @@ def _first(k: Column, rules: list[tuple[int, int, Column]], otherwise: Column) -
     return otherwise if out is None else out.otherwise(otherwise)
 
 
+def written_id() -> Column:
+    """How the dirty copy writes a transaction id."""
+    k = F.col("transaction_id")
+    return _first(k, [(10, 0, F.concat(F.lit("T"), k.cast("string")))], k.cast("string"))
+
+
 def driver_raw_transactions(spark: SparkSession, sf_dir: str, with_source: bool = False) -> DataFrame:
     """All-STRING raw transactions with the dirt of the sample file, made by fixed rules.
 
@@ -69,7 +82,7 @@ def driver_raw_transactions(spark: SparkSession, sf_dir: str, with_source: bool
     d = F.col("transaction_date")
     # Dirt rules (modulus, remainder, written value).
     return t.select(
-        _first(k, [(10, 0, F.concat(F.lit("T"), s("transaction_id")))], s("transaction_id")).alias("transaction_id"),
+        written_id().alias("transaction_id"),
         _first(k, [(7, 0, null), (3, 0, F.concat(s("customer_id"), F.lit(".0")))], s("customer_id")).alias("customer_id"),
         _first(k, [(8, 0, F.date_format(d, "dd-MM-yyyy")), (25, 0, F.date_format(d, "y-M-d")),
                    (31, 0, F.concat(F.lit("ab-"), F.date_format(d, "MM-yyyy")))],

@@ -30,8 +30,8 @@ def layer_database(layer: str, base: str | None = None) -> str:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV hand-off: header, no index, NULL written as an empty field."""
-    df.write.mode("overwrite").option("header", True).option("nullValue", "").csv(path)
+    """CSV hand-off: header, no index, NULL and the empty string written as an empty field."""
+    df.write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "").csv(path)
 
 
 def create_database(spark: SparkSession, name: str) -> None:
@@ -79,7 +79,8 @@ def create_view(spark: SparkSession, name: str, sql: str) -> None:
 def set_properties(spark: SparkSession, table: str, props: dict[str, str]) -> None:
     """Governance metadata (owner, classification, retention, ...) as ``meta.<key>`` table
     properties (``owner`` itself is reserved by Spark)."""
-    kv = ", ".join(f"'meta.{k}' = '{v}'" for k, v in props.items())
+    quoted = lambda x: "'" + str(x).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    kv = ", ".join(f"{quoted('meta.' + k)} = {quoted(v)}" for k, v in props.items())
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({kv})")
 
 

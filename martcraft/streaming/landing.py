@@ -1,5 +1,8 @@
 """Incremental load as a file stream: new CSV files in a landing folder -> cleaned Parquet.
 
+The stream only tracks file names; each micro-batch reads its files by their
+own headers, under the same contract as the batch reader, so a file with other
+column order lands right and one without a required column fails the batch.
 The stream's checkpoint remembers which files were read, so unlike a
 ``MAX(date)`` mark it also loads late rows dated before the mark.
 ``foreachBatch`` is at-least-once; each micro-batch overwrites only its own
@@ -15,21 +18,27 @@ from pyspark.sql.streaming import StreamingQuery
 
 from martcraft.operators.cleaning import clean_transactions
 from martcraft.session import checkpoint_dir
-from martcraft.sources.raw import RAW_SCHEMA
+from martcraft.sources.raw import read_raw_csv
 
 
 def stream_landing(spark: SparkSession, landing_dir: str, target_dir: str, name: str = "landing",
-                   on_reject: str = "null", checkpoint: str | None = None,
-                   available_now: bool = True) -> StreamingQuery:
-    raw = (spark.readStream.schema(RAW_SCHEMA).option("header", True).csv(landing_dir)
-           .withColumn("source_file", F.col("_metadata.file_name")))
+                   on_reject: str = "null", checkpoint: str | None = None, available_now: bool = True,
+                   every: str = "1 minute", files_per_batch: int = 1000) -> StreamingQuery:
+    """Start the stream. A micro-batch has at most ``files_per_batch`` files; without
+    ``available_now`` a batch starts ``every`` so often."""
+    listing = "path string, modificationTime timestamp, length long, content binary"
+    names = (spark.readStream.format("binaryFile").schema(listing).option("maxFilesPerTrigger", files_per_batch)
+             .option("pathGlobFilter", "*.csv").load(landing_dir).select("path"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        cleaned = clean_transactions(batch, on_reject=on_reject).withColumn("loaded_at", F.current_timestamp())
+        files = [r.path for r in batch.select("path").distinct().collect()]  # bounded by files_per_batch
+        if not files:
+            return
+        cleaned = clean_transactions(read_raw_csv(batch.sparkSession, files), on_reject=on_reject)
         (cleaned.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(target_dir))
 
     ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "streams", name)
-    w = raw.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    w = names.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=every)
     return w.start()

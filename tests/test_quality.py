@@ -70,6 +70,8 @@ def test_freshness_and_profiles(spark):
     assert r.age_hours == 14.0 and r.status == "warn"
     assert freshness(df, "2024-01-02 07:00:00").first().status == "error"
     assert freshness(df, "2024-01-01 07:00:00").first().status == "pass"
+    assert freshness(df.limit(0), "2024-01-01 07:00:00").first().status == "error"  # no data is the stalest case
+    assert freshness(df.selectExpr("cast(null as timestamp) as loaded_at"), "2024-01-01 07:00:00").first().status == "error"
     shares = {r.column_name: (r.nulls, r.status) for r in null_shares(df, ["transaction_id"], 0.05).collect()}
     assert shares == {"transaction_id": (1, "warn")}
 
@@ -81,3 +83,25 @@ def test_load_profile(spark):
     r = load_profile(df).first().asDict()
     assert r == {"total_rows": 3, "null_transaction_ids": 1, "null_customer_ids": 1, "null_dates": 3,
                  "null_quantities": 1, "zero_prices": 2}
+
+
+def test_load_assertion_and_sample(spark):
+    import pytest
+    from martcraft.operators.quality import assert_loaded
+    from martcraft.operators.reports import sample_rows
+    from martcraft.sources.raw import count_rows
+    df = spark.createDataFrame([(1, 2, None, 3, Decimal("0.00"))] * 7,
+                               "transaction_id bigint, customer_id bigint, transaction_date date, quantity int, price decimal(10,2)")
+    assert assert_loaded(load_profile(df)) == 7 and count_rows(df) == 7
+    with pytest.raises(ValueError, match="need at least 8"):
+        assert_loaded(load_profile(df), 8)
+    assert sample_rows(df).count() == 5
+
+
+def test_combination_duplicates_and_orphan_rows(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (None, "a"), (None, "a"), (2, "b")], "k int, v string")
+    got = {(r.k, r.v, r.n_records) for r in failing_rows(unique_combination("t", ("k", "v")), {"t": df}).collect()}
+    assert got == {(1, "a", 2), (None, "a", 2)}
+    parent = spark.createDataFrame([(2,)], "pk int")
+    rows = failing_rows(relationships("t", "k", "p", "pk"), {"t": df, "p": parent}).collect()
+    assert [r.from_field for r in rows] == [1, 1]  # one per child row

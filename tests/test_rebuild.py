@@ -3,7 +3,11 @@ import datetime as dt
 import os
 from decimal import Decimal
 
-from martcraft.plans.rebuild import check_all, rebuild
+import pytest
+
+from martcraft.operators.quality import not_null
+from martcraft.plans import rebuild as rebuild_module
+from martcraft.plans.rebuild import check_all, read_star, rebuild
 from martcraft.sources.tables import create_view, truncate_table
 
 SCHEMA = ("transaction_id bigint, customer_id bigint, transaction_date date, product_id bigint, "
@@ -17,7 +21,7 @@ def test_rebuild_and_store_failures(spark, scratch):
             (2, 8, d(2024, 3, 2), 4, "Q", 1, Decimal("5.00"), None)]              # NULL tax
     cleaned = spark.createDataFrame(rows, SCHEMA)
     star = rebuild(spark, None, scratch, as_of="2024-03-10", cleaned=cleaned)
-    assert os.path.isdir(f"{scratch}/analytics/fact_transactions")
+    assert os.path.isdir(f"{star.path}/analytics/fact_transactions")
     assert star.fact.count() == 3 and star.monthly.count() == 3
     res = {r.check_name: (r.failures, r.status) for r in check_all(spark, star, scratch).collect()}
     assert len(res) == 147
@@ -55,3 +59,56 @@ def test_rebuild_from_raw_csv(spark, scratch):
     m = {str(r.transaction_month): r for r in star.monthly.collect()}
     assert m["2024-02-01"].previous_month_revenue == Decimal("200.10")
     assert m["2024-02-01"].monthly_net_revenue == Decimal("21.00")
+
+
+def _cleaned(spark, n=3):
+    rows = [(i, 7, dt.date(2024, 1, 2), 3, "P", 2, Decimal("9.50"), Decimal("1.00")) for i in range(n)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_rebuild_from_its_own_stored_layer(spark, scratch):
+    rebuild(spark, None, scratch, as_of="2024-03-10", cleaned=_cleaned(spark))
+    for _ in range(3):
+        rebuild(spark, None, scratch, as_of="2024-03-11", cleaned=read_star(spark, scratch).cleaned)
+    star = read_star(spark, scratch)
+    assert star.cleaned.count() == star.fact.count() == 3
+    assert len(os.listdir(f"{scratch}/runs")) == 2  # the published run and the one before
+
+
+def test_failed_run_leaves_the_published_one(spark, scratch, monkeypatch):
+    rebuild(spark, None, scratch, as_of="2024-03-10", cleaned=_cleaned(spark))
+
+    def broken(*args):
+        raise RuntimeError("died midway")
+
+    monkeypatch.setattr(rebuild_module, "fact_transactions", broken)
+    with pytest.raises(RuntimeError, match="midway"):
+        rebuild(spark, None, scratch, as_of="2024-03-10", cleaned=_cleaned(spark, 9))
+    monkeypatch.undo()
+    assert read_star(spark, scratch).fact.count() == 3
+    assert len(os.listdir(f"{scratch}/runs")) == 1
+
+
+def test_empty_load_fails_and_publishes_nothing(spark, scratch):
+    with pytest.raises(ValueError, match="no data loaded"):
+        rebuild(spark, None, scratch, cleaned=_cleaned(spark).limit(0))
+    with pytest.raises(FileNotFoundError):
+        read_star(spark, scratch)
+
+
+def test_load_checks_are_stored(spark, scratch):
+    raw = spark.createDataFrame(
+        [("T1", "5.0", "2024-01-01", "P2", "x", "1", "99999999999", "0.1"), ("2", "6", "2024-01-02", "3", "y", "3000000000", "3", None)],
+        "transaction_id string, customer_id string, transaction_date string, product_id string, product_name string, quantity string, price string, tax string")
+    star = rebuild(spark, raw, scratch, as_of="2024-03-01")
+    rejects = spark.read.parquet(f"{star.path}/load_checks/reject_counts").first()
+    assert (rejects.total_rows, rejects.rejected_price, rejects.rejected_quantity, rejects.rejected_tax) == (2, 1, 1, 0)
+    nulls = spark.read.parquet(f"{star.path}/load_checks/null_profile").first()
+    assert (nulls.null_price, nulls.null_quantity, nulls.null_tax) == (1, 1, 1)
+    assert spark.read.parquet(f"{star.path}/load_checks/load_profile").first().total_rows == 2
+
+
+def test_check_names_must_differ(spark, scratch):
+    star = rebuild(spark, None, scratch, as_of="2024-03-10", cleaned=_cleaned(spark))
+    with pytest.raises(ValueError, match="must differ"):
+        check_all(spark, star, scratch, checks=[not_null("dim_customers", "customer_id")] * 2)

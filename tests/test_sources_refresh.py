@@ -3,7 +3,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from martcraft.plans.refresh import append_incremental, check_schema_drift, rows_after_high_water, within_dates
+from martcraft.plans.refresh import (
+    Refresh, append_incremental, check_schema_drift, read_target, rows_after_high_water, within_dates,
+)
 from martcraft.sources.raw import HeaderError, check_header, read_raw_csv
 from martcraft.sources.tables import layer_database, load_typed, replace_table, set_properties, write_csv
 
@@ -50,6 +52,36 @@ def test_many_files_counts_and_typed_load(spark, scratch):
     assert spark.table(f"{db}.copy").count() == 3
 
 
+def test_columns_land_by_each_files_header(spark, scratch):
+    os.makedirs(f"{scratch}/in")
+    _csv(f"{scratch}/in/a.csv", HEADER, ["1,5,2024-01-01,2,x,1,2.5,0.1"])
+    _csv(f"{scratch}/in/b.csv", " transaction_id ,customer_id,transaction_date,product_id,product_name,quantity,tax, price,note,note",
+         ["2,5,2024-01-01,2,\"y, z\",1,0.1,2.5,n,m"])
+    got = {r.transaction_id: r for r in read_raw_csv(spark, f"{scratch}/in").collect()}
+    assert {(i, r.price, r.tax, r.product_name, r.source_file) for i, r in got.items()} == {
+        ("1", "2.5", "0.1", "x", "a.csv"), ("2", "2.5", "0.1", "y, z", "b.csv")}
+    _csv(f"{scratch}/in/c.csv", HEADER.replace(",tax", ""), ["3,5,2024-01-01,2,x,1,2.5"])
+    with pytest.raises(HeaderError, match="c.csv.*tax"):
+        read_raw_csv(spark, f"{scratch}/in")
+    _csv(f"{scratch}/d.csv", HEADER + ",price", ["3,5,2024-01-01,2,x,1,2.5,0.1,9"])
+    with pytest.raises(HeaderError, match="twice"):
+        read_raw_csv(spark, f"{scratch}/d.csv")
+
+
+def test_stream_reads_each_file_by_its_header(spark, scratch):
+    from martcraft.streaming.landing import stream_landing
+    land, out = f"{scratch}/landing", f"{scratch}/out"
+    os.makedirs(land)
+    _csv(f"{land}/a.csv", HEADER, ["1,5,2024-01-01,2,x,1,2.5,0.1"])
+    _csv(f"{land}/b.csv", HEADER.replace("price,tax", "tax,price"), ["2,5,2024-01-01,2,x,1,0.1,2.5"])
+    stream_landing(spark, land, out, checkpoint=f"{scratch}/ck").awaitTermination(120)
+    assert {(r.transaction_id, float(r.price), float(r.tax)) for r in spark.read.parquet(out).collect()} == {(1, 2.5, 0.1), (2, 2.5, 0.1)}
+    _csv(f"{land}/c.csv", HEADER.replace(",tax", ""), ["3,5,2024-01-01,2,x,1,2.5"])
+    with pytest.raises(Exception, match="missing required columns"):
+        stream_landing(spark, land, out, checkpoint=f"{scratch}/ck").awaitTermination(120)
+    assert spark.read.parquet(out).count() == 2
+
+
 def test_varchar_limit_fails_load(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS vtest")
     from martcraft.sources.tables import create_cleaned_table
@@ -78,6 +110,89 @@ def test_incremental_append_is_idempotent(spark, scratch):
     assert within_dates(df, "2024-02-01", "2024-02-28").count() == 1
 
 
+FACT = "transaction_key bigint, transaction_date date, transaction_month date, v int"
+
+
+def _fact(spark, rows):
+    import datetime as dt
+    day = lambda d: d and dt.date.fromisoformat(d)
+    month = lambda d: d and dt.date.fromisoformat(d).replace(day=1)
+    return spark.createDataFrame([(k, day(d), month(d), v) for k, d, v in rows], FACT)
+
+
+def _table(spark, path):
+    return sorted(((r.transaction_key, str(r.transaction_date), r.v) for r in read_target(spark, path).collect()), key=str)
+
+
+def test_merge_keeps_late_same_day_and_undated_rows(spark, scratch):
+    path = f"{scratch}/fact"
+    first = [(1, "2024-01-05", 1), (2, "2024-03-05", 1), (3, None, 1), (None, "2024-02-01", 1), (None, "2024-02-01", 2)]
+    assert append_incremental(spark, _fact(spark, first), path) == Refresh(5, 0)
+    later = [(4, "2024-01-09", 1), (5, "2024-03-05", 1), (6, None, 1), (None, "2024-02-01", 3), (7, "2023-12-31", 1), (2, "2024-03-06", 2)]
+    want = sorted(((k, str(d), v) for k, d, v in [r for r in first if r[0] != 2] + later), key=str)
+    assert append_incremental(spark, _fact(spark, later), path).written == 6
+    assert _table(spark, path) == want
+    append_incremental(spark, _fact(spark, later), path)  # again: nothing changes, rows without a key included
+    assert _table(spark, path) == want
+    # A key whose date moves leaves its old month, which goes if nothing is left there.
+    append_incremental(spark, _fact(spark, [(7, "2024-03-01", 9)]), path)
+    assert [r for r in _table(spark, path) if r[0] == 7] == [(7, "2024-03-01", 9)]
+    assert not os.path.exists(f"{path}/transaction_month=2023-12-01")
+    assert append_incremental(spark, _fact(spark, []), path) == Refresh(0, 0)
+
+
+def test_high_water_counts_what_it_leaves_out(spark, scratch):
+    path = f"{scratch}/fact"
+    append_incremental(spark, _fact(spark, [(1, "2024-01-05", 1)]), path)
+    got = append_incremental(spark, _fact(spark, [(2, "2024-01-05", 1), (3, None, 1), (4, "2024-01-01", 1), (5, "2024-01-06", 1)]), path, mode="high_water")
+    assert got == Refresh(1, 3)
+    assert [r[0] for r in _table(spark, path)] == [1, 5]
+
+
+@pytest.mark.parametrize("mode", ["merge", "high_water"])
+def test_new_column_survives(spark, scratch, mode):
+    path = f"{scratch}/fact"
+    append_incremental(spark, _fact(spark, [(1, "2024-01-05", 1)]), path)
+    wide = _fact(spark, [(2, "2024-02-05", 1)]).withColumn("extra", F.lit("new"))
+    with pytest.raises(ValueError, match="schema changed"):
+        append_incremental(spark, wide, path, mode=mode)
+    append_incremental(spark, wide, path, on_schema_change="append_new_columns", mode=mode)
+    append_incremental(spark, _fact(spark, [(3, "2024-03-05", 1)]).withColumn("extra", F.lit("more")), path, mode=mode)
+    assert {r.transaction_key: r.extra for r in read_target(spark, path).collect()} == {1: None, 2: "new", 3: "more"}
+
+
+def test_csv_hand_off_keeps_empty_strings_apart(spark, scratch):
+    write_csv(spark.createDataFrame([(1, ""), (2, None), (3, "x")], "k int, v string"), f"{scratch}/c")
+    text = "".join(open(f"{scratch}/c/{f}").read() for f in os.listdir(f"{scratch}/c") if f.startswith("part"))
+    assert '""' not in text
+
+
+def test_own_checkpoint_folder_only_in_local_mode(monkeypatch):
+    from martcraft import session
+
+    class Context:
+        master, applicationId = "local-cluster[2,1,1024]", "none"
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext, conf = Context(), {}
+
+    with pytest.raises(RuntimeError, match="shared folder"):
+        session.checkpoint_dir(Session())
+
+
+def test_materialized_folders_are_deleted_with_the_application(spark):
+    from martcraft.plans.materialize import materialize
+    from urllib.parse import urlparse
+    path = urlparse(materialize(spark.range(3).toDF("k"), "gone").inputFiles()[0]).path
+    folder = spark._jvm.org.apache.hadoop.fs.Path(os.path.dirname(path))
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert fs.cancelDeleteOnExit(folder)  # it was registered
+    fs.deleteOnExit(folder)
+
+
 def test_schema_drift(spark):
     a = spark.createDataFrame([(1, "x")], "k bigint, v string").schema
     b = spark.createDataFrame([(1, "x", 2)], "k bigint, v string, w int").schema
@@ -109,7 +224,7 @@ def test_file_stream_loads_each_file_once(spark, scratch):
 def test_scale_conf():
     from martcraft.session import scale_conf
     big = scale_conf(100 << 40, 8000)
-    assert big["spark.sql.files.maxPartitionBytes"] == str(512 << 20)
-    assert int(big["spark.sql.shuffle.partitions"]) == 51200
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 << 12  # 256 MiB each
     small = scale_conf(10 << 20, 8)
     assert small["spark.sql.shuffle.partitions"] == "24"
