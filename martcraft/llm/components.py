@@ -10,26 +10,35 @@ from pyspark.sql import functions as F
 from martcraft.llm.tables import dropped, saved, ship
 
 
+HELD = 500_000
+
+
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replace the edges of each batch by a star per component of the batch."""
-    for batch in batches:
-        parent: dict[int, int] = {}
+    """Replace the edges of a task, ``HELD`` nodes at a time, by a star per component of theirs."""
+    parent: dict[int, int] = {}
 
-        def find(x: int) -> int:
-            root = x
-            while (up := parent.setdefault(root, root)) != root:
-                root = up
-            while parent[x] != root:
-                parent[x], x = root, parent[x]
-            return root
+    def find(x: int) -> int:
+        root = x
+        while (up := parent.setdefault(root, root)) != root:
+            root = up
+        while parent[x] != root:
+            parent[x], x = root, parent[x]
+        return root
 
+    def stars() -> pa.RecordBatch:
+        found = [(x, r) for x in list(parent) if (r := find(x)) != x]
+        parent.clear()
+        return pa.RecordBatch.from_pydict({"a": [x for x, _ in found], "b": [r for _, r in found]},
+                                          schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    for batch in batches:
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             a, b = find(a), find(b)
             if a != b:
                 parent[max(a, b)] = min(a, b)
-        stars = [(x, r) for x in parent if (r := find(x)) != x]
-        yield pa.RecordBatch.from_pydict({"a": [x for x, _ in stars], "b": [r for _, r in stars]},
-                                         schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+        if len(parent) > HELD:
+            yield stars()
+    yield stars()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -45,7 +54,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     ship(edges.sparkSession)
     a, b = edges.columns
     e = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b")
-    e = saved(e.mapInArrow(_contract, "a long, b long").distinct(), "edges")
+    # Contracting again behind a shuffle finishes graphs that fit one task.
+    e = e.mapInArrow(_contract, "a long, b long").distinct().mapInArrow(_contract, "a long, b long")
+    e = saved(e.distinct(), "edges")
     if e.isEmpty():
         return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
 

@@ -5,22 +5,24 @@ elements: if the smaller one has ``a``, in at most ``T = a (100 - percent) / per
 Sizes fall into bands, each wider than that ratio, so linked documents are in
 the same band or in neighbouring ones. In the space of a band every set is
 hashed into ``T + 1 + s`` chunks, and each chunk keeps the XOR of its elements'
-hashes and a word of parity bits (each element flips one bit, so the Hamming
-distance of two sketches is at most the size of the sets' difference). By the
-pigeonhole principle ``1 + s`` chunks at least are equal in linked sets; one of
+hashes; beside them, each element flips one bit of the set's parity bits, so the
+Hamming distance of two sets' bits is at most the size of their difference. By
+the pigeonhole principle ``1 + s`` chunks at least are equal in linked sets; one of
 them isn't empty unless a set has more than ``s`` empty chunks, and such a set
 files its empty chunks too. So joining on (space, chunk, XOR) finds every link.
 ``s`` is one more than twice the empty chunks to be expected, so that few sets
 file those.
 
 Sets with equal content are one class from the start, so copies cost one entry
-per task. Classes that share a key form clusters. Clusters are cut into tiles
-of bounded size, and pairs of tiles are compared inside tasks: first by
-Hamming distance, then exactly. In round one each tile meets itself and its
-cluster's first tile; classes are then sorted by the component found so far,
-and in round two all other pairs of tiles meet, except tiles that lie in one
-component already. A tile pair emits the edges of a spanning forest only, so
-the rows grow with the classes and not with the pairs.
+per task. Classes that share a key form a group. Inside groups, classes are
+compared by Hamming distance, and those that pass, directly or by others, form
+a cluster; inside clusters they are compared exactly. Both steps work alike:
+a group or cluster is cut into tiles of bounded size, and pairs of tiles are
+compared inside tasks. In round one each tile meets itself and the first tile;
+then classes are dealt anew by the component found so far, and in round two all
+other pairs of tiles meet, except tiles that lie in one component already. A
+pair of tiles emits the edges of a spanning forest only, so the rows grow with
+the classes and not with the pairs.
 
 Defined cases: words are split at bytes 0x20 and 0x09-0x0D with A-Z lower-cased.
 A set holds the distinct ``n``-word shingles; with fewer words, the whole
@@ -42,6 +44,8 @@ from martcraft.llm.components import connected_components
 from martcraft.llm.tables import dropped, saved, ship, text_bytes
 
 TILE = 256
+KEY_BYTES = 6
+CALL_ROWS = 8192
 SHARD_BYTES = 12 << 20
 
 
@@ -83,20 +87,18 @@ def bands(percent: int, top: int) -> np.ndarray:
     return np.array(edges, dtype=np.int64)
 
 
-def sketch(g: np.ndarray, off: np.ndarray, chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """XOR and parity bits of every chunk of each set (``chunks`` per set), and the offsets of the sets."""
+def chunk_xors(g: np.ndarray, off: np.ndarray, chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """XOR of the elements' hashes in every chunk of each set (``chunks`` per set), and the offsets of the sets."""
     size = np.diff(off)
     base = np.append(0, np.cumsum(chunks))
     r = T.mix(g)
     at = np.repeat(base[:-1], size) + (r % np.repeat(chunks, size).astype(T.U)).astype(np.int64)
     order = np.argsort(at, kind="stable")
-    xor, bits = np.zeros(base[-1], dtype=T.U), np.zeros(base[-1], dtype=T.U)
+    xor = np.zeros(base[-1], dtype=T.U)
     if len(order):
         begin = np.flatnonzero(np.diff(at[order], prepend=-1))
-        place = at[order][begin]
-        xor[place] = np.bitwise_xor.reduceat(r[order], begin)
-        bits[place] = np.bitwise_xor.reduceat(T.U(1) << (T.mix(r[order]) & T.U(63)), begin)
-    return xor, bits, base
+        xor[at[order][begin]] = np.bitwise_xor.reduceat(r[order], begin)
+    return xor, base
 
 
 def differences(size: np.ndarray, percent: int) -> np.ndarray:
@@ -124,7 +126,7 @@ def keys_of(g: np.ndarray, off: np.ndarray, percent: int) -> tuple[np.ndarray, n
         sub_off = np.append(0, np.cumsum(size[use]))
         spare = spares(most[use], percent)
         chunks = most[use] + 1 + spare
-        xor, _, base = sketch(sub, sub_off, chunks)
+        xor, base = chunk_xors(sub, sub_off, chunks)
         chunk = np.arange(base[-1]) - np.repeat(base[:-1], chunks)
         row = np.repeat(np.arange(len(use)), chunks)
         empty = xor == 0
@@ -138,20 +140,29 @@ def keys_of(g: np.ndarray, off: np.ndarray, percent: int) -> tuple[np.ndarray, n
     return np.concatenate(out_key), np.concatenate(out_row)
 
 
-def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= percent * (len(a) + len(b) - both)
+def parity(g: np.ndarray) -> np.ndarray:
+    """Parity bits of a whole set, at least four a element, a power of two of 64-bit words; halves fold onto each other by XOR."""
+    words = 1 << max(0, (4 * len(g) - 1).bit_length() - 6)
+    place = T.mix(g ^ T.U(0x2545F4914F6CDD1D)) & T.U(64 * words - 1)
+    bits = np.zeros(words, dtype=T.U)
+    np.bitwise_xor.at(bits, (place >> T.U(6)).astype(np.int64), T.U(1) << (place & T.U(63)))
+    return bits
 
 
-def _forest(rows: list[dict], pairs_inside: bool, percent: int) -> list[tuple[int, int]]:
-    """Links between the classes of one tile, or of two, as a spanning forest."""
+def _folded(bits: np.ndarray, words: int) -> np.ndarray:
+    while len(bits) > words:
+        bits = bits[:len(bits) // 2] ^ bits[len(bits) // 2:]
+    return bits
+
+
+def _forest(rows: list[dict], pairs_inside: bool, percent: int, exact: bool) -> list[tuple[int, int]]:
+    """Links between the classes of one tile, or of two, as a spanning forest: by Hamming distance, or exactly too."""
     rows.sort(key=lambda r: (r["tile"], r["size"], r["cls"]))
-    sets = [np.frombuffer(r["grams"], dtype=T.U) for r in rows]
-    size = np.array([len(s) for s in sets], dtype=np.int64)
-    off = np.append(0, np.cumsum(size))
-    chunks = np.full(len(rows), int(min(512, differences(size, percent).max(initial=0) // 4 + 2)))
-    _, bits, _ = sketch(np.concatenate(sets), off, chunks)
-    bits = bits.reshape(len(rows), -1)
+    size = np.array([r["size"] for r in rows], dtype=np.int64)
+    bits = [np.frombuffer(r["bits"], dtype=T.U) for r in rows]
+    words = min(len(b) for b in bits)
+    bits = np.stack([_folded(b, words) for b in bits])
+    sets = [np.frombuffer(r["grams"], dtype=T.U) for r in rows] if exact else None
     parent = np.arange(len(rows))
     comp: dict[int, int] = {}
     for i, r in enumerate(rows):
@@ -175,12 +186,17 @@ def _forest(rows: list[dict], pairs_inside: bool, percent: int) -> list[tuple[in
         far = np.bitwise_count(bits[before] ^ bits[i]).sum(axis=1, dtype=np.int64)
         before = before[far <= differences(small[ok], percent)]
         for j in before.tolist():
-            if find(i) != find(j) and _similar(sets[i], sets[j], percent):
+            if find(i) != find(j) and (sets is None or _similar(sets[i], sets[j], percent)):
                 parent[find(i)] = find(j)
                 edges.append((rows[i]["cls"], rows[j]["cls"]))
     return edges
 
 
+def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
 _EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -206,100 +222,135 @@ def link_classes(docs: DataFrame, id_col: str, text_col: str, n: int, percent: i
             for s in T.slices(batch, "text"):
                 s = s.filter(s.column("id").is_valid())
                 g, off = shingle_sets(*T.utf8(s.column("text")), n)
-                cls = class_of(g, off)
+                cls, code = np.unique(class_of(g, off), return_inverse=True)  # a row of the shuffle lists its classes once
                 key, row = keys_of(g, off, percent)
-                shard = (key % T.U(shards)).astype(np.int64)
-                value = cls[row]
-                order = np.lexsort((value, key, shard))
-                key, value, shard = key[order], value[order], shard[order]
+                code = code[row].astype(np.uint16)  # a slice has 2 ** 16 rows at most
+                shard = (key >> T.U(40)).astype(np.int64) % shards
+                order = np.lexsort((code, key, shard))
+                key, code, shard = key[order], code[order], shard[order]
                 new = np.ones(len(key), dtype=bool)
-                new[1:] = (key[1:] != key[:-1]) | (value[1:] != value[:-1])
-                key, value, shard = key[new], value[new], shard[new]
+                new[1:] = (key[1:] != key[:-1]) | (code[1:] != code[:-1])
+                key, code, shard = key[new], code[new], shard[new]
                 cut = np.append(np.flatnonzero(np.diff(shard, prepend=-1)), len(shard))
                 parts = list(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True))
-                yield pa.RecordBatch.from_pydict(
-                    {"shard": [int(shard[i]) for i, _ in parts], "key": [key[i:j].tobytes() for i, j in parts], "cls": [value[i:j].tobytes() for i, j in parts]},
-                    schema=pa.schema([("shard", pa.int64()), ("key", pa.binary()), ("cls", pa.binary())]))
-
-    def stars(t: pa.Table) -> pa.Table:
-        key = np.concatenate([np.frombuffer(x, dtype=T.U) for x in t.column("key").to_pylist()])
-        cls = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in t.column("cls").to_pylist()])
+                yield pa.RecordBatch.from_pydict({
+                    "shard": [int(shard[i]) for i, _ in parts], "classes": [cls.tobytes()] * len(parts),
+                    "key": [key[i:j].view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes() for i, j in parts], "code": [code[i:j].tobytes() for i, j in parts],
+                }, schema=pa.schema([("shard", pa.int64()), ("classes", pa.binary()), ("key", pa.binary()), ("code", pa.binary())]))
+
+    def shared(t: pa.Table) -> pa.Table:
+        """The groups of a shard: keys that several classes have; groups of the same classes count once."""
+        key, cls = [], []
+        for k, c, names in zip(t.column("key").to_pylist(), t.column("code").to_pylist(), t.column("classes").to_pylist(), strict=True):
+            m = len(k) // KEY_BYTES
+            wide = np.zeros((m, 8), dtype=np.uint8)
+            wide[:, :KEY_BYTES] = np.frombuffer(k, dtype=np.uint8).reshape(m, KEY_BYTES)
+            key.append(wide.view(T.U).reshape(-1))
+            cls.append(np.frombuffer(names, dtype=np.int64)[np.frombuffer(c, dtype=np.uint16)])
+        key, cls = np.concatenate(key), np.concatenate(cls)
         order = np.lexsort((cls, key))
         key, cls = key[order], cls[order]
         new = np.ones(len(key), dtype=bool)
-        new[1:] = key[1:] != key[:-1]
-        centre = cls[new][np.cumsum(new) - 1]
-        far = np.flatnonzero(cls != centre)
-        if not len(far):
-            return _edges_table([])
-        both = np.unique(np.stack([cls[far], centre[far]]), axis=1)
-        return pa.table({"a": both[0], "b": both[1]}, schema=_EDGE)
+        new[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
+        key, cls = key[new], cls[new]
+        begin = np.flatnonzero(np.diff(key, prepend=~key[:1]))
+        size = np.diff(np.append(begin, len(key)))
+        many = np.flatnonzero(size > 1)
+        at = np.repeat(begin[many] - np.append(0, np.cumsum(size[many])[:-1]), size[many]) + np.arange(size[many].sum())
+        end = np.cumsum(size[many])
+        group = T.span_hashes(cls[at].view(T.U), end - size[many], end)  # by content
+        first = np.unique(group, return_index=True)[1]
+        keep = np.zeros(len(many), dtype=bool)
+        keep[first] = True
+        rows = np.repeat(keep, size[many])
+        return pa.table({"unit": np.repeat(group, size[many])[rows].view(np.int64), "cls": cls[at][rows]}, schema=pa.schema([("unit", pa.int64()), ("cls", pa.int64())]))
 
     members = saved(src.mapInArrow(classes, "doc_id long, n_shingles long, cls long"), "classes")
-    near = src.mapInArrow(keys, "shard long, key binary, cls binary").groupBy("shard").applyInArrow(stars, "a long, b long")
-    clusters = connected_components(near)
-    clusters = saved(clusters.select(F.col("node").alias("cls"), F.col("component").alias("cluster")), "clusters")
+    dealt = src.mapInArrow(keys, "shard long, classes binary, key binary, code binary")
+    groups = saved(dealt.groupBy("shard").applyInArrow(shared, "unit long, cls long").distinct(), "groups")
 
-    # One text of each class in a cluster, as its set.
+    # One text of each class in a group, as its set and parity bits.
     leads = members.where("doc_id is not null and n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("id"))
-    wanted = clusters.join(leads, "cls").select("id", "cls", "cluster")
+    wanted = groups.select("cls").distinct().join(leads, "cls").select("id", "cls")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in T.slices(batch, "text"):
                 g, off = shingle_sets(*T.utf8(s.column("text")), n)
+                each = [g[i:j] for i, j in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_pydict({
-                    "cls": s.column("cls"), "found": pa.array(class_of(g, off)), "cluster": s.column("cluster"), "size": np.diff(off),
-                    "grams": pa.array([g[i:j].tobytes() for i, j in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)], pa.binary())})
+                    "cls": s.column("cls"), "found": pa.array(class_of(g, off)), "size": np.diff(off),
+                    "bits": pa.array([parity(x).tobytes() for x in each], pa.binary()), "grams": pa.array([x.tobytes() for x in each], pa.binary())})
 
-    pool = src.where("id is not null").join(wanted, "id").select("cls", "cluster", "text").mapInArrow(
-        sets, "cls long, found long, cluster long, size long, grams binary")
+    pool = src.where("id is not null").join(wanted, "id").select("cls", "text").mapInArrow(
+        sets, "cls long, found long, size long, bits binary, grams binary")
     # Rows with one doc_id may hold different texts; only the class's own text counts, once.
-    pool = pool.where("found = cls").drop("found").dropDuplicates(["cls"])
-    pool = saved(pool, "sets")
-
-    count = pool.groupBy("cluster").agg(F.ceil(F.count("*") / TILE).alias("n_tiles"))
-    start = pool.select("cls", "cluster").join(count, "cluster").selectExpr(
-        "cls", "cluster", "cls as comp", "pmod(xxhash64(cls), n_tiles) as tile")
-
-    def by_component(comp: DataFrame) -> DataFrame:
-        """Clusters of several components: large components in tiles of their own, the others mixed."""
-        t = pool.select("cls", "cluster").join(comp.withColumnRenamed("node", "cls"), "cls", "left")
-        t = t.select("cls", "cluster", F.coalesce("component", "cls").alias("comp"))
-        size = t.groupBy("cluster", "comp").agg(F.count("*").alias("n"))
-        rest = size.groupBy("cluster").agg(F.sum(F.expr(f"if(n < {TILE}, n, 0)")).alias("rest"), F.count("*").alias("comps")).where("comps > 1")
-        return t.join(size.join(rest, "cluster"), ["cluster", "comp"]).selectExpr(
-            "cls", "cluster", "comp",
-            f"if(n < {TILE}, pmod(xxhash64(cls), ceil(rest / {TILE})), xxhash64(comp, pmod(xxhash64(cls), ceil(n / {TILE})))) as tile")
+    pool = saved(pool.where("found = cls").drop("found").dropDuplicates(["cls"]), "sets")
 
-    def compare(tiles: DataFrame, pairs: DataFrame, inside: bool) -> DataFrame:
-        """Links between the two tiles of each (cluster, t1, t2)."""
-        sides = pairs.select("cluster", "t1", "t2", F.explode(F.array_distinct(F.array("t1", "t2"))).alias("tile"))
-        rows = sides.join(tiles, ["cluster", "tile"]).join(pool.select("cls", "size", "grams"), "cls")
+    near = _links(groups, pool, percent, exact=False)
+    clusters = connected_components(near).select(F.col("node").alias("cls"), F.col("component").alias("unit"))
+    clusters = saved(clusters, "clusters")
+    links = _links(clusters, pool, percent, exact=True)
+    comp = saved(connected_components(links), "components")
+    for t in (pool, clusters, groups):
+        dropped(t)
+    return members, comp.select(F.col("node").alias("cls"), "component")
 
-        def forest(t: pa.Table) -> pa.Table:
-            return _edges_table(_forest(t.select(["cls", "comp", "tile", "size", "grams"]).to_pylist(), inside, percent))
 
-        return rows.groupBy("cluster", "t1", "t2").applyInArrow(forest, "a long, b long")
+def _links(units: DataFrame, pool: DataFrame, percent: int, exact: bool) -> DataFrame:
+    """Edges that connect, in every unit, all classes whose pairs pass, directly or by others.
 
-    tiles = saved(start, "tiles")
-    each = tiles.groupBy("cluster", "tile").agg(F.count("*").alias("n"))
-    zero = compare(tiles, each.where("n > 1 or tile > 0").selectExpr("cluster", "0L as t1", "tile as t2"), True)
-    alone = compare(tiles, each.where("n > 1 and tile > 0").selectExpr("cluster", "tile as t1", "tile as t2"), True)
-    links = saved(zero.unionByName(alone), "links")
-    comp = saved(connected_components(links), "components")
+    ``units`` has ``(unit, cls)``; a class may be in several. Without ``exact``
+    pairs pass by Hamming distance.
+    """
 
-    again = saved(by_component(comp), "tiles")
-    sides = again.groupBy("cluster", "tile").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    pairs = sides.selectExpr("cluster", "tile as t1", "lo", "hi").join(
-        sides.selectExpr("cluster", "tile as t2", "lo as lo2", "hi as hi2"), "cluster").where(
-        "t1 < t2 and not (lo = hi and lo2 = hi2 and lo = lo2)").select("cluster", "t1", "t2")
-    inner = sides.where("lo <> hi").selectExpr("cluster", "tile as t1", "tile as t2")
+    columns = ["size", "bits", "grams"] if exact else ["size", "bits"]
+
+    def forests(t: pa.Table) -> pa.Table:
+        t = t.sort_by([("unit", "ascending"), ("t1", "ascending"), ("t2", "ascending")])
+        keys = np.stack([t.column(c).to_numpy() for c in ("unit", "t1", "t2")])
+        cut = np.append(np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0))), t.num_rows)
+        inside, t = t.column("inside")[0].as_py(), t.select(["cls", "comp", "tile", *columns])
+        edges = []
+        for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            edges += _forest(t.slice(i, j - i).to_pylist(), inside, percent, exact)
+        return _edges_table(edges)
+
+    def compare(tiles: DataFrame, pairs: DataFrame, inside: bool) -> DataFrame:
+        """Edges between the two tiles of each (unit, t1, t2); a call gets many of them, up to about ``CALL_ROWS`` rows."""
+        sides = pairs.select("unit", "t1", "t2", F.explode(F.array_distinct(F.array("t1", "t2"))).alias("tile"))
+        rows = saved(sides.join(tiles, ["unit", "tile"]), "sides")
+        calls = max(1, -(-rows.count() // CALL_ROWS))
+        rows = rows.withColumn("call", F.pmod(F.xxhash64("unit", "t1", "t2"), F.lit(calls))).withColumn("inside", F.lit(inside))
+        return rows.join(pool.select("cls", *columns), "cls").groupBy("call").applyInArrow(forests, "a long, b long")
+
+    count = units.groupBy("unit").agg(F.ceil(F.count("*") / TILE).alias("n_tiles"))
+    tiles = units.join(count, "unit").selectExpr("unit", "cls", "cls as comp", "pmod(xxhash64(cls), n_tiles) as tile")
+    tiles = saved(tiles, "tiles")
+    each = tiles.groupBy("unit", "tile").agg(F.count("*").alias("n"))
+    zero = compare(tiles, each.where("n > 1 or tile > 0").selectExpr("unit", "0L as t1", "tile as t2"), True)
+    alone = compare(tiles, each.where("n > 1 and tile > 0").selectExpr("unit", "tile as t1", "tile as t2"), True)
+    first = saved(zero.unionByName(alone), "links")
+
+    # Units of several tiles, dealt anew: large components in tiles of their own, the others mixed.
+    large = saved(units.join(count.where("n_tiles > 1"), "unit").select("unit", "cls"), "large")
+    if large.isEmpty():
+        return first
+    comp = connected_components(first)
+    t = large.join(comp.withColumnRenamed("node", "cls"), "cls", "left").select("unit", "cls", F.coalesce("component", "cls").alias("comp"))
+    size = t.groupBy("unit", "comp").agg(F.count("*").alias("n"))
+    rest = size.groupBy("unit").agg(F.sum(F.expr(f"if(n < {TILE}, n, 0)")).alias("rest"), F.count("*").alias("comps")).where("comps > 1")
+    again = t.join(size.join(rest, "unit"), ["unit", "comp"]).selectExpr(
+        "unit", "cls", "comp",
+        f"if(n < {TILE}, pmod(xxhash64(cls), ceil(rest / {TILE})), xxhash64(comp, pmod(xxhash64(cls), ceil(n / {TILE})))) as tile")
+    again = saved(again, "tiles")
+    sides = again.groupBy("unit", "tile").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    pairs = sides.selectExpr("unit", "tile as t1", "lo", "hi").join(
+        sides.selectExpr("unit", "tile as t2", "lo as lo2", "hi as hi2"), "unit").where(
+        "t1 < t2 and not (lo = hi and lo2 = hi2 and lo = lo2)").select("unit", "t1", "t2")
+    inner = sides.where("lo <> hi").selectExpr("unit", "tile as t1", "tile as t2")
     more = compare(again, pairs, False).unionByName(compare(again, inner, True))
-    comp = saved(connected_components(links.unionByName(more)), "components")
-    for t in (tiles, again, pool, clusters, links):
-        dropped(t)
-    return members, comp.select(F.col("node").alias("cls"), "component")
+    return saved(first.unionByName(more), "links")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, percent: int = 90) -> DataFrame:
