@@ -136,4 +136,40 @@ select query_id, cast(rank as integer) as rank, vec_id, score
 from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 10
 """
 
-ORACLE: dict[str, str] = {"op1_source_mixing": _MIXING_SQL, "op2_topk_search": _TOPK_SQL}
+_SUBSTRING_SQL = r"""
+with d as (
+  select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+win as (
+  select r, doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') as k
+  from d, lateral (select unnest(range(1, len(w) - 11)) as i) t where doc_id is not null),
+least as (select k, min(doc_id) as m from win group by k),
+gone as (
+  select distinct r, i + j as p from win join least using (k), lateral (select unnest(range(13)) as j) t where m < doc_id),
+kept as (
+  select t.r, string_agg(t.x, ' ' order by t.p) as text, count(*) as n
+  from (select r, p, w[p] as x from d, lateral (select unnest(range(1, len(w) + 1)) as p) u) t anti join gone using (r, p) group by t.r)
+select doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) as bigint) as n_removed, sha256(coalesce(text, '')) as kept_sha256
+from d left join kept using (r)
+"""
+
+_JACCARD_SQL = r"""
+with recursive d as (
+  select row_number() over () as r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+s as (
+  select distinct r, array_to_string(list_slice(w, i, i + 2), ' ') as k
+  from d, lateral (select unnest(range(1, greatest(2, len(w) - 1))) as i) t where len(w) > 0),
+n as (select r, count(*) as n from s group by r),
+pairs as (
+  select a.r as a, b.r as b, count(*) as c
+  from s a join s b on a.k = b.k and a.r <> b.r join d x on x.r = a.r join d y on y.r = b.r
+  where x.doc_id is not null and y.doc_id is not null group by a.r, b.r),
+links as (select a, b from pairs join n na on na.r = a join n nb on nb.r = b where 100 * c >= 90 * (na.n + nb.n - c)),
+reach(r, x) as (select r, r from d union select reach.r, links.b from reach join links on links.a = reach.x)
+select d.doc_id, cast(coalesce(any_value(n.n), 0) as bigint) as n_shingles, min(y.doc_id) as component_id
+from d join reach on reach.r = d.r join d y on y.r = reach.x left join n on n.r = d.r group by d.r, d.doc_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_source_mixing": _MIXING_SQL, "op2_topk_search": _TOPK_SQL, "op3_substring_dedup": _SUBSTRING_SQL, "op6_jaccard_join": _JACCARD_SQL}

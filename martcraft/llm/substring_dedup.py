@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martcraft.llm import text as T
-from martcraft.llm.tables import blocks, pieces, saved, unpack
+from martcraft.llm.tables import blocks, saved, unpack
 
 GRAM = 5
 SHARD_BYTES = 12 << 20
@@ -206,12 +206,11 @@ class _Look:
 
 def _borders(p: _Parse, answers: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Phrases matched inside the block or by an answer, their sources, and phrases whose windows are looked up."""
-    lead, least = p.firsts(p.key, p.content, p.doc)
-    hit, source = _Look(answers, MATCH)(p.key, p.content)
+    _, least = p.firsts(p.key, p.content, p.doc)
+    _, source = _Look(answers, MATCH)(p.key, p.content)
     source = np.minimum(source, least)
     matched = source < p.doc
     check, _ = _Look(answers, BORDER)(p.key, p.content)
-    # A phrase that repeats in its own first document needs one copy's look-up only, but each copy gets the answer.
     return matched, source, np.flatnonzero(check & ~matched)
 
 
@@ -224,11 +223,10 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     if window < GRAM:
         raise ValueError(f"window must be at least {GRAM} words")
-    spark = docs.sparkSession
     table = saved(blocks(docs, id_col, text_col), "blocks")
     total = table.agg(F.sum("n_bytes")).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
-    table = table.drop("n_bytes").repartition(pieces(spark, total, 8 << 20), "block") if total < (8 << 20) else table.drop("n_bytes")
+    table = table.drop("n_bytes")
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
