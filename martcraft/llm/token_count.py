@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 
 from martcraft.llm import text as T
 from martcraft.llm.tables import ship
-from martcraft.llm.vocab import Splitter, Vocabulary, byte_symbols, read_vocabulary
+from martcraft.llm.vocab import Memo, Splitter, Vocabulary, byte_symbols, read_vocabulary
 
 # Fixed value: the split pattern of byte-level BPE vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?{L}+| ?{N}+| ?{O}+|{S}+(?!{T})|{S}+"
-MEMO = 400_000
+MEMO = 250_000
 
 
 class Counter:
@@ -40,7 +40,7 @@ class Counter:
         self.all_places = len(np.unique(self.made)) == len(self.made)
         self.split = Splitter(PATTERN)
         self.special = regex.compile("(" + "|".join(regex.escape(s) for s in vocabulary.special) + ")") if vocabulary.special else None
-        self.memo: dict[str, int] = {}
+        self.memo = Memo(MEMO)
 
     def _ranks(self, sym: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of the pair at each place (huge if none), and the place of its merge in the table."""
@@ -94,14 +94,12 @@ class Counter:
             parts.append(own)
             fixed.append(n)
         memo = self.memo
-        new = {p for own in parts for p in own if p not in memo}
-        if len(memo) + len(new) > MEMO:
-            memo.clear()
-            new = {p for own in parts for p in own}
-        if new:
-            fresh = list(new)
-            memo.update(zip(fresh, self.merged(fresh).tolist(), strict=True))
-        return [n + sum(map(memo.__getitem__, own)) for n, own in zip(fixed, parts, strict=True)]
+        fresh = memo.missing([p for own in parts for p in own])
+        if fresh:
+            memo.of.update(zip(fresh, self.merged(fresh).tolist(), strict=True))
+        found = [n + sum(map(memo.of.__getitem__, own)) for n, own in zip(fixed, parts, strict=True)]
+        memo.turn()
+        return found
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 512) -> DataFrame:

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from dataclasses import dataclass
 from functools import cache
@@ -71,10 +72,21 @@ def _late() -> str:
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs)
 
 
+# Numbers below U+0250 that are neither digits nor letters.
+_LATIN_NUMBERS = "²³¹¼½¾"
+
+
 class Splitter:
-    """Finds the matches of a pattern whose ``{L}``, ``{N}``, ``{S}``, ``{O}`` and ``{T}`` stand for a letter, a number, white space, anything else, and anything but white space."""
+    """Finds the matches of a pattern whose ``{L}``, ``{N}``, ``{S}``, ``{O}`` and ``{T}`` stand for a letter, a number, white space, anything else, and anything but white space.
+
+    Texts of characters below U+0250 go to the standard engine, for which the
+    classes are spelled out; others to the one that knows Unicode's properties.
+    """
 
     def __init__(self, pattern: str):
+        self.beyond = re.compile("[\u0250-\U0010ffff\x1c-\x1f]")  # the controls are white space for the standard engine only
+        self.latin = re.compile(pattern.format(
+            L=rf"[^\W\d_{_LATIN_NUMBERS}]", N=rf"[\d{_LATIN_NUMBERS}]", O=r"(?:[^\w\s]|_)", S=r"\s", T=r"\S"))
         late = _late()
         self.fast = regex.compile(pattern.format(L=r"[\p{L}]", N=r"[\p{N}]", O=rf"[^{WHITE}\p{{L}}\p{{N}}]", S=rf"[{WHITE}]", T=rf"[^{WHITE}]"))
         self.exact = self.fast
@@ -85,6 +97,32 @@ class Splitter:
                 L=rf"[\p{{L}}--[{late}]]", N=rf"[\p{{N}}--[{late}]]", O=rf"(?:[^{WHITE}\p{{L}}\p{{N}}]|[{late}])", S=rf"[{WHITE}]", T=rf"[^{WHITE}]"))
 
     def __call__(self, s: str) -> list[str]:
-        if s.isascii() or self.late is None or not self.late.search(s):
+        if not self.beyond.search(s):
+            return self.latin.findall(s)
+        if self.late is None or not self.late.search(s):
             return self.fast.findall(s)
         return self.exact.findall(s)
+
+
+class Memo:
+    """Results by word, in two generations: the older one goes when the newer has ``size`` entries, so frequent words stay."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.of: dict = {}
+        self.older: dict = {}
+
+    def missing(self, keys: list) -> list:
+        """The keys of neither generation; those of the older one move to the newer."""
+        out = []
+        for k in set(keys).difference(self.of):
+            if k in self.older:
+                self.of[k] = self.older.pop(k)
+            else:
+                out.append(k)
+        return out
+
+    def turn(self) -> None:
+        """To be called between texts: starts a new generation if this one is full."""
+        if len(self.of) >= self.size:
+            self.older, self.of = self.of, {}
