@@ -16,11 +16,12 @@ text's ids don't depend on other rows. Words of any length are encoded whole.
 """
 from __future__ import annotations
 
+import sys
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -28,11 +29,11 @@ from pyspark.sql import functions as F
 
 from martcraft.llm import text as T
 from martcraft.llm.tables import ship
-from martcraft.llm.vocab import WHITE, Splitter, Vocabulary, byte_symbols, read_vocabulary
+from martcraft.llm.vocab import Memo, Splitter, Vocabulary, byte_symbols, read_vocabulary
 
 # Fixed value: the word pattern of the vocabulary file.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|{L}+|{N}|{O}+"
-MEMO = 300_000
+MEMO = 200_000
 
 
 class Codec:
@@ -45,10 +46,8 @@ class Codec:
         self.last = [ids[c + vocabulary.suffix] for c in chars]
         self.ids = ids
         self.words = Splitter(PATTERN)
-        self.white = regex.compile(f"[{WHITE}]+")
         self.special = regex.compile("(" + "|".join(regex.escape(s) for s in vocabulary.special) + ")") if vocabulary.special else None
-        self.memo: dict[str, bytes] = {}
-        self.shown: dict[str, str] = {}
+        self.memo = Memo(MEMO)
 
     def merge(self, raw: bytes) -> list[int]:
         """The ids of one word."""
@@ -87,31 +86,26 @@ class Codec:
         return [s for s in sym if s >= 0]
 
     def _prepared(self, s: str) -> str:
-        s = self.white.sub(" ", unicodedata.normalize("NFC", s))
+        # White space runs need not become one space: the pattern's matches hold none.
+        s = unicodedata.normalize("NFC", s)
         return s.lower() if "Σ" not in s else "".join(c.lower() for c in s)
 
     def encode(self, text: str) -> tuple[bytes, str]:
-        """The ids as little-endian unsigned 32-bit integers, and the decoded text."""
-        memo, shown, out = self.memo, self.shown, []
+        """The ids as unsigned 32-bit integers of this machine's byte order, and the decoded text."""
+        memo, out = self.memo, []
         for i, part in enumerate(self.special.split(text) if self.special else [text]):
             if i % 2:
-                got = [part]
-                if part not in memo:
-                    memo[part] = np.array([self.ids[part]], dtype="<u4").tobytes()
-                    shown[part] = part
+                out.append(part)
+                memo.of[part] = array("I", [self.ids[part]]).tobytes(), part
             else:
                 got = self.words(self._prepared(part))
-                for w in got:
-                    if w not in memo:
-                        ids = self.merge(w.encode())
-                        memo[w] = np.array(ids, dtype="<u4").tobytes()
-                        shown[w] = self.decode(ids)
-            out += got
-        found = b"".join(map(memo.__getitem__, out)), " ".join(map(shown.__getitem__, out))
-        if len(memo) > MEMO:
-            memo.clear()
-            shown.clear()
-        return found
+                for w in memo.missing(got):
+                    ids = self.merge(w.encode())
+                    memo.of[w] = array("I", ids).tobytes(), self.decode(ids)
+                out += got
+        found = list(map(memo.of.__getitem__, out))
+        memo.turn()
+        return b"".join([b for b, _ in found]), " ".join([d for _, d in found])
 
     def decode(self, ids: list[int]) -> str:
         return " ".join([self.tokens[i] for i in ids])
@@ -131,6 +125,8 @@ def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
         for batch in batches:
             for s in T.slices(batch, "text"):
                 got = [codec.encode(t or "") for t in s.column("text").to_pylist()]
+                if sys.byteorder == "big":
+                    got = [(b"".join(b[i:i + 4][::-1] for i in range(0, len(b), 4)), d) for b, d in got]
                 yield pa.RecordBatch.from_arrays([
                     s.column("doc_id"), pa.array([len(b) // 4 for b, _ in got], pa.int64()),
                     pa.array([b for b, _ in got], pa.binary()), pa.array([d for _, d in got], pa.string()),
