@@ -165,6 +165,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     seqs = saved(src.mapInArrow(sequences, "id long, sig long, keys binary, sizes binary").dropDuplicates(["id", "sig"]), "lines")
     rare = seqs.mapInArrow(lines, "a long, b long, id long")
     first = rare.groupBy("a", "b").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").drop("last")
+    # Written, so that both sides of the join are plain shuffles and a very common line's part can be split.
+    first = saved(first, "first")
     pairs = rare.join(first, ["a", "b"]).where("id > first").select("id", "first").distinct()
     pairs = saved(pairs, "pairs")
     earlier = seqs.select(F.col("id").alias("first"), F.col("keys").alias("other"))

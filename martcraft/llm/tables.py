@@ -45,11 +45,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the folder of ``spark.checkpoint.dir`` and read it back.
 
     It cuts the lineage: after the loss of an executor, later steps read files
-    that all executors share.
+    that all executors share. What isn't dropped before goes when the driver's
+    file system closes.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
@@ -68,11 +71,6 @@ def text_bytes(df: DataFrame, column: str = "text") -> int:
     return df.agg(F.sum(F.octet_length(column))).first()[0] or 0
 
 
-def pieces(spark: SparkSession, nbytes: int, each: int) -> int:
-    """Partitions of about ``each`` bytes, and no fewer than there are cores."""
-    return max(spark.sparkContext.defaultParallelism, -(-nbytes // each))
-
-
 BLOCK_BYTES = 4 << 20
 
 
