@@ -45,7 +45,7 @@ from martcraft.llm.tables import dropped, saved, ship, text_bytes
 
 TILE = 256
 KEY_BYTES = 6
-CALL_ROWS = 8192
+CALL_ROWS = 2048
 SHARD_BYTES = 12 << 20
 
 
@@ -362,7 +362,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     linked = members.where("doc_id is not null and n_shingles > 0").join(comp, "cls", "left")
     group = F.coalesce("component", "cls")
     linked = linked.select("doc_id", "n_shingles", group.alias("g"))
-    least = linked.groupBy("g").agg(F.min("doc_id").alias("component_id"))
+    # Written, so that both sides of the join are plain shuffles and a large component's part can be split.
+    least = saved(linked.groupBy("g").agg(F.min("doc_id").alias("component_id")), "least")
     got = linked.join(least, "g").select("doc_id", "n_shingles", "component_id")
     rest = members.where("doc_id is null or n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return got.unionByName(rest)
