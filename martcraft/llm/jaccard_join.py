@@ -324,7 +324,8 @@ def _links(units: DataFrame, pool: DataFrame, percent: int, exact: bool) -> Data
         rows = rows.withColumn("call", F.pmod(F.xxhash64("unit", "t1", "t2"), F.lit(calls))).withColumn("inside", F.lit(inside))
         return rows.join(pool.select("cls", *columns), "cls").groupBy("call").applyInArrow(forests, "a long, b long")
 
-    count = units.groupBy("unit").agg(F.ceil(F.count("*") / TILE).alias("n_tiles"))
+    # Written, so that a large unit's part of the join can be split.
+    count = saved(units.groupBy("unit").agg(F.ceil(F.count("*") / TILE).alias("n_tiles")), "counts")
     tiles = units.join(count, "unit").selectExpr("unit", "cls", "cls as comp", "pmod(xxhash64(cls), n_tiles) as tile")
     tiles = saved(tiles, "tiles")
     each = tiles.groupBy("unit", "tile").agg(F.count("*").alias("n"))
