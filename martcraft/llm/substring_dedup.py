@@ -8,19 +8,22 @@ the index of all reference blocks at once:
    smallest hash among its word 5-grams). Consecutive windows with one
    minimizer form a phrase. Equal passages give equal phrases except at their
    two ends, whatever surrounds them. Each block sends each distinct phrase
-   once, with the smallest doc_id holding it, to the index shard of the
-   phrase's minimizer; a passage that a third of all documents share costs one
-   entry per block.
-2. *Look-up.* A shard answers, per block: this phrase stands in a smaller
-   document (a match, with that document as its source), or other phrases have
-   the same minimizer, so the match may go on beyond the phrase's border.
+   once, with the smallest doc_id holding it, to the index shard of the phrase's
+   content, and each distinct minimizer, with the least and the greatest of its
+   phrases, to the shard of the minimizer. So a passage or a word sequence that a
+   third of all documents share costs one entry or two per block, in whatever
+   company it stands.
+2. *Look-up.* Content shards answer, per block: this phrase stands in a smaller
+   document (a match, with that document as its source). Minimizer shards
+   answer: there are other phrases with it, so a match may go on beyond the
+   phrase's border.
 3. *Boundaries.* Only for phrases of the second kind the single windows are
    looked up, in the same way, by a 128-bit hash.
 4. *Factors.* Matched windows that follow each other form the longest factors,
    left to right; each is at least ``window`` words long, so its words are
    duplicates. Its source is the smallest document of its first window.
 
-A phrase is compared by 64 bits of its content beside 64 bits of its minimizer,
+A phrase is compared by 64 bits of its content beside 32 bits of its minimizer,
 a window by 128 bits of word hashes. Work and shuffles grow with the input; no
 step holds more than a block or an index shard.
 
@@ -42,8 +45,8 @@ from martcraft.llm import text as T
 from martcraft.llm.tables import blocks, saved, unpack
 
 GRAM = 5
-SHARD_BYTES = 12 << 20
-ENTRY = "shard long, block long, a binary, b binary, doc binary"
+SHARD_BYTES = 6 << 20
+ENTRY = "shard long, block long, a binary, b binary, doc binary"  # what a, b and doc are depends on the shard
 ANSWER = "block long, kind int, a binary, b binary, doc binary"
 MATCH, BORDER, WINDOW = 0, 1, 2
 _NONE = np.iinfo(np.int64).max
@@ -110,9 +113,9 @@ class _Parse:
         return at, T.mix(a), T.mix(b), np.repeat(self.doc[phrases], sizes)
 
 
-def _entries(block: int, shards: int, a: np.ndarray, b: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
-    """One row per shard with the entries that go there."""
-    shard = (a % T.U(shards)).astype(np.int64)
+def _entries(block: int, shards: int, a: np.ndarray, b: np.ndarray, doc: np.ndarray, first_shard: int = 0) -> pa.RecordBatch:
+    """One row per shard with the entries that go there, by ``a``."""
+    shard = (a % T.U(shards)).astype(np.int64) + first_shard
     order = np.argsort(shard, kind="stable")
     cut = np.flatnonzero(np.diff(shard[order])) + 1
     groups = np.split(order, cut) if len(order) else []
@@ -122,11 +125,11 @@ def _entries(block: int, shards: int, a: np.ndarray, b: np.ndarray, doc: np.ndar
     }, schema=pa.schema([("shard", pa.int64()), ("block", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("doc", pa.binary())]))
 
 
-def _gather(t: pa.Table) -> tuple[np.ndarray, ...]:
+def _gather(t: pa.Table, b_type: type, doc_type: type = np.int64) -> tuple[np.ndarray, ...]:
     """Entries of a shard: their block's place in the table, a, b and document."""
     a = [T.unplanes(x, T.U) for x in t.column("a").to_pylist()]
-    b = [T.unplanes(x, T.U) for x in t.column("b").to_pylist()]
-    doc = [T.unplanes(x, np.int64) for x in t.column("doc").to_pylist()]
+    b = [T.unplanes(x, b_type) for x in t.column("b").to_pylist()]
+    doc = [T.unplanes(x, doc_type) for x in t.column("doc").to_pylist()]
     return np.repeat(np.arange(len(a)), [len(x) for x in a]), np.concatenate(a), np.concatenate(b), np.concatenate(doc)
 
 
@@ -149,54 +152,62 @@ def _answers(t: pa.Table, src: np.ndarray, found: list[tuple[int, np.ndarray, np
     return pa.table(rows, schema=_ANSWER)
 
 
+def _least_documents(a: np.ndarray, b: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """For every entry the smallest document of its (a, b)."""
+    order = np.lexsort((doc, b, a))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (a[order[1:]] != a[order[:-1]]) | (b[order[1:]] != b[order[:-1]])
+    out = np.empty(len(order), dtype=np.int64)
+    out[order] = doc[order][new][np.cumsum(new) - 1]
+    return out
+
+
 def _match_phrases(t: pa.Table) -> pa.Table:
-    src, key, content, doc = _gather(t)
-    order = np.lexsort((doc, content, key))
-    k, c, d = key[order], content[order], doc[order]
-    new_key = np.ones(len(k), dtype=bool)
-    new_key[1:] = k[1:] != k[:-1]
-    new = new_key.copy()
-    new[1:] |= c[1:] != c[:-1]
-    phrase = np.cumsum(new) - 1
-    least = d[new]  # of each phrase
-    of_key = np.cumsum(new_key) - 1
-    key_of_phrase = of_key[new]
-    lowest = np.minimum.reduceat(least, np.flatnonzero(np.diff(key_of_phrase, prepend=-1)))
-    highest = np.maximum.reduceat(least, np.flatnonzero(np.diff(key_of_phrase, prepend=-1)))
-    source = np.empty(len(d), dtype=np.int64)
-    source[order] = least[phrase]
-    several = np.empty(len(d), dtype=bool)
-    several[order] = (lowest != highest)[of_key]
-    match = np.flatnonzero(doc > source)
-    border = np.flatnonzero((doc == source) & several)
-    return _answers(t, src, [(MATCH, match, key, content, source), (BORDER, border, key, content, source)])
+    """Answers of a content shard (a: content, b: part of the minimizer)."""
+    src, content, key, doc = _gather(t, np.uint32)
+    source = _least_documents(content, key, doc)
+    return _answers(t, src, [(MATCH, np.flatnonzero(doc > source), content, key, source)])
+
+
+def _match_minimizers(t: pa.Table) -> pa.Table:
+    """Answers of a minimizer shard (a: minimizer, b: content): those with several contents."""
+    src, key, content, _ = _gather(t, T.U, np.uint8)
+    order = np.lexsort((content, key))
+    k, c = key[order], content[order]
+    begin = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+    last = np.append(begin[1:], len(k)) - 1
+    several = np.empty(len(k), dtype=bool)
+    several[order] = np.repeat(c[begin] != c[last], last - begin + 1)
+    none = np.zeros(len(k), dtype=np.uint8)
+    return _answers(t, src, [(BORDER, np.flatnonzero(several), key, none, none)])
 
 
 def _match_windows(t: pa.Table) -> pa.Table:
-    src, a, b, doc = _gather(t)
-    order = np.lexsort((doc, b, a))
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = (a[order[1:]] != a[order[:-1]]) | (b[order[1:]] != b[order[:-1]])
-    source = np.empty(len(order), dtype=np.int64)
-    source[order] = doc[order][new][np.cumsum(new) - 1]
+    """Answers of a window shard (a, b: the window's hashes)."""
+    src, a, b, doc = _gather(t, T.U)
+    source = _least_documents(a, b, doc)
     return _answers(t, src, [(WINDOW, np.flatnonzero(doc > source), a, b, source)])
 
 
+_TYPES = {MATCH: (np.uint32, np.int64), BORDER: (np.uint8, np.uint8), WINDOW: (T.U, np.int64)}  # of b and doc in answers
+
+
 class _Look:
     """Answers of one kind as a sorted table of (a, b) with sources."""
 
     def __init__(self, t: pa.Table, kind: int):
         rows = [r for r in t.to_pylist() if r["kind"] == kind]
+        b_type, doc_type = _TYPES[kind]
         a = np.concatenate([T.unplanes(r["a"], T.U) for r in rows] or [np.zeros(0, dtype=T.U)])
-        b = np.concatenate([T.unplanes(r["b"], T.U) for r in rows] or [np.zeros(0, dtype=T.U)])
-        doc = np.concatenate([T.unplanes(r["doc"], np.int64) for r in rows] or [np.zeros(0, dtype=np.int64)])
-        both = a ^ (b * T.U(0x9E3779B97F4A7C15))
+        b = np.concatenate([T.unplanes(r["b"], b_type) for r in rows] or [np.zeros(0, dtype=b_type)])
+        doc = np.concatenate([T.unplanes(r["doc"], doc_type) for r in rows] or [np.zeros(0, dtype=doc_type)]).astype(np.int64)
+        both = a ^ (b.astype(T.U) * T.U(0x9E3779B97F4A7C15))
         order = np.argsort(both, kind="stable")
         self.both, self.doc = both[order], doc[order]
 
     def __call__(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether each (a, b) has an answer, and its source."""
-        both = a ^ (b * T.U(0x9E3779B97F4A7C15))
+        both = a ^ (b.astype(T.U) * T.U(0x9E3779B97F4A7C15))
         if len(self.both) == 0:
             return np.zeros(len(a), dtype=bool), np.full(len(a), _NONE)
         at = np.minimum(np.searchsorted(self.both, both), len(self.both) - 1)
@@ -207,10 +218,10 @@ class _Look:
 def _borders(p: _Parse, answers: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Phrases matched inside the block or by an answer, their sources, and phrases whose windows are looked up."""
     _, least = p.firsts(p.key, p.content, p.doc)
-    _, source = _Look(answers, MATCH)(p.key, p.content)
+    _, source = _Look(answers, MATCH)(p.content, p.key.astype(np.uint32))
     source = np.minimum(source, least)
     matched = source < p.doc
-    check, _ = _Look(answers, BORDER)(p.key, p.content)
+    check, _ = _Look(answers, BORDER)(p.key, np.zeros(len(p.key), dtype=np.uint8))
     return matched, source, np.flatnonzero(check & ~matched)
 
 
@@ -233,8 +244,16 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload"), strict=True):
                 p = _Parse(payload.as_buffer(), window)
                 if len(p.key):
-                    lead, _ = p.firsts(p.key, p.content, p.doc)
-                    yield _entries(block, shards, p.key[lead], p.content[lead], p.doc[lead])
+                    lead, _ = p.firsts(p.key, p.content, p.doc)  # in the order of minimizer and content
+                    key, content = p.key[lead], p.content[lead]
+                    yield _entries(block, shards, content, key.astype(np.uint32), p.doc[lead])
+                    begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+                    last = np.append(begin[1:], len(key)) - 1
+                    ends = np.concatenate([begin, last[last > begin]])
+                    yield _entries(block, shards, key[ends], content[ends], np.zeros(len(ends), dtype=np.uint8), shards)
+
+    def look_up(t: pa.Table) -> pa.Table:
+        return _match_phrases(t) if t.column("shard")[0].as_py() < shards else _match_minimizers(t)
 
     def boundaries(mine: pa.Table, answers: pa.Table) -> pa.Table:
         out = []
@@ -253,7 +272,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             out.append(_factored(_Parse(payload.as_buffer(), window), answers))
         return pa.Table.from_batches(out, schema=_RESULT)
 
-    phrases = saved(table.mapInArrow(index, ENTRY).groupBy("shard").applyInArrow(_match_phrases, ANSWER), "phrases")
+    phrases = saved(table.mapInArrow(index, ENTRY).groupBy("shard").applyInArrow(look_up, ANSWER), "phrases")
     asked = table.groupBy("block").cogroup(phrases.groupBy("block")).applyInArrow(boundaries, ENTRY)
     found = saved(asked.groupBy("shard").applyInArrow(_match_windows, ANSWER), "windows")
     return table.groupBy("block").cogroup(phrases.unionByName(found).groupBy("block")).applyInArrow(

@@ -71,7 +71,7 @@ def text_bytes(df: DataFrame, column: str = "text") -> int:
     return df.agg(F.sum(F.octet_length(column))).first()[0] or 0
 
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = BLOCK_BYTES) -> DataFrame:

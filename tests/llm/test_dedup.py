@@ -57,6 +57,27 @@ def test_substrings_short_window_and_one_block(spark, rows):
     assert by_id((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got) == by_id(brute.substring_dedup(rows, 6))
 
 
+def test_substrings_common_sequences(spark, monkeypatch):
+    """One sequence of words in many documents and company, over several blocks and shards."""
+    from martcraft.llm import substring_dedup, tables
+
+    monkeypatch.setattr(substring_dedup, "SHARD_BYTES", 4000)
+    monkeypatch.setattr(tables.blocks, "__defaults__", (*tables.blocks.__defaults__[:2], 1500))
+    r = random.Random(11)
+    common = [[f"c{k}{i}" for i in range(n)] for k, n in enumerate((5, 8, 12, 13, 15))]
+    rows = []
+    for i in range(120):
+        w = [f"x{r.randrange(400)}" for _ in range(r.randrange(5, 40))]
+        for c in r.sample(common, 2):
+            at = r.randrange(len(w))
+            w[at:at] = c + ([f"y{r.randrange(3)}"] if r.random() < 0.5 else [])
+        rows.append((r.randrange(1, 10**9), " ".join(w)))
+    got = dedup_substrings(frame(spark, rows, 4)).collect()
+    want = brute.substring_dedup(rows)
+    assert by_id((x.doc_id, x.n_words, x.n_removed, x.kept_text) for x in got) == by_id(want)
+    assert sum(x[2] for x in want) > 500
+
+
 def test_substrings_repeated_ids(spark):
     t = " ".join(f"a{i}" for i in range(20))
     rows = [(5, t), (5, t), (7, t + " tail"), (2, "short")]
