@@ -2,9 +2,11 @@
 
 1. Every document becomes the sequence of its lines' hashes (lines with a word,
    white space at both ends ignored).
-2. A line of at least ``rare_words`` words is rare enough to show an overlap. Its
-   smallest document stands for all its holders: each later holder is paired
-   with that one, so a line costs one pair per document however many share it.
+2. Every line files two runs of consecutive lines, of any length: the shortest
+   one from it onwards and the shortest one up to it that reach ``min_words``
+   words. Each block of ``min_words`` words is covered by runs inside it. A run's
+   smallest document stands for all its holders: each later holder is paired with
+   that one, so a run costs one pair per document however many share it.
 3. Each pair is aligned by patience diff on the hashes: common ends first, then
    the lines that stand once on both sides, in their longest increasing
    sequence, then the gaps between them in the same way. Of several longest
@@ -12,7 +14,10 @@
    document, and so on backwards.
 4. Runs of aligned lines, consecutive on both sides, are common blocks. Blocks of
    at least ``min_words`` words are deleted from the later document, with the
-   blank lines inside them. What several partners delete is united.
+   blank lines inside them. So is every filed run that stands whole in the
+   earlier document but not in the alignment, since that crosses it or has used
+   another copy. What several partners delete is united: all lines in a run of
+   ``min_words`` words that stands whole in any earlier document.
 
 Only hashes travel for pairing and alignment (16 bytes a line); texts are joined
 once, at the end, with their deletions.
@@ -122,6 +127,32 @@ def common_blocks(a: list[bytes], b: list[bytes], n_words: list[int], min_words:
     return out
 
 
+def shortest_runs(sizes: np.ndarray, offsets: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of the shortest runs of at least ``min_words`` words that begin or end at each line, inside the rows that ``offsets`` cut."""
+    n = len(sizes)
+    total = np.append(0, np.cumsum(sizes, dtype=np.int64))
+    at, rows = np.arange(n), np.diff(offsets)
+    first, end = np.repeat(offsets[:-1], rows), np.repeat(offsets[1:], rows)
+    to = np.searchsorted(total, total[:-1] + min_words)
+    since = np.searchsorted(total, total[1:] - min_words, side="right") - 1
+    on, back = to <= end, since >= first
+    runs = np.unique(np.stack([np.append(at[on], since[back]), np.append(to[on], at[back] + 1)], axis=1), axis=0)
+    return runs[:, 0], runs[:, 1]
+
+
+def held_runs(a: bytes, b: bytes, sizes: np.ndarray, min_words: int) -> set[int]:
+    """Places in ``a`` of the lines in shortest runs that stand whole in ``b``."""
+    out: set[int] = set()
+    held: dict[int, set[bytes]] = {}
+    for i, j in zip(*(x.tolist() for x in shortest_runs(sizes, np.array([0, len(sizes)]), min_words)), strict=True):
+        n = (j - i) * KEY
+        if n not in held:
+            held[n] = {b[k:k + n] for k in range(0, len(b) - n + 1, KEY)}
+        if a[i * KEY:j * KEY] in held[n]:
+            out.update(range(i, j))
+    return out
+
+
 def _signature(keys: bytes) -> int:
     """Tells apart rows that share an id."""
     return int.from_bytes(hashlib.blake2b(keys, digest_size=8).digest(), "little", signed=True)
@@ -131,7 +162,7 @@ def _split(b: bytes) -> list[bytes]:
     return [b[i:i + KEY] for i in range(0, len(b), KEY)]
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 10, rare_words: int = 5) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 10) -> DataFrame:
     """The rows of ``docs`` with ``text_col`` replaced by what is kept, and the columns
     ``n_lines long, n_removed_lines long, n_removed_words long`` (lines with a word).
 
@@ -152,22 +183,25 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                                  names=["id", "sig", "keys", "sizes"])
                 yield out.filter(pa.array([len(k) > 0 for k in keys]))
 
-    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.frombuffer(b"".join(batch.column("keys").to_pylist()), dtype=np.int64).reshape(-1, 2)
+            of = batch.column("keys").to_pylist()
+            keys = np.frombuffer(b"".join(of), dtype=np.uint64).reshape(-1, 2)
             sizes = np.frombuffer(b"".join(batch.column("sizes").to_pylist()), dtype=np.int32)
-            ids = np.repeat(batch.column("id").to_numpy(), [len(k) // KEY for k in batch.column("keys").to_pylist()])
-            use = sizes >= rare_words
-            yield pa.RecordBatch.from_arrays([pa.array(keys[use, 0]), pa.array(keys[use, 1]), pa.array(ids[use])], names=["a", "b", "id"])
+            offsets = np.append(0, np.cumsum([len(k) // KEY for k in of]))
+            i, j = shortest_runs(sizes, offsets, min_words)
+            ids = batch.column("id").to_numpy()[np.searchsorted(offsets, i, side="right") - 1]
+            a, b = (T.span_hashes(np.ascontiguousarray(keys[:, c]), i, j).view(np.int64) for c in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(ids)], names=["a", "b", "id"])
 
     seqs = saved(src.mapInArrow(sequences, "id long, sig long, keys binary, sizes binary").dropDuplicates(["id", "sig"]), "lines")
-    rare = seqs.mapInArrow(lines, "a long, b long, id long")
-    first = rare.groupBy("a", "b").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").drop("last")
-    # Written, so that both sides of the join are plain shuffles and a very common line's part can be split.
+    filed = seqs.mapInArrow(runs, "a long, b long, id long")
+    first = filed.groupBy("a", "b").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").drop("last")
+    # Written, so that both sides of the join are plain shuffles and a very common run's part can be split.
     first = saved(first, "first")
-    pairs = rare.join(first, ["a", "b"]).where("id > first").select("id", "first").distinct()
+    pairs = filed.join(first, ["a", "b"]).where("id > first").select("id", "first").distinct()
     pairs = saved(pairs, "pairs")
     earlier = seqs.select(F.col("id").alias("first"), F.col("keys").alias("other"))
     aligned = pairs.join(earlier, "first").join(seqs, "id")
@@ -176,7 +210,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in batches:
             out: dict[str, list] = {"id": [], "sig": [], "gone": []}
             for i, sig, keys, sizes, other in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
-                gone = common_blocks(_split(keys), _split(other), np.frombuffer(sizes, dtype=np.int32).tolist(), min_words)
+                n_words = np.frombuffer(sizes, dtype=np.int32)
+                gone = sorted(held_runs(keys, other, n_words, min_words).union(common_blocks(_split(keys), _split(other), n_words.tolist(), min_words)))
                 if gone:
                     out["id"].append(i)
                     out["sig"].append(sig)

@@ -1,0 +1,83 @@
+"""Line dedup against a brute force over all pairs of documents."""
+import random
+
+import brute
+import pytest
+from martcraft.llm.line_dedup import dedup_lines
+
+
+def lines_of(text):
+    return [(x.strip(" \t\n\r\x0b\x0c"), k, len(brute.words(x))) for k, x in enumerate((text or "").split("\n")) if brute.words(x)]
+
+
+def all_pairs(rows, min_words=10):
+    """(id, kept text, lines, removed lines) per row: every document is compared with every earlier one."""
+    out = []
+    for i, t in rows:
+        s, gone = lines_of(t), set()
+        for j, u in rows:
+            if i is None or j is None or j >= i:
+                continue
+            o = lines_of(u)
+            for p in range(len(s)):
+                for q in range(len(o)):
+                    n = 0  # the longest common block from here
+                    while p + n < len(s) and q + n < len(o) and s[p + n][0] == o[q + n][0]:
+                        n += 1
+                    if sum(x[2] for x in s[p:p + n]) >= min_words:
+                        gone |= set(range(p, p + n))
+            run, at = [], (-5, -5)  # what any alignment of the pair deletes is among them
+            for p, q in [*brute._patience([x[0] for x in s], [x[0] for x in o]), (-9, -9)]:
+                if (p, q) != (at[0] + 1, at[1] + 1):
+                    assert sum(s[z][2] for z in run) < min_words or set(run) <= gone
+                    run = []
+                run.append(p)
+                at = (p, q)
+        drop = {s[g][1] for g in gone}
+        for g in gone:
+            if g + 1 in gone:
+                drop |= set(range(s[g][1], s[g + 1][1]))
+        out.append((i, None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in drop), len(s), len(gone)))
+    return out
+
+
+def shuffled_lines(seed, n=40):
+    """Documents of few different lines, of one word to twelve, in passages, crossed, repeated and with blank lines."""
+    r = random.Random(seed)
+    line = [" ".join(f"w{k}x{i}" for i in range(r.choice([1, 2, 3, 4, 6, 9, 10, 12]))) for k in range(30)]
+    passages = [[r.choice(line) for _ in range(r.randrange(1, 7))] for _ in range(8)]
+    rows = []
+    for i in range(n):
+        parts = [x for _ in range(r.randrange(5)) for x in (r.choice(passages) if r.random() < 0.5 else [r.choice(line), f"own {i}"])]
+        rows.append((i * 7 + 2, "\n".join(x + r.choice(["", "", " ", "\n"]) for x in parts)))
+    r.shuffle(rows)
+    return [*rows, (None, rows[0][1]), (900, None)]
+
+
+def check(spark, rows):
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    want = all_pairs(rows)
+    key = lambda x: (x[0] is None, x[0] or 0)
+    assert sorted(((r.doc_id, r.text, r.n_lines, r.n_removed_lines) for r in got), key=key) == sorted(want, key=key)
+    return {i: n for i, _, _, n in want}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_all_pairs(spark, seed):
+    assert sum(check(spark, shuffled_lines(seed)).values()) > 50
+
+
+def test_partners_beyond_the_first_holder_and_short_lines(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(6)) for x in "abc")
+    long = " ".join(f"l{i}" for i in range(12))
+    short = "\n".join(f"s{i} t{i}" for i in range(6))
+    rows = [(1, f"{a}\nx"), (2, f"{b}\ny"), (3, f"{a}\n{b}"), (4, f"own\n{a}\n{b}"),  # only document 3 has both lines together
+            (11, short), (12, f"z\n{short}\nq"),  # twelve words in lines of two
+            (21, f"{long}\n{c}\nu {c}"), (22, f"{c}\nu {c}\n{long}")]  # crossed
+    removed = check(spark, rows)
+    assert (removed[4], removed[12], removed[22]) == (2, 6, 3)
+
+
+def test_documents(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    assert sum(check(spark, rows).values()) > 0
