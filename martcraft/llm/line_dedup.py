@@ -11,7 +11,8 @@
    the lines that stand once on both sides, in their longest increasing
    sequence, then the gaps between them in the same way. Of several longest
    sequences the one is taken whose last line stands earliest in the earlier
-   document, and so on backwards.
+   document, and so on backwards. A gap where no line stands once on both sides
+   is aligned by an ordinary longest common subsequence.
 4. Runs of aligned lines, consecutive on both sides, are common blocks. Blocks of
    at least ``min_words`` words are deleted from the later document, with the
    blank lines inside them. So is every filed run that stands whole in the
@@ -68,6 +69,52 @@ def line_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], np.nd
     return [keys[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:], strict=True)], row, number[first], last - first
 
 
+def _steps(a: list[bytes], b: list[bytes]) -> Iterator[int]:
+    """After each line of ``a`` the places of ``b`` as bits, 0 where the common subsequence gets longer by that place."""
+    mask: dict[bytes, int] = {}
+    for j, x in enumerate(b):
+        mask[x] = mask.get(x, 0) | 1 << j
+    v = full = (1 << len(b)) - 1
+    for x in a:
+        u = v & mask.get(x, 0)
+        v = (v + u | v - u) & full
+        yield v
+
+
+def _lengths(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """Length of the longest common subsequence of ``a`` with each beginning of ``b``."""
+    for v in _steps(a, b):
+        pass
+    bits = np.unpackbits(np.frombuffer(v.to_bytes(len(b) // 8 + 1, "little"), dtype=np.uint8), count=len(b), bitorder="little")
+    return np.append(0, np.cumsum(1 - bits.astype(np.int64)))
+
+
+def longest_common(a: list[bytes], b: list[bytes], bits: int = 1 << 28) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence, by bit vectors; halved (Hirschberg) where they would take more than ``bits``."""
+    out: list[tuple[int, int]] = []
+    work = [(0, len(a), 0, len(b))]
+    while work:
+        i, i2, j, j2 = work.pop()
+        if i == i2 or j == j2:
+            continue
+        if (i2 - i) * (j2 - j) > bits and i2 - i > 1:
+            half = (i + i2) // 2
+            k = j + int(np.argmax(_lengths(a[i:half], b[j:j2]) + _lengths(a[half:i2][::-1], b[j:j2][::-1])[::-1]))
+            work += [(i, half, j, k), (half, i2, k, j2)]
+            continue
+        rows = list(_steps(a[i:i2], b[j:j2]))
+        x, y = len(rows), j2 - j
+        while x and y:
+            if rows[x - 1] >> y - 1 & 1:
+                y -= 1
+                continue
+            x -= 1
+            if not x or rows[x - 1] >> y - 1 & 1:
+                y -= 1
+                out.append((i + x, j + y))
+    return sorted(out)
+
+
 def patience(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
     """Places of aligned lines of ``a`` and ``b``, in order."""
     out: list[tuple[int, int]] = []
@@ -102,6 +149,7 @@ def patience(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
             chain.append(node[:2])
             node = node[2]
         if not chain:
+            out += [(i + x, j + y) for x, y in longest_common(a[i:i2], b[j:j2])]
             continue
         chain.reverse()
         x, y = i, j

@@ -3,7 +3,7 @@ import random
 
 import brute
 import pytest
-from martcraft.llm.line_dedup import dedup_lines
+from martcraft.llm.line_dedup import dedup_lines, longest_common, patience
 
 
 def lines_of(text):
@@ -81,3 +81,33 @@ def test_partners_beyond_the_first_holder_and_short_lines(spark):
 def test_documents(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     assert sum(check(spark, rows).values()) > 0
+
+
+def test_longest_common_subsequence():
+    r = random.Random(5)
+    for k in range(400):
+        a, b = ([r.choice("abcde") for _ in range(r.randrange(1, 14))] for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a)):
+            for j in range(len(b)):
+                best[i + 1][j + 1] = best[i][j] + 1 if a[i] == b[j] else max(best[i][j + 1], best[i + 1][j])
+        got = longest_common(a, b, r.choice([4, 1 << 28]))
+        assert len(got) == best[-1][-1]
+        assert all(a[i] == b[j] for i, j in got)
+        assert all(p < q and s < t for (p, s), (q, t) in zip(got, got[1:], strict=False))
+
+
+def test_gap_without_unique_lines():
+    assert len(patience(list("pLqLr"), list("xLy"))) == 1
+    assert [j for _, j in patience(list("pLMqLMr"), list("xLMy"))] == [1, 2]
+    assert len(patience(["x", "L"] * 3000 + ["y"], ["z"] + ["L", "w", "L"] * 2000)) == 3000
+
+
+def test_repeated_passages(spark):
+    passage = " ".join(f"l{i}" for i in range(60))
+    two = "\n".join(" ".join(f"m{k}{i}" for i in range(6)) for k in range(2))
+    rows = [(1, f"x\n{passage}\ny"), (2, f"p\n{passage}\nq\n{passage}\nr"),  # twice in the later document
+            (3, f"x3\n{two}\ny3\n{two}\nz3"), (4, f"p4\n{two}\nq4"),  # twice in the first holder
+            (5, f"a\n{two}\nb\n{passage}\nc\n{two}\n{passage}")]
+    removed = check(spark, rows)
+    assert (removed[2], removed[4], removed[5]) == (2, 2, 6)
