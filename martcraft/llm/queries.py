@@ -56,13 +56,13 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Categories: toxic, toxic in good prose, toxic in junk (from the two label columns)."""
+    """Categories: toxic in good prose, toxic in junk, and last, with their logits, toxic (from the two label columns)."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     toxic, good = F.col("toxic"), F.col("quality")
     chain = toxicity.train_chain(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"),
-                                 {"toxic": toxic, "toxic_prose": toxic * good, "toxic_junk": toxic * (1 - good)})
+                                 {"toxic_prose": toxic * good, "toxic_junk": toxic * (1 - good), "toxic": toxic})
     got = toxicity.score_toxicity(docs, chain)
-    return got.select("doc_id", F.col("is_toxic").alias("toxic"), *(F.round(f"p_{c}", 6).alias(f"p_{c}") for c in chain.categories))
+    return got.select("doc_id", *(F.col(f"is_{c}").alias(c) for c in reversed(chain.categories)), *(F.round(f"p_{c}", 6).alias(f"p_{c}") for c in chain.categories))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
