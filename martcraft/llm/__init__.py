@@ -1,4 +1,4 @@
-"""Training-data operators: mixing, search, deduplication, tokens, extraction and filtering.
+"""Training-data operators: mixing, search, deduplication, tokens, alignment, extraction and filtering.
 
 Each module holds one operator with its own general interface; ``queries``
 derives the registered ``opN_*`` queries from them. Nothing outside this

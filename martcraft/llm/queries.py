@@ -12,9 +12,12 @@ from martcraft.llm.html_extract import extract_main_text
 from martcraft.llm.jaccard_join import jaccard_components
 from martcraft.llm.line_dedup import dedup_lines
 from martcraft.llm.mixing import mix_sources
+from martcraft.llm.periodic_runs import find_runs
 from martcraft.llm.substring_dedup import dedup_substrings
+from martcraft.llm.token_align import align_tokens
 from martcraft.llm.token_count import count_tokens
 from martcraft.llm.topk import top_k
+from martcraft.llm.url_filter import filter_urls, rule_table
 
 
 def tokenizer_file(name: str) -> str:
@@ -78,6 +81,40 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+# The rules that the query's contract names.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return filter_urls(pages, rule_table(spark, URL_RULES)).drop("url")
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: of every document whose id's CRC-32 is divisible by ten, the words from one place on repeat, as the query's contract says."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g, w = F.floor(h / 10).cast("long"), F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    d = docs.select("doc_id", "text", g.alias("g"), F.when(h % 10 == 0, w).alias("w"))
+    d = d.withColumn("n", F.size("w").cast("long")).withColumn("a", F.expr("if(n > 0, g % n, null)"))
+    d = d.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    return d.selectExpr("doc_id", "if(n > 0, array_join(transform(sequence(0L, n - 1), i -> w[cast(if(i < a, i, a + (i - a) % p) as int)]), ' '), text) as text")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = find_runs(with_planted_periods(spark.read.parquet(f"{sf_dir}/documents.parquet")), min_length=24, exponent=3)
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(line, "\n"), F.lit("\n"))).otherwise("")
+    return got.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+                      F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = align_tokens(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+    return got.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                      F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_topk_search": op2_topk_search,
@@ -89,6 +126,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe_codec": op10_bpe_codec,
+    "op11_url_filter": op11_url_filter,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_token_alignment": op13_token_alignment,
 }
 _MIXING_SQL = r"""
 with recursive t as (
@@ -171,5 +211,20 @@ select d.doc_id, cast(coalesce(any_value(n.n), 0) as bigint) as n_shingles, min(
 from d join reach on reach.r = d.r join d y on y.r = reach.x left join n on n.r = d.r group by d.r, d.doc_id
 """
 
+_URL_SQL = r"""
+with u as (
+  select row_number() over () as r, page_id,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') as path
+  from pages),
+rules(h, p, v) as (
+  values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+best as (
+  select r, max_by(h || p, length(h || p)) as rule, max_by(v, length(h || p)) as v
+  from u join rules on (host = h or ends_with(host, '.' || h)) and starts_with(path, p) group by r)
+select page_id, host, path, rule, coalesce(v, 'allow') as verdict from u left join best using (r)
+"""
+
 ORACLE: dict[str, str] = {
+    "op11_url_filter": _URL_SQL,
     "op1_source_mixing": _MIXING_SQL, "op2_topk_search": _TOPK_SQL, "op3_substring_dedup": _SUBSTRING_SQL, "op6_jaccard_join": _JACCARD_SQL}
