@@ -11,10 +11,14 @@ from martcraft.llm.tables import dropped, saved, ship
 
 
 HELD = 500_000
+_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replace the edges of a task, ``HELD`` nodes at a time, by a star per component of theirs."""
+def _contract(batches: Iterator[pa.RecordBatch], whole: bool = False) -> Iterator[pa.RecordBatch]:
+    """Replace the edges of a task, ``HELD`` nodes at a time, by a star per component of theirs.
+
+    ``whole``: centres get a row too.
+    """
     parent: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -26,10 +30,9 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return root
 
     def stars() -> pa.RecordBatch:
-        found = [(x, r) for x in list(parent) if (r := find(x)) != x]
+        found = [(x, r) for x in list(parent) if (r := find(x)) != x or whole]
         parent.clear()
-        return pa.RecordBatch.from_pydict({"a": [x for x, _ in found], "b": [r for _, r in found]},
-                                          schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+        return pa.RecordBatch.from_pydict({"a": [x for x, _ in found], "b": [r for _, r in found]}, schema=_PAIR)
 
     for batch in batches:
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -41,24 +44,34 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield stars()
 
 
+def _contract_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rb in _contract(batches, whole=True):
+        yield rb.rename_columns(["node", "component"])
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for every end of an edge; the component is its smallest node.
 
-    ``edges`` has two long columns. Each round turns stars to ever smaller
-    centres: every node's larger neighbours go to the smallest neighbour, then
-    its smaller ones do (the alternating star algorithm; its rounds grow with
-    the logarithm of the size). A node's neighbours are reduced by a partial
-    aggregate, and the join back may be split where one centre has many rows.
-    Loops, repeated edges and null ends are ignored; an empty table gives none.
+    ``edges`` has two long columns. Tasks contract their edges to stars, then once
+    more in as few tasks as hold ``HELD`` nodes each; if that is one, its stars are
+    the components. Else each round turns stars to ever smaller centres: every node's
+    larger neighbours go to the smallest neighbour, then its smaller ones do (the
+    alternating star algorithm; its rounds grow with the logarithm of the size). A
+    node's neighbours are reduced by a partial aggregate, and the join back may be
+    split where one centre has many rows. Loops, repeated edges and null ends are
+    ignored; an empty table gives none.
     """
     ship(edges.sparkSession)
     a, b = edges.columns
     e = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b")
-    # Contracting again behind a shuffle finishes graphs that fit one task.
-    e = e.mapInArrow(_contract, "a long, b long").distinct().mapInArrow(_contract, "a long, b long")
-    e = saved(e.distinct(), "edges")
-    if e.isEmpty():
-        return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    e = saved(e.mapInArrow(_contract, "a long, b long"), "edges")
+    tasks = -(-2 * e.count() // HELD)
+    if tasks <= 1:
+        return e.coalesce(1).mapInArrow(_contract_whole, "node long, component long")
+    was_at = e
+    fewer = saved(e.coalesce(tasks).mapInArrow(_contract, "a long, b long").distinct(), "edges")
+    dropped(e)
+    e = fewer
 
     def mark(t: DataFrame) -> tuple:
         return tuple(t.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())

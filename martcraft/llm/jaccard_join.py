@@ -19,7 +19,7 @@ compared by Hamming distance, and those that pass, directly or by others, form
 a cluster; inside clusters they are compared exactly. Both steps work alike:
 a group or cluster is cut into tiles of bounded size, and pairs of tiles are
 compared inside tasks. In round one each tile meets itself and the first tile;
-then classes are dealt anew by the component found so far, and in round two all
+if a component doesn't hold the whole unit then, classes are dealt anew by the component found so far, and in round two all
 other pairs of tiles meet, except tiles that lie in one component already. A
 pair of tiles emits the edges of a spanning forest only, so the rows grow with
 the classes and not with the pairs.
@@ -155,8 +155,8 @@ def _folded(bits: np.ndarray, words: int) -> np.ndarray:
     return bits
 
 
-def _forest(rows: list[dict], pairs_inside: bool, percent: int, exact: bool) -> list[tuple[int, int]]:
-    """Links between the classes of one tile, or of two, as a spanning forest: by Hamming distance, or exactly too."""
+def _forest(rows: list[dict], percent: int, exact: bool) -> list[tuple[int, int]]:
+    """Links between the classes of one tile, or of two (then from one to the other), as a spanning forest: by Hamming distance, or exactly too."""
     rows.sort(key=lambda r: (r["tile"], r["size"], r["cls"]))
     size = np.array([r["size"] for r in rows], dtype=np.int64)
     bits = [np.frombuffer(r["bits"], dtype=T.U) for r in rows]
@@ -175,11 +175,12 @@ def _forest(rows: list[dict], pairs_inside: bool, percent: int, exact: bool) ->
         return i
 
     tile = np.array([r["tile"] for r in rows])
+    inside = tile[0] == tile[-1]
     edges = []
     for i in range(1, len(rows)):
         before = np.arange(i)
         small = np.minimum(size[:i], size[i])
-        ok = (100 * small >= percent * np.maximum(size[:i], size[i])) & (pairs_inside | (tile[:i] != tile[i]))
+        ok = (100 * small >= percent * np.maximum(size[:i], size[i])) & (inside | (tile[:i] != tile[i]))
         before = before[ok]
         if not len(before):
             continue
@@ -198,6 +199,7 @@ def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 _EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_UNIT = pa.schema([("unit", pa.int64()), ("cls", pa.int64()), ("n_tiles", pa.int64())])
 
 
 def _edges_table(edges: list[tuple[int, int]]) -> pa.Table:
@@ -263,11 +265,11 @@ def link_classes(docs: DataFrame, id_col: str, text_col: str, n: int, percent: i
         keep = np.zeros(len(many), dtype=bool)
         keep[first] = True
         rows = np.repeat(keep, size[many])
-        return pa.table({"unit": np.repeat(group, size[many])[rows].view(np.int64), "cls": cls[at][rows]}, schema=pa.schema([("unit", pa.int64()), ("cls", pa.int64())]))
+        return pa.table({"unit": np.repeat(group, size[many])[rows].view(np.int64), "cls": cls[at][rows], "n_tiles": np.repeat(-(-size[many] // TILE), size[many])[rows]}, schema=_UNIT)
 
     members = saved(src.mapInArrow(classes, "doc_id long, n_shingles long, cls long"), "classes")
     dealt = src.mapInArrow(keys, "shard long, classes binary, key binary, code binary")
-    groups = saved(dealt.groupBy("shard").applyInArrow(shared, "unit long, cls long").distinct(), "groups")
+    groups = saved(dealt.groupBy("shard").applyInArrow(shared, "unit long, cls long, n_tiles long").distinct(), "groups")
 
     # One text of each class in a group, as its set and parity bits.
     leads = members.where("doc_id is not null and n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("id"))
@@ -277,19 +279,24 @@ def link_classes(docs: DataFrame, id_col: str, text_col: str, n: int, percent: i
         for batch in batches:
             for s in T.slices(batch, "text"):
                 g, off = shingle_sets(*T.utf8(s.column("text")), n)
+                own = class_of(g, off) == s.column("cls").to_numpy()  # rows with one doc_id may hold different texts
+                size = np.diff(off)
+                g, off = g[np.repeat(own, size)], np.append(0, np.cumsum(size[own]))
+                s = s.filter(pa.array(own))
                 each = [g[i:j] for i, j in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_pydict({
-                    "cls": s.column("cls"), "found": pa.array(class_of(g, off)), "size": np.diff(off),
+                    "cls": s.column("cls"), "size": np.diff(off),
                     "bits": pa.array([parity(x).tobytes() for x in each], pa.binary()), "grams": pa.array([x.tobytes() for x in each], pa.binary())})
 
     pool = src.where("id is not null").join(wanted, "id").select("cls", "text").mapInArrow(
-        sets, "cls long, found long, size long, bits binary, grams binary")
-    # Rows with one doc_id may hold different texts; only the class's own text counts, once.
-    pool = saved(pool.where("found = cls").drop("found").dropDuplicates(["cls"]), "sets")
+        sets, "cls long, size long, bits binary, grams binary")
+    # A class whose text stands in several rows of one doc_id may be there more than once; its edges to itself are ignored.
+    pool = saved(pool, "sets")
 
     near = _links(groups, pool, percent, exact=False)
-    clusters = connected_components(near).select(F.col("node").alias("cls"), F.col("component").alias("unit"))
-    clusters = saved(clusters, "clusters")
+    comp = saved(connected_components(near).select(F.col("node").alias("cls"), F.col("component").alias("unit")), "clusters")
+    sizes = comp.groupBy("unit").agg(F.ceil(F.count("*") / TILE).alias("n_tiles"))
+    clusters = saved(comp.join(sizes, "unit").select("unit", "cls", "n_tiles"), "clusters")
     links = _links(clusters, pool, percent, exact=True)
     comp = saved(connected_components(links), "components")
     for t in (pool, clusters, groups):
@@ -300,8 +307,8 @@ def link_classes(docs: DataFrame, id_col: str, text_col: str, n: int, percent: i
 def _links(units: DataFrame, pool: DataFrame, percent: int, exact: bool) -> DataFrame:
     """Edges that connect, in every unit, all classes whose pairs pass, directly or by others.
 
-    ``units`` has ``(unit, cls)``; a class may be in several. Without ``exact``
-    pairs pass by Hamming distance.
+    ``units`` has ``(unit, cls, n_tiles)``, the last by the unit's size; a class may be
+    in several. Without ``exact`` pairs pass by Hamming distance.
     """
 
     columns = ["size", "bits", "grams"] if exact else ["size", "bits"]
@@ -310,48 +317,48 @@ def _links(units: DataFrame, pool: DataFrame, percent: int, exact: bool) -> Data
         t = t.sort_by([("unit", "ascending"), ("t1", "ascending"), ("t2", "ascending")])
         keys = np.stack([t.column(c).to_numpy() for c in ("unit", "t1", "t2")])
         cut = np.append(np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0))), t.num_rows)
-        inside, t = t.column("inside")[0].as_py(), t.select(["cls", "comp", "tile", *columns])
+        t = t.select(["cls", "comp", "tile", *columns])
         edges = []
         for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-            edges += _forest(t.slice(i, j - i).to_pylist(), inside, percent, exact)
+            if j > i + 1:
+                edges += _forest(t.slice(i, j - i).to_pylist(), percent, exact)
         return _edges_table(edges)
 
-    def compare(tiles: DataFrame, pairs: DataFrame, inside: bool) -> DataFrame:
-        """Edges between the two tiles of each (unit, t1, t2); a call gets many of them, up to about ``CALL_ROWS`` rows."""
-        sides = pairs.select("unit", "t1", "t2", F.explode(F.array_distinct(F.array("t1", "t2"))).alias("tile"))
-        rows = saved(sides.join(tiles, ["unit", "tile"]), "sides")
-        calls = max(1, -(-rows.count() // CALL_ROWS))
-        rows = rows.withColumn("call", F.pmod(F.xxhash64("unit", "t1", "t2"), F.lit(calls))).withColumn("inside", F.lit(inside))
+    def compare(rows: DataFrame, n: int) -> DataFrame:
+        """Edges between the two tiles of each (unit, t1, t2), or inside one; a call gets many of them, up to about ``CALL_ROWS`` rows."""
+        rows = rows.withColumn("call", F.pmod(F.xxhash64("unit", "t1", "t2"), F.lit(max(1, -(-n // CALL_ROWS)))))
         return rows.join(pool.select("cls", *columns), "cls").groupBy("call").applyInArrow(forests, "a long, b long")
 
-    # Written, so that a large unit's part of the join can be split.
-    count = saved(units.groupBy("unit").agg(F.ceil(F.count("*") / TILE).alias("n_tiles")), "counts")
-    tiles = units.join(count, "unit").selectExpr("unit", "cls", "cls as comp", "pmod(xxhash64(cls), n_tiles) as tile")
-    tiles = saved(tiles, "tiles")
-    each = tiles.groupBy("unit", "tile").agg(F.count("*").alias("n"))
-    zero = compare(tiles, each.where("n > 1 or tile > 0").selectExpr("unit", "0L as t1", "tile as t2"), True)
-    alone = compare(tiles, each.where("n > 1 and tile > 0").selectExpr("unit", "tile as t1", "tile as t2"), True)
-    first = saved(zero.unionByName(alone), "links")
+    # Each row goes to its own tile's meetings; the first tile meets all others, so it is repeated as often as there are tiles.
+    meets = """if(tile = 0, transform(sequence(0L, n_tiles - 1), t -> struct(0L as t1, t as t2)), array(struct(0L as t1, tile as t2), struct(tile as t1, tile as t2)))"""
+    tiles = units.selectExpr("unit", "cls", "cls as comp", "pmod(xxhash64(cls), n_tiles) as tile", "n_tiles")
+    tiles = tiles.select("unit", "cls", "comp", "tile", F.explode(F.expr(meets)).alias("m")).select("unit", "cls", "comp", "tile", "m.t1", "m.t2")
+    total = units.agg(F.sum(F.expr("if(n_tiles = 1, 1, 3)")), F.max("n_tiles")).first()
+    first = saved(compare(tiles, total[0] or 0), "links")
+    if (total[1] or 0) <= 1:
+        return first
 
     # Units of several tiles, dealt anew: large components in tiles of their own, the others mixed.
-    large = saved(units.join(count.where("n_tiles > 1"), "unit").select("unit", "cls"), "large")
-    if large.isEmpty():
-        return first
-    comp = connected_components(first)
-    t = large.join(comp.withColumnRenamed("node", "cls"), "cls", "left").select("unit", "cls", F.coalesce("component", "cls").alias("comp"))
+    comp = connected_components(first).withColumnRenamed("node", "cls")
+    t = units.where("n_tiles > 1").select("unit", "cls").join(comp, "cls", "left").select("unit", "cls", F.coalesce("component", "cls").alias("comp"))
+    t = saved(t, "large")
     size = t.groupBy("unit", "comp").agg(F.count("*").alias("n"))
     rest = size.groupBy("unit").agg(F.sum(F.expr(f"if(n < {TILE}, n, 0)")).alias("rest"), F.count("*").alias("comps")).where("comps > 1")
-    again = t.join(size.join(rest, "unit"), ["unit", "comp"]).selectExpr(
+    size = saved(size.join(rest, "unit"), "sizes")
+    if size.isEmpty():
+        return first
+    again = t.join(size, ["unit", "comp"]).selectExpr(
         "unit", "cls", "comp",
         f"if(n < {TILE}, pmod(xxhash64(cls), ceil(rest / {TILE})), xxhash64(comp, pmod(xxhash64(cls), ceil(n / {TILE})))) as tile")
     again = saved(again, "tiles")
-    sides = again.groupBy("unit", "tile").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    pairs = sides.selectExpr("unit", "tile as t1", "lo", "hi").join(
-        sides.selectExpr("unit", "tile as t2", "lo as lo2", "hi as hi2"), "unit").where(
-        "t1 < t2 and not (lo = hi and lo2 = hi2 and lo = lo2)").select("unit", "t1", "t2")
-    inner = sides.where("lo <> hi").selectExpr("unit", "tile as t1", "tile as t2")
-    more = compare(again, pairs, False).unionByName(compare(again, inner, True))
-    return saved(first.unionByName(more), "links")
+    sides = saved(again.groupBy("unit", "tile").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")), "tiles")
+    pairs = sides.selectExpr("unit", "tile as t1", "lo", "hi", "n as n1").join(
+        sides.selectExpr("unit", "tile as t2", "lo as lo2", "hi as hi2", "n as n2"), "unit").where(
+        "t1 <= t2 and not (lo = hi and lo2 = hi2 and lo = lo2)").selectExpr("unit", "t1", "t2", "if(t1 = t2, n1, n1 + n2) as n")
+    pairs = saved(pairs, "pairs")
+    n = pairs.agg(F.sum("n")).first()[0] or 0
+    sides = pairs.select("unit", "t1", "t2", F.explode(F.array_distinct(F.array("t1", "t2"))).alias("tile"))
+    return saved(first.unionByName(compare(sides.join(again, ["unit", "tile"]), n)), "links")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, percent: int = 90) -> DataFrame:
