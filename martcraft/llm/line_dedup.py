@@ -14,11 +14,13 @@
    document, and so on backwards. A gap where no line stands once on both sides
    is aligned by an ordinary longest common subsequence.
 4. Runs of aligned lines, consecutive on both sides, are common blocks. Blocks of
-   at least ``min_words`` words are deleted from the later document, with the
-   blank lines inside them. So is every filed run that stands whole in the
-   earlier document but not in the alignment, since that crosses it or has used
-   another copy. What several partners delete is united: all lines in a run of
-   ``min_words`` words that stands whole in any earlier document.
+   at least ``min_words`` words are deleted from the later document, all copies of
+   them, with the blank lines inside them. What is left is aligned again with the
+   same document, for blocks that cross the first ones, until no block comes
+   (``ROUNDS`` times at most). An exact check follows for the lines then left: the
+   filed runs that hold one and stand whole in the earlier document go too. What
+   several partners delete is united: all lines in a run of ``min_words`` words that
+   stands whole in any earlier document.
 
 Only hashes travel for pairing and alignment (16 bytes a line); texts are joined
 once, at the end, with their deletions.
@@ -45,6 +47,7 @@ from martcraft.llm import text as T
 from martcraft.llm.tables import fresh, saved, ship
 
 KEY = 16
+ROUNDS = 4
 
 
 def line_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
@@ -188,11 +191,36 @@ def shortest_runs(sizes: np.ndarray, offsets: np.ndarray, min_words: int) -> tup
     return runs[:, 0], runs[:, 1]
 
 
-def held_runs(a: bytes, b: bytes, sizes: np.ndarray, min_words: int) -> set[int]:
-    """Places in ``a`` of the lines in shortest runs that stand whole in ``b``."""
+def aligned_lines(a: bytes, b: bytes, sizes: np.ndarray, min_words: int) -> set[int]:
+    """Places in ``a`` of the lines that alignments with ``b`` find in common blocks, one after the other."""
+    left, other, n_words = _split(a), _split(b), sizes.tolist()
+    gone: set[int] = set()
+    for _ in range(ROUNDS):
+        found = common_blocks(left, other, n_words, min_words)
+        if not found:
+            break
+        cut = [k for k in range(len(found)) if not k or found[k] != found[k - 1] + 1] + [len(found)]
+        for block in {a[found[i] * KEY:(found[j - 1] + 1) * KEY] for i, j in zip(cut, cut[1:], strict=False)}:
+            at = a.find(block)
+            while at >= 0:  # every copy
+                if at % KEY == 0:
+                    gone.update(range(at // KEY, (at + len(block)) // KEY))
+                    at = a.find(block, at + len(block))
+                else:
+                    at = a.find(block, at + 1)
+        for i in gone:
+            left[i] = b"%d" % i  # equals nothing
+    return gone
+
+
+def held_runs(a: bytes, b: bytes, sizes: np.ndarray, min_words: int, gone: set[int]) -> set[int]:
+    """Places in ``a`` of the lines in shortest runs that hold a line not in ``gone`` and stand whole in ``b``."""
     out: set[int] = set()
     held: dict[int, set[bytes]] = {}
-    for i, j in zip(*(x.tolist() for x in shortest_runs(sizes, np.array([0, len(sizes)]), min_words)), strict=True):
+    lost = np.append(0, np.cumsum(np.isin(np.arange(len(sizes)), list(gone))))
+    start, end = shortest_runs(sizes, np.array([0, len(sizes)]), min_words)
+    todo = lost[end] - lost[start] < end - start
+    for i, j in zip(start[todo].tolist(), end[todo].tolist(), strict=True):
         n = (j - i) * KEY
         if n not in held:
             held[n] = {b[k:k + n] for k in range(0, len(b) - n + 1, KEY)}
@@ -259,7 +287,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             out: dict[str, list] = {"id": [], "sig": [], "gone": []}
             for i, sig, keys, sizes, other in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
                 n_words = np.frombuffer(sizes, dtype=np.int32)
-                gone = sorted(held_runs(keys, other, n_words, min_words).union(common_blocks(_split(keys), _split(other), n_words.tolist(), min_words)))
+                lines = aligned_lines(keys, other, n_words, min_words)
+                gone = sorted(lines | held_runs(keys, other, n_words, min_words, lines))
                 if gone:
                     out["id"].append(i)
                     out["sig"].append(sig)

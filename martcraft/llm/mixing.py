@@ -31,7 +31,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martcraft.llm.tables import saved
+from martcraft.llm.tables import fresh, saved
 
 WORD = r"[^\x20\x09-\x0D]+"
 LEVELS, PASSES = 4, 8
@@ -129,10 +129,23 @@ def units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     return slim.groupBy("doc_id", "source", "skey", "digest").agg(F.count("*").alias("n_rows"), F.sum("n_tokens").alias("n_tokens"))
 
 
+RUN = 1 << 12
+
+
+def repeated(df: DataFrame, times: str, name: str) -> DataFrame:
+    """Each row as often as its column ``times`` (a long) says, numbered from 0 in the column ``name``.
+
+    In two levels, so that no row holds an array of all its numbers.
+    """
+    run = fresh("run", [*df.columns, name])
+    runs = df.where(F.col(times) > 0).withColumn(run, F.explode(F.expr(f"sequence(0L, ({times} - 1) div {RUN})")))
+    return runs.withColumn(name, F.explode(F.expr(f"sequence({run} * {RUN}, least({times}, ({run} + 1) * {RUN}) - 1)"))).drop(run)
+
+
 def mix_sources(docs: DataFrame, budget_tokens: int | None = None, target_entropy: float | None = None, max_repeats: float | None = None,
                 block_tokens: int = 1 << 18, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 budget_epochs: float | None = None) -> DataFrame:
-    """The mixture as draws: ``doc_id, source, digest, n_rows, n_tokens, epoch int, block long, position long``.
+    """The mixture as draws: ``doc_id, source, digest, n_rows, n_tokens, epoch long, block long, position long``.
 
     ``digest`` is the text's MD5 in hex ("" for a null text). Blocks and the
     positions in them are counted from 0. ``budget_epochs`` gives the budget as a
@@ -148,7 +161,7 @@ def mix_sources(docs: DataFrame, budget_tokens: int | None = None, target_entrop
     blocks = max(1, -(-whole // block_tokens))
     shift = 60 - min(24, max(0, (count // UNITS_IN_BUCKET).bit_length()))
 
-    copies = spread.join(plan, "skey").where("epochs > 0").withColumn("epoch", F.explode(F.expr("sequence(0, cast(epochs - 1 as int))")))
+    copies = repeated(spread.join(plan, "skey").where("epochs > 0"), "epochs", "epoch")
     seeded = F.lit(str(seed))
     order = _digits(seeded, F.col("epoch").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("digest"))
     copies = copies.withColumn("place", order).withColumn("bucket", F.shiftright("place", shift))
@@ -167,11 +180,11 @@ def mix_sources(docs: DataFrame, budget_tokens: int | None = None, target_entrop
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **mixing) -> DataFrame:
     """The rows of ``docs``, each as often as it is drawn, with their own columns."""
     drawn = mix_sources(docs, id_col=id_col, text_col=text_col, source_col=source_col, **mixing)
-    times = drawn.groupBy("doc_id", "source", "digest").agg(F.count("*").cast("int").alias("_times"))
+    times = drawn.groupBy("doc_id", "source", "digest").agg(F.count("*").alias("_times"))
     hit = (docs[id_col].eqNullSafe(times["doc_id"]) & docs[source_col].eqNullSafe(times["source"])
            & (F.coalesce(F.md5(docs[text_col]), F.lit("")) == times["digest"]))
     extra = "times"
     while extra in docs.columns:
         extra += "_"
     got = docs.join(times, hit).select(*(docs[c] for c in docs.columns), times["_times"].alias(extra))
-    return got.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(extra)))).select(*docs.columns)
+    return repeated(got, extra, fresh("nth", got.columns)).select(*docs.columns)

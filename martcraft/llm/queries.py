@@ -160,7 +160,7 @@ c as (
 p as (
   select *, epoch * n + sum(n_tokens) over (partition by skey, epoch order by place, doc_id nulls first, digest rows unbounded preceding) - n_tokens as begins from c),
 d as (select *, cast(floor(begins::double / quota::double * blocks) as bigint) as block from p, nb where begins < quota)
-select doc_id, source, digest, n_rows, cast(n_tokens as bigint) as n_tokens, cast(epoch as integer) as epoch, block,
+select doc_id, source, digest, n_rows, cast(n_tokens as bigint) as n_tokens, cast(epoch as bigint) as epoch, block,
        cast(row_number() over (partition by block order by within, doc_id nulls first, skey, epoch) - 1 as bigint) as position
 from d
 """

@@ -20,8 +20,11 @@ no part, nor does a row without an id. Vectors of different lengths aren't
 compared. An id that stands on several rows is a candidate on each, but never
 for its own query; a query's rows with one id and different vectors are separate
 queries only in the candidates' ranking of that id (the ranks run on). Fewer
-than k candidates: all of them. Components of 2^28 and more after quantising
-raise an error, since scores might not fit a long.
+than k candidates: all of them. Components are integers of any size: those beyond 32
+bits travel as doubles, which hold them exactly, and are counted by Python's
+integers where 64 bits might not do. Only a component that is infinite after scaling,
+or a result's score that doesn't fit a long, raises an error. Repeated rows are rows
+each; an empty table gives an empty one; other columns are not looked at.
 """
 from __future__ import annotations
 
@@ -94,8 +97,8 @@ class Sum:
 
 def top_rows(values: np.ndarray, queries: np.ndarray, allowed: np.ndarray, k: int) -> list[np.ndarray]:
     """For each query the places of its ``k`` best allowed rows, ties to earlier rows. ``allowed``: booleans, queries x rows."""
-    low = int(values.min())
-    unsigned = (values - low).astype(np.int64)
+    low = values.min()
+    unsigned = values - low
     digits = max(1, int(unsigned.max()).bit_length())
     size = np.abs(queries)
     q_digits = max(1, int(size.max()).bit_length())
@@ -129,6 +132,29 @@ def top_rows(values: np.ndarray, queries: np.ndarray, allowed: np.ndarray, k: in
     return out
 
 
+def integers(raw: bytes, n: int) -> np.ndarray:
+    """``n`` rows of integers, as 64-bit ones if differences of them fit those."""
+    if raw[:1] == WIDE:
+        x = np.frombuffer(raw[1:], dtype=np.float64).reshape(n, -1)
+        if np.abs(x).max(initial=0) < 1 << 61:
+            return x.astype(np.int64)
+        return np.array([[int(c) for c in row] for row in x.tolist()], dtype=object).reshape(x.shape)
+    return np.frombuffer(raw[1:], dtype=np.int32).reshape(n, -1).astype(np.int64)
+
+
+def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products row by row; one that doesn't fit a long raises."""
+    if a.dtype != object and b.dtype != object:
+        most = [int(np.abs(x).max(initial=0)) for x in (a, b)]
+        if most[0] * most[1] * max(1, a.shape[1]) < 1 << 63:
+            return np.einsum("ij,ij->i", a, b)
+    total = [sum(x * y for x, y in zip(p, q, strict=True)) for p, q in zip(a.tolist(), b.tolist(), strict=True)]
+    if any(not -(1 << 63) <= t < 1 << 63 for t in total):
+        raise OverflowError("a score doesn't fit a long")
+    return np.array(total, dtype=np.int64)
+
+
+NARROW, WIDE = b"i", b"d"
 _PACK = pa.schema([("part", pa.int64()), ("dim", pa.int64()), ("ids", pa.binary()), ("vals", pa.binary())])
 
 
@@ -137,10 +163,13 @@ def _packed(limit: int):
         part, dim = t.column("part")[0].as_py(), t.column("dim")[0].as_py()
         ids = t.column("id").to_numpy()
         vals = t.column("v").combine_chunks().flatten().to_numpy().reshape(len(ids), dim)
+        vals = np.floor(vals) + 0.0
+        wide = np.abs(vals).max(initial=0) >= 1 << 31
+        code = (lambda x: WIDE + x.tobytes()) if wide else lambda x: NARROW + x.astype(np.int32).tobytes()
         order = np.lexsort((*vals.T[::-1], ids)) if dim else np.argsort(ids)
         rows = [order[i:i + limit] for i in range(0, len(order), limit)]
         return pa.table({"part": [part] * len(rows), "dim": [dim] * len(rows), "ids": [ids[r].tobytes() for r in rows],
-                         "vals": [vals[r].astype(np.int32).tobytes() for r in rows]}, schema=_PACK)
+                         "vals": [code(vals[r]) for r in rows]}, schema=_PACK)
 
     return pack
 
@@ -151,10 +180,10 @@ def top_k(vectors: DataFrame, k: int = 10, scale: int = 1024, every: int = 100,
     ship(spark)
     x = F.col(vector_col).cast("array<double>")
     finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    v = F.transform(x, lambda c: F.floor(c * scale).cast("bigint"))
+    v = F.transform(x, lambda c: c * scale)
     ints = vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v"), x.alias("x")).where(F.col("id").isNotNull() & F.col("x").isNotNull() & finite)
     ints = ints.select("id", "v", F.size("v").cast("long").alias("dim"))
-    ints = ints.where(F.when(F.exists("v", lambda c: (c >= 1 << 28) | (c <= -(1 << 28))), F.raise_error(F.lit("a component is too large"))).isNull())
+    ints = ints.where(F.when(F.exists("v", lambda c: F.abs(c) == float("inf")), F.raise_error(F.lit("a component is infinite after scaling"))).isNull())
     asked = F.col("id") % every == 0
     n, nq = ints.agg(F.count("*"), F.count_if(asked)).first()
     parts, q_parts = max(1, -(-n // ROWS)), max(1, -(-nq // QUERIES))
@@ -173,8 +202,7 @@ def top_k(vectors: DataFrame, k: int = 10, scale: int = 1024, every: int = 100,
         for batch in batches:
             for r in batch.to_pylist():
                 ids, q_ids = np.frombuffer(r["ids"], dtype=np.int64), np.frombuffer(r["q_ids"], dtype=np.int64)
-                vals = np.frombuffer(r["vals"], dtype=np.int32).reshape(len(ids), -1).astype(np.int64)
-                q_vals = np.frombuffer(r["q_vals"], dtype=np.int32).reshape(len(q_ids), -1).astype(np.int64)
+                vals, q_vals = integers(r["vals"], len(ids)), integers(r["q_vals"], len(q_ids))
                 allowed = ids[None, :] != q_ids[:, None]
                 if vals.shape[1]:
                     chosen = top_rows(vals, q_vals, allowed, k)
@@ -183,7 +211,7 @@ def top_k(vectors: DataFrame, k: int = 10, scale: int = 1024, every: int = 100,
                 at = np.repeat(np.arange(len(q_ids)), [len(c) for c in chosen])
                 to = np.concatenate(chosen).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(q_ids[at]), pa.array(ids[to]), pa.array(np.einsum("ij,ij->i", q_vals[at], vals[to]))], names=["query_id", "vec_id", "score"])
+                    [pa.array(q_ids[at]), pa.array(ids[to]), pa.array(scores(q_vals[at], vals[to]))], names=["query_id", "vec_id", "score"])
 
     found = rows.join(queries, ["q_part", "part", "dim"]).select("ids", "vals", "q_ids", "q_vals").mapInArrow(best, "query_id long, vec_id long, score long")
     ranked = found.selectExpr("*", "row_number() over (partition by query_id order by score desc, vec_id) as rank").where(F.col("rank") <= k)

@@ -74,64 +74,30 @@ def statistics(text):
     return n, sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), dup, r, n < 10 or 100 * r > 20 * n
 
 
-def _patience(a, b):
-    out = []
+def lines_of(text):
+    return [(x.strip(" \t\n\r\x0b\x0c"), k, len(words(x))) for k, x in enumerate((text or "").split("\n")) if words(x)]
+
 
-    def rec(i, i2, j, j2):
-        while i < i2 and j < j2 and a[i] == b[j]:
-            out.append((i, j))
-            i, j = i + 1, j + 1
-        while i < i2 and j < j2 and a[i2 - 1] == b[j2 - 1]:
-            i2, j2 = i2 - 1, j2 - 1
-            out.append((i2, j2))
-        x, y = a[i:i2], b[j:j2]
-        both = [(i + k, j + y.index(v)) for k, v in enumerate(x) if x.count(v) == 1 and y.count(v) == 1]
-        if not both:
-            return
-        size, back = [1] * len(both), [-1] * len(both)
-        for p in range(len(both)):
-            for q in range(p):
-                better = size[q] + 1 > size[p] or size[q] + 1 == size[p] and both[q][1] < both[back[p]][1]
-                if both[q][1] < both[p][1] and better:
-                    size[p], back[p] = size[q] + 1, q
-        p = min(range(len(both)), key=lambda k: (-size[k], both[k][1]))
-        chain = []
-        while p >= 0:
-            chain.append(both[p])
-            p = back[p]
-        chain.reverse()
-        out.extend(chain)
-        for c, d in [*chain, (i2, j2)]:
-            rec(i, c, j, d)
-            i, j = c + 1, d + 1
-
-    rec(0, len(a), 0, len(b))
-    return sorted(out)
-
-
-def line_dedup(rows, min_words=10, rare_words=5):
-    """(id, kept text, lines, removed lines) per row; ids are distinct or null."""
-    seqs, first = {}, {}
-    for i, t in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
-        seqs[i] = [(x.strip(" \t\n\r\x0b\x0c"), k, len(words(x))) for k, x in enumerate((t or "").split("\n")) if words(x)]
-        for x, _, n in seqs[i]:
-            if n >= rare_words:
-                first.setdefault(x, i)
+def line_dedup(rows, min_words=10):
+    """(id, kept text, lines, removed lines) per row: every document is compared with every earlier one, line by line."""
+    lines = [lines_of(t) for _, t in rows]
+    places = {}  # of each line: the documents and places that have it
+    for d, ls in enumerate(lines):
+        for q, x in enumerate(ls):
+            places.setdefault(x[0], []).append((d, q))
     out = []
-    for i, t in rows:
-        if i is None:
-            out.append((i, t, sum(bool(words(x)) for x in (t or "").split("\n")), 0))
-            continue
-        s, gone = seqs[i], set()
-        for r in {first[x] for x, _, n in s if n >= rare_words and first[x] < i}:
-            run, at = [], (-5, -5)
-            for p, q in [*_patience([x for x, _, _ in s], [x for x, _, _ in seqs[r]]), (-9, -9)]:
-                if (p, q) != (at[0] + 1, at[1] + 1):
-                    if sum(s[z][2] for z in run) >= min_words:
-                        gone |= set(run)
-                    run = []
-                run.append(p)
-                at = (p, q)
+    for d, (i, t) in enumerate(rows):
+        s, gone = lines[d], set()
+        for p in range(len(s)):
+            for e, q in places[s[p][0]] if i is not None else ():
+                j, o = rows[e][0], lines[e]
+                if j is None or j >= i or p and q and s[p - 1][0] == o[q - 1][0]:
+                    continue  # a block from here is part of a longer one
+                n = 0
+                while p + n < len(s) and q + n < len(o) and s[p + n][0] == o[q + n][0]:
+                    n += 1
+                if sum(x[2] for x in s[p:p + n]) >= min_words:
+                    gone |= set(range(p, p + n))
         drop = {s[g][1] for g in gone}
         for g in gone:
             if g + 1 in gone:

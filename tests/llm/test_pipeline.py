@@ -114,7 +114,7 @@ def test_stages_on_odd_tables(spark):
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
 def test_oracles(spark, name, sf):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "pages"):
         con.execute(f"create view {t} as select * from '/root/testdata/{sf}/{t}.parquet'")
     got = QUERIES[name](spark, f"/root/testdata/{sf}")
     want = con.sql(ORACLE[name])

@@ -49,8 +49,30 @@ def test_top_rows_against_sorting():
 
 def test_top_k_empty_and_large(spark):
     assert top_k(vectors(spark, [(1, None)])).count() == 0
-    with pytest.raises(Exception, match="too large"):
-        top_k(vectors(spark, [(100, [1e9]), (2, [1.0])])).collect()
+    r = random.Random(6)
+    wide = [300000.0, -1e9, 2.0 ** 40, -(2.0 ** 33) - 0.25, 1e13]
+    rows = [(i * 20, [r.choice([0.5, -0.001, 3.0, 0.0, r.choice(wide) if i % 5 else 2.0]), 1.0, 0.0]) for i in range(90)]
+    rows += [(5000, [0.0, 0.0, 1e200]), (5001, [0.0, 0.0, -0.0]), (5100, [0.0, 1e-9, 0.0])]  # of any size, where the products fit
+    got = sorted(tuple(x) for x in top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    small = [x for x in rows if x[1][2] < 1]
+    assert [x for x in got if x[0] != 5000 and x[2] != 5000] == [x for x in brute.top_k(rows) if x[0] != 5000 and x[2] != 5000]
+    assert len(small) == len(rows) - 1 and any(abs(x[3]) > 1 << 40 for x in got)
+    with pytest.raises(Exception, match="fit a long"):
+        top_k(spark.createDataFrame([(100, [1e18]), (2, [1e18])], "vec_id long, embedding array<double>")).collect()
+    with pytest.raises(Exception, match="infinite"):
+        top_k(spark.createDataFrame([(100, [1e308]), (2, [1.0])], "vec_id long, embedding array<double>")).collect()
+
+
+def test_epochs_beyond_an_int(spark):
+    from martcraft.llm.mixing import mixing_plan, repeated
+
+    plan = mixing_plan(spark.createDataFrame([("a", 10), ("b", 1)], "skey string, n long"), budget_tokens=10 ** 11, target_entropy=1.0).collect()
+    assert {p.skey: p.epochs for p in plan} == {"a": pytest.approx(5e9, rel=1e-5), "b": pytest.approx(5e10, rel=1e-5)}
+    df = spark.createDataFrame([(10_000, "x"), (4096, "y"), (1, "z"), (0, "none"), (None, "null")], "times long, run string")
+    got = repeated(df, "times", "nth")
+    assert got.columns == ["times", "run", "nth"] and dict(got.dtypes)["nth"] == "bigint"
+    seen = Counter((x.run, x.nth) for x in got.collect())
+    assert seen == Counter({(k, i): 1 for k, n in (("x", 10_000), ("y", 4096), ("z", 1)) for i in range(n)})
 
 
 def corpus(spark):
