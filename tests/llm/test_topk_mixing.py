@@ -50,7 +50,7 @@ def test_top_rows_against_sorting():
 def test_top_k_empty_and_large(spark):
     assert top_k(vectors(spark, [(1, None)])).count() == 0
     r = random.Random(6)
-    wide = [300000.0, -1e9, 2.0 ** 40, -(2.0 ** 33) - 0.25, 1e13]
+    wide = [300000.0, -1e9, 2.0 ** 40, -(2.0 ** 33) - 0.25, 2.0 ** 41]
     rows = [(i * 20, [r.choice([0.5, -0.001, 3.0, 0.0, r.choice(wide) if i % 5 else 2.0]), 1.0, 0.0]) for i in range(90)]
     rows += [(5000, [0.0, 0.0, 1e200]), (5001, [0.0, 0.0, -0.0]), (5100, [0.0, 1e-9, 0.0])]  # of any size, where the products fit
     got = sorted(tuple(x) for x in top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
