@@ -212,6 +212,10 @@ SELECT 'raw_customer_transactions' AS source, MAX(l_shipdate) AS max_loaded_at,
             WHEN MAX(l_shipdate) < TIMESTAMP '{FRESHNESS_AS_OF}' - INTERVAL 12 HOUR THEN 'warn' ELSE 'pass' END AS status
 FROM lineitem""",
     "incremental_fact_raw": _dirty("fact") + "\nSELECT * FROM fact",
+    "incremental_fact_keyed": _dirty("fact") + f"""
+SELECT transaction_key, transaction_date, transaction_month FROM (
+  SELECT *, COALESCE(transaction_date <= DATE '{FIRST_LOAD_UNTIL}' AND transaction_key % 5 <> 0, FALSE) AS is_first FROM fact)
+QUALIFY transaction_key IS NULL OR row_number() OVER (PARTITION BY transaction_key ORDER BY is_first, transaction_date DESC NULLS LAST) = 1""",
     "incremental_fact": _star("fact") + f"""
 SELECT * FROM fact WHERE transaction_date <= DATE '{FIRST_LOAD_UNTIL}'
 UNION ALL

@@ -1,13 +1,14 @@
-"""Refresh: merge of an increment by whole partitions, high-water append, schema drift."""
+"""Refresh: merge of an increment by key and file, high-water append, schema drift, date bounds."""
 from __future__ import annotations
 
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from martcraft.plans.key_index import FILE, KeyedTable
 from martcraft.plans.materialize import materialize
 
 log = logging.getLogger(__name__)
@@ -25,6 +26,13 @@ def rows_after_high_water(new: DataFrame, target: DataFrame, column: str = "tran
     return new.filter(mark.isNull() | (F.col(column) > mark))
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, lengthened until no column has it."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -46,14 +54,21 @@ class Refresh:
 
 def append_incremental(spark: SparkSession, new: DataFrame, path: str, column: str = "transaction_date",
                        partition_by: tuple[str, ...] = ("transaction_month",), on_schema_change: str = "fail",
-                       key: str = "transaction_key", mode: str = "merge") -> Refresh:
+                       key: str = "transaction_key", mode: str = "merge", repeats: str = "latest",
+                       start: str | None = None, end: str | None = None) -> Refresh:
     """Bring the rows of ``new`` into the table at ``path``; a first run writes everything.
 
-    ``mode="merge"`` loses nothing: every row of ``new`` is written, whatever its
+    ``start`` and ``end`` bound the load by ``column``, both inclusive; rows without
+    a date then don't belong to it.
+
+    ``mode="merge"`` loses nothing: every key of ``new`` is written, whatever its
     date, NULL included. Rows of the table with a key of ``new`` are replaced
-    (rows without a key are told apart by all their columns), and only the
-    partitions that hold such rows or get new ones are rewritten. Running it
-    again changes nothing.
+    (rows without a key are told apart by all their columns), and only the files
+    that hold such rows are rewritten. They are found by the files' key ranges
+    (``key_index``), then by the key column of the files in range. Running it again
+    changes nothing. Of several rows of one key in ``new``, ``repeats="latest"``
+    keeps the one with the latest ``column`` (ties: by all columns),
+    ``repeats="keep"`` keeps all, and ``repeats="fail"`` raises.
 
     ``mode="high_water"`` appends only rows after ``max(column)`` of the table,
     the modelled rule. Late rows, rows of the mark's own day and rows without a
@@ -64,6 +79,11 @@ def append_incremental(spark: SparkSession, new: DataFrame, path: str, column: s
     """
     if mode not in ("merge", "high_water"):
         raise ValueError(f"unknown mode {mode!r}")
+    if repeats not in ("latest", "keep", "fail"):
+        raise ValueError(f"unknown rule for repeated keys {repeats!r}")
+    new = within_dates(new, start, end, column)
+    if mode == "merge":
+        new = _single(new, key, column, repeats)
     seen = Observation()
     if not _exists(spark, path):
         counted = new.observe(seen, F.count(F.lit(1)).alias("n"))
@@ -72,7 +92,7 @@ def append_incremental(spark: SparkSession, new: DataFrame, path: str, column: s
     target = read_target(spark, path)
     check_schema_drift(target.schema, new.schema, on_schema_change)
     if mode == "merge":
-        return _merge(spark, new, target, path, partition_by, key)
+        return _merge(spark, new, KeyedTable(spark, path, key, target.schema), partition_by)
     mark = target.agg(F.max(column)).first()[0]
     late = F.lit(False) if mark is None else ~F.coalesce(F.col(column) > F.lit(mark), F.lit(False))
     rows = new.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(late).alias("late")).filter(~late)
@@ -83,47 +103,48 @@ def append_incremental(spark: SparkSession, new: DataFrame, path: str, column: s
     return got
 
 
-def _identified(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """``_id``: the key, or a hash of all ``columns`` for rows without one."""
-    whole = F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
-    return df.withColumn("_id", F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.concat(F.lit("r"), whole)))
-
-
-def _merge(spark: SparkSession, new: DataFrame, target: DataFrame, path: str, partition_by: tuple[str, ...], key: str) -> Refresh:
-    parts, shared = list(partition_by), [c for c in target.columns if c in new.columns]
-    batch = materialize(_identified(new, key, shared), "increment")  # read several times
-    if batch.isEmpty():
+def _single(new: DataFrame, key: str, column: str, repeats: str) -> DataFrame:
+    """One row per key, by the rule ``repeats``; rows without a key all stay."""
+    if repeats == "keep":
+        return new
+    own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())  # a row without a key is a group of its own
+    if repeats == "fail":
+        n = fresh("n", new.columns)
+        error = F.raise_error(F.concat(F.lit("repeated key "), F.col(key).cast("string"))).cast("boolean")
+        counted = new.withColumn(n, F.when(F.col(key).isNotNull(), F.count(F.lit(1)).over(Window.partitionBy(key, own))).otherwise(F.lit(1)))
+        return counted.where(F.when(F.col(n) > 1, error).otherwise(F.lit(True))).drop(n)
+    rank = fresh("rank", new.columns)
+    w = Window.partitionBy(key, own).orderBy(F.col(column).desc_nulls_last(), _whole(new.columns).desc())
+    return new.withColumn(rank, F.row_number().over(w)).where(F.col(rank) == 1).drop(rank)
+
+
+def _whole(columns: list[str]) -> Column:
+    """A hash of all columns."""
+    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+
+
+def _merge(spark: SparkSession, new: DataFrame, table: KeyedTable, partition_by: tuple[str, ...]) -> Refresh:
+    table.recover()
+    key, shared = table.key, [c for c in table.schema.names if c in new.columns]
+    batch = materialize(new, "increment")  # read several times
+    n, keyless = batch.agg(F.count(F.lit(1)), F.count_if(F.col(key).isNull())).first()
+    if not n:
         return Refresh(0, 0)
-    ids = batch.select("_id").distinct()
-    old = _identified(target, key, shared)
-    # The partitions to rewrite: those of the batch, and those that rows with its keys are in now.
-    touched = batch.select(*parts).unionByName(old.select("_id", *parts).join(ids, "_id", "left_semi").select(*parts)).distinct()
-    values = [tuple(r) for r in touched.collect()]  # bounded by the calendar
-
-    def holds(rows: list[tuple]) -> Column:
-        """A row's partition is among ``rows``, as a filter that prunes folders."""
-        out = F.lit(False)
-        for i, c in enumerate(parts):
-            own = [r[i] for r in rows]
-            cond = F.col(c).isin([v for v in own if v is not None])
-            cond = F.coalesce(cond, F.lit(False)) | F.col(c).isNull() if None in own else cond
-            out = cond if i == 0 else out & cond
-        return out
-
-    kept = old.where(holds(values)).join(ids, "_id", "left_anti")
-    staged = materialize(kept.unionByName(batch, allowMissingColumns=True).drop("_id"), "merged")
-    left = {tuple(r) for r in staged.select(*parts).distinct().collect()}
-    overwrite_partitions(staged, path, partition_by)
-    for row in values:  # partitions whose rows all moved elsewhere
-        if row not in left:
-            _drop_partition(spark, path, parts, row)
-    return Refresh(batch.count(), 0)
-
-
-def _drop_partition(spark: SparkSession, path: str, parts: list[str], row: tuple) -> None:
-    folder = "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(parts, row, strict=True))
-    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{folder}")
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    ids = batch.where(F.col(key).isNotNull()).select(F.col(key).alias("_id")).distinct()
+    gone = set(table.holding(ids))
+    whole = None
+    if keyless:  # only files that have rows without a key are looked at, and only those rows
+        whole = batch.where(F.col(key).isNull()).select(_whole(shared).alias("_id")).distinct()
+        near = table.unkeyed()
+        if near:
+            old = table.read(near).where(F.col(key).isNull()).select(_whole(shared).alias("_id"), F.col(FILE).alias("file"))
+            gone |= {r.file for r in old.join(whole, "_id", "left_semi").select("file").distinct().toLocalIterator()}
+    old = table.read(sorted(gone))
+    kept = old.join(ids, old[key] == ids["_id"], "left_anti")
+    if whole is not None:
+        kept = kept.withColumn("_whole", F.when(F.col(key).isNull(), _whole(shared))).join(whole, F.col("_whole") == whole["_id"], "left_anti").drop("_whole")
+    table.swap(kept.unionByName(batch, allowMissingColumns=True), sorted(gone), partition_by)
+    return Refresh(n, 0)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("transaction_month",)) -> None:

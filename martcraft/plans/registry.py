@@ -278,11 +278,24 @@ def q_incremental_fact_raw(spark, sf_dir):
     first = F.coalesce((F.col("transaction_date") <= cut) & (F.col("transaction_key") % 5 != 0), F.lit(False))
     again = F.coalesce(F.col("transaction_date") > F.add_months(cut, -2), F.lit(False))
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/incremental-{uuid.uuid4().hex}"
-    append_incremental(spark, fact.where(first), path)
-    append_incremental(spark, fact.where(~first | again), path)
+    # The dirty copy has rows of one key (the unique check reports them); the fact keeps them all.
+    append_incremental(spark, fact.where(first), path, repeats="keep")
+    append_incremental(spark, fact.where(~first | again), path, repeats="keep")
     return read_target(spark, path).select(*fact.columns)
 
 
+def q_incremental_fact_keyed(spark, sf_dir):
+    """The same two loads with one row per key: of a key's rows the latest one, and the second load's over the first's."""
+    fact = Star(spark, sf_dir, dirty=True, keep=("cleaned", "fact"), columns=FACT_COLUMNS).fact
+    cut = F.lit(FIRST_LOAD_UNTIL).cast("date")
+    first = F.coalesce((F.col("transaction_date") <= cut) & (F.col("transaction_key") % 5 != 0), F.lit(False))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/incremental-{uuid.uuid4().hex}"
+    rows = fact.select("transaction_key", "transaction_date", "transaction_month")
+    append_incremental(spark, rows.where(first), path)
+    append_incremental(spark, rows.where(~first), path)
+    return read_target(spark, path).select(*rows.columns)
+
+
 QUERIES.update({
     "raw_with_audit": q_raw_with_audit,
     "raw_file_counts": q_raw_file_counts,
@@ -303,4 +316,5 @@ QUERIES.update({
     "freshness_raw": q_freshness_raw,
     "incremental_fact": q_incremental_fact,
     "incremental_fact_raw": q_incremental_fact_raw,
+    "incremental_fact_keyed": q_incremental_fact_keyed,
 })

@@ -141,6 +141,82 @@ def test_merge_keeps_late_same_day_and_undated_rows(spark, scratch):
     assert append_incremental(spark, _fact(spark, []), path) == Refresh(0, 0)
 
 
+def test_merge_reads_and_rewrites_only_files_with_its_keys(spark, scratch):
+    from martcraft.plans.key_index import KeyedTable
+    path = f"{scratch}/fact"
+    for lo in (0, 1000, 2000):  # three files of one month, each with a key range of its own
+        rows = [(lo + 2 * i, "2024-01-05", 1) for i in range(50)]
+        append_incremental(spark, _fact(spark, rows).coalesce(1), path, mode="high_water" if lo == 0 else "merge")
+    table = KeyedTable(spark, path, "transaction_key", read_target(spark, path).schema)
+    before = set(table.listed())
+    assert len(before) == 3
+    key = lambda *ks: spark.createDataFrame([(k,) for k in ks], "_id long")
+    assert len(table.near(key(1010))) == 1 and table.near(key(500, 5000, -7)) == []
+    assert len(table.near(key(4, 1004, 1500))) == 2
+    assert len(table.near(key(1011))) == 1 and table.holding(key(1011)) == []  # in range, but not there
+    plan = table.read(table.near(key(1010))).select("transaction_key")._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<transaction_key:bigint>" in plan and "1 paths" in plan
+    append_incremental(spark, _fact(spark, [(1010, "2024-01-06", 7), (1011, "2024-02-01", 7)]), path)
+    after = set(table.listed())
+    assert len(before & after) == 2 and len(before - after) == 1  # one file was rewritten
+    got = {k: v for k, _, v in _table(spark, path)}
+    assert len(_table(spark, path)) == 151 and got[1010] == got[1011] == 7 and got[1012] == 1
+
+
+def test_merge_keeps_one_row_per_key(spark, scratch):
+    rows = [(1, "2024-01-05", 1), (1, "2024-02-05", 2), (2, None, 3), (2, "2024-01-01", 4), (None, "2024-01-01", 5), (None, "2024-01-01", 5)]
+    path = f"{scratch}/latest"
+    assert append_incremental(spark, _fact(spark, rows), path).written == 4
+    assert _table(spark, path) == sorted([(1, "2024-02-05", 2), (2, "2024-01-01", 4), (None, "2024-01-01", 5), (None, "2024-01-01", 5)], key=str)
+    append_incremental(spark, _fact(spark, [(1, "2023-05-05", 8), (1, "2023-04-05", 9)]), path)
+    assert [x for x in _table(spark, path) if x[0] == 1] == [(1, "2023-05-05", 8)]
+    append_incremental(spark, _fact(spark, rows), f"{scratch}/keep", repeats="keep")
+    assert len(_table(spark, f"{scratch}/keep")) == 6
+    with pytest.raises(Exception, match="repeated key"):
+        append_incremental(spark, _fact(spark, rows), f"{scratch}/fail", repeats="fail")
+    append_incremental(spark, _fact(spark, rows[1:3] + rows[4:]), f"{scratch}/once", repeats="fail")
+    assert len(_table(spark, f"{scratch}/once")) == 4
+
+
+def test_merge_moves_rows_between_odd_partitions(spark, scratch):
+    path, schema = f"{scratch}/odd", "transaction_key long, transaction_date date, part string"
+    df = lambda rows: spark.createDataFrame([(k, None, p) for k, p in rows], schema)
+    append_incremental(spark, df([(1, "a/b"), (2, "x:y"), (3, "50%"), (4, None), (5, "a=b c"), (6, "é{[")]), path, partition_by=("part",))
+    append_incremental(spark, df([(1, "z"), (2, "z"), (3, "%41"), (4, "a/b"), (5, "a=b c"), (6, None)]), path, partition_by=("part",))
+    got = {(r.transaction_key, r.part) for r in spark.read.schema(schema).parquet(path).collect()}
+    assert got == {(1, "z"), (2, "z"), (3, "%41"), (4, "a/b"), (5, "a=b c"), (6, None)}
+    assert sum(f.startswith("part=") for f in os.listdir(path)) == 5
+
+
+def test_merge_is_finished_after_a_failure(spark, scratch, monkeypatch):
+    from martcraft.plans.key_index import KeyedTable
+    path = f"{scratch}/fact"
+    append_incremental(spark, _fact(spark, [(k, "2024-01-05", 1) for k in range(6)]), path)
+    later = _fact(spark, [(3, "2024-02-05", 2), (9, "2024-02-05", 2)])
+    done = KeyedTable._carry_out
+    monkeypatch.setattr(KeyedTable, "_carry_out", lambda self, run: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        append_incremental(spark, later, path)
+    assert len(_table(spark, path)) == 6  # nothing to be seen yet
+    monkeypatch.setattr(KeyedTable, "_carry_out", done)
+    append_incremental(spark, _fact(spark, [(10, "2024-03-05", 1)]), path)  # finishes the one before first
+    assert [(k, v) for k, _, v in _table(spark, path)] == sorted([(0, 1), (1, 1), (2, 1), (3, 2), (4, 1), (5, 1), (9, 2), (10, 1)], key=str)
+    monkeypatch.setattr(KeyedTable, "swap", lambda self, new, gone, by: (new.write.parquet(f"{path}/_staged-x"), 1 / 0))
+    with pytest.raises(ZeroDivisionError):
+        append_incremental(spark, later, path)
+    monkeypatch.undo()
+    append_incremental(spark, _fact(spark, [(11, "2024-03-05", 1)]), path)
+    assert len(_table(spark, path)) == 9 and not [f for f in os.listdir(path) if f.startswith(("_staged", "_swap"))]
+
+
+def test_loads_within_dates(spark, scratch):
+    path = f"{scratch}/fact"
+    rows = [(1, "2024-01-05", 1), (2, "2024-02-05", 1), (3, "2024-03-05", 1), (4, None, 1)]
+    assert append_incremental(spark, _fact(spark, rows), path, end="2024-02-05").written == 2
+    assert append_incremental(spark, _fact(spark, rows), path, start="2024-02-05", end="2024-12-31").written == 2
+    assert [r[0] for r in _table(spark, path)] == [1, 2, 3]
+
+
 def test_high_water_counts_what_it_leaves_out(spark, scratch):
     path = f"{scratch}/fact"
     append_incremental(spark, _fact(spark, [(1, "2024-01-05", 1)]), path)
