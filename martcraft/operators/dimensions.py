@@ -54,17 +54,31 @@ def dim_customers(
     year. Distinct products (unbounded) are counted exactly by a second aggregate
     and joined back on ``customer_id`` (both sides are already partitioned on it).
     """
-    today = as_of_date(as_of)
     v = valid_transactions(stg)
-    amount = v.schema["total_amount"].dataType
+    totals = customer_totals(customer_days(v), v.schema["total_amount"].dataType)
+    m = totals.join(_distinct_count(v, ["customer_id"], "product_id", "unique_products_purchased"), "customer_id", "left")
+    return describe_customers(m, as_of, bands, audit)
+
+
+# How rows of one group are put together from partial ones.
+SUMMED, LEAST, MOST = "sum", "min", "max"
+CUSTOMER_DAY = {"_n": SUMMED, "_value_n": SUMMED, "_units": SUMMED, "_value": SUMMED, "_min": LEAST, "_max": MOST}
+
+
+def customer_days(v: DataFrame) -> DataFrame:
+    """Valid rows reduced to (customer, day): mergeable measures (``CUSTOMER_DAY``)."""
     sums = {"_units": "quantity", "_value": "total_amount"}
-    days = v.groupBy("customer_id", "transaction_date").agg(
+    return v.groupBy("customer_id", "transaction_date").agg(
         F.count(F.lit(1)).alias("_n"),
         F.count("total_amount").alias("_value_n"),
         *[F.sum(c).alias(a) for a, c in sums.items()],
         F.min("total_amount").alias("_min"),
         F.max("total_amount").alias("_max"),
     )
+
+
+def customer_totals(days: DataFrame, amount: DecimalType) -> DataFrame:
+    """(customer, day) rows to customers; ``amount`` is the type of one row's amount."""
     years = days.groupBy("customer_id", F.year("transaction_date").alias("_year")).agg(
         F.count("transaction_date").alias("_days"),
         F.coalesce(F.bit_count(F.bit_or(F.expr("shiftleft(1, month(transaction_date))"))), F.lit(0)).alias("_months"),
@@ -76,7 +90,7 @@ def dim_customers(
         F.max("_max").alias("_max"),
     )
     value, value_n = _resummed("_value", amount), F.sum("_value_n")
-    agg = years.groupBy("customer_id").agg(
+    return years.groupBy("customer_id").agg(
         F.sum("_n").alias("total_transactions"),
         F.sum("_days").alias("unique_transaction_days"),
         F.count("_year").alias("years_active"),
@@ -89,7 +103,11 @@ def dim_customers(
         F.min("_min").alias("min_transaction_value"),
         F.max("_max").alias("max_transaction_value"),
     )
-    m = agg.join(_distinct_count(v, ["customer_id"], "product_id", "unique_products_purchased"), "customer_id", "left")
+
+
+def describe_customers(m: DataFrame, as_of: str | dt.date | Column | None = None, bands: Bands = DEFAULT_BANDS, audit: bool = True) -> DataFrame:
+    """The dimension's columns from customers' totals; what depends on the reporting date and the bands is added here."""
+    today = as_of_date(as_of)
     since_last = days_between(today, F.col("last_transaction_date"))
     cols = [
         F.col("customer_id").alias("customer_key"),
@@ -131,7 +149,6 @@ def dim_products(
     ``name_rule='max'`` keeps the alphabetical maximum name, as the modelled SQL
     does; ``'latest'`` takes the name on the latest sale (``max_by``).
     """
-    today = as_of_date(as_of)
     if name_rule == "max":
         name = F.max("product_name")
     elif name_rule == "latest":
@@ -166,6 +183,61 @@ def dim_products(
     m = agg.join(names, keys, "left").join(_distinct_count(v, keys, "customer_id", "unique_customers"), keys, "left").join(
         _distinct_count(v, keys, "transaction_date", "unique_transaction_days"), keys, "left").withColumn(
         "product_id", F.when(~F.col("_pnull"), F.col("_pk")))
+    return describe_products(m, as_of, bands, audit)
+
+
+PRODUCT_DAY = {"_n": SUMMED, "_units": SUMMED, "_units_n": SUMMED, "_units_min": LEAST, "_units_max": MOST, "_value": SUMMED,
+               "_price": SUMMED, "_price_n": SUMMED, "_price_2": SUMMED, "_price_min": LEAST, "_price_max": MOST}
+
+
+def product_days(v: DataFrame) -> DataFrame:
+    """Valid rows reduced to (product, name, day): mergeable measures (``PRODUCT_DAY``), the second moment of the price included."""
+    return v.groupBy("product_id", "product_name", "transaction_date").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum("quantity").alias("_units"),
+        F.count("quantity").alias("_units_n"),
+        F.min("quantity").alias("_units_min"),
+        F.max("quantity").alias("_units_max"),
+        F.sum("total_amount").alias("_value"),
+        F.sum("unit_price").alias("_price"),
+        F.count("unit_price").alias("_price_n"),
+        F.sum((F.col("unit_price") * F.col("unit_price")).cast("decimal(28,4)")).alias("_price_2"),
+        F.min("unit_price").alias("_price_min"),
+        F.max("unit_price").alias("_price_max"),
+    )
+
+
+def product_totals(days: DataFrame, amount: DecimalType, price: DecimalType) -> DataFrame:
+    """(product, name, day) rows to products; ``amount`` and ``price`` are the types of one row's values."""
+    keys = ["_pk", "_pnull"]
+    d = days.withColumns({"_pk": F.coalesce(F.col("product_id"), F.lit(0).cast("bigint")), "_pnull": F.col("product_id").isNull()})
+    names = d.groupBy(*keys, "product_name").agg(F.lit(0)).groupBy(*keys).agg(F.max("product_name").alias("product_name"))
+    by_day = d.groupBy(*keys, "transaction_date").agg(
+        *[{SUMMED: F.sum, LEAST: F.min, MOST: F.max}[how](c).alias(c) for c, how in PRODUCT_DAY.items()])
+    total, n = _resummed("_price", price), F.sum("_price_n")
+    # Exact: the sums are decimals, so the difference of the moments loses nothing.
+    spread = F.sum("_price_2").cast("decimal(38,4)") - (total.cast("decimal(38,8)") * total.cast("decimal(38,8)")).cast("decimal(38,8)") / n
+    agg = by_day.groupBy(*keys).agg(
+        F.sum("_n").alias("total_transactions"),
+        F.count("transaction_date").alias("unique_transaction_days"),
+        F.min("transaction_date").alias("first_sale_date"),
+        F.max("transaction_date").alias("last_sale_date"),
+        F.sum("_units").alias("total_units_sold"),
+        _resummed("_value", amount).alias("total_revenue"),
+        _mean(total, n, price).alias("avg_unit_price"),
+        F.min("_price_min").alias("min_unit_price"),
+        F.max("_price_max").alias("max_unit_price"),
+        F.when(n > 1, F.sqrt(F.greatest(spread.cast("double"), F.lit(0.0)) / (n - 1))).alias("stddev_unit_price"),
+        F.when(F.sum("_units_n") > 0, F.sum("_units").cast("double") / F.sum("_units_n")).alias("avg_quantity_per_transaction"),
+        F.min("_units_min").alias("min_quantity_per_transaction"),
+        F.max("_units_max").alias("max_quantity_per_transaction"),
+    )
+    return agg.join(names, keys, "left").withColumn("product_id", F.when(~F.col("_pnull"), F.col("_pk"))).drop(*keys)
+
+
+def describe_products(m: DataFrame, as_of: str | dt.date | Column | None = None, bands: Bands = DEFAULT_BANDS, audit: bool = True) -> DataFrame:
+    """The dimension's columns from products' totals."""
+    today = as_of_date(as_of)
     cols = [
         F.col("product_id").alias("product_key"),
         "product_id",

@@ -29,9 +29,20 @@ def monthly_sales(fact: DataFrame, audit: bool = True) -> DataFrame:
     Both LAGs share one window.
     """
     keys = (*MONTHLY_KEYS, *CUSTOMER_ATTRIBUTES)
-    t = {c: fact.schema[c].dataType for c in ("gross_amount", "tax_amount", "net_amount", "revenue_excluding_tax",
-                                              "unit_price")}
-    per_product = fact.groupBy(*keys, "product_fk").agg(
+    return with_growth(months(month_products(fact, keys), keys, amount_types(fact)), audit)
+
+
+def amount_types(fact: DataFrame) -> dict:
+    return {c: fact.schema[c].dataType for c in ("gross_amount", "tax_amount", "net_amount", "revenue_excluding_tax", "unit_price")}
+
+
+# How rows of one (month, product) are put together from partial ones.
+MONTH_PRODUCT = {c: "sum" for c in ("_n", "_units", "_units_n", "_gross", "_tax", "_net", "_extax", "_price_sum", "_price_n")} | {"_price_min": "min", "_price_max": "max"}
+
+
+def month_products(fact: DataFrame, keys: tuple[str, ...] = MONTHLY_KEYS) -> DataFrame:
+    """The fact at (month key, product) grain: mergeable measures (``MONTH_PRODUCT``)."""
+    return fact.groupBy(*keys, "product_fk").agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum("units_sold").alias("_units"),
         F.count("units_sold").alias("_units_n"),
@@ -45,6 +56,10 @@ def monthly_sales(fact: DataFrame, audit: bool = True) -> DataFrame:
         F.max("unit_price").alias("_price_max"),
     )
 
+
+def months(per_product: DataFrame, keys: tuple[str, ...], t: dict) -> DataFrame:
+    """(month key, product) rows to month keys; ``t`` are the types of one row's amounts."""
+
     def resum(c: str, typ) -> Column:
         # SUM over DECIMAL(p,s) is DECIMAL(p+10,s); re-summing partial sums keeps the value.
         return F.sum(c).cast(f"decimal({min(38, typ.precision + 10)},{typ.scale})")
@@ -55,7 +70,7 @@ def monthly_sales(fact: DataFrame, audit: bool = True) -> DataFrame:
         return F.when(n > 0, q.cast(f"decimal({min(38, typ.precision + 4)},{typ.scale + 4})"))
 
     units_n, price_n = F.sum("_units_n"), F.sum("_price_n")
-    m = per_product.groupBy(*keys).agg(
+    return per_product.groupBy(*keys).agg(
         F.coalesce(F.sum("_n"), F.lit(0).cast("bigint")).alias("transaction_count"),
         F.count("product_fk").alias("unique_products_purchased"),
         F.sum("_units").alias("total_units"),
@@ -68,6 +83,9 @@ def monthly_sales(fact: DataFrame, audit: bool = True) -> DataFrame:
         F.min("_price_min").alias("min_unit_price"),
         F.max("_price_max").alias("max_unit_price"),
     )
+
+def with_growth(m: DataFrame, audit: bool = True) -> DataFrame:
+    """Months with each customer's previous active one; without the customer's attributes if ``m`` has none."""
     # NULL months sort last, as in the modelled database.
     w = Window.partitionBy("customer_fk").orderBy(F.col("transaction_month").asc_nulls_last())
     prev_rev = F.lag("monthly_net_revenue").over(w)
@@ -99,8 +117,7 @@ def monthly_sales(fact: DataFrame, audit: bool = True) -> DataFrame:
         # As DOUBLE: a decimal quotient of these widths would keep six places only.
         F.when(pr.isNotNull() & (pr > 0), (rev - pr).cast("double") / pr.cast("double") * 100).alias("revenue_growth_pct"),
         F.when(pn.isNotNull() & (pn > 0), (n - pn) / pn.cast("double") * 100).alias("transaction_growth_pct"),
-        "customer_tier",
-        "customer_value_segment",
+        *[c for c in CUSTOMER_ATTRIBUTES if c in m.columns],
     ]
     if audit:
         cols.append(F.current_timestamp().alias("refreshed_at"))

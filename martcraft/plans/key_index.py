@@ -1,30 +1,34 @@
 """Key ranges of a table's files, kept beside them, and the swap of some files for others.
 
-``<table>/_keys`` holds one row per data file: its least and greatest key, its rows
-and its rows without a key. Readers of the table don't see it (its name begins with
-an underscore). Files that the index doesn't know, or that are gone, are told by
+``<table>/_keys`` holds one row per data file: its least and greatest key and the
+number of its rows without a key. Readers of the table don't see it (its name begins
+with an underscore). Files that the index doesn't know, or that are gone, are told by
 Spark's listing of the table, so other writers do no harm: a file is read once, its
-key column only, when it is met first.
+key column only, when it is met first. The driver holds that list of files and their
+ranges, as it holds the listing for any read of the table, and never keys.
 """
 from __future__ import annotations
 
+import re
 import uuid
+from bisect import bisect_left
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType, StructType
 
 CELLS = 4096
-FILE = "_metadata.file_path"
+_ROOT = "^([a-zA-Z0-9+.-]+):/+"
 
 
-def _path(spark: SparkSession, uri: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+def file_name() -> Column:
+    """The file of each row, named as ``KeyedTable`` does: with one slash behind the scheme, however it was listed."""
+    return F.regexp_replace("_metadata.file_path", _ROOT, "$1:/")
 
 
-def _files(spark: SparkSession, uris: list[str]) -> DataFrame:
-    return spark.createDataFrame([(u,) for u in uris], "file string")
+def _path(spark: SparkSession, uri: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
 
 
 class KeyedTable:
@@ -32,107 +36,123 @@ class KeyedTable:
 
     def __init__(self, spark: SparkSession, path: str, key: str, schema: StructType):
         self.spark, self.path, self.key, self.schema = spark, path.rstrip("/"), key, schema
-        self.fs = spark._jvm.org.apache.hadoop.fs.Path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+        self._P = spark._jvm.org.apache.hadoop.fs.Path
+        self.fs = self._P(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+        self._known: dict | None = None
 
     def listed(self) -> list[str]:
-        """The table's files, as Spark lists them for any reader."""
-        return self.spark.read.schema(self.schema).parquet(self.path).inputFiles()
+        """The names of the table's files, as Spark lists them for any reader."""
+        self._uri = {re.sub(_ROOT, r"\1:/", u): u for u in self.spark.read.schema(self.schema).parquet(self.path).inputFiles()}
+        return list(self._uri)
 
-    def read(self, uris: list[str]) -> DataFrame:
-        """Some files only, with their partition columns."""
-        if not uris:
+    def read(self, names: list[str]) -> DataFrame:
+        """Some files of the last listing only, with their partition columns."""
+        if not names:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).option("basePath", self.path).parquet(*(unquote(u) for u in uris))
+        return self.spark.read.schema(self.schema).option("basePath", self.path).parquet(*(unquote(self._uri[u]) for u in names))
 
-    def _ranges(self, uris: list[str]) -> DataFrame:
+    def _ranges(self, names: list[str]) -> DataFrame:
         k = F.col(self.key)
-        rows = self.read(uris).select(k, F.col(FILE).alias("file"))
-        return rows.groupBy("file").agg(F.min(k).alias("lo"), F.max(k).alias("hi"), F.count(F.lit(1)).alias("n"), F.count_if(k.isNull()).alias("unkeyed"))
+        rows = self.read(names).select(k, file_name().alias("file"))
+        return rows.groupBy("file").agg(F.min(k).alias("lo"), F.max(k).alias("hi"), F.count_if(k.isNull()).alias("unkeyed"))
 
-    def ranges(self) -> DataFrame:
-        """``file, lo, hi, n, unkeyed`` of all files, brought up to date and written."""
+    def ranges(self) -> list:
+        """Rows ``file, lo, hi, unkeyed`` of all files, brought up to date and written."""
         files = self.listed()
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_keys")
-        versions = sorted(s.getPath().getName() for s in self.fs.listStatus(folder)) if self.fs.exists(folder) else []
-        known = None
-        for v in reversed(versions):
-            if self.fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_keys/{v}/_SUCCESS")):
-                known = self.spark.read.parquet(f"{self.path}/_keys/{v}")
-                break
-        if known is not None:
-            have = {r.file for r in known.select("file").toLocalIterator()}  # names of files, as many as Spark lists on the driver for any read
-            new = [f for f in files if f not in have]
-            if not new and len(have) == len(files):
-                return known
-            rows = known.join(_files(self.spark, files), "file", "left_semi")
+        if self._known is None or set(files) - set(self._known):
+            self._known = {r.file: r for r in self._stored()}
+            new = [f for f in files if f not in self._known]
             if new:
-                rows = rows.unionByName(self._ranges(new))
-        else:
-            rows = self._ranges(files)
-        version = f"{len(versions):08d}" if not versions else f"{int(versions[-1][:8]) + 1:08d}"
-        rows.write.mode("overwrite").parquet(f"{self.path}/_keys/{version}")
-        for v in versions:
-            self.fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_keys/{v}"), True)
-        return self.spark.read.parquet(f"{self.path}/_keys/{version}")
+                found = {r.file: r for r in self._ranges(new).collect()}
+                if set(found) - set(new):
+                    raise RuntimeError(f"files are named otherwise than listed: {sorted(set(found) - set(new))[:3]}")
+                self._known |= {f: found.get(f, Row(file=f, lo=None, hi=None, unkeyed=0)) for f in new}  # files without rows
+                self._store([self._known[f] for f in files])
+        return [self._known[f] for f in files]
+
+    def _versions(self) -> list[str]:
+        folder = self._P(f"{self.path}/_keys")
+        return sorted(s.getPath().getName() for s in self.fs.listStatus(folder)) if self.fs.exists(folder) else []
+
+    def _stored(self) -> list:
+        for v in reversed(self._versions()):
+            if self.fs.exists(self._P(f"{self.path}/_keys/{v}/_SUCCESS")):
+                return self.spark.read.parquet(f"{self.path}/_keys/{v}").collect()
+        return []
+
+    def _store(self, rows: list) -> None:
+        old = self._versions()
+        k = self.schema[self.key].dataType.simpleString()
+        df = self.spark.createDataFrame(rows, f"file string, lo {k}, hi {k}, unkeyed bigint")
+        df.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_keys/{int(old[-1]) + 1 if old else 0:08d}")
+        for v in old:
+            self.fs.delete(self._P(f"{self.path}/_keys/{v}"), True)
 
     def near(self, keys: DataFrame) -> list[str]:
-        """Files whose range holds a key of ``keys`` (one column).
+        """Files whose range holds a key of ``keys`` (one column); a NULL is near the files with rows without a key.
 
         The range of all files is cut into ``CELLS`` cells. A cell with keys keeps
         their least and greatest one, so files meet cells and never single keys.
         """
-        ranges = self.ranges().where("lo is not null")
+        rows = self.ranges()
+        keyed = [r for r in rows if r.lo is not None]
         k = F.col(keys.columns[0])
-        whole = isinstance(self.schema[self.key].dataType, (ByteType, ShortType, IntegerType, LongType))
-        least, most = ranges.agg(F.min("lo"), F.max("hi")).first()
-        if least is None:
-            return []
-        keys = keys.where(k.between(F.lit(least), F.lit(most)))
-        width = (most - least) // CELLS + 1 if whole else 1
-        cell = lambda c: F.expr(f"cast((cast({c} as decimal(38,0)) - {least}) div {width} as bigint)") if whole else F.lit(0).cast("long")
-        cells = keys.groupBy(cell(keys.columns[0]).alias("cell")).agg(F.min(k).alias("a"), F.max(k).alias("b"))
-        held = ranges.withColumn("cell", F.explode(F.sequence(cell("lo"), cell("hi")))).join(cells, "cell").where("a <= hi and b >= lo")
-        return [r.file for r in held.select("file").distinct().toLocalIterator()]
-
-    def unkeyed(self) -> list[str]:
-        return [r.file for r in self.ranges().where("unkeyed > 0").select("file").toLocalIterator()]
+        cell = F.lit(0).cast("long")
+        if keyed and isinstance(self.schema[self.key].dataType, (ByteType, ShortType, IntegerType, LongType)):
+            least, most = min(r.lo for r in keyed), max(r.hi for r in keyed)
+            inside = k.between(F.lit(least), F.lit(most))
+            cell = F.when(inside, F.expr(f"cast((cast({keys.columns[0]} as decimal(38,0)) - {least}) div {(most - least) // CELLS + 1} as bigint)"))
+        cells = keys.groupBy(cell.alias("cell")).agg(F.min(k).alias("a"), F.max(k).alias("b"), F.count_if(k.isNull()).alias("null"))
+        found = cells.collect()  # CELLS rows and one at most
+        spans = sorted((c.a, c.b) for c in found if c.a is not None and c.cell is not None)
+        ends = [b for _, b in spans]
+
+        def holds(lo, hi) -> bool:
+            i = bisect_left(ends, lo)
+            return i < len(spans) and spans[i][0] <= hi
+
+        without = any(c["null"] for c in found)
+        return [r.file for r in rows if r.lo is not None and holds(r.lo, r.hi) or without and r.unkeyed]
 
     def holding(self, keys: DataFrame) -> list[str]:
         """Files that hold a key of ``keys``: of the near ones, the key column is read."""
         near = self.near(keys)
         if not near:
             return []
-        rows = self.read(near).select(F.col(self.key).alias(keys.columns[0]), F.col(FILE).alias("file"))
+        rows = self.read(near).select(F.col(self.key).alias(keys.columns[0]), file_name().alias("file"))
         return [r.file for r in rows.join(keys, keys.columns[0], "left_semi").select("file").distinct().toLocalIterator()]
 
-    def swap(self, new: DataFrame, gone: list[str], partition_by: tuple[str, ...]) -> None:
-        """Write ``new`` and take the files ``gone`` away.
+    def swap(self, new: DataFrame, gone: list[str], partition_by: tuple[str, ...] = ()) -> list[str]:
+        """Write ``new`` and take the files ``gone`` away; returns the new files.
 
         The new files are written aside first. A note that lists both then makes
         the swap certain: it is carried out now, or by ``recover`` after a failure.
         """
         run = uuid.uuid4().hex
         staged = f"{self.path}/_staged-{run}"
-        new.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(staged)
-        note = "\n".join(gone)
-        out = self.fs.create(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_swap-{run}.part"), True)
+        w = new.hint("rebalance", *partition_by).write.partitionBy(*partition_by) if partition_by else new.write
+        w.parquet(staged)
+        note = "\n".join(self._uri[g] for g in gone)
+        out = self.fs.create(self._P(f"{self.path}/_swap-{run}.part"), True)
         out.write(bytearray(note.encode()))
         out.close()
-        self.fs.rename(*(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_swap-{run}{s}") for s in (".part", "")))
+        before = set(self.listed())
+        self.fs.rename(*(self._P(f"{self.path}/_swap-{run}{s}") for s in (".part", "")))
         self._carry_out(run)
+        return [f for f in self.listed() if f not in before]
 
     def recover(self) -> None:
         """Finish swaps that a failure has cut short; what was only written aside goes."""
-        names = [s.getPath().getName() for s in self.fs.listStatus(self.spark._jvm.org.apache.hadoop.fs.Path(self.path))]
+        names = [s.getPath().getName() for s in self.fs.listStatus(self._P(self.path))]
         for n in names:
             if n.startswith("_swap-") and not n.endswith(".part"):
                 self._carry_out(n.removeprefix("_swap-"))
         for n in names:
             if n.startswith(("_staged-", "_swap-")):
-                self.fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n}"), True)
+                self.fs.delete(self._P(f"{self.path}/{n}"), True)
 
     def _carry_out(self, run: str) -> None:
-        P = self.spark._jvm.org.apache.hadoop.fs.Path
+        P = self._P
         note, staged = P(f"{self.path}/_swap-{run}"), P(f"{self.path}/_staged-{run}")
         reader = self.spark._jvm.java.io.BufferedReader(self.spark._jvm.java.io.InputStreamReader(self.fs.open(note), "UTF-8"))
         gone = []

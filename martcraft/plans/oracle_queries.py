@@ -205,6 +205,9 @@ r AS (
          CASE WHEN ids.n < 1 THEN 'fail' WHEN ids.n <= 0 THEN 'warn' ELSE 'pass' END FROM ids)
 SELECT 'stg_customer_transactions' AS model, concat(kind, '_stg_customer_transactions_', target) AS check_name, column_name, severity,
        CAST(failures AS BIGINT) AS failures, status FROM r""",
+    "incremental_dim_customers": _dirty("dimc") + "\nSELECT * FROM dimc",
+    "incremental_dim_products": _dirty("dimp") + "\nSELECT * FROM dimp",
+    "incremental_monthly_sales": _dirty("monthly") + "\nSELECT * FROM monthly",
     "freshness_raw": f"""
 SELECT 'raw_customer_transactions' AS source, MAX(l_shipdate) AS max_loaded_at,
        (epoch_us(TIMESTAMP '{FRESHNESS_AS_OF}') - epoch_us(MAX(l_shipdate))) / 3600e6 AS age_hours,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from martcraft.plans.key_index import FILE, KeyedTable
+from martcraft.plans.key_index import KeyedTable, file_name
 from martcraft.plans.materialize import materialize
 
 log = logging.getLogger(__name__)
@@ -135,9 +135,9 @@ def _merge(spark: SparkSession, new: DataFrame, table: KeyedTable, partition_by:
     whole = None
     if keyless:  # only files that have rows without a key are looked at, and only those rows
         whole = batch.where(F.col(key).isNull()).select(_whole(shared).alias("_id")).distinct()
-        near = table.unkeyed()
+        near = table.near(batch.where(F.col(key).isNull()).select(key).limit(1))
         if near:
-            old = table.read(near).where(F.col(key).isNull()).select(_whole(shared).alias("_id"), F.col(FILE).alias("file"))
+            old = table.read(near).where(F.col(key).isNull()).select(_whole(shared).alias("_id"), file_name().alias("file"))
             gone |= {r.file for r in old.join(whole, "_id", "left_semi").select("file").distinct().toLocalIterator()}
     old = table.read(sorted(gone))
     kept = old.join(ids, old[key] == ids["_id"], "left_anti")

@@ -28,6 +28,7 @@ from martcraft.operators.quality import (
 from martcraft.operators.reports import monthly_trend, product_by_tier, rows_per_source, top_customers
 from martcraft.functions.cleaning import clean_prefixed_id, na_to_null
 from martcraft.operators.staging import stage_transactions, valid_transactions
+from martcraft.plans.incremental import IncrementalMarts
 from martcraft.plans.materialize import materialize
 from martcraft.plans.refresh import append_incremental, read_target, rows_after_high_water
 from martcraft.session import checkpoint_dir
@@ -296,7 +297,33 @@ def q_incremental_fact_keyed(spark, sf_dir):
     return read_target(spark, path).select(*rows.columns)
 
 
+def _loaded_in_steps(spark, sf_dir, columns, *names):
+    """Marts of the dirty copy by two loads: the rows up to a day, without every fifth customer; then all others, the later and the undated ones."""
+    cleaned = Star(spark, sf_dir, dirty=True, keep=("cleaned",), columns=columns).cleaned
+    marts = IncrementalMarts(spark, f"{checkpoint_dir(spark).rstrip('/')}/tables/marts-{uuid.uuid4().hex}", names)
+    first = F.coalesce((F.col("transaction_date") <= F.lit(FIRST_LOAD_UNTIL).cast("date")) & (F.col("customer_id") % 5 != 0), F.lit(False))
+    marts.load(cleaned.where(first), "first")
+    marts.load(cleaned.where(~first), "rest")
+    return marts
+
+
+def q_incremental_dim_customers(spark, sf_dir):
+    return _loaded_in_steps(spark, sf_dir, CUSTOMER_COLUMNS, "customers").customers(AS_OF, DRIVER_BANDS, audit=False)
+
+
+def q_incremental_dim_products(spark, sf_dir):
+    got = _loaded_in_steps(spark, sf_dir, PRODUCT_COLUMNS, "products").products(AS_OF, DRIVER_BANDS, audit=False)
+    return got.withColumn("stddev_unit_price", F.round("stddev_unit_price", 6))
+
+
+def q_incremental_monthly_sales(spark, sf_dir):
+    return _loaded_in_steps(spark, sf_dir, FACT_COLUMNS, "customers", "months").monthly(AS_OF, DRIVER_BANDS)
+
+
 QUERIES.update({
+    "incremental_dim_customers": q_incremental_dim_customers,
+    "incremental_dim_products": q_incremental_dim_products,
+    "incremental_monthly_sales": q_incremental_monthly_sales,
     "raw_with_audit": q_raw_with_audit,
     "raw_file_counts": q_raw_file_counts,
     "clean_transactions": q_clean_transactions,
