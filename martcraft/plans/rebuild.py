@@ -1,4 +1,4 @@
-"""Full rebuild of every layer, in the modelled order, with checks after each model.
+"""Full rebuild of every layer, in the modelled order: write, audit, publish.
 
 raw CSV -> cleaned table -> staging (view) -> dim_customers, dim_products
 (tables) -> fact_transactions (table, partitioned by month) -> agg_monthly_sales
@@ -6,7 +6,10 @@ raw CSV -> cleaned table -> staging (view) -> dim_customers, dim_products
 ``<base>/runs/<run>/``, and is published by one empty file,
 ``<base>/published/<run>``, created after the last write. Readers take the
 newest published run, so a run that dies, in whatever layer, changes nothing
-for them, and a rebuild may read the tables it replaces.
+for them, and a rebuild may read the tables it replaces. Declared checks stand
+between the last write and the publication: one that fails with severity ``error``
+keeps the run from being published. Published tables have names in the catalog,
+which move to a new run by one statement each.
 """
 from __future__ import annotations
 
@@ -28,12 +31,15 @@ from martcraft.operators.monthly import monthly_sales
 from martcraft.operators.quality import Check, assert_loaded, failing_rows, load_profile, run_checks
 from martcraft.operators.reports import sample_rows
 from martcraft.operators.staging import stage_transactions
+from martcraft.plans.refresh import within_dates
+from martcraft.sources.tables import create_database, create_view, layer_database
 
 log = logging.getLogger(__name__)
 
 # The folder of each table inside a run.
 CLEANED, CUSTOMERS, PRODUCTS, FACTS = (
     "cleaned_data/customer_transactions", "analytics/dim_customers", "analytics/dim_products", "analytics/fact_transactions")
+MONTHS = "analytics/agg_monthly_sales"
 LOAD_CHECKS = "load_checks"
 
 
@@ -99,11 +105,43 @@ def read_star(spark: SparkSession, base_path: str) -> StarTables:
     return StarTables(c, stage_transactions(c), cust, prod, fact, monthly_sales(fact), path)
 
 
+class CheckFailure(RuntimeError):
+    """Declared checks failed with severity ``error``; ``names`` lists them."""
+
+    def __init__(self, names: list[str], stored: str):
+        super().__init__(f"{len(names)} checks failed, rows are stored below {stored}: {', '.join(names[:10])}")
+        self.names = names
+
+
+def name_tables(spark: SparkSession, star: StarTables, prefix: str = "") -> list[str]:
+    """Give the tables of a run their catalog names (``<prefix>_analytics.dim_customers`` and so on).
+
+    Each name is a view of the run's files, replaced in one statement, so a reader
+    gets the old table or the new one. Returns the names.
+    """
+    out = []
+    for layer, folder in (("cleaned", CLEANED), ("analytics", CUSTOMERS), ("analytics", PRODUCTS), ("analytics", FACTS), ("analytics", MONTHS)):
+        database = layer_database(layer, prefix or None)
+        create_database(spark, database)
+        name = f"{database}.{folder.rpartition('/')[2]}"
+        create_view(spark, name, f"SELECT * FROM parquet.`{star.path}/{folder}`")
+        out.append(name)
+    return out
+
+
 def rebuild(spark: SparkSession, raw: DataFrame | None, base_path: str, as_of: str | dt.date | None = None,
             bands: Bands = DEFAULT_BANDS, on_reject: str = "null", cleaned: DataFrame | None = None,
-            min_rows: int = 1, keep_runs: int = 2) -> StarTables:
+            min_rows: int = 1, keep_runs: int = 2, checks: list[Check] | None = None, names: str | None = None,
+            start: str | None = None, end: str | None = None) -> StarTables:
     """Rebuild all layers from ``raw`` (all-STRING) or an already typed ``cleaned`` frame (SCD type 1).
 
+    ``start`` and ``end`` bound the transactions by date, both inclusive. With
+    ``checks`` (as ``declared_checks`` gives them) the run is audited before it is
+    published: results and failing rows are stored below ``<base>/dbt_test_failures``,
+    and a status ``fail`` raises ``CheckFailure``. ``names`` is the prefix of the
+    databases in which the published tables get names ("": none); these include the
+    monthly aggregate, which is written then.
+
     After the cleaned table is written, ``load_checks/`` gets the counts of
     unreadable values per column (from ``raw``), the NULL profile and the load
     profile; a load of fewer than ``min_rows`` rows fails there. A failing run
@@ -115,20 +153,34 @@ def rebuild(spark: SparkSession, raw: DataFrame | None, base_path: str, as_of: s
     run = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S.%f}-{uuid.uuid4().hex[:8]}"
     path = store.folder(run)
     try:
-        typed = cleaned if cleaned is not None else clean_transactions(raw, on_reject=on_reject)
+        typed = within_dates(cleaned if cleaned is not None else clean_transactions(raw, on_reject=on_reject), start, end)
         c = _write(spark, typed, f"{path}/{CLEANED}")
         _check_load(spark, raw if cleaned is None else None, c, f"{path}/{LOAD_CHECKS}", min_rows)
         stg = stage_transactions(c)
         cust = _write(spark, dim_customers(stg, as_of, bands), f"{path}/{CUSTOMERS}")
         prod = _write(spark, dim_products(stg, as_of, bands), f"{path}/{PRODUCTS}")
         fact = _write(spark, fact_transactions(stg, cust, prod), f"{path}/{FACTS}", ("transaction_month",))
+        monthly = monthly_sales(fact)
+        if names is not None:
+            monthly = _write(spark, monthly, f"{path}/{MONTHS}")
+        star = StarTables(c, stg, cust, prod, fact, monthly, path)
+        if checks is not None:
+            _audit(spark, star, store.base, checks)
         store.publish(run)
     except BaseException:
         store.delete(run)
         raise
+    if names is not None:
+        name_tables(spark, star, names)
     for old in store.published()[:-keep_runs]:
         store.delete(old)
-    return StarTables(c, stg, cust, prod, fact, monthly_sales(fact), path)
+    return star
+
+
+def _audit(spark: SparkSession, star: StarTables, base: str, checks: list[Check]) -> None:
+    failed = check_all(spark, star, base, checks=checks).where("status = 'fail'").select("check_name").collect()  # at most one row a check
+    if failed:
+        raise CheckFailure(sorted(r.check_name for r in failed), f"{base}/dbt_test_failures")
 
 
 def _check_load(spark: SparkSession, raw: DataFrame | None, cleaned: DataFrame, path: str, min_rows: int) -> None:

@@ -4,6 +4,7 @@ import os
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from martcraft.operators.quality import not_null
 from martcraft.plans import rebuild as rebuild_module
@@ -89,6 +90,33 @@ def test_failed_run_leaves_the_published_one(spark, scratch, monkeypatch):
     assert len(os.listdir(f"{scratch}/runs")) == 1
 
 
+def test_failing_check_keeps_the_old_run_published(spark, scratch):
+    from martcraft.operators.catalog import declared_checks
+    from martcraft.operators.quality import not_null
+    from martcraft.plans.rebuild import CheckFailure
+    rebuild(spark, None, scratch, as_of="2024-03-10", cleaned=_cleaned(spark), checks=[not_null("fact_transactions", "customer_fk")], names="wap")
+    named = lambda t: spark.table(f"wap_analytics.{t}").count()
+    assert (named("fact_transactions"), named("dim_customers"), named("agg_monthly_sales")) == (3, 1, 1)
+    twice = _cleaned(spark, 5).unionByName(_cleaned(spark, 1))  # one id on two rows
+    with pytest.raises(CheckFailure) as e:
+        rebuild(spark, None, scratch, as_of="2024-03-10", cleaned=twice, checks=declared_checks(), names="wap")
+    assert "unique_fact_transactions_transaction_key" in e.value.names
+    stored = spark.read.parquet(f"{scratch}/dbt_test_failures/unique_fact_transactions_transaction_key").collect()
+    assert [(r.unique_field, r.n_records) for r in stored] == [(0, 2)]
+    assert read_star(spark, scratch).fact.count() == 3 and len(os.listdir(f"{scratch}/runs")) == 1
+    assert named("fact_transactions") == 3  # the name still is that of the old run
+    warned = [not_null("fact_transactions", "tax_amount", severity="warn", warn_if=">=0")]
+    star = rebuild(spark, None, scratch, as_of="2024-03-10", cleaned=twice, checks=warned, names="wap")  # warnings don't block
+    assert named("fact_transactions") == read_star(spark, scratch).fact.count() == star.fact.count() == 6
+    assert spark.table("wap_cleaned_data.customer_transactions").count() == 6
+
+
+def test_rebuild_within_dates(spark, scratch):
+    late = _cleaned(spark).unionByName(_cleaned(spark).withColumn("transaction_date", F.lit("2024-05-05").cast("date")))
+    assert rebuild(spark, None, scratch, as_of="2024-06-10", cleaned=late, end="2024-02-01").fact.count() == 3
+    assert rebuild(spark, None, scratch, as_of="2024-06-10", cleaned=late, start="2024-01-02", end="2024-05-05").fact.count() == 6
+
+
 def test_empty_load_fails_and_publishes_nothing(spark, scratch):
     with pytest.raises(ValueError, match="no data loaded"):
         rebuild(spark, None, scratch, cleaned=_cleaned(spark).limit(0))
