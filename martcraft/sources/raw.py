@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import csv
 import logging
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from martcraft.operators.cleaning import RAW_COLUMNS
 
 log = logging.getLogger(__name__)
 
+OPEN_AT_ONCE = 32
+
 
 class HeaderError(ValueError):
     pass
@@ -21,22 +24,24 @@ def file_headers(spark: SparkSession, path: str | list[str]) -> dict[str, tuple[
     """The header line of every input file, column names trimmed.
 
     Files are listed by Spark (a path, a folder, a glob or a list of them) and
-    opened through its file systems for one line each; no data is read. A
-    missing path raises Spark's PATH_NOT_FOUND error as it is.
+    opened through its file systems for one line each, ``OPEN_AT_ONCE`` at a time;
+    no data is read. A missing path raises Spark's PATH_NOT_FOUND error as it is.
     """
     listed = spark.read.format("binaryFile").load(path).select("path")  # names only: the content column is pruned
     conf, jvm = spark._jsc.hadoopConfiguration(), spark._jvm
-    out = {}
-    for row in listed.toLocalIterator():
-        p = jvm.org.apache.hadoop.fs.Path(row.path)
+
+    def header(name: str) -> tuple[str, tuple[str, ...]]:
+        p = jvm.org.apache.hadoop.fs.Path(name)
         stream = p.getFileSystem(conf).open(p)
         try:
             line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
         finally:
             stream.close()
-        names = next(csv.reader([(line or "").lstrip("﻿")]), [])
-        out[row.path] = tuple(n.strip() for n in names)
-    return out
+        names = next(csv.reader([(line or "").lstrip("\ufeff")]), [])
+        return name, tuple(n.strip() for n in names)
+
+    with ThreadPoolExecutor(OPEN_AT_ONCE) as pool:
+        return dict(pool.map(header, (row.path for row in listed.toLocalIterator())))
 
 
 def _contract(headers: dict[str, tuple[str, ...]], required: tuple[str, ...]) -> None:

@@ -68,6 +68,21 @@ def test_columns_land_by_each_files_header(spark, scratch):
         read_raw_csv(spark, f"{scratch}/d.csv")
 
 
+def test_headers_of_many_files_are_read_at_once(spark, scratch):
+    import threading
+
+    from martcraft.sources.raw import file_headers
+    os.makedirs(f"{scratch}/in")
+    for i in range(600):
+        _csv(f"{scratch}/in/{i:04d}.csv", HEADER if i % 2 else HEADER + f",c{i}", [])
+    with open(f"{scratch}/in/mark.csv", "w", encoding="utf-8-sig") as f:
+        f.write(HEADER + "\n")
+    before = threading.active_count()
+    got = {os.path.basename(k): v for k, v in file_headers(spark, f"{scratch}/in").items()}
+    assert len(got) == 601 and threading.active_count() <= before + 1
+    assert got["0001.csv"] == got["mark.csv"] == tuple(HEADER.split(",")) and got["0002.csv"][-1] == "c2"
+
+
 def test_stream_reads_each_file_by_its_header(spark, scratch):
     from martcraft.streaming.landing import stream_landing
     land, out = f"{scratch}/landing", f"{scratch}/out"
