@@ -72,7 +72,7 @@ def line_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], np.nd
     return [keys[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:], strict=True)], row, number[first], last - first
 
 
-def _steps(a: list[bytes], b: list[bytes]) -> Iterator[int]:
+def _steps(a: list, b: list) -> Iterator[int]:
     """After each line of ``a`` the places of ``b`` as bits, 0 where the common subsequence gets longer by that place."""
     mask: dict[bytes, int] = {}
     for j, x in enumerate(b):
@@ -84,7 +84,7 @@ def _steps(a: list[bytes], b: list[bytes]) -> Iterator[int]:
         yield v
 
 
-def _lengths(a: list[bytes], b: list[bytes]) -> np.ndarray:
+def _lengths(a: list, b: list) -> np.ndarray:
     """Length of the longest common subsequence of ``a`` with each beginning of ``b``."""
     for v in _steps(a, b):
         pass
@@ -92,7 +92,7 @@ def _lengths(a: list[bytes], b: list[bytes]) -> np.ndarray:
     return np.append(0, np.cumsum(1 - bits.astype(np.int64)))
 
 
-def longest_common(a: list[bytes], b: list[bytes], bits: int = 1 << 28) -> list[tuple[int, int]]:
+def longest_common(a: list, b: list, bits: int = 1 << 28) -> list[tuple[int, int]]:
     """Places of a longest common subsequence, by bit vectors; halved (Hirschberg) where they would take more than ``bits``."""
     out: list[tuple[int, int]] = []
     work = [(0, len(a), 0, len(b))]

@@ -19,9 +19,11 @@ the index of all reference blocks at once:
    phrase's border.
 3. *Boundaries.* Only for phrases of the second kind the single windows are
    looked up, in the same way, by a 128-bit hash.
-4. *Factors.* Matched windows that follow each other form the longest factors,
-   left to right; each is at least ``window`` words long, so its words are
-   duplicates. Its source is the smallest document of its first window.
+4. *Factors.* Left to right, each matched phrase with the words of its last window
+   is a factor, and so is each window matched alone at a border. A factor is at
+   least ``window`` words long, so its words are duplicates, and stands whole in its
+   source, the smallest document that has it. Factors that follow each other
+   overlap; together they cover every word of a matched window.
 
 A phrase is compared by 64 bits of its content beside 32 bits of its minimizer,
 a window by 128 bits of word hashes. Work and shuffles grow with the input; no
@@ -288,23 +290,25 @@ _RESULT = pa.schema([
 def _factored(p: _Parse, answers: pa.Table) -> pa.RecordBatch:
     n = len(p.h)
     source = np.full(n, _NONE, dtype=np.int64)  # of the window that starts at a word
+    unit = np.full(n, -1, dtype=np.int64)  # the phrase, or the single window, that was matched
     if len(p.key):
         matched, of_phrase, check = _borders(p, answers)
         full = np.flatnonzero(matched)
         sizes = p.end[full] - p.begin[full]
         at = np.repeat(p.begin[full] - np.append(0, np.cumsum(sizes)[:-1]), sizes) + np.arange(sizes.sum())
         source[at] = np.repeat(of_phrase[full], sizes)
+        unit[at] = np.repeat(full, sizes)
         at, a, b, doc = p.windows(check)
         if len(at):
             _, least = p.firsts(a, b, doc)
             _, got = _Look(answers, WINDOW)(a, b)
             got = np.minimum(got, least)
             source[at] = np.where(got < doc, got, _NONE)
+            unit[at] = len(p.key) + np.arange(len(at))
     hit = np.flatnonzero(source != _NONE)
     w = p.words
-    # Greedy factors: windows that follow each other in one document extend the factor.
     new = np.ones(len(hit), dtype=bool)
-    new[1:] = (np.diff(hit) != 1) | (w.row[hit[1:]] != w.row[hit[:-1]])
+    new[1:] = (np.diff(hit) != 1) | (unit[hit[1:]] != unit[hit[:-1]])
     begin = hit[new]
     end = (hit[np.append(np.flatnonzero(new)[1:] - 1, len(hit) - 1)] if len(hit) else hit) + p.window
     depth = np.zeros(n + 1, dtype=np.int64)

@@ -135,3 +135,25 @@ def test_clashing_columns_and_empty_tables(spark):
     assert dedup_substrings(df).count() == jaccard_components(df).count() == 2
     none = df.where("doc_id > 9")
     assert dedup_lines(none).count() == dedup_substrings(none).count() == jaccard_components(none).count() == 0
+
+
+def test_every_factor_stands_in_its_source(spark):
+    r = random.Random(12)
+    w = [f"w{i}" for i in range(1, 200)]
+    rows = [(1, " ".join(w[:14])), (2, " ".join(w[1:15])), (3, " ".join(w[:15]))]  # no document has all fifteen words
+    rows += [(i, t) for i, t in ((r0.doc_id + 10, r0.text) for r0 in spark.read.parquet(f"/root/testdata/sf0.001/documents.parquet").collect())]
+    passages = [[r.choice(w) for _ in range(r.randrange(13, 60))] for _ in range(12)]
+    rows += [(10_000 + i, " ".join(x for _ in range(4) for x in (r.choice(passages)[r.randrange(5):] + [f"own{i}"] * r.randrange(3)))) for i in range(120)]
+    text = {i: f" {' '.join(brute.words(t))} " for i, t in rows}
+    got = dedup_substrings(frame(spark, rows)).collect()
+    n = 0
+    for x in got:
+        own, covered = brute.words(text[x.doc_id]), set()
+        for f in x.factors:
+            assert f.n_words >= 13 and f.source < x.doc_id
+            assert f" {' '.join(own[f.start:f.start + f.n_words])} " in text[f.source]
+            covered |= set(range(f.start, f.start + f.n_words))
+            n += 1
+        assert len(covered) == x.n_removed
+    assert n > 200
+    assert {f.source for x in got if x.doc_id == 3 for f in x.factors} == {1, 2}
