@@ -31,7 +31,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache, lru_cache
+from functools import cache, cached_property, lru_cache
 from itertools import pairwise
 
 import numpy as np
@@ -56,15 +56,12 @@ class Aligner:
 
     def __init__(self, json_text: str, model: bytes):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_str(json_text)
-        self.a.encode_special_tokens = True
-        self.a.no_padding()
-        self.a.no_truncation()
+        self.json_text = json_text
+        raw = json.loads(json_text)
         byte_of = {c: b for b, c in enumerate(byte_symbols())}
-        names = {i: t for t, i in self.a.get_vocab(with_added_tokens=True).items()}
-        self.quick = _quick(json.loads(json_text), byte_of)
+        names = {i: t for t, i in raw["model"]["vocab"].items()} | {t["id"]: t["content"] for t in raw["added_tokens"]}
+        self.quick = _quick(raw, byte_of)
         self.bytes_a = [bytes(byte_of[c] for c in names[i]) if i in names and all(c in byte_of for c in names[i]) else b"" for i in range(max(names) + 1)]
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model)
         pieces = [(i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
@@ -73,6 +70,17 @@ class Aligner:
         self.hash_a, self.hash_b = (T.mix(np.arange(len(ts)).astype(T.U)) for ts in (self.bytes_a, self.bytes_b))
         self.space_a, self.space_b = (np.array([t[:1] == b" " for t in ts]) for ts in (self.bytes_a, self.bytes_b))
 
+    @cached_property
+    def a(self):
+        """The JSON file's own library, loaded for the first text that needs it."""
+        from tokenizers import Tokenizer
+
+        a = Tokenizer.from_str(self.json_text)
+        a.encode_special_tokens = True
+        a.no_padding()
+        a.no_truncation()
+        return a
+
     def encode_a(self, text: str) -> list[int]:
         """By the ranks where that library reads the text's characters alike, else by the JSON file's own one."""
         if self.quick and not _unsettled().search(text):
@@ -202,11 +210,11 @@ class Windows:
         mark = np.zeros(end[-1], dtype=np.int64)  # what follows: , | ; or the window's end
         mark[end[::2] - 1], mark[end[1::2] - 1] = 1, 2
         mark[end[1::2][np.cumsum(self.groups) - 1] - 1] = 3
-        top = int(out.max()).bit_length()
+        top = max(16, int(out.max()).bit_length())
         return "".join(map(_numbers(top).__getitem__, (mark << top | out).tolist())).split("\n")[:-1]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _numbers(bits: int) -> list[str]:
     """The numbers below 2 ** bits with what can follow them."""
     return [str(i) + m for m in ",|;\n" for i in range(1 << bits)]
