@@ -80,7 +80,8 @@ def reject_counts(raw: DataFrame, price_words=None, tax_words=None) -> DataFrame
 
 def null_profile(df: DataFrame, columns: tuple[str, ...] = RAW_COLUMNS) -> DataFrame:
     """Row count and NULL count per column in one pass (the quality summary after cleaning)."""
-    return df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns],
-    )
+    return df.agg(*null_counters(columns))
+
+
+def null_counters(columns: tuple[str, ...] = RAW_COLUMNS) -> list[Column]:
+    return [F.count(F.lit(1)).alias("total_rows"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns]]

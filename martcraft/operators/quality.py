@@ -2,7 +2,8 @@
 
 Row-level checks of one table (not_null, accepted_values, accepted_range,
 expression_is_true) are evaluated together in ONE aggregate pass of
-``count_if`` columns. Set-level checks need a shuffle each: ``unique`` and
+``count_if`` columns, or without any pass of their own by the job that writes
+the table (``WriteCounts``). Set-level checks need a shuffle each: ``unique`` and
 ``unique_combination`` group by their keys (partial aggregation first, so a
 hot key is pre-counted per task), ``relationships`` is a left-anti join of
 the child keys against the distinct parent keys.
@@ -15,7 +16,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 ROW_KINDS = ("not_null", "accepted_values", "accepted_range", "expression_is_true")
@@ -141,16 +142,56 @@ def _orphan_count(check: Check, tables: dict[str, DataFrame]) -> DataFrame:
     return _orphans(check, tables).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
 
 
-def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+class WriteCounts:
+    """Counters that are filled by the job that writes a table, as observed metrics of its last stage.
+
+    Put the counters on the very frame that is written, after any ``rebalance`` hint: a
+    task of the last stage that runs twice (a lost executor, speculation) is counted
+    once, one of an earlier stage might not be. Each counter belongs to one write.
+    """
+
+    def __init__(self, checks: list[Check] = ()):
+        self.checks = list(checks)
+        self._rows: list[Observation] = []
+        self._profiles: dict[str, Observation] = {}
+
+    def row_checks(self, df: DataFrame, model: str) -> DataFrame:
+        """``df`` with counters for all row checks that are declared for ``model``."""
+        counters = [F.count_if(F.expr(c.predicate)).alias(f"c{i}") for i, c in enumerate(self.checks) if c.model == model and c.kind in ROW_KINDS]
+        if not counters:
+            return df
+        self._rows.append(Observation())
+        return df.observe(self._rows[-1], *counters)
+
+    def profile(self, df: DataFrame, name: str, counters: list[Column]) -> DataFrame:
+        """``df`` with aliased aggregates, to be read as ``profile_row(name)`` after the write."""
+        self._profiles[name] = Observation()
+        return df.observe(self._profiles[name], *counters)
+
+    def profile_row(self, name: str) -> dict[str, int]:
+        return self._profiles[name].get
+
+    def failures(self) -> dict[int, int]:
+        """Failing rows by the check's place in ``checks``, for the tables written so far."""
+        return {int(c[1:]): n for seen in self._rows for c, n in seen.get.items()}
+
+
+def run_checks(tables: dict[str, DataFrame], checks: list[Check], counted: dict[int, int] | None = None) -> DataFrame:
     """One result row per check: model, check_name, column_name, severity, failures, status.
 
+    ``counted`` has the failures of checks that were counted before
+    (``WriteCounts.failures``, made of the same ``checks``); these read no table.
     Every part yields only (check_idx, failures); the status is one generic
     expression over the joined check metadata, so generated code stays small.
     """
+    spark = next(iter(tables.values())).sparkSession
+    counted = counted or {}
     parts: list[DataFrame] = []
+    if counted:
+        parts.append(spark.createDataFrame(sorted(counted.items()), "check_idx int, failures bigint"))
     by_model: dict[str, list[int]] = {}
     for i, c in enumerate(checks):
-        if c.kind in ROW_KINDS:
+        if c.kind in ROW_KINDS and i not in counted:
             by_model.setdefault(c.model, []).append(i)
     for model, idx in by_model.items():
         counts = tables[model].agg(*[F.count_if(F.expr(checks[i].predicate)).alias(f"c{i}") for i in idx])
@@ -167,7 +208,7 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    meta = _metadata(next(iter(tables.values())).sparkSession, checks)
+    meta = _metadata(spark, checks)
     f = F.col("failures")
     err = (F.col("severity") == "error") & _meets(f, F.col("error_op"), F.col("error_n"))
     warn = _meets(f, F.col("warn_op"), F.col("warn_n"))
@@ -197,15 +238,19 @@ def freshness(df: DataFrame, as_of_ts, column: str = "loaded_at", warn_after_hou
 
 def load_profile(cleaned: DataFrame) -> DataFrame:
     """Post-load counters in one pass (row count, NULL ids/dates/quantities, zero prices)."""
+    return cleaned.agg(*load_counters())
+
+
+def load_counters() -> list[Column]:
     c = F.col
-    return cleaned.agg(
+    return [
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(c("transaction_id").isNull()).alias("null_transaction_ids"),
         F.count_if(c("customer_id").isNull()).alias("null_customer_ids"),
         F.count_if(c("transaction_date").isNull()).alias("null_dates"),
         F.count_if(c("quantity").isNull()).alias("null_quantities"),
         F.count_if(c("price").isNull() | (c("price") == 0)).alias("zero_prices"),
-    )
+    ]
 
 
 def assert_loaded(profile: DataFrame, min_rows: int = 1) -> int:

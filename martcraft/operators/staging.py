@@ -20,22 +20,24 @@ def valid_condition(customer: str = "customer_id", quantity: str = "quantity", p
 
 
 def stage_transactions(cleaned: DataFrame, padded_names: bool = True) -> DataFrame:
+    return cleaned.select(*staging_columns(cleaned, padded_names))
+
+
+def staging_columns(cleaned: DataFrame, padded_names: bool = True) -> list[Column]:
+    """The staged columns as expressions over the cleaned ones."""
     d = F.col("transaction_date")
     q, p, t = F.col("quantity"), F.col("price"), F.col("tax")
     loaded = F.col("loaded_at") if "loaded_at" in cleaned.columns else F.lit(None).cast("timestamp")
-    return cleaned.select(
-        "transaction_id",
-        "customer_id",
-        "product_id",
-        "transaction_date",
+    return [
+        *(F.col(c) for c in ("transaction_id", "customer_id", "product_id", "transaction_date")),
         month_start(d).alias("transaction_month"),
         F.year(d).alias("transaction_year"),
         F.quarter(d).alias("transaction_quarter"),
         F.month(d).alias("month_number"),
         month_name(d, padded_names).alias("month_name"),
         day_name(d, padded_names).alias("day_name"),
-        "product_name",
-        "quantity",
+        F.col("product_name"),
+        q,
         p.alias("unit_price"),
         t.alias("tax_amount"),
         (q * p).alias("subtotal"),
@@ -45,7 +47,7 @@ def stage_transactions(cleaned: DataFrame, padded_names: bool = True) -> DataFra
         F.coalesce(valid_condition(), F.lit(False)).alias("is_valid_transaction"),
         loaded.alias("loaded_at"),
         F.current_timestamp().alias("transformed_at"),
-    )
+    ]
 
 
 def valid_transactions(stg: DataFrame) -> DataFrame:

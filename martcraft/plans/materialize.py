@@ -2,29 +2,30 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
 from martcraft.session import checkpoint_dir
 
 
-def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), counters: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared ``spark.checkpoint.dir`` and read it back.
 
     This cuts the lineage (a lost executor reads files again instead of
     recomputing joins), and later scans get column pruning, filter pushdown
     and, with ``partition_by``, partition pruning. The folder goes when the
     driver's file system closes, at the end of the application: results are
-    lazy, so it can't go earlier.
+    lazy, so it can't go earlier. ``counters`` (of ``WriteCounts``) is put on the
+    frame that is written.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    w = df.write.mode("overwrite")
-    if partition_by:
-        # REBALANCE lets AQE size the files of each partition value: small
-        # months are coalesced, a hot month is split over several tasks.
-        w = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
-    w.parquet(path)
+    # REBALANCE lets AQE size the files of each partition value: small
+    # months are coalesced, a hot month is split over several tasks.
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    w = (counters(rows) if counters else rows).write.mode("overwrite")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
     return spark.read.schema(df.schema).parquet(path)

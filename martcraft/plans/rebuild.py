@@ -16,21 +16,23 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martcraft.config import DEFAULT_BANDS, Bands, QualityParams
 from martcraft.operators.catalog import (
     DIM_CUSTOMERS, DIM_PRODUCTS, FACT, MONTHLY, SOURCE, STAGING, declared_checks,
 )
-from martcraft.operators.cleaning import clean_transactions, null_profile, reject_counts
+from martcraft.operators.cleaning import clean_transactions, null_counters, reject_counts
 from martcraft.operators.dimensions import dim_customers, dim_products
 from martcraft.operators.fact import fact_transactions
 from martcraft.operators.monthly import monthly_sales
-from martcraft.operators.quality import Check, assert_loaded, failing_rows, load_profile, run_checks
+from martcraft.operators.quality import Check, WriteCounts, assert_loaded, failing_rows, load_counters, run_checks
 from martcraft.operators.reports import sample_rows
-from martcraft.operators.staging import stage_transactions
+from martcraft.operators.staging import stage_transactions, staging_columns
 from martcraft.plans.refresh import within_dates
 from martcraft.sources.tables import create_database, create_view, layer_database
 
@@ -84,13 +86,13 @@ class _Store:
         self.fs.delete(self._path(self.folder(run)), True)
 
 
-def _write(spark: SparkSession, df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    w = df.write
-    if partition_by:
-        # REBALANCE lets AQE size the files of each partition value: small
-        # months are coalesced, a hot month is split over several tasks.
-        w = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
-    w.parquet(path)
+def _write(spark: SparkSession, df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
+           counters: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    # REBALANCE lets AQE size the files of each partition value: small
+    # months are coalesced, a hot month is split over several tasks.
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    w = (counters(rows) if counters else rows).write
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -154,18 +156,19 @@ def rebuild(spark: SparkSession, raw: DataFrame | None, base_path: str, as_of: s
     path = store.folder(run)
     try:
         typed = within_dates(cleaned if cleaned is not None else clean_transactions(raw, on_reject=on_reject), start, end)
-        c = _write(spark, typed, f"{path}/{CLEANED}")
-        _check_load(spark, raw if cleaned is None else None, c, f"{path}/{LOAD_CHECKS}", min_rows)
+        counts = WriteCounts(checks or ())
+        c = _write(spark, typed, f"{path}/{CLEANED}", counters=lambda df: _count_load(df, counts))
+        _check_load(spark, raw if cleaned is None else None, c, counts, f"{path}/{LOAD_CHECKS}", min_rows)
         stg = stage_transactions(c)
-        cust = _write(spark, dim_customers(stg, as_of, bands), f"{path}/{CUSTOMERS}")
-        prod = _write(spark, dim_products(stg, as_of, bands), f"{path}/{PRODUCTS}")
-        fact = _write(spark, fact_transactions(stg, cust, prod), f"{path}/{FACTS}", ("transaction_month",))
+        cust = _write(spark, dim_customers(stg, as_of, bands), f"{path}/{CUSTOMERS}", counters=lambda df: counts.row_checks(df, DIM_CUSTOMERS))
+        prod = _write(spark, dim_products(stg, as_of, bands), f"{path}/{PRODUCTS}", counters=lambda df: counts.row_checks(df, DIM_PRODUCTS))
+        fact = _write(spark, fact_transactions(stg, cust, prod), f"{path}/{FACTS}", ("transaction_month",), lambda df: counts.row_checks(df, FACT))
         monthly = monthly_sales(fact)
         if names is not None:
-            monthly = _write(spark, monthly, f"{path}/{MONTHS}")
+            monthly = _write(spark, monthly, f"{path}/{MONTHS}", counters=lambda df: counts.row_checks(df, MONTHLY))
         star = StarTables(c, stg, cust, prod, fact, monthly, path)
         if checks is not None:
-            _audit(spark, star, store.base, checks)
+            _audit(spark, star, store.base, checks, counts.failures())
         store.publish(run)
     except BaseException:
         store.delete(run)
@@ -177,29 +180,47 @@ def rebuild(spark: SparkSession, raw: DataFrame | None, base_path: str, as_of: s
     return star
 
 
-def _audit(spark: SparkSession, star: StarTables, base: str, checks: list[Check]) -> None:
-    failed = check_all(spark, star, base, checks=checks).where("status = 'fail'").select("check_name").collect()  # at most one row a check
+def _audit(spark: SparkSession, star: StarTables, base: str, checks: list[Check], counted: dict[int, int]) -> None:
+    failed = check_all(spark, star, base, checks=checks, counted=counted).where("status = 'fail'").select("check_name").collect()  # at most one row a check
     if failed:
         raise CheckFailure(sorted(r.check_name for r in failed), f"{base}/dbt_test_failures")
 
 
-def _check_load(spark: SparkSession, raw: DataFrame | None, cleaned: DataFrame, path: str, min_rows: int) -> None:
+def with_load_checks(cleaned: DataFrame, counts: WriteCounts) -> DataFrame:
+    """The cleaned rows with counters of their own row checks and of those of the staged
+    rows, which are a view of them: the write computes the staged columns that checks
+    read, counts, and leaves them out again."""
+    own = {f"_own{i}": c for i, c in enumerate(cleaned.columns)}
+    both = cleaned.select(*[F.col(c).alias(a) for a, c in own.items()], *staging_columns(cleaned))
+    rows = counts.row_checks(both, STAGING).select(*[F.col(a).alias(c) for a, c in own.items()])
+    return counts.row_checks(rows, SOURCE)
+
+
+def _count_load(cleaned: DataFrame, counts: WriteCounts) -> DataFrame:
+    rows = counts.profile(with_load_checks(cleaned, counts), "null_profile", null_counters())
+    return counts.profile(rows, "load_profile", load_counters())
+
+
+def _check_load(spark: SparkSession, raw: DataFrame | None, cleaned: DataFrame, counts: WriteCounts, path: str, min_rows: int) -> None:
     if raw is not None:
         rejects = _write(spark, reject_counts(raw), f"{path}/reject_counts").first().asDict()
         lost = {c: n for c, n in rejects.items() if c != "total_rows" and n}
         if lost:
             log.warning("values that could not be read and became NULL: %s", lost)
-    log.info("NULLs: %s", _write(spark, null_profile(cleaned), f"{path}/null_profile").first().asDict())
-    profile = _write(spark, load_profile(cleaned), f"{path}/load_profile")
-    log.info("load: %s", profile.first().asDict())
+    for name in ("null_profile", "load_profile"):  # counted by the write
+        seen = counts.profile_row(name)
+        profile = _write(spark, spark.createDataFrame([tuple(seen.values())], ", ".join(f"{c} bigint" for c in seen)), f"{path}/{name}")
+        log.info("%s: %s", name, seen)
     assert_loaded(profile, min_rows)
     log.info("sample: %s", sample_rows(cleaned).collect())
 
 
 def check_all(spark: SparkSession, star: StarTables, base_path: str | None = None, bands: Bands = DEFAULT_BANDS,
-              params: QualityParams = QualityParams(), checks: list[Check] | None = None) -> DataFrame:
+              params: QualityParams = QualityParams(), checks: list[Check] | None = None, counted: dict[int, int] | None = None) -> DataFrame:
     """Run the declared checks; with ``base_path`` also store each failing check's rows.
 
+    ``counted`` has what the writes counted already (``WriteCounts.failures`` of the same ``checks``).
+
     Rows stored by earlier calls for checks that pass now are deleted.
     """
     checks = checks if checks is not None else declared_checks(bands, params)
@@ -208,7 +229,7 @@ def check_all(spark: SparkSession, star: StarTables, base_path: str | None = Non
     if twice:
         raise ValueError(f"check names must differ: {twice}")
     tables = star.by_model()
-    results = run_checks(tables, checks)
+    results = run_checks(tables, checks, counted)
     if base_path is None:
         return results
     base = f"{base_path.rstrip('/')}/dbt_test_failures"

@@ -100,3 +100,11 @@ def test_distinct_count_join_reuses_partitioning(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_row_checks_need_no_second_scan(spark):
+    """Row checks come with the writes: what is left to scan are keys of uniqueness and relationships."""
+    import re
+    p = formatted(QUERIES["dq_results"](spark, SF_SMALL))
+    read = {c for schema in re.findall(r"ReadSchema: struct<(.*)>", p) for c in re.findall(r"(\w+):", schema)}
+    assert read == {"transaction_id", "transaction_key", "transaction_month", "customer_key", "customer_id", "product_key", "product_id", "customer_fk", "product_fk"}

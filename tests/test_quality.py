@@ -1,7 +1,7 @@
 from decimal import Decimal
 
 from martcraft.operators.quality import (
-    accepted_range, accepted_values, expression_is_true, failing_rows, freshness, load_profile, not_null,
+    WriteCounts, accepted_range, accepted_values, expression_is_true, failing_rows, freshness, load_profile, not_null,
     null_shares, relationships, run_checks, unique, unique_combination,
 )
 
@@ -105,3 +105,50 @@ def test_combination_duplicates_and_orphan_rows(spark):
     parent = spark.createDataFrame([(2,)], "pk int")
     rows = failing_rows(relationships("t", "k", "p", "pk"), {"t": df, "p": parent}).collect()
     assert [r.from_field for r in rows] == [1, 1]  # one per child row
+
+
+def test_counts_taken_by_the_write(spark, scratch):
+    """Row checks and profiles come from the writing job, of empty tables too."""
+    rows = spark.range(0, 3000, 1, 7).selectExpr("id as k", "if(id % 3 = 0, null, id) as n")
+    checks = [not_null("t", "n"), accepted_range("t", "n", 0, 1499), not_null("other", "k"), unique("t", "k"), expression_is_true("t", "k >= 10")]
+    for name, df, want in (("all", rows, {0: 1000, 1: 1000, 4: 10}), ("none", rows.where("k < 0"), {0: 0, 1: 0, 4: 0}), ("local", rows.limit(0), {0: 0, 1: 0, 4: 0})):
+        counts = WriteCounts(checks)
+        assert counts.failures() == {} and counts.row_checks(df, "unknown") is df
+        seen = counts.profile(counts.row_checks(df.hint("rebalance"), "t"), "p", load_counters_of("k"))
+        seen.write.parquet(f"{scratch}/{name}")
+        assert counts.failures() == want
+        assert counts.profile_row("p") == {"total": 3000 if name == "all" else 0}
+    broken = spark.createDataFrame([(None,)], "k long")
+    got = {r.check_name: r.failures for r in run_checks({"t": spark.read.parquet(f"{scratch}/all"), "other": broken}, checks, {0: 5, 1: 6, 4: 7}).collect()}
+    assert got == {"not_null_t_n": 5, "accepted_range_t_n": 6, "expression_is_true_t_model": 7, "not_null_other_k": 1, "unique_t_k": 0}
+
+
+def load_counters_of(column):
+    from pyspark.sql import functions as F
+    return [F.count(column).alias("total")]
+
+
+def test_counts_of_the_write_equal_a_second_scan(spark, scratch):
+    """Every row check of the catalog on dirty rows: counted by the writes as by scans of the written tables."""
+    import datetime as dt
+    from martcraft.operators.catalog import SOURCE, STAGING, declared_checks
+    from martcraft.plans.rebuild import rebuild, with_load_checks
+    from martcraft.operators.staging import stage_transactions
+    rows = [(None if i % 11 == 0 else i, None if i % 7 == 0 else i % 5, None if i % 13 == 0 else dt.date(2024, 1 + i % 12, 2), i % 4, None if i % 9 == 0 else "P",
+             i % 6 - 1, Decimal(i % 8), None if i % 10 == 0 else Decimal("1.00")) for i in range(200)]
+    cleaned = spark.createDataFrame(rows, "transaction_id bigint, customer_id bigint, transaction_date date, product_id bigint, "
+                                          "product_name string, quantity int, price decimal(10,2), tax decimal(10,2)")
+    checks = declared_checks()
+    counts = WriteCounts(checks)
+    loaded = with_load_checks(cleaned, counts)
+    assert loaded.schema == cleaned.schema
+    loaded.write.parquet(f"{scratch}/c")
+    c = spark.read.parquet(f"{scratch}/c")
+    row_checks = [k for k in checks if k.model in (SOURCE, STAGING) and k.kind != "unique"]
+    scanned = {r.check_name: r.failures for r in run_checks({SOURCE: c, STAGING: stage_transactions(c)}, row_checks).collect()}
+    assert {checks[i].name: n for i, n in counts.failures().items()} == scanned and sum(scanned.values()) > 100
+    warned = [k for k in checks if k.kind != "relationships"]
+    warned = [type(k)(**{**k.__dict__, "severity": "warn"}) for k in warned]
+    star = rebuild(spark, None, f"{scratch}/wh", as_of="2025-01-01", cleaned=cleaned, checks=warned, names="counted")
+    stored = {r.check_name: r.failures for r in spark.read.parquet(f"{scratch}/wh/dbt_test_failures/_results").collect()}
+    assert stored == {r.check_name: r.failures for r in run_checks(star.by_model(), warned).collect()}
