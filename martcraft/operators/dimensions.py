@@ -177,11 +177,13 @@ def dim_products(
         F.max("quantity").alias("max_quantity_per_transaction"),
     )
     # The name comes from one row per (product, name): a maximum of strings in the main aggregate
-    # would sort all rows. Days and customers are exact two-level counts. Each of the three reads
-    # two or three columns of its own, and is pruned where nothing downstream reads its result.
+    # would sort all rows. Customers and days are counted in one scan: the two distinct counts make
+    # Spark expand each row into a (product, customer) and a (product, day) pair, reduce the pairs
+    # (shuffled on both columns, so a hot product spreads), and count them per product. Each of the
+    # two branches is pruned where nothing downstream reads its result.
     names = v.groupBy(*keys, "product_name").agg(F.max("transaction_date").alias("_named")).groupBy(*keys).agg(name.alias("product_name"))
-    m = agg.join(names, keys, "left").join(_distinct_count(v, keys, "customer_id", "unique_customers"), keys, "left").join(
-        _distinct_count(v, keys, "transaction_date", "unique_transaction_days"), keys, "left").withColumn(
+    distinct = v.groupBy(*keys).agg(F.count_distinct("customer_id").alias("unique_customers"), F.count_distinct("transaction_date").alias("unique_transaction_days"))
+    m = agg.join(names, keys, "left").join(distinct, keys, "left").withColumn(
         "product_id", F.when(~F.col("_pnull"), F.col("_pk")))
     return describe_products(m, as_of, bands, audit)
 
