@@ -38,10 +38,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
 from martcraft.llm import text as T
 from martcraft.llm.components import connected_components
-from martcraft.llm.tables import dropped, saved, ship, text_bytes
+from martcraft.llm.tables import dropped, fresh, saved, ship, text_bytes
 
 TILE = 256
 KEY_BYTES = 6
@@ -375,3 +376,51 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     got = linked.join(least, "g").select("doc_id", "n_shingles", "component_id")
     rest = members.where("doc_id is null or n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return got.unionByName(rest)
+
+
+def with_class(docs: DataFrame, name: str, text_col: str = "text", n: int = 3) -> DataFrame:
+    """``docs`` with a column ``name``: the hash of the row's set (0: no words)."""
+    ship(docs.sparkSession)
+    schema = StructType([*docs.schema.fields]).add(name, LongType())
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s in T.slices(batch, text_col):
+                cls = class_of(*shingle_sets(*T.utf8(s.column(text_col)), n))
+                yield pa.RecordBatch.from_arrays([*s.columns, pa.array(cls)], names=schema.names)
+
+    return docs.mapInArrow(add, schema)
+
+
+def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, percent: int = 90) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: one row of each component stays.
+
+    That is a row with the component's smallest doc_id. Rows with one doc_id and
+    different sets are different documents: each is judged by its own links, and
+    where several of a component share its smallest doc_id, the one with the least
+    class stays. Of rows with one doc_id and equal sets one stays, by a hash of its
+    columns. Rows without a doc_id or without words are in no component and stay.
+    """
+    members, comp = link_classes(docs, id_col, text_col, n, percent)
+    known = members.where("doc_id is not null")
+    sets = known.where("n_shingles > 0").select("doc_id", "cls").distinct()
+    sets = saved(sets.join(comp, "cls", "left").select("doc_id", "cls", F.coalesce("component", "cls").alias("g")), "sets")
+    least = sets.groupBy("g").agg(F.min("doc_id").alias("doc_id"))
+    stay = saved(sets.join(least, ["g", "doc_id"]).groupBy("g", "doc_id").agg(F.min("cls").alias("cls")).select("doc_id", "cls"), "stay")
+
+    # Ids of one row stay or go by their id alone; the rows of the others are told apart by their sets.
+    rows = known.groupBy("doc_id").agg(F.count("*").alias("n_rows"), F.max("n_shingles").alias("most"))
+    rows = rows.join(stay.select("doc_id", F.lit(True).alias("stays")).distinct(), "doc_id", "left")
+    mark = fresh("judged_id", docs.columns)
+    judged = saved(rows.where("n_rows > 1 or (most > 0 and stays is null)").select(F.col("doc_id").alias(mark), (F.col("n_rows") > 1).alias("several")), "judged")
+    key = docs[id_col].cast("long")
+    alone = docs.join(judged.select(mark), key == F.col(mark), "left_anti")
+
+    name = fresh("cls", docs.columns)
+    several = with_class(docs.join(judged.where("several").select(mark), key == F.col(mark), "left_semi"), name, text_col, n)
+    wordless = several.where(F.col(name) == 0).select(*docs.columns)
+    chosen = stay.select(F.col("doc_id").alias(mark), F.col("cls").alias(f"{mark}_cls"))
+    linked = several.join(chosen, (several[id_col].cast("long") == chosen[mark]) & (several[name] == chosen[f"{mark}_cls"]), "left_semi")
+    order = F.xxhash64(*[f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()])
+    linked = linked.groupBy(F.col(id_col).cast("long").alias("k"), F.col(name).alias("c")).agg(F.min_by(F.struct(*docs.columns), order).alias("row")).select("row.*")
+    return alone.unionByName(wordless).unionByName(linked)
