@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from martcraft.llm import quality
 from martcraft.llm.bpe import encode_decode
-from martcraft.llm.jaccard_join import jaccard_components
+from martcraft.llm.jaccard_join import one_per_component
 from martcraft.llm.line_dedup import dedup_lines
 from martcraft.llm.mixing import mixed_documents
 from martcraft.llm.queries import tokenizer_file
@@ -40,12 +40,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of linked ones: the one with the smallest doc_id.
 
     Links: five-word shingles with a similarity of 0.8 or more. Rows without a
-    doc_id or without words are in no group and stay. Rows with one doc_id are one
-    document and stay or go together.
+    doc_id or without words are in no group and stay. Rows with one doc_id and
+    different texts are judged one by one; of repeated rows one stays.
     """
-    groups = jaccard_components(docs, n=5, percent=80)
-    dropped = groups.where("doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("dropped_id")).distinct()
-    return docs.join(dropped, docs["doc_id"] == dropped["dropped_id"], "left_anti")
+    return one_per_component(docs, n=5, percent=80)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
