@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 from martcraft.llm import quality
 from martcraft.llm.queries import ORACLE, QUERIES
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 SMALL = "/root/testdata/sf0.001"
@@ -110,6 +111,25 @@ def test_stages_on_odd_tables(spark):
     assert kept == {None, 1, 3, 4, 6}
 
 
+def test_near_duplicates_by_row(spark):
+    """Rows of one doc_id are judged by their own texts; repeated rows are one; nothing else goes."""
+    a = " ".join(f"a{i}" for i in range(60))
+    near, b, c = a + " end", " ".join(f"b{i}" for i in range(50)), " ".join(f"c{i}" for i in range(50))
+    rows = [(1, a, "x"), (2, near, "x"), (2, b, "x"),        # 2: a near copy of 1, and a text of its own
+            (3, c, "x"), (3, c, "y"), (3, c + " z", "x"),    # 3: copies and a near copy under one doc_id
+            (4, c, "x"), (5, None, "x"), (5, "", "x"), (5, a, "x"), (6, None, "x"), (None, a, "x"), (None, a, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns(
+        {"cls": F.lit(1), "judged_id": F.lit(2), "k": F.lit(3), "row": F.create_map(F.lit("m"), F.lit(4))})
+    got = STAGE["near_duplicates"](spark, docs, SMALL)
+    assert got.columns == docs.columns
+    left = Counter((r.doc_id, r.text) for r in got.collect())
+    threes = [k for k in left if k[0] == 3]
+    assert len(threes) == 1 and threes[0][1] in (c, c + " z") and left.pop(threes[0]) == 1
+    assert left == Counter([(1, a), (2, b), (5, None), (5, ""), (6, None), (None, a), (None, a)])
+    again = STAGE["near_duplicates"](spark, docs.repartition(5), SMALL)
+    assert sorted(map(str, again.collect())) == sorted(map(str, got.collect()))
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
 def test_oracles(spark, name, sf):
