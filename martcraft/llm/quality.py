@@ -13,7 +13,11 @@ chosen by a hash of the doc_id); everything else runs over all rows.
 
 Defined cases: a null or empty text has no words and fails the base rules. Ties
 at a split go to the lower feature, then the lower bound. Without labelled rows
-of both classes the verdict is the base rules' alone.
+of both classes the verdict is the base rules' alone. Repeated rows are judged
+one by one, all alike; in training, rows of one doc_id count once. An empty table
+gives no rows. A very long text is counted whole, in a slice of its own. Other
+columns aren't read by ``judge``; ``kept_rows`` returns all of them as they are,
+also where they are called like a count.
 """
 from __future__ import annotations
 
@@ -203,12 +207,14 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
           train_rows: int = TRAIN_ROWS) -> Trees | None:
     """A model fitted on at most ``train_rows`` labelled documents, or None without both classes.
 
-    Of rows with one doc_id and of rows with one text, one counts.
+    Of rows with one doc_id the one with the least counts is used (compared in
+    the order of ``COUNTS``), so the model doesn't depend on how the rows are dealt.
     """
     known = labels.where(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label_col).alias("y"))
     pick = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(pick), "doc_id")
-    stats = document_statistics(rows.select("doc_id", "text")).join(F.broadcast(pick), "doc_id").dropDuplicates(["doc_id"])
+    one = document_statistics(rows.select("doc_id", "text")).groupBy("doc_id").agg(F.min(F.struct(*COUNTS)).alias("least")).select("doc_id", "least.*")
+    stats = one.join(F.broadcast(pick), "doc_id")
     t = stats.orderBy("doc_id").toPandas()
     if t["y"].nunique() < 2:
         return None

@@ -14,7 +14,11 @@ ridge. The training rows are a bounded sample of the labelled documents
 
 Defined cases: a null or empty text has no features and gets the models'
 intercepts. A category without rows of both classes gets its constant share.
-Labels other than 0 and 1 don't count.
+Labels other than 0 and 1 don't count. Repeated rows are scored one by one, all
+alike; in training, rows of one doc_id count once. An empty table of documents
+gives no rows; without labelled rows every probability is a half. Very long texts
+are cut into terms in slices of a few MB between documents, never inside one.
+Other columns, whatever they are called, aren't read and aren't returned.
 """
 from __future__ import annotations
 
@@ -167,7 +171,11 @@ def fit_chain(h: np.ndarray, off: np.ndarray, labels: np.ndarray, folds: np.ndar
 
 def train_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_col: str = "doc_id", text_col: str = "text",
                 train_rows: int = TRAIN_ROWS) -> Chain:
-    """A chain over ``categories`` (name: 0/1 expression over ``labels``), in their order."""
+    """A chain over ``categories`` (name: 0/1 expression over ``labels``), in their order.
+
+    Of rows with one doc_id the one with the least list of term hashes is used
+    (compared byte by byte), so the models don't depend on how the rows are dealt.
+    """
     ship(docs.sparkSession)
     names = list(categories)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), *(e.cast("int").alias(f"y{i}") for i, e in enumerate(categories.values())))
@@ -186,7 +194,8 @@ def train_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column
                     [s.column("doc_id"), pa.array([h[i:j].tobytes() for i, j in zip(off[:-1], off[1:], strict=True)], pa.binary()),
                      *(s.column(f"y{i}") for i in range(len(names)))], names=["doc_id", "terms", *(f"y{i}" for i in range(len(names)))])
 
-    got = rows.mapInArrow(terms, "doc_id long, terms binary, " + ", ".join(f"y{i} int" for i in range(len(names)))).dropDuplicates(["doc_id"])
+    ys = [f"y{i}" for i in range(len(names))]
+    got = rows.mapInArrow(terms, "doc_id long, terms binary, " + ", ".join(f"{y} int" for y in ys)).groupBy("doc_id", *ys).agg(F.min("terms").alias("terms"))
     t = got.toArrow().sort_by("doc_id")
     cut, data = T.binary_bytes(t.column("terms"))
     h, off = data.view(T.U), cut // 8

@@ -75,6 +75,20 @@ def test_kept_rows_keep_their_columns(spark):
     assert quality.kept_rows(df.where("doc_id > 7"), None).count() == 0
 
 
+def test_repeated_ids_in_training(spark):
+    """Rows that share a doc_id: the models don't depend on the order or the partitions of the rows."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    rows = [(r.doc_id // 2, r.text) for r in docs.select("doc_id", "text").collect()]
+    labels = labels.where("doc_id < 100")
+    got = []
+    for order, parts in ((rows, 1), (rows[::-1], 7), (rows[50:] + rows[:50] + rows[::-1], 3)):
+        df = spark.createDataFrame(order, "doc_id long, text string").repartition(parts)
+        chain = toxicity.train_chain(df, labels, {"toxic": F.col("toxic")})
+        scores = toxicity.score_toxicity(docs, chain).orderBy("doc_id").collect()
+        got.append(([r.p_toxic for r in scores], [r.quality_score for r in quality.judge(docs, quality.train(df, labels)).orderBy("doc_id").collect()]))
+    assert got[0] == got[1] == got[2]
+
+
 def test_no_usable_labels(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     labels = spark.createDataFrame([(1, None, 1), (None, 1, 1), (2, 1, 5)], "doc_id long, quality int, toxic int")
