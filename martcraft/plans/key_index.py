@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import uuid
 from bisect import bisect_left
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType, StructType
 
 CELLS = 4096
+MOVED_AT_ONCE = 8
 _ROOT = "^([a-zA-Z0-9+.-]+):/+"
 
 
@@ -114,6 +116,10 @@ class KeyedTable:
         without = any(c["null"] for c in found)
         return [r.file for r in rows if r.lo is not None and holds(r.lo, r.hi) or without and r.unkeyed]
 
+    def unkeyed(self) -> list[str]:
+        """Files that have rows without a key."""
+        return [r.file for r in self.ranges() if r.unkeyed]
+
     def holding(self, keys: DataFrame) -> list[str]:
         """Files that hold a key of ``keys``: of the near ones, the key column is read."""
         near = self.near(keys)
@@ -136,10 +142,10 @@ class KeyedTable:
         out = self.fs.create(self._P(f"{self.path}/_swap-{run}.part"), True)
         out.write(bytearray(note.encode()))
         out.close()
-        before = set(self.listed())
         self.fs.rename(*(self._P(f"{self.path}/_swap-{run}{s}") for s in (".part", "")))
-        self._carry_out(run)
-        return [f for f in self.listed() if f not in before]
+        moved = self._carry_out(run)
+        self.listed()
+        return moved
 
     def recover(self) -> None:
         """Finish swaps that a failure has cut short; what was only written aside goes."""
@@ -151,7 +157,8 @@ class KeyedTable:
             if n.startswith(("_staged-", "_swap-")):
                 self.fs.delete(self._P(f"{self.path}/{n}"), True)
 
-    def _carry_out(self, run: str) -> None:
+    def _carry_out(self, run: str) -> list[str]:
+        """Move a run's files in and the replaced ones out, ``MOVED_AT_ONCE`` at a time; returns the new files."""
         P = self._P
         note, staged = P(f"{self.path}/_swap-{run}"), P(f"{self.path}/_staged-{run}")
         reader = self.spark._jvm.java.io.BufferedReader(self.spark._jvm.java.io.InputStreamReader(self.fs.open(note), "UTF-8"))
@@ -159,21 +166,35 @@ class KeyedTable:
         while (line := reader.readLine()) is not None:
             gone.append(line)
         reader.close()
+        top = self.fs.makeQualified(P(self.path)).toString()
+        new = []
         if self.fs.exists(staged):
             found = self.fs.listFiles(staged, True)
             root = self.fs.makeQualified(staged).toString()
             while found.hasNext():
-                f = found.next().getPath()
-                if not f.getName().startswith(("_", ".")):
-                    to = P(self.path + f.toString().removeprefix(root))
-                    self.fs.mkdirs(to.getParent())
-                    self.fs.rename(f, to)
-        for uri in gone:
+                f = found.next().getPath().toString()
+                if not f.rsplit("/", 1)[1].startswith(("_", ".")):
+                    new.append(f.removeprefix(root))
+
+        def move(name: str) -> str:
+            to = P(self.path + name)
+            self.fs.mkdirs(to.getParent())
+            self.fs.rename(P(f"{self.path}/_staged-{run}{name}"), to)
+            return re.sub(_ROOT, r"\1:/", self.fs.makeQualified(to).toUri().toString())
+
+        def remove(uri: str) -> str:
             p = _path(self.spark, uri)
             self.fs.delete(p, False)
-            up = p.getParent()
-            while up.toString().rstrip("/") != self.fs.makeQualified(P(self.path)).toString() and self.fs.exists(up) and not self.fs.listStatus(up):
-                self.fs.delete(up, False)  # folders without files
+            return p.getParent().toString()
+
+        with ThreadPoolExecutor(MOVED_AT_ONCE) as pool:
+            moved = list(pool.map(move, new))
+            left = set(pool.map(remove, gone))
+        for folder in sorted(left):  # folders without files
+            up = P(folder)
+            while up.toString().rstrip("/") != top and self.fs.exists(up) and not self.fs.listStatus(up):
+                self.fs.delete(up, False)
                 up = up.getParent()
         self.fs.delete(staged, True)
         self.fs.delete(note, False)
+        return moved

@@ -126,8 +126,10 @@ def _whole(columns: list[str]) -> Column:
 def _merge(spark: SparkSession, new: DataFrame, table: KeyedTable, partition_by: tuple[str, ...]) -> Refresh:
     table.recover()
     key, shared = table.key, [c for c in table.schema.names if c in new.columns]
-    batch = materialize(new, "increment")  # read several times
-    n, keyless = batch.agg(F.count(F.lit(1)), F.count_if(F.col(key).isNull())).first()
+    seen = Observation()
+    # Read several times; its write counts it.
+    batch = materialize(new, "increment", counters=lambda df: df.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("keyless")))
+    n, keyless = seen.get["n"], seen.get["keyless"]
     if not n:
         return Refresh(0, 0)
     ids = batch.where(F.col(key).isNotNull()).select(F.col(key).alias("_id")).distinct()
@@ -135,7 +137,7 @@ def _merge(spark: SparkSession, new: DataFrame, table: KeyedTable, partition_by:
     whole = None
     if keyless:  # only files that have rows without a key are looked at, and only those rows
         whole = batch.where(F.col(key).isNull()).select(_whole(shared).alias("_id")).distinct()
-        near = table.near(batch.where(F.col(key).isNull()).select(key).limit(1))
+        near = table.unkeyed()
         if near:
             old = table.read(near).where(F.col(key).isNull()).select(_whole(shared).alias("_id"), file_name().alias("file"))
             gone |= {r.file for r in old.join(whole, "_id", "left_semi").select("file").distinct().toLocalIterator()}

@@ -203,6 +203,22 @@ def test_merge_moves_rows_between_odd_partitions(spark, scratch):
     assert sum(f.startswith("part=") for f in os.listdir(path)) == 5
 
 
+def test_swap_names_the_new_files_as_they_are_listed(spark, scratch):
+    from martcraft.plans.key_index import KeyedTable
+
+    path = f"{scratch}/odd names"
+    rows = [(1, "a/b"), (2, "c:d"), (3, "50 %"), (None, "plain")]
+    df = spark.createDataFrame(rows, "transaction_key long, part string")
+    df.write.partitionBy("part").parquet(path)
+    table = KeyedTable(spark, path, "transaction_key", df.schema)
+    before = table.listed()
+    assert [f.rsplit("/", 2)[1] for f in table.unkeyed()] == ["part=plain"]
+    new = table.swap(df.where("transaction_key is not null"), before, ("part",))
+    assert sorted(new) == sorted(table.listed()) and not set(new) & set(before)
+    assert sorted((r.transaction_key, r.part) for r in table.read(new).collect()) == rows[:3]
+    assert table.unkeyed() == []
+
+
 def test_merge_is_finished_after_a_failure(spark, scratch, monkeypatch):
     from martcraft.plans.key_index import KeyedTable
     path = f"{scratch}/fact"
