@@ -13,11 +13,13 @@
    the longer common beginning with its own (ties: the one before). A host with a
    third of all pages is spread over many ranges; the first and the last page of
    a range are sent to the ranges beside it too. Ranges aim at ``RANGE_BYTES``;
-   there are ``RANGES`` at most (larger ones then), since the driver holds two rows
-   of each. A task reads its range as a stream and holds one group, of a group of
-   more than ``GROUP_BYTES`` that much. Only where a group of copies reaches over
-   that, or over the page beyond a border, what lies behind isn't seen; such a
-   page has the partner at the group's other end, or none and keeps its lines.
+   there are ``RANGES`` at most (larger ones then), since the driver holds two keys
+   of each. A task reads its range as a stream; of a group that waits for the page
+   behind it, what is over ``GROUP_BYTES`` waits in a file of the task's own. Where a
+   group reaches over a border (the two pages beside it are compared first), the
+   ranges beside it are read once more, for the keys of the pages before and behind
+   the group, and these pages are sent to every range that the group reaches into. So
+   partners don't depend on ranges or sizes.
 3. *Difference.* The lines of the two pages are aligned by a longest common
    subsequence. A shared line is template and is deleted, unless it stands in
    the page's main zone. Without a partner no line is known to be template.
@@ -37,11 +39,14 @@ page. White space (as Unicode has it) inside a block becomes one space.
 from __future__ import annotations
 
 import html
+import pickle
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import islice
+from itertools import chain, islice
+from tempfile import TemporaryFile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -57,6 +62,8 @@ RANGE_BYTES = 16 << 20
 RANGES = 4096
 GROUP_BYTES = 16 << 20
 PAGE_BYTES = 500  # of a page without its lines
+OWN, NEAR, FAR = 0, 1, 2  # a range's own page; the page beside the range; the page before or behind a group that reaches over the border
+COPIES_AT_ONCE = 16  # of a page that goes to many ranges
 
 # Elements by their role in the layout.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -239,7 +246,7 @@ class _Page:
     host: str
     path: str
     lines: list[tuple[int, str]]
-    guest: bool  # from the range before or behind, to be looked at only
+    kind: int  # other than OWN: to be looked at only
 
 
 def _alike(a: _Page, b: _Page | None) -> int:
@@ -299,6 +306,156 @@ def _range_ends(keys: DataFrame, n: int) -> list[tuple[tuple, tuple]]:
     return list(zip(got[::2], got[1::2], strict=True)) or [(_key("", "", None, None),) * 2]
 
 
+def _pages(batches: Iterable[pa.RecordBatch]) -> Iterator[_Page]:
+    for batch in batches:
+        cols = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("page_id", "url", "host", "path", "zones", "lines", "kind")]
+        for i, u, h, p, z, x, k in zip(*cols, strict=True):
+            yield _Page(i, u, h, p, list(zip(z, x, strict=True)), k)
+
+
+class _Group:
+    """Waiting pages in order: about ``limit`` bytes of them in memory, the earlier ones in a file."""
+
+    def __init__(self, limit: int):
+        self.limit, self.last = limit, None
+        self._waiting: list[_Page] = []
+        self._held = self._dumps = 0
+        self._file = None
+
+    def add(self, page: _Page) -> None:
+        size = PAGE_BYTES
+        if self._waiting and page.lines == self.last.lines:
+            page.lines = self.last.lines  # equal pages are held once
+        else:
+            size += sum(len(s) for _, s in page.lines)
+        self._waiting.append(page)
+        self.last = page
+        self._held += size
+        if self._held > self.limit:
+            if self._file is None:
+                self._file = TemporaryFile()
+            pickle.dump(self._waiting, self._file)
+            self._dumps += 1
+            self._waiting, self._held = [], 0
+
+    def __iter__(self) -> Iterator[_Page]:
+        if self._file is not None:
+            self._file.seek(0)
+            for _ in range(self._dumps):
+                yield from pickle.load(self._file)
+            self._file.close()
+        yield from self._waiting
+
+
+_LINES = "part int, kind int, host string, path string, page_id long, url string, zones binary, lines array<string>"
+
+
+def _read_lines(src: DataFrame, goes_to) -> DataFrame:
+    """The pages' lines, for every ``(part, kind)`` that ``goes_to(key)`` names; a task sends a page that isn't OWN to a part once."""
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent = set()
+        for batch in batches:
+            for s in T.slices(batch, "html"):
+                own, others = [], []
+                for i, key in enumerate(map(_key, *(s.column(c).to_pylist() for c in ORDER))):
+                    for part, kind in goes_to(key):
+                        if kind == OWN:
+                            own.append((i, part, kind))
+                        elif (part, kind, key) not in sent:
+                            sent.add((part, kind, key))
+                            others.append((i, part, kind))
+                pages = s.column("html")
+                got = {i: page_lines(pages[i].as_py() or "") for i in {x[0] for x in chain(own, others)}}
+                for some in (own, *(others[k:k + COPIES_AT_ONCE] for k in range(0, len(others), COPIES_AT_ONCE))):
+                    if some:
+                        row = [i for i, _, _ in some]
+                        r = s.take(pa.array(row))
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array([p for _, p, _ in some], pa.int32()), pa.array([k for _, _, k in some], pa.int32()), *(r.column(c) for c in ORDER),
+                            pa.array([bytes(z for z, _ in got[i]) for i in row], pa.binary()), pa.array([[x for _, x in got[i]] for i in row], pa.list_(pa.string())),
+                        ], names=["part", "kind", *ORDER, "zones", "lines"])
+
+    return src.mapInArrow(lines, _LINES)
+
+
+def _dealt(src: DataFrame, ends: list[tuple[tuple, tuple]], far: dict[tuple, list[int]], only: set[int] | None = None) -> DataFrame:
+    """The pages' lines by ranges, in order, with the pages from other ranges; of ``only`` some ranges, their own pages."""
+    lasts = [b[:3] for _, b in ends]
+
+    def goes_to(key: tuple) -> list[tuple[int, int]]:
+        r = min(bisect_left(lasts, key[:3]), len(ends) - 1)
+        if only is not None:
+            return [(r, OWN)] if r in only else []
+        near = [(r - 1, NEAR)] if r and key == ends[r][0] else []
+        near += [(r + 1, NEAR)] if r + 1 < len(ends) and key == ends[r][1] else []
+        return [(r, OWN), *near, *((to, FAR) for to in far.get(key, ()))]
+
+    return _read_lines(src, goes_to).repartitionById(len(ends), F.col("part")).sortWithinPartitions(*ORDER)
+
+
+def _open_borders(src: DataFrame, ends: list[tuple[tuple, tuple]]) -> set[int]:
+    """The ranges whose last page and the next range's first page are copies; only these pages are read."""
+    if len(ends) == 1:
+        return set()
+    beside = defaultdict(list)
+    for r in range(len(ends) - 1):
+        beside[ends[r][1]].append((r, OWN))
+        beside[ends[r + 1][0]].append((r, OWN))
+    plain = [(h.decode(), p.decode(), i if has_id else None, u.decode() if has_url else None) for h, p, (has_id, i), (has_url, u) in beside]
+    keys = src.sparkSession.createDataFrame(plain, "_host string, _path string, _page_id long, _url string")
+    same = [src[c].eqNullSafe(keys[f"_{c}"]) for c in ORDER]
+    read = _read_lines(src.join(F.broadcast(keys), same[0] & same[1] & same[2] & same[3], "left_semi"), lambda key: beside.get(key, ()))
+
+    def copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
+        for batch in batches:
+            for part, page in zip(batch.column("part").to_pylist(), _pages([batch]), strict=True):
+                first = _key(page.host, page.path, page.id, page.url) != ends[part][1]  # of the next range
+                if before and before[0] == part and first and not before[1] and _copies(before[2], page):
+                    yield pa.RecordBatch.from_pydict({"part": [part]}, schema=pa.schema([("part", pa.int32())]))
+                before = part, first, page
+
+    return {r.part for r in read.repartition("part").sortWithinPartitions("part", *ORDER).mapInArrow(copies, "part int").collect()}
+
+
+def _beyond(src: DataFrame, ends: list[tuple[tuple, tuple]], open_: set[int]) -> dict[tuple, list[int]]:
+    """The keys of the pages before and behind groups that reach over borders, with the ranges that need them."""
+    if not open_:
+        return {}
+    only = open_ | {r + 1 for r in open_}
+
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of a range with several groups: the last page before its last group, the first page behind its first group."""
+        before = pre = post = part = None
+        for batch in batches:
+            for part, page in zip(batch.column("part").to_pylist(), _pages([batch]), strict=True):
+                if before and not _copies(before, page):
+                    pre, post = before, post or page
+                before = page
+        if post:
+            yield pa.RecordBatch.from_pylist([{"part": part, "behind": x is post, "host": x.host, "path": x.path, "page_id": x.id, "url": x.url} for x in (pre, post)], schema=_EDGES)
+
+    found = _dealt(src, ends, {}, only).mapInArrow(edges, "part int, behind boolean, host string, path string, page_id long, url string").collect()
+    pre, post = ({r.part: _key(r.host, r.path, r.page_id, r.url) for r in found if r.behind == side} for side in (False, True))
+    out = defaultdict(list)
+    for step, inner, end in ((1, pre, 1), (-1, post, 0)):
+        beyond = None
+        for r in range(len(ends))[::step]:
+            border = r - 1 if step == 1 else r  # the one that the group has come over
+            came = border in open_
+            if came and beyond:
+                out[beyond].append(r)
+            if r in inner:
+                beyond = inner[r]
+            elif not came:  # the range is one group, that begins at its border, or no group of it reaches over the next one
+                beyond = ends[r - step][end] if 0 <= r - step < len(ends) else None
+    return dict(out)
+
+
+_EDGES = pa.schema([("part", pa.int32()), ("behind", pa.bool_()), ("host", pa.string()), ("path", pa.string()), ("page_id", pa.int64()), ("url", pa.string())])
+
+
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", pick=main_text) -> DataFrame:
     """``page_id long, url string, text string, n_chars long`` for every row."""
     spark = pages.sparkSession
@@ -309,71 +466,41 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
              F.col(id_col).cast("long").alias("page_id"), url.alias("url")]
     src = pages.select(*place, F.col(html_col).cast("string").alias("html"))
     ends = _range_ends(pages.select(*place), min(RANGES, max(1, text_bytes(pages, html_col) // RANGE_BYTES)))
-    lasts = [b[:3] for _, b in ends]
-
-    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent = set()  # a task sends a page over a border once
-        for batch in batches:
-            for s in T.slices(batch, "html"):
-                got = [page_lines(p or "") for p in s.column("html").to_pylist()]
-                row, part, over = list(range(len(got))), [], []
-                for i, key in enumerate(map(_key, *(s.column(c).to_pylist() for c in ORDER))):
-                    r = min(bisect_left(lasts, key[:3]), len(ends) - 1)
-                    part.append(r)
-                    for to, edge in ((r - 1, 0), (r + 1, 1)):
-                        if 0 <= to < len(ends) and key == ends[r][edge] and (to, key) not in sent:
-                            sent.add((to, key))
-                            row.append(i)
-                            over.append(to)
-                s = s.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(part + over, pa.int32()), pa.array([False] * len(part) + [True] * len(over)), *(s.column(c) for c in ORDER),
-                    pa.array([bytes(z for z, _ in got[i]) for i in row], pa.binary()), pa.array([[x for _, x in got[i]] for i in row], pa.list_(pa.string())),
-                ], names=["part", "guest", *ORDER, "zones", "lines"])
-
-    read = src.mapInArrow(lines, "part int, guest boolean, host string, path string, page_id long, url string, zones binary, lines array<string>")
+    far = _beyond(src, ends, _open_borders(src, ends))
     limit = GROUP_BYTES
-    dealt = read.repartitionById(len(ends), F.col("part")).sortWithinPartitions(*ORDER)
 
-    def texts(group: list[_Page], before: _Page | None, after: _Page | None, begin: int, end: int | None = None) -> Iterator[dict]:
-        for k, own in list(enumerate(group))[begin:end]:
-            if own.guest:
-                continue
-            a, b = before, after
-            if any(z == MAIN for z, _ in own.lines):  # its text is safe from the difference
-                a, b = group[k - 1] if k else before, group[k + 1] if k + 1 < len(group) else after
-            partner = a if _alike(own, a) >= max(0, _alike(own, b)) else b
-            shared = _shared(own, partner) if partner and partner.host == own.host else [False] * len(own.lines)
-            text = pick(own.lines, shared)
-            yield {"page_id": own.id, "url": own.url, "text": text, "n_chars": len(text)}
+    def texts(group: Iterable[_Page], before: _Page | None, after: _Page | None) -> Iterator[dict]:
+        prev, own = before, None
+        for page in chain(group, [after]):
+            if own and own.kind == OWN:
+                # A page with a main zone is safe from the difference.
+                a, b = (prev, page) if any(z == MAIN for z, _ in own.lines) else (before, after)
+                partner = a if _alike(own, a) >= max(0, _alike(own, b)) else b
+                shared = _shared(own, partner) if partner and partner.host == own.host else [False] * len(own.lines)
+                text = pick(own.lines, shared)
+                yield {"page_id": own.id, "url": own.url, "text": text, "n_chars": len(text)}
+            prev, own = own or before, page
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         before: _Page | None = None
-        group: list[_Page] = []
-        done = held = 0  # pages at the group's begin that have been returned, bytes of the waiting ones
-        for batch in batches:
-            cols = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("page_id", "url", "host", "path", "zones", "lines", "guest")]
-            for i, u, h, p, z, x, g in zip(*cols, strict=True):
-                page = _Page(i, u, h, p, list(zip(z, x, strict=True)), g)
-                size = PAGE_BYTES + sum(len(s) for _, s in page.lines)
-                if group and not _copies(group[-1], page):
-                    yield from texts(group, before, page, done)
-                    before, group, done, held = group[-1], [], 0, 0
-                elif group and group[-1].lines == page.lines:
-                    page.lines, size = group[-1].lines, PAGE_BYTES  # a waiting group holds equal pages once
-                group.append(page)
-                held += size
-                if held > limit and len(group) > 2:
-                    yield from texts(group, before, None, done, len(group) - 1)
-                    group, done, held = group[-2:], 1, size
-        yield from texts(group, before, None, done)
+        group = _Group(limit)
+        for page in _pages(batches):
+            if page.kind == FAR:  # it stands before the range's first group or behind its last one
+                yield from texts(group, before, page)
+                before, group = page, _Group(limit)
+                continue
+            if group.last and not _copies(group.last, page):
+                yield from texts(group, before, page)
+                before, group = group.last, _Group(limit)
+            group.add(page)
+        yield from texts(group, before, None)
 
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = rows(batches)
         while out := list(islice(got, BATCH_ROWS)):
             yield pa.RecordBatch.from_pylist(out, schema=_TEXT)
 
-    return dealt.mapInArrow(differ, "page_id long, url string, text string, n_chars long")
+    return _dealt(src, ends, far).mapInArrow(differ, "page_id long, url string, text string, n_chars long")
 
 
 _TEXT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])

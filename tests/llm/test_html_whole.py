@@ -108,6 +108,33 @@ def test_groups_larger_than_a_task_holds(spark, monkeypatch):
     assert set(texts(spark, articles).values()) == {" ".join(story)}
 
 
+def test_groups_over_many_ranges(spark, monkeypatch):
+    """Copies over several ranges, and over what a task holds, meet the pages before and behind their group."""
+    from martcraft.llm import html_extract
+
+    story = [f"story line {i} of some words" for i in range(9)]
+    article = "<div>Home</div><article><p>" + " ".join(story) + "</p></article><p>{}</p>"
+    rows = [(i, f"{HOST}/a/{i}", page(f"own {i} text", f"of page {i}")) for i in range(3)]
+    rows += [(100 + i, f"{HOST}/b/1?n={i:03}", page(f"copy {i}", *story)) for i in range(60)]
+    rows += [(200, f"{HOST}/b/2", page("between", "the groups"))]
+    rows += [(300 + i, f"{HOST}/b/3?n={i:03}", article.format(i) if i % 4 else page(f"version {i}", *story)) for i in range(60)]
+    rows += [(400, f"{HOST}/c", page("the last", "of the host"))]
+    rows += [(500 + i, f"https://two.example/{i // 30}", page("only", "copies")) for i in range(90)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    out = {}
+    for n in (1, 2, 7, 40):
+        monkeypatch.setattr(html_extract, "text_bytes", lambda *_, n=n: n << 24)
+        out[n] = {r.page_id: r.text for r in extract_main_text(df).collect()}
+    monkeypatch.setattr(html_extract, "GROUP_BYTES", 2000)
+    out["held"] = {r.page_id: r.text for r in extract_main_text(df).collect()}
+    monkeypatch.setattr(html_extract, "text_bytes", lambda *_: 0)
+    out["in a file"] = {r.page_id: r.text for r in extract_main_text(df).collect()}
+    assert len(out[1]) == len(rows)
+    assert all(out[1][100 + i] == "\n\n".join([f"copy {i}", *story]) for i in range(60))
+    for got in out.values():
+        assert got == out[1]
+
+
 def test_pages_of_many_equal_lines(spark):
     """Tables with tens of thousands of equal cells: the comparison doesn't grow with the pairs of equal lines."""
     import time
