@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 from martcraft.functions.cleaning import (
     PRICE_WORDS,
     TAX_WORDS,
-    clean_amount,
     clean_date,
     clean_float_id,
+    clean_money,
     clean_prefixed_id,
+    clean_text,
     clean_whole_number,
     na_to_null,
-    py_strip,
-    to_money,
 )
 
 RAW_COLUMNS = (
@@ -29,10 +28,10 @@ def _cleaners(price_words, tax_words) -> dict[str, callable]:
         "customer_id": clean_float_id,
         "transaction_date": clean_date,
         "product_id": lambda c: clean_prefixed_id(c, "P"),
-        "product_name": py_strip,
+        "product_name": clean_text,
         "quantity": clean_whole_number,
-        "price": lambda c: to_money(clean_amount(c, price_words)),
-        "tax": lambda c: to_money(clean_amount(c, tax_words)),
+        "price": lambda c: clean_money(c, price_words),
+        "tax": lambda c: clean_money(c, tax_words),
     }
 
 
@@ -55,16 +54,15 @@ def clean_transactions(
 ) -> DataFrame:
     """Type every raw column; unreadable values become NULL (or fail the job with ``on_reject='fail'``).
 
-    A narrow projection: no shuffle, and every expression is codegen'd.
+    Narrow projections: no shuffle, and every expression is codegen'd. The NA words
+    go first, in a projection of their own, so each rule below reads a plain column.
     """
     cleaners = _cleaners(PRICE_WORDS if price_words is None else price_words,
                          TAX_WORDS if tax_words is None else tax_words)
-    cols = []
-    for name in RAW_COLUMNS:
-        raw_c = na_to_null(F.col(name).cast("string"))
-        cols.append(_policed(raw_c, cleaners[name](raw_c), name, on_reject).alias(name))
-    cols += [F.col(c) for c in passthrough if c in raw.columns]
-    return raw.select(*cols)
+    kept = [F.col(c) for c in passthrough if c in raw.columns]
+    read = raw.select(*[na_to_null(F.col(name).cast("string")).alias(name) for name in RAW_COLUMNS], *kept)
+    cols = [_policed(F.col(name), cleaners[name](F.col(name)), name, on_reject).alias(name) for name in RAW_COLUMNS]
+    return read.select(*cols, *kept)
 
 
 def reject_counts(raw: DataFrame, price_words=None, tax_words=None) -> DataFrame:

@@ -86,7 +86,7 @@ def driver_raw_transactions(spark: SparkSession, sf_dir: str, with_source: bool
         _first(k, [(7, 0, null), (3, 0, F.concat(s("customer_id"), F.lit(".0")))], s("customer_id")).alias("customer_id"),
         _first(k, [(8, 0, F.date_format(d, "dd-MM-yyyy")), (25, 0, F.date_format(d, "y-M-d")),
                    (31, 0, F.concat(F.lit("ab-"), F.date_format(d, "MM-yyyy")))],
-               F.date_format(d, "yyyy-MM-dd")).alias("transaction_date"),
+               F.when(F.year(d).between(1, 9999), d.cast("string")).otherwise(F.date_format(d, "yyyy-MM-dd"))).alias("transaction_date"),
         _first(k, [(17, 0, null), (10, 5, F.concat(F.lit("P"), s("product_id")))], s("product_id")).alias("product_id"),
         _first(k, [(4, 0, F.concat(F.lit("  "), s("product_name"), F.lit(" ")))], s("product_name")).alias("product_name"),
         _first(k, [(11, 0, null), (23, 0, F.lit("1.5")), (5, 0, F.concat(s("quantity"), F.lit(".0")))],
