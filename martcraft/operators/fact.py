@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martcraft.operators.staging import valid_transactions
+from martcraft.operators.staging import derived_columns, valid_transactions
 
 FACT_COLUMNS = (
     "transaction_key", "customer_fk", "product_fk", "transaction_date", "transaction_month",
@@ -14,8 +14,12 @@ FACT_COLUMNS = (
 )
 
 
-def fact_transactions(stg: DataFrame, customers: DataFrame, products: DataFrame, audit: bool = True) -> DataFrame:
-    """Inner equi-joins on the natural keys; only the denormalized attributes are shuffled.
+def fact_transactions(stg: DataFrame, customers: DataFrame, products: DataFrame, audit: bool = True, customer_last: bool = False) -> DataFrame:
+    """Inner equi-joins on the natural keys; only base columns and the denormalized attributes are shuffled.
+
+    The staged columns that follow from others of the same row (month, subtotal and so on)
+    are derived behind the joins. ``customer_last`` joins the customers after the products:
+    the rows then lie by customer, and aggregates by customer need no shuffle of their own.
 
     Join strategy is left to the optimizer: a dimension under
     ``spark.sql.autoBroadcastJoinThreshold`` (checked on its size at plan or,
@@ -24,9 +28,7 @@ def fact_transactions(stg: DataFrame, customers: DataFrame, products: DataFrame,
     Rows with a NULL product id drop out here, as in the modelled join.
     """
     t = valid_transactions(stg).select(
-        "transaction_id", "customer_id", "product_id", "transaction_date", "transaction_month",
-        "transaction_year", "transaction_quarter", "quantity", "unit_price", "tax_amount",
-        "subtotal", "total_amount",
+        "transaction_id", "customer_id", "product_id", "transaction_date", "quantity", "unit_price", "tax_amount",
     )
     c = customers.select(
         F.col("customer_id"), F.col("customer_key").alias("customer_fk"), "customer_tier",
@@ -38,7 +40,11 @@ def fact_transactions(stg: DataFrame, customers: DataFrame, products: DataFrame,
         F.col("price_tier").alias("product_price_tier"),
         F.col("revenue_segment").alias("product_revenue_segment"),
     )
-    j = t.join(c, "customer_id", "inner").join(p, "product_id", "inner")
+    if customer_last:
+        j = t.join(p, "product_id", "inner").join(c, "customer_id", "inner")
+    else:
+        j = t.join(c, "customer_id", "inner").join(p, "product_id", "inner")
+    j = j.withColumns(derived_columns("unit_price", "tax_amount"))
     cols = [
         F.col("transaction_id").alias("transaction_key"),
         "customer_fk",

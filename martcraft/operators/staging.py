@@ -23,16 +23,24 @@ def stage_transactions(cleaned: DataFrame, padded_names: bool = True) -> DataFra
     return cleaned.select(*staging_columns(cleaned, padded_names))
 
 
+def derived_columns(price: str = "price", tax: str = "tax") -> dict[str, Column]:
+    """What follows from a transaction's own date, quantity, price and tax, for the facts."""
+    d, q, p, t = (F.col(c) for c in ("transaction_date", "quantity", price, tax))
+    return {
+        "transaction_month": month_start(d), "transaction_year": F.year(d), "transaction_quarter": F.quarter(d),
+        "subtotal": q * p, "total_amount": q * p + t,
+    }
+
+
 def staging_columns(cleaned: DataFrame, padded_names: bool = True) -> list[Column]:
     """The staged columns as expressions over the cleaned ones."""
     d = F.col("transaction_date")
     q, p, t = F.col("quantity"), F.col("price"), F.col("tax")
+    derived = derived_columns()
     loaded = F.col("loaded_at") if "loaded_at" in cleaned.columns else F.lit(None).cast("timestamp")
     return [
         *(F.col(c) for c in ("transaction_id", "customer_id", "product_id", "transaction_date")),
-        month_start(d).alias("transaction_month"),
-        F.year(d).alias("transaction_year"),
-        F.quarter(d).alias("transaction_quarter"),
+        *(derived[c].alias(c) for c in ("transaction_month", "transaction_year", "transaction_quarter")),
         F.month(d).alias("month_number"),
         month_name(d, padded_names).alias("month_name"),
         day_name(d, padded_names).alias("day_name"),
@@ -40,8 +48,7 @@ def staging_columns(cleaned: DataFrame, padded_names: bool = True) -> list[Colum
         q,
         p.alias("unit_price"),
         t.alias("tax_amount"),
-        (q * p).alias("subtotal"),
-        (q * p + t).alias("total_amount"),
+        *(derived[c].alias(c) for c in ("subtotal", "total_amount")),
         F.coalesce(q > 0, F.lit(False)).alias("is_valid_quantity"),
         F.coalesce(p > 0, F.lit(False)).alias("is_valid_price"),
         F.coalesce(valid_condition(), F.lit(False)).alias("is_valid_transaction"),

@@ -60,11 +60,12 @@ class Star:
     checkpoint folder) because several consumers read them; the others stay
     lazy so a single-consumer query remains one plan. ``columns`` names the
     cleaned columns that the query needs; only those are written. Row checks among
-    ``checks`` are counted (``counts``) by the writes of all columns.
+    ``checks`` are counted (``counts``) by the writes of all columns. ``by_customer``
+    is for queries that aggregate an unwritten fact by customer.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = AS_OF, bands: Bands = DRIVER_BANDS,
-                 dirty: bool = False, audit: bool = False, keep: tuple[str, ...] = (), columns: tuple[str, ...] = (), checks: tuple = ()):
+                 dirty: bool = False, audit: bool = False, keep: tuple[str, ...] = (), columns: tuple[str, ...] = (), checks: tuple = (), by_customer: bool = False):
         self.counts = WriteCounts(checks)
         if dirty:
             self.raw = driver_raw_transactions(spark, sf_dir)
@@ -84,7 +85,7 @@ class Star:
         if "dims" in keep:
             self.customers = materialize(self.customers, "dim_customers", counters=self._counted(DIM_CUSTOMERS))
             self.products = materialize(self.products, "dim_products", counters=self._counted(DIM_PRODUCTS))
-        self.fact = fact_transactions(self.stg, self.customers, self.products, audit=audit)
+        self.fact = fact_transactions(self.stg, self.customers, self.products, audit=audit, customer_last=by_customer)
         if "fact" in keep:
             self.fact = materialize(self.fact, "fact_transactions", ("transaction_month",), self._counted(FACT))
         self.monthly = monthly_sales(self.fact, audit=audit)
@@ -127,7 +128,7 @@ def q_fact_transactions(spark, sf_dir):
 
 
 def q_monthly_sales(spark, sf_dir):
-    return Star(spark, sf_dir, keep=("cleaned",), columns=FACT_COLUMNS).monthly
+    return Star(spark, sf_dir, keep=("cleaned",), columns=FACT_COLUMNS, by_customer=True).monthly
 
 
 def q_monthly_trend(spark, sf_dir):
@@ -201,7 +202,7 @@ def q_dim_products_raw(spark, sf_dir):
 
 
 def q_monthly_sales_raw(spark, sf_dir):
-    return Star(spark, sf_dir, dirty=True, keep=("cleaned",), columns=FACT_COLUMNS).monthly
+    return Star(spark, sf_dir, dirty=True, keep=("cleaned",), columns=FACT_COLUMNS, by_customer=True).monthly
 
 
 def q_dq_results(spark, sf_dir):
