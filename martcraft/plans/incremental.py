@@ -7,7 +7,8 @@ with the key ranges of its files (``key_index``):
   counts, extremes and the second moment of the price; and the different (customer,
   product) pairs, once by customer and once by product. Partial rows of one group are
   put together by the same aggregates, so a load adds its own partial rows to the
-  files that hold its keys, and to no others.
+  files that hold its keys, and to no others. Rows are dealt out by key ranges first
+  and put together there, so that one shuffle serves the aggregate and the files.
 - totals: one row per customer and per product, and the months of each customer with
   the previous active one. For the keys of a load they are computed again from the
   states of those keys alone; a month that is added or changed so repairs the growth
@@ -50,9 +51,13 @@ TOTALS = {"customers": "customer_id", "products": "product_id", "months": "custo
 BEHIND = {"customers": ("customer_days", "customer_pairs"), "products": ("product_days", "product_pairs"), "months": ("month_products",)}
 
 
-def _of(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows of some keys (one column; a NULL is a key)."""
+def _of(rows: DataFrame, keys: DataFrame | None) -> DataFrame:
+    """The rows of some keys (one column; a NULL is a key), or of all."""
+    if keys is None:
+        return rows
     key = keys.columns[0]
+    if key != "product_id":  # never NULL: a plain join leaves the rows by key, for the aggregates behind it
+        return rows.join(keys, key, "left_semi")
     asked = keys.select(F.col(key).alias("_key"))
     return rows.join(asked, rows[key].eqNullSafe(asked["_key"]), "left_semi")
 
@@ -92,14 +97,21 @@ class IncrementalMarts:
         fact = sold.select(F.col("customer_id").alias("customer_fk"), F.col("product_id").alias("product_fk"), *M.MONTHLY_KEYS[1:],
                            F.col("quantity").alias("units_sold"), F.col("subtotal").alias("gross_amount"), "tax_amount", F.col("total_amount").alias("net_amount"),
                            (F.col("total_amount") - F.col("tax_amount")).alias("revenue_excluding_tax"), "unit_price")
-        pairs = v.select("customer_id", "product_id").distinct()
-        partial = {"customer_days": D.customer_days(v), "product_days": D.product_days(v), "customer_pairs": pairs, "product_pairs": pairs,
-                   "month_products": M.month_products(fact)}
         wanted = [n for n in STATES if any(n in BEHIND[m] for m in self.marts)]
-        added = {n: materialize(partial[n], n) for n in wanted if n != "product_pairs"}
-        if "product_pairs" in wanted:
-            added["product_pairs"] = added.get("customer_pairs") or materialize(pairs, "customer_pairs")
-        state = {n: self._add(n, added[n]) for n in wanted}
+        source = {**dict.fromkeys(("customer_days", "product_days", "customer_pairs", "product_pairs"), v), "month_products": fact}
+        reduce = {"customer_days": D.customer_days, "product_days": D.product_days, "customer_pairs": lambda r: r.select("customer_id", "product_id").distinct(),
+                  "product_pairs": lambda r: r.select("product_id", "customer_id").distinct(), "month_products": M.month_products}
+        added, state = {}, {}
+        for n in wanted:
+            key, others, how = STATES[n]
+            if not self._exists(n):  # the first load is the state
+                added[n] = state[n] = self._write(n, reduce[n](self._ranged(n, source[n])).select(key, *others, *how))
+                continue
+            if n == "product_pairs" and "customer_pairs" in added:
+                added[n] = added["customer_pairs"]
+            else:
+                added[n] = materialize(reduce[n](source[n]), n)
+            state[n] = self._add(n, added[n])
         compute = {"customers": self._customers, "products": self._products, "months": lambda s, keys: self._months(s, keys, M.amount_types(fact))}
         for m in self.marts:
             self._renew(m, added[BEHIND[m][0]], state, compute[m])
@@ -111,52 +123,51 @@ class IncrementalMarts:
         """Put the partial rows into the files of their keys; returns the rows of those files."""
         key, others, how = STATES[name]
         columns = [key, *others, *how]
-        if not self._exists(name):
-            return self._write(name, partial.select(*columns))
         table = self._table(name)
         table.recover()
         near = table.near(partial.select(key))
         together = {"sum": F.sum, "min": F.min, "max": F.max}
-        rows = table.read(near).select(*columns).unionByName(partial.select(*columns))
+        rows = self._ranged(name, table.read(near).select(*columns).unionByName(partial.select(*columns)))
         measures = [together[h](c).cast(table.schema[c].dataType).alias(c) for c, h in how.items()]
         merged = rows.groupBy(key, *others).agg(*measures) if measures else rows.distinct()
-        return table.read(table.swap(self._clustered(name, merged.select(*columns)), near))
+        return table.read(table.swap(merged.select(*columns).sortWithinPartitions(key), near))
 
-    def _clustered(self, name: str, df: DataFrame) -> DataFrame:
+    def _ranged(self, name: str, df: DataFrame) -> DataFrame:
         """Ranges of the key, a hot key cut by the other columns."""
         key, others, _ = STATES.get(name, (TOTALS.get(name), (), {}))
-        return df.repartitionByRange(key, *others).sortWithinPartitions(key)
+        return df.repartitionByRange(key, *others)
 
-    def _write(self, name: str, df: DataFrame) -> DataFrame:
-        self._clustered(name, df).write.parquet(f"{self.base}/{name}")
+    def _write(self, name: str, ranged: DataFrame) -> DataFrame:
+        key = STATES[name][0] if name in STATES else TOTALS[name]
+        ranged.sortWithinPartitions(key).write.parquet(f"{self.base}/{name}")
         return self.spark.read.parquet(f"{self.base}/{name}")
 
     def _renew(self, name: str, partial: DataFrame, state: dict[str, DataFrame], compute) -> None:
         """Replace the totals of the load's keys."""
         key = TOTALS[name]
+        if not self._exists(name):  # the first load has all keys of the states
+            self._write(name, self._ranged(name, compute(state, None)))
+            return
         keys = materialize(partial.select(key).distinct(), f"{name}_keys")
         new = compute(state, keys)
-        if not self._exists(name):
-            self._write(name, new)
-            return
         table = self._table(name)
         table.recover()
         near = table.near(keys)
         old = table.read(near)
         asked = keys.select(F.col(key).alias("_key"))
         kept = old.join(asked, old[key].eqNullSafe(asked["_key"]), "left_anti")
-        table.swap(self._clustered(name, kept.unionByName(new)), near)
+        table.swap(self._ranged(name, kept.unionByName(new)).sortWithinPartitions(key), near)
 
-    def _customers(self, state: dict[str, DataFrame], keys: DataFrame) -> DataFrame:
+    def _customers(self, state: dict[str, DataFrame], keys: DataFrame | None) -> DataFrame:
         products = _of(state["customer_pairs"], keys).groupBy("customer_id").agg(F.count("product_id").alias("unique_products_purchased"))
         return D.customer_totals(_of(state["customer_days"], keys), self.types["total_amount"]).join(products, "customer_id", "left")
 
-    def _products(self, state: dict[str, DataFrame], keys: DataFrame) -> DataFrame:
+    def _products(self, state: dict[str, DataFrame], keys: DataFrame | None) -> DataFrame:
         buyers = _of(state["product_pairs"], keys).groupBy(F.col("product_id").alias("_id")).agg(F.count("customer_id").alias("unique_customers"))
         totals = D.product_totals(_of(state["product_days"], keys), self.types["total_amount"], self.types["unit_price"])
         return totals.join(buyers, totals["product_id"].eqNullSafe(buyers["_id"]), "left").drop("_id")
 
-    def _months(self, state: dict[str, DataFrame], keys: DataFrame, types: dict) -> DataFrame:
+    def _months(self, state: dict[str, DataFrame], keys: DataFrame | None, types: dict) -> DataFrame:
         return M.with_growth(M.months(_of(state["month_products"], keys), M.MONTHLY_KEYS, types), audit=False)
 
     def customers(self, as_of: str | dt.date | None = None, bands: Bands = DEFAULT_BANDS, audit: bool = True) -> DataFrame:
