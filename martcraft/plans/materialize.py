@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from martcraft.session import checkpoint_dir
+from martcraft.session import checkpoint_dir, compiled_only
 
 
 def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), counters: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -20,6 +20,7 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), co
     frame that is written.
     """
     spark = df.sparkSession
+    compiled_only(spark)
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     # REBALANCE lets AQE size the files of each partition value: small
     # months are coalesced, a hot month is split over several tasks.

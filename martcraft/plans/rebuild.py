@@ -189,11 +189,12 @@ def _audit(spark: SparkSession, star: StarTables, base: str, checks: list[Check]
 def with_load_checks(cleaned: DataFrame, counts: WriteCounts) -> DataFrame:
     """The cleaned rows with counters of their own row checks and of those of the staged
     rows, which are a view of them: the write computes the staged columns that checks
-    read, counts, and leaves them out again."""
+    read, counts, and leaves them out again. The cleaned rows are counted first:
+    staging then is a step of its own in the generated code."""
     own = {f"_own{i}": c for i, c in enumerate(cleaned.columns)}
-    both = cleaned.select(*[F.col(c).alias(a) for a, c in own.items()], *staging_columns(cleaned))
-    rows = counts.row_checks(both, STAGING).select(*[F.col(a).alias(c) for a, c in own.items()])
-    return counts.row_checks(rows, SOURCE)
+    rows = counts.row_checks(cleaned, SOURCE)
+    both = rows.select(*[F.col(c).alias(a) for a, c in own.items()], *staging_columns(cleaned))
+    return counts.row_checks(both, STAGING).select(*[F.col(a).alias(c) for a, c in own.items()])
 
 
 def _count_load(cleaned: DataFrame, counts: WriteCounts) -> DataFrame:

@@ -5,11 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from martcraft.functions import cleaning as C
+from martcraft.functions.dates import day_name, month_name
 from martcraft.operators.cleaning import RAW_COLUMNS, clean_transactions
 from martcraft.operators.dimensions import dim_customers, dim_products
 from martcraft.operators.fact import fact_transactions
 from martcraft.operators.monthly import monthly_sales
 from martcraft.operators.staging import stage_transactions
+from martcraft.plans.materialize import materialize
 from tests.test_skew import SCHEMA, fixture
 
 
@@ -65,3 +67,29 @@ def test_monthly_aggregates_follow_the_customers_join(spark, merged):
     pruned = fact.select("customer_fk", "product_fk", "transaction_date", "units_sold", "unit_price", "tax_amount", "customer_tier", "customer_value_segment")
     assert exchanges(got) == exchanges(pruned)
     assert sorted(map(str, got.collect())) == sorted(map(str, monthly_sales(star(spark), audit=False).collect()))
+
+
+def test_names_are_those_of_date_format(spark):
+    days = spark.range(0, 40000, 7).select(F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")).alias("d")).unionByName(
+        spark.createDataFrame([(None,)], "d date"))
+    got = days.select("d", month_name(F.col("d"), False).alias("m"), day_name(F.col("d"), False).alias("w"), month_name(F.col("d")).alias("mp"), day_name(F.col("d")).alias("wp"))
+    m, w = F.date_format("d", "MMMM"), F.date_format("d", "EEEE")
+    same = F.col("m").eqNullSafe(m) & F.col("w").eqNullSafe(w) & F.col("mp").eqNullSafe(F.rpad(m, 9, " ")) & F.col("wp").eqNullSafe(F.rpad(w, 9, " "))
+    assert got.where(~same).count() == 0
+    assert got.where("m is null and wp is null").count() == 1
+    assert "date_format" not in plan(got)
+
+
+def test_written_steps_are_compiled(spark):
+    """Methods too long for the JVM's compiler are not run; a session's own limit stays."""
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    old = spark.conf.get(limit)
+    try:
+        spark.conf.unset(limit)
+        materialize(spark.range(3).toDF("x"), "limit")
+        assert spark.conf.get(limit) == "8000"
+        spark.conf.set(limit, "9000")
+        materialize(spark.range(3).toDF("x"), "limit")
+        assert spark.conf.get(limit) == "9000"
+    finally:
+        spark.conf.set(limit, old)
