@@ -93,3 +93,14 @@ def test_written_steps_are_compiled(spark):
         assert spark.conf.get(limit) == "9000"
     finally:
         spark.conf.set(limit, old)
+
+
+def test_words_are_found_without_lower_case_copies(spark):
+    texts = ["two hundred", "Two HUNDRED", " two hundred ", "two  hundred", "two hundred\n", "TEN K", "ten \u212a", "ten k", "te\u0307n k", "\u017fix", "SIX", "six", "3.5", "x", ""]
+    words = {"two hundred": 200.0, "Ten K": 10.0, "six": 6.0}
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "s string")
+    low = F.lower(C.py_strip(F.col("s")))
+    was = F.when(low == "two hundred", 200.0).when(low == "ten k", 10.0).when(low == "six", 6.0).when(low == "3.5", 3.5)
+    got = df.select("s", C.clean_amount(F.col("s"), words).alias("now"), was.alias("was"))
+    assert all(r.now == r.was for r in got.collect()), got.collect()
+    assert "lower(" not in plan(got.select("now"))
