@@ -14,13 +14,16 @@ FACT_COLUMNS = (
 )
 
 
-def fact_transactions(stg: DataFrame, customers: DataFrame, products: DataFrame, audit: bool = True, customer_last: bool = False) -> DataFrame:
+def fact_transactions(stg: DataFrame, customers: DataFrame, products: DataFrame, audit: bool = True, customer_last: bool = False, by_month: bool = False) -> DataFrame:
     """Inner equi-joins on the natural keys; only base columns and the denormalized attributes are shuffled.
 
     The staged columns that follow from others of the same row (month, subtotal and so on)
     are derived behind the joins. ``customer_last`` joins the customers after the products:
     the rows then lie by customer, and aggregates by customer need no shuffle of their own.
 
+    ``by_month`` deals the rows out by month before the other columns are derived, for a
+    write that is partitioned so.
+
     Join strategy is left to the optimizer: a dimension under
     ``spark.sql.autoBroadcastJoinThreshold`` (checked on its size at plan or,
     with AQE, at run time) is broadcast; larger ones fall back to sort-merge,
@@ -44,7 +47,10 @@ def fact_transactions(stg: DataFrame, customers: DataFrame, products: DataFrame,
         j = t.join(p, "product_id", "inner").join(c, "customer_id", "inner")
     else:
         j = t.join(c, "customer_id", "inner").join(p, "product_id", "inner")
-    j = j.withColumns(derived_columns("unit_price", "tax_amount"))
+    derived = derived_columns("unit_price", "tax_amount")
+    if by_month:
+        j = j.withColumn("transaction_month", derived.pop("transaction_month")).hint("rebalance", "transaction_month")
+    j = j.withColumns(derived)
     cols = [
         F.col("transaction_id").alias("transaction_key"),
         "customer_fk",

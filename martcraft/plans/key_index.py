@@ -125,18 +125,22 @@ class KeyedTable:
         near = self.near(keys)
         if not near:
             return []
-        rows = self.read(near).select(F.col(self.key).alias(keys.columns[0]), file_name().alias("file"))
-        return [r.file for r in rows.join(keys, keys.columns[0], "left_semi").select("file").distinct().toLocalIterator()]
+        # A number stands for the file's name, which would be most of the shuffled bytes. Names with
+        # one number count as one file: a file that is taken along needlessly keeps its rows.
+        names = self.spark.createDataFrame([(n,) for n in near], "file string").select("file", F.xxhash64("file").alias("n")).collect()
+        rows = self.read(near).select(F.col(self.key).alias(keys.columns[0]), F.xxhash64(file_name()).alias("n"))
+        held = {r.n for r in rows.join(keys, keys.columns[0], "left_semi").select("n").distinct().toLocalIterator()}
+        return [r.file for r in names if r.n in held]
 
-    def swap(self, new: DataFrame, gone: list[str], partition_by: tuple[str, ...] = ()) -> list[str]:
-        """Write ``new`` and take the files ``gone`` away; returns the new files.
+    def swap(self, new: DataFrame, gone: list[str], partition_by: tuple[str, ...] = (), dealt: bool = False) -> list[str]:
+        """Write ``new`` (``dealt``: by ``partition_by`` already) and take the files ``gone`` away; returns the new files.
 
         The new files are written aside first. A note that lists both then makes
         the swap certain: it is carried out now, or by ``recover`` after a failure.
         """
         run = uuid.uuid4().hex
         staged = f"{self.path}/_staged-{run}"
-        w = new.hint("rebalance", *partition_by).write.partitionBy(*partition_by) if partition_by else new.write
+        w = (new if dealt else new.hint("rebalance", *partition_by)).write.partitionBy(*partition_by) if partition_by else new.write
         w.parquet(staged)
         note = "\n".join(self._uri[g] for g in gone)
         out = self.fs.create(self._P(f"{self.path}/_swap-{run}.part"), True)

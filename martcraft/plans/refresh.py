@@ -55,7 +55,7 @@ class Refresh:
 def append_incremental(spark: SparkSession, new: DataFrame, path: str, column: str = "transaction_date",
                        partition_by: tuple[str, ...] = ("transaction_month",), on_schema_change: str = "fail",
                        key: str = "transaction_key", mode: str = "merge", repeats: str = "latest",
-                       start: str | None = None, end: str | None = None) -> Refresh:
+                       start: str | None = None, end: str | None = None, dealt: bool = False) -> Refresh:
     """Bring the rows of ``new`` into the table at ``path``; a first run writes everything.
 
     ``start`` and ``end`` bound the load by ``column``, both inclusive; rows without
@@ -74,6 +74,10 @@ def append_incremental(spark: SparkSession, new: DataFrame, path: str, column: s
     the modelled rule. Late rows, rows of the mark's own day and rows without a
     date are left out; their number is returned and logged.
 
+    ``dealt`` says that each task of ``new`` has rows of few ``partition_by`` values, as in a scan of
+    a table partitioned alike: they are written as they lie, without a shuffle (with ``repeats="keep"``;
+    the other rules deal the rows out by key first).
+
     With ``on_schema_change="append_new_columns"`` new columns are written, and
     ``read_target`` gives NULL for them in older rows.
     """
@@ -84,19 +88,20 @@ def append_incremental(spark: SparkSession, new: DataFrame, path: str, column: s
     new = within_dates(new, start, end, column)
     if mode == "merge":
         new = _single(new, key, column, repeats)
+        dealt = dealt and repeats == "keep"
     seen = Observation()
     if not _exists(spark, path):
         counted = new.observe(seen, F.count(F.lit(1)).alias("n"))
-        counted.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
+        (counted if dealt else counted.hint("rebalance", *partition_by)).write.partitionBy(*partition_by).parquet(path)
         return Refresh(seen.get["n"], 0)
     target = read_target(spark, path)
     check_schema_drift(target.schema, new.schema, on_schema_change)
     if mode == "merge":
-        return _merge(spark, new, KeyedTable(spark, path, key, target.schema), partition_by)
+        return _merge(spark, new, KeyedTable(spark, path, key, target.schema), partition_by, dealt)
     mark = target.agg(F.max(column)).first()[0]
     late = F.lit(False) if mark is None else ~F.coalesce(F.col(column) > F.lit(mark), F.lit(False))
     rows = new.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(late).alias("late")).filter(~late)
-    rows.hint("rebalance", *partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+    (rows if dealt else rows.hint("rebalance", *partition_by)).write.mode("append").partitionBy(*partition_by).parquet(path)
     got = Refresh(seen.get["n"] - seen.get["late"], seen.get["late"])
     if got.skipped:
         log.warning("%d rows at or before the mark %s, or without %s, were left out", got.skipped, mark, column)
@@ -123,7 +128,7 @@ def _whole(columns: list[str]) -> Column:
     return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
 
 
-def _merge(spark: SparkSession, new: DataFrame, table: KeyedTable, partition_by: tuple[str, ...]) -> Refresh:
+def _merge(spark: SparkSession, new: DataFrame, table: KeyedTable, partition_by: tuple[str, ...], dealt: bool = False) -> Refresh:
     table.recover()
     key, shared = table.key, [c for c in table.schema.names if c in new.columns]
     seen = Observation()
@@ -145,7 +150,9 @@ def _merge(spark: SparkSession, new: DataFrame, table: KeyedTable, partition_by:
     kept = old.join(ids, old[key] == ids["_id"], "left_anti")
     if whole is not None:
         kept = kept.withColumn("_whole", F.when(F.col(key).isNull(), _whole(shared))).join(whole, F.col("_whole") == whole["_id"], "left_anti").drop("_whole")
-    table.swap(kept.unionByName(batch, allowMissingColumns=True), sorted(gone), partition_by)
+    if dealt:  # the joins have dealt the kept rows out by key
+        kept = kept.hint("rebalance", *partition_by)
+    table.swap(kept.unionByName(batch, allowMissingColumns=True), sorted(gone), partition_by, dealt)
     return Refresh(n, 0)
 
 

@@ -85,9 +85,9 @@ class Star:
         if "dims" in keep:
             self.customers = materialize(self.customers, "dim_customers", counters=self._counted(DIM_CUSTOMERS))
             self.products = materialize(self.products, "dim_products", counters=self._counted(DIM_PRODUCTS))
-        self.fact = fact_transactions(self.stg, self.customers, self.products, audit=audit, customer_last=by_customer)
+        self.fact = fact_transactions(self.stg, self.customers, self.products, audit=audit, customer_last=by_customer, by_month="fact" in keep)
         if "fact" in keep:
-            self.fact = materialize(self.fact, "fact_transactions", ("transaction_month",), self._counted(FACT))
+            self.fact = materialize(self.fact, "fact_transactions", ("transaction_month",), self._counted(FACT), dealt=True)
         self.monthly = monthly_sales(self.fact, audit=audit)
         if "monthly" in keep:
             self.monthly = materialize(self.monthly, "agg_monthly_sales", counters=self._counted(MONTHLY))
@@ -289,8 +289,9 @@ def q_incremental_fact_raw(spark, sf_dir):
     again = F.coalesce(F.col("transaction_date") > F.add_months(cut, -2), F.lit(False))
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/incremental-{uuid.uuid4().hex}"
     # The dirty copy has rows of one key (the unique check reports them); the fact keeps them all.
-    append_incremental(spark, fact.where(first), path, repeats="keep")
-    append_incremental(spark, fact.where(~first | again), path, repeats="keep")
+    # They are read month by month, as the table is partitioned.
+    append_incremental(spark, fact.where(first), path, repeats="keep", dealt=True)
+    append_incremental(spark, fact.where(~first | again), path, repeats="keep", dealt=True)
     return read_target(spark, path).select(*fact.columns)
 
 

@@ -12,6 +12,7 @@ from martcraft.operators.fact import fact_transactions
 from martcraft.operators.monthly import monthly_sales
 from martcraft.operators.staging import stage_transactions
 from martcraft.plans.materialize import materialize
+from martcraft.plans.refresh import append_incremental, read_target
 from tests.test_skew import SCHEMA, fixture
 
 
@@ -104,3 +105,25 @@ def test_words_are_found_without_lower_case_copies(spark):
     got = df.select("s", C.clean_amount(F.col("s"), words).alias("now"), was.alias("was"))
     assert all(r.now == r.was for r in got.collect()), got.collect()
     assert "lower(" not in plan(got.select("now"))
+
+
+def test_the_fact_is_dealt_out_before_columns_are_derived(spark, merged):
+    text = plan(star(spark, by_month=True))
+    under = text[text.index("RebalancePartitions"):]
+    assert "quarter(" in text and "quarter(" not in under and "transaction_month" in under
+    assert sorted(map(str, star(spark, by_month=True).collect())) == sorted(map(str, star(spark).collect()))
+
+
+def test_rows_dealt_by_month_are_loaded_without_a_shuffle(spark, scratch, monkeypatch):
+    rows = spark.range(40).select(F.col("id").alias("transaction_key"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") * 3).cast("int")).alias("transaction_date"))
+    rows = rows.withColumn("transaction_month", F.trunc("transaction_date", "MM")).withColumn("v", F.col("transaction_key") * 2)
+    late = rows.where("transaction_key >= 30 or transaction_key % 5 = 0").withColumn("v", F.lit(-1).cast("bigint"))
+    shuffled, hint = [], type(rows).hint
+    monkeypatch.setattr(type(rows), "hint", lambda self, name, *a: (shuffled.append(name), hint(self, name, *a))[1])
+    for name, dealt in (("plain", False), ("dealt", True)):
+        shuffled.clear()
+        append_incremental(spark, rows.where("transaction_key % 5 <> 0"), f"{scratch}/{name}", repeats="keep", dealt=dealt)
+        assert shuffled == ([] if dealt else ["rebalance"])
+        append_incremental(spark, late, f"{scratch}/{name}", repeats="keep", dealt=dealt)
+        assert sorted(read_target(spark, f"{scratch}/{name}").select("transaction_key", "v").collect()) == [
+            (k, -1 if k >= 30 or k % 5 == 0 else k * 2) for k in range(40)]
