@@ -118,9 +118,11 @@ def _single(new: DataFrame, key: str, column: str, repeats: str) -> DataFrame:
         error = F.raise_error(F.concat(F.lit("repeated key "), F.col(key).cast("string"))).cast("boolean")
         counted = new.withColumn(n, F.when(F.col(key).isNotNull(), F.count(F.lit(1)).over(Window.partitionBy(key, own))).otherwise(F.lit(1)))
         return counted.where(F.when(F.col(n) > 1, error).otherwise(F.lit(True))).drop(n)
-    rank = fresh("rank", new.columns)
-    w = Window.partitionBy(key, own).orderBy(F.col(column).desc_nulls_last(), _whole(new.columns).desc())
-    return new.withColumn(rank, F.row_number().over(w)).where(F.col(rank) == 1).drop(rank)
+    rank, alone, whole = (fresh(n, new.columns) for n in ("rank", "alone", "whole"))
+    w = Window.partitionBy(key, alone).orderBy(F.col(column).desc_nulls_last(), F.col(whole).desc())
+    # The hash is made behind the shuffle by key: it is wider than many a row.
+    by_key = new.withColumn(alone, own).repartition(key, alone).withColumn(whole, _whole(new.columns))
+    return by_key.withColumn(rank, F.row_number().over(w)).where(F.col(rank) == 1).drop(rank, alone, whole)
 
 
 def _whole(columns: list[str]) -> Column:

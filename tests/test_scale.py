@@ -127,3 +127,13 @@ def test_rows_dealt_by_month_are_loaded_without_a_shuffle(spark, scratch, monkey
         append_incremental(spark, late, f"{scratch}/{name}", repeats="keep", dealt=dealt)
         assert sorted(read_target(spark, f"{scratch}/{name}").select("transaction_key", "v").collect()) == [
             (k, -1 if k >= 30 or k % 5 == 0 else k * 2) for k in range(40)]
+
+
+def test_the_hash_of_a_row_is_made_behind_the_shuffle(spark, scratch):
+    from martcraft.plans.refresh import _single
+    rows = spark.createDataFrame([(1, "2024-01-02", "a"), (1, "2024-01-03", "b"), (2, "2024-01-01", "c"), (None, "2024-01-01", "d"), (None, "2024-01-01", "d")],
+                                 "transaction_key bigint, transaction_date string, v string")
+    got = _single(rows, "transaction_key", "transaction_date", "latest")
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and "sha2" in text and "sha2" not in text[text.index("Exchange"):]
+    assert sorted(r.v for r in got.collect()) == ["b", "c", "d", "d"] and got.columns == rows.columns
