@@ -154,7 +154,7 @@ def _merge(spark: SparkSession, new: DataFrame, table: KeyedTable, partition_by:
         kept = kept.withColumn("_whole", F.when(F.col(key).isNull(), _whole(shared))).join(whole, F.col("_whole") == whole["_id"], "left_anti").drop("_whole")
     if dealt:  # the joins have dealt the kept rows out by key
         kept = kept.hint("rebalance", *partition_by)
-    table.swap(kept.unionByName(batch, allowMissingColumns=True), sorted(gone), partition_by, dealt)
+    table.swap(kept.unionByName(batch, allowMissingColumns=True), sorted(gone), partition_by, **({"dealt": True} if dealt else {}))
     return Refresh(n, 0)
 
 
