@@ -23,7 +23,8 @@
    stands whole in any earlier document.
 
 Only hashes travel for pairing and alignment (16 bytes a line); texts are joined
-once, at the end, with their deletions.
+once, at the end, with their deletions. Tasks take a batch in parts of a few MB, so
+their memory follows the longest single document.
 
 Defined cases: lines end at \\n. A null text stays null and has no lines. Rows
 without a doc_id are returned whole and pair with nothing; rows with one doc_id
@@ -39,6 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -216,16 +218,16 @@ def aligned_lines(a: bytes, b: bytes, sizes: np.ndarray, min_words: int) -> set[
 def held_runs(a: bytes, b: bytes, sizes: np.ndarray, min_words: int, gone: set[int]) -> set[int]:
     """Places in ``a`` of the lines in shortest runs that hold a line not in ``gone`` and stand whole in ``b``."""
     out: set[int] = set()
-    held: dict[int, set[bytes]] = {}
     lost = np.append(0, np.cumsum(np.isin(np.arange(len(sizes)), list(gone))))
     start, end = shortest_runs(sizes, np.array([0, len(sizes)]), min_words)
     todo = lost[end] - lost[start] < end - start
-    for i, j in zip(start[todo].tolist(), end[todo].tolist(), strict=True):
-        n = (j - i) * KEY
-        if n not in held:
-            held[n] = {b[k:k + n] for k in range(0, len(b) - n + 1, KEY)}
-        if a[i * KEY:j * KEY] in held[n]:
-            out.update(range(i, j))
+    start, size = start[todo], (end - start)[todo]
+    for m in np.unique(size).tolist():  # the parts of one length at a time
+        n = m * KEY
+        held = {b[k:k + n] for k in range(0, len(b) - n + 1, KEY)}
+        for i in start[size == m].tolist():
+            if a[i * KEY:i * KEY + n] in held:
+                out.update(range(i, i + m))
     return out
 
 
@@ -238,6 +240,47 @@ def _split(b: bytes) -> list[bytes]:
     return [b[i:i + KEY] for i in range(0, len(b), KEY)]
 
 
+def portions(batch: pa.RecordBatch, columns: list[str], limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of ``batch`` with about ``limit`` bytes of its binary ``columns`` each (a longer row stands alone)."""
+    sizes = sum(pc.binary_length(batch.column(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns)
+    off, at = np.append(0, np.cumsum(sizes)), 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(off, off[at] + limit, side="right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def filed_runs(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    """The shortest runs of rows ``id, keys, sizes``: two hashes of each and the row's id."""
+    for batch in batches:
+        for s in portions(batch, ["keys"]):
+            of = s.column("keys").to_pylist()
+            keys = np.frombuffer(b"".join(of), dtype=np.uint64).reshape(-1, 2)
+            sizes = np.frombuffer(b"".join(s.column("sizes").to_pylist()), dtype=np.int32)
+            offsets = np.append(0, np.cumsum([len(k) // KEY for k in of]))
+            i, j = shortest_runs(sizes, offsets, min_words)
+            ids = s.column("id").to_numpy()[np.searchsorted(offsets, i, side="right") - 1]
+            a, b = (T.span_hashes(np.ascontiguousarray(keys[:, c]), i, j).view(np.int64) for c in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(ids)], names=["a", "b", "id"])
+
+
+def lost_lines(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    """The places of the lines that rows ``id, sig, keys, sizes`` lose to the document whose lines are in ``other``."""
+    schema = pa.schema([("id", pa.int64()), ("sig", pa.int64()), ("gone", pa.list_(pa.int32()))])
+    for batch in batches:
+        for s in portions(batch, ["keys", "other"]):
+            out: dict[str, list] = {"id": [], "sig": [], "gone": []}
+            for i, sig, keys, sizes, other in zip(*(s.column(c).to_pylist() for c in ("id", "sig", "keys", "sizes", "other")), strict=True):
+                n_words = np.frombuffer(sizes, dtype=np.int32)
+                lines = aligned_lines(keys, other, n_words, min_words)
+                gone = sorted(lines | held_runs(keys, other, n_words, min_words, lines))
+                if gone:
+                    out["id"].append(i)
+                    out["sig"].append(sig)
+                    out["gone"].append(gone)
+            yield pa.RecordBatch.from_pydict(out, schema=schema)
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 10) -> DataFrame:
     """The rows of ``docs`` with ``text_col`` replaced by what is kept, and the columns
     ``n_lines long, n_removed_lines long, n_removed_words long`` (lines with a word).
@@ -260,17 +303,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 yield out.filter(pa.array([len(k) > 0 for k in keys]))
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            of = batch.column("keys").to_pylist()
-            keys = np.frombuffer(b"".join(of), dtype=np.uint64).reshape(-1, 2)
-            sizes = np.frombuffer(b"".join(batch.column("sizes").to_pylist()), dtype=np.int32)
-            offsets = np.append(0, np.cumsum([len(k) // KEY for k in of]))
-            i, j = shortest_runs(sizes, offsets, min_words)
-            ids = batch.column("id").to_numpy()[np.searchsorted(offsets, i, side="right") - 1]
-            a, b = (T.span_hashes(np.ascontiguousarray(keys[:, c]), i, j).view(np.int64) for c in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(ids)], names=["a", "b", "id"])
+        return filed_runs(batches, min_words)
+
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return lost_lines(batches, min_words)
 
     seqs = saved(src.mapInArrow(sequences, "id long, sig long, keys binary, sizes binary").dropDuplicates(["id", "sig"]), "lines")
     filed = seqs.mapInArrow(runs, "a long, b long, id long")
@@ -281,20 +317,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     pairs = saved(pairs, "pairs")
     earlier = seqs.select(F.col("id").alias("first"), F.col("keys").alias("other"))
     aligned = pairs.join(earlier, "first").join(seqs, "id")
-
-    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: dict[str, list] = {"id": [], "sig": [], "gone": []}
-            for i, sig, keys, sizes, other in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
-                n_words = np.frombuffer(sizes, dtype=np.int32)
-                lines = aligned_lines(keys, other, n_words, min_words)
-                gone = sorted(lines | held_runs(keys, other, n_words, min_words, lines))
-                if gone:
-                    out["id"].append(i)
-                    out["sig"].append(sig)
-                    out["gone"].append(gone)
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("id", pa.int64()), ("sig", pa.int64()), ("gone", pa.list_(pa.int32()))]))
-
     gone = aligned.select("id", "sig", "keys", "sizes", "other").mapInArrow(align, "id long, sig long, gone array<int>")
     gone = gone.groupBy("id", "sig").agg(F.array_distinct(F.flatten(F.collect_set("gone"))).alias("gone"))
     gone = gone.groupBy("id").agg(F.collect_list(F.struct("sig", "gone")).alias("gone"))

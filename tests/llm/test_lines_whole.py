@@ -1,12 +1,14 @@
 """Line dedup against a brute force over all pairs of documents."""
 import random
+import tracemalloc
 import zlib
 
 import brute
 import pytest
 import numpy as np
+import pyarrow as pa
 from martcraft.llm import line_dedup
-from martcraft.llm.line_dedup import aligned_lines, dedup_lines, held_runs, longest_common, patience
+from martcraft.llm.line_dedup import aligned_lines, dedup_lines, filed_runs, held_runs, longest_common, lost_lines, patience, portions
 
 
 def shuffled_lines(seed, n=40):
@@ -132,3 +134,41 @@ def test_repeated_passages(spark):
             (5, f"a\n{two}\nb\n{passage}\nc\n{two}\n{passage}")]
     removed = check(spark, rows)
     assert (removed[2], removed[4], removed[5]) == (2, 2, 6)
+
+
+def many_lines(n_rows, n_lines):
+    """One batch of long documents of six-word lines; each has half its lines in common with its partner."""
+    r = np.random.default_rng(3)
+    keys = [r.integers(0, 1 << 62, 2 * n_lines) for _ in range(n_rows)]
+    other = [np.append(k[n_lines:], r.integers(0, 1 << 62, n_lines)) for k in keys]
+    cols = {"id": range(n_rows), "sig": range(n_rows), "keys": [k.tobytes() for k in keys], "sizes": [np.full(n_lines, 6, dtype=np.int32).tobytes()] * n_rows,
+            "other": [k.tobytes() for k in other]}
+    return pa.RecordBatch.from_pydict(cols, schema=pa.schema([("id", pa.int64()), ("sig", pa.int64()), ("keys", pa.binary()), ("sizes", pa.binary()), ("other", pa.binary())]))
+
+
+@pytest.mark.parametrize("step, few", [(filed_runs, 350), (lost_lines, 175)])
+def test_task_memory_does_not_follow_the_batch(step, few):
+    """Three times the rows in one batch: the same peak, and the rows that each document gives alone."""
+    peak = {}
+    for n in (few, 3 * few):
+        batch, rows = many_lines(n, 400), 0
+        tracemalloc.start()
+        for got in step(iter([batch]), 10):
+            rows += got.num_rows
+        peak[n] = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+    assert peak[3 * few] < 1.3 * peak[few], peak
+    assert rows >= 3 * few
+    some = many_lines(6, 400)
+    alone = [r for k in range(6) for g in step(iter([some.slice(k, 1)]), 10) for r in g.to_pylist()]
+    assert [r for g in step(iter([some]), 10) for r in g.to_pylist()] == alone
+
+
+def test_portions():
+    batch = pa.RecordBatch.from_pydict({"a": [b"x" * k for k in (5, 0, 3, 40, 1, 1, 9)], "b": [b"\xff" * k for k in (1, 0, 1, 0, 0, 1, 1)]})
+    for limit in (0, 1, 10, 11, 1000):
+        parts = list(portions(batch, ["a", "b"], limit))
+        assert pa.Table.from_batches(parts) == pa.Table.from_batches([batch])
+        assert all(p.num_rows == 1 or sum(map(len, p.column(0).to_pylist() + p.column(1).to_pylist())) <= limit for p in parts)
+    assert [p.num_rows for p in portions(batch, ["a", "b"], 10)] == [3, 1, 2, 1]
+    assert list(portions(batch.slice(0, 0), ["a", "b"])) == []
